@@ -31,7 +31,9 @@ def same_content(left: DataFrame, right: DataFrame, distinct: bool = False) -> b
 
 
 def row_hash(df: DataFrame) -> Column:
-    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    # A NULL leaves the running hash unchanged, so its position is hashed as well.
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    return F.xxhash64(*cols, *[c.isNull() for c in cols])
 
 
 def table_checksum(df: DataFrame) -> DataFrame:
