@@ -68,22 +68,25 @@ def stability(observations: DataFrame, ident: str = "id", at: str = "parsed_at",
     return seen.withColumn("verdict", verdict).drop("_at", "_hash", "_loc")
 
 
-def json_leaves(df: DataFrame, ident: str, column: str, max_depth: int = 32) -> DataFrame:
-    """``(id, path, kind, value)`` for every node of the JSON text in ``column``; ``path[]`` rows hold list lengths.
+def json_nodes(df: DataFrame, ident: str, column: str, max_depth: int = 32) -> DataFrame:
+    """``(id, path, parent, in_list, kind, value, shown)`` for every node of the JSON text in ``column``.
 
-    One level per step, all documents at once, until no object or array is left; deeper than ``max_depth`` is an error.
+    ``value`` is what is compared (the length for a list), ``shown`` what is printed. One level per step, all
+    documents at once, until no object or array is left; deeper than ``max_depth`` is an error.
     """
-    level = df.select(F.col(ident), F.lit("").alias("path"), F.parse_json(column).alias("v"))
+    level = df.select(F.col(ident), F.lit("").alias("path"), F.lit(None).cast("string").alias("parent"),
+                      F.lit(False).alias("in_list"), F.parse_json(column).alias("v"))
     out = None
     for _ in range(max_depth):
-        kind = F.schema_of_variant("v")
-        typed = level.select(ident, "path", "v", F.when(kind.startswith("OBJECT"), "dict").when(kind.startswith("ARRAY"), "list")
-                             .when(kind == "VOID", "NoneType").when(kind == "BIGINT", "int").when(kind == "STRING", "str")
-                             .when(kind == "BOOLEAN", "bool").otherwise("float").alias("kind"))
+        name = F.schema_of_variant("v")
+        kind = (F.when(name.startswith("OBJECT"), "dict").when(name.startswith("ARRAY"), "list").when(name == "VOID", "NoneType")
+                .when(name == "BIGINT", "int").when(name == "STRING", "str").when(name == "BOOLEAN", "bool").otherwise("float"))
+        typed = level.select(ident, "path", "parent", "in_list", "v", kind.alias("kind"))
         leaf = ~F.col("kind").isin("dict", "list")
-        size = F.size(F.try_variant_get("v", "$", "array<variant>"))
-        nodes = typed.select(ident, "path", "kind", F.when(leaf, F.coalesce(F.col("v").cast("string"), F.lit("None")))
-                             .when(F.col("kind") == "list", size.cast("string")).alias("value"))
+        text = F.coalesce(F.when(leaf, F.col("v").cast("string")).otherwise(F.to_json("v")), F.lit("None"))
+        length = F.size(F.try_variant_get("v", "$", "array<variant>")).cast("string")
+        nodes = typed.select(ident, "path", "parent", "in_list", "kind",
+                             F.when(leaf, text).when(F.col("kind") == "list", length).alias("value"), text.alias("shown"))
         out = nodes if out is None else out.unionByName(nodes)
         inner = typed.where(~leaf)
         if inner.isEmpty():
@@ -91,40 +94,39 @@ def json_leaves(df: DataFrame, ident: str, column: str, max_depth: int = 32) ->
         inner.createOrReplaceTempView("_json_inner")
         level = df.sparkSession.sql(
             f"SELECT d.{ident}, concat(d.path, CASE WHEN e.key IS NOT NULL THEN concat('.', e.key) ELSE concat('[', e.pos, ']') END) AS path, "
-            "e.value AS v FROM _json_inner d, LATERAL variant_explode(d.v) AS e")
+            "d.path AS parent, e.key IS NULL AS in_list, e.value AS v FROM _json_inner d, LATERAL variant_explode(d.v) AS e")
     raise ValueError(f"JSON is nested deeper than {max_depth}")
 
 
 def json_diff(pairs: DataFrame, ident: str, before: str, after: str, limit: int = 20) -> DataFrame:
-    """Differences of two JSON texts per id: ``(id, path, before, after)``, at most ``limit`` per id.
+    """Differences of two JSON texts per id: ``(id, path, before, after)``, at most ``limit`` per id in path order.
 
     A type change shows both types and hides what lies below it, a missing key shows ``—``, lists of other length
     show both lengths under ``path[]`` and only their common positions are compared.
     """
-    a = json_leaves(pairs, ident, before).select(ident, "path", F.col("kind").alias("ka"), F.col("value").alias("va"))
-    b = json_leaves(pairs, ident, after).select(ident, "path", F.col("kind").alias("kb"), F.col("value").alias("vb"))
-    both = a.join(b, [ident, "path"], "full_outer")
-    shown = F.when(F.col("path") == "", ".").otherwise(F.col("path"))
-    typed = F.col("ka") != F.col("kb")
-    text_a = F.concat(F.coalesce("va", F.lit("{…}")), F.lit(" ("), F.col("ka"), F.lit(")"))
-    text_b = F.concat(F.coalesce("vb", F.lit("{…}")), F.lit(" ("), F.col("kb"), F.lit(")"))
-    is_list = F.col("ka") == "list"
-    changed = F.coalesce(F.col("ka").isin("dict"), F.lit(False)) == F.lit(False)
-    # A node whose parent is missing, has another type or is a longer list is covered by its parent's row.
-    parent = F.regexp_extract("path", r"^([\s\S]*)(?:\.[^.\[\]]+|\[\d+\])$", 1)
-    one_sided = F.col("ka").isNull() | F.col("kb").isNull()
-    in_list = F.col("path").rlike(r"\[\d+\]$")
-    parents = both.where(F.col("ka").isin("dict", "list") & (F.col("ka") == F.col("kb"))).select(
-        F.col(ident).alias("_id"), F.col("path").alias("_path"))
-    rows = both.where((one_sided & ~in_list) | typed | (~one_sided & changed & ~F.col("va").eqNullSafe(F.col("vb"))))
-    rows = rows.withColumn("_parent", parent)
-    visible = rows.join(parents, (F.col(ident) == F.col("_id")) & (F.col("_parent") == F.col("_path")), "left").where(
-        (F.col("path") == "") | F.col("_id").isNotNull())
-    out = visible.select(
-        F.col(ident),
-        F.when(~one_sided & ~typed & is_list, F.concat(F.col("path"), F.lit("[]"))).otherwise(shown).alias("path"),
-        F.when(F.col("ka").isNull(), "—").when(F.coalesce(typed, F.lit(False)), text_a).otherwise(F.coalesce("va", F.lit("{…}"))).alias("before"),
-        F.when(F.col("kb").isNull(), "—").when(F.coalesce(typed, F.lit(False)), text_b).otherwise(F.coalesce("vb", F.lit("{…}"))).alias("after"))
+    def side(column: str, mark: str) -> DataFrame:
+        nodes = json_nodes(pairs, ident, column)
+        return nodes.select(F.col(ident), "path", *[F.col(c).alias(f"{c}_{mark}") for c in ("parent", "in_list", "kind", "value", "shown")])
+
+    both = side(before, "a").join(side(after, "b"), [ident, "path"], "full_outer")
+    gone, added = F.col("kind_b").isNull(), F.col("kind_a").isNull()
+    retyped = ~gone & ~added & (F.col("kind_a") != F.col("kind_b"))
+    revalued = ~gone & ~added & ~retyped & (F.col("kind_a") != "dict") & (F.col("value_a") != F.col("value_b"))
+    in_list = F.coalesce("in_list_a", "in_list_b")
+    # A node below a missing or retyped node is covered by that node's row.
+    open_nodes = both.where(F.col("kind_a").isin("dict", "list") & (F.col("kind_a") == F.col("kind_b"))).select(
+        F.col(ident).alias("_id"), F.col("path").alias("_parent"))
+    rows = both.where(((gone | added) & ~in_list) | retyped | revalued).withColumn("_up", F.coalesce("parent_a", "parent_b"))
+    seen = rows.where(F.col("_up").isNull()).unionByName(
+        rows.join(open_nodes, (F.col(ident) == F.col("_id")) & (F.col("_up") == F.col("_parent")), "left_semi"))
+
+    def cell(mark: str, missing: Column) -> Column:
+        shown, kind = F.col(f"shown_{mark}"), F.col(f"kind_{mark}")
+        return F.when(missing, "—").when(retyped, F.concat(shown, F.lit(" ("), kind, F.lit(")"))).when(
+            kind == "list", F.when(gone | added, shown).otherwise(F.col(f"value_{mark}"))).otherwise(shown)
+
+    path = F.when(revalued & (F.col("kind_a") == "list"), F.concat("path", F.lit("[]"))).when(F.col("path") == "", ".").otherwise(F.col("path"))
+    out = seen.select(F.col(ident), path.alias("path"), cell("a", added).alias("before"), cell("b", gone).alias("after"))
     w = Window.partitionBy(ident).orderBy("path")
     return out.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= limit).drop("_rn")
 
