@@ -6,11 +6,22 @@ from pyspark.sql import Column, DataFrame, functions as F, types as PT
 
 from haulage.functions import times as T
 
-HISTORY = PT.StructType.fromDDL(
-    "extract_name string, extract_time timestamp_ntz, extract_count bigint, loaded timestamp_ntz, sent timestamp_ntz, "
-    "confirmed timestamp_ntz, increment int, overlap int, recent_interval int, time_field string, "
-    "time_from timestamp_ntz, time_to timestamp_ntz, exported_files array<string>"
-)
+_TIME, _TEXT, _INT = PT.TimestampNTZType(), PT.StringType(), PT.IntegerType()
+HISTORY = PT.StructType([
+    PT.StructField("extract_name", _TEXT),
+    PT.StructField("extract_time", _TIME),
+    PT.StructField("extract_count", PT.LongType()),
+    PT.StructField("loaded", _TIME),
+    PT.StructField("sent", _TIME),
+    PT.StructField("confirmed", _TIME),
+    PT.StructField("increment", _INT),
+    PT.StructField("overlap", _INT),
+    PT.StructField("recent_interval", _INT),
+    PT.StructField("time_field", _TEXT),
+    PT.StructField("time_from", _TIME),
+    PT.StructField("time_to", _TIME),
+    PT.StructField("exported_files", PT.ArrayType(_TEXT)),
+])
 EPOCH = "1970-01-01 00:00:00"
 
 
@@ -51,18 +62,35 @@ def catch_up_windows(spark, start, now, increment_minutes: int, overlap_seconds:
                         (hi == T.moment(now)).alias("is_current"))
 
 
-def window_counts(df: DataFrame, field: str, start, now, increment_minutes: int, overlap_seconds: int = 0) -> DataFrame:
-    """Rows per catch-up window without a range join: a row computes the windows it belongs to."""
+def _window_hits(df: DataFrame, field: str, start, now, increment_minutes: int, overlap_seconds: int) -> DataFrame:
+    """Rows with the ``seq`` of every catch-up window they belong to, by arithmetic instead of a range join."""
     kind = df.schema[field].dataType.simpleString()
     step = F.lit(increment_minutes * 60 * 1_000_000).cast("bigint")
     col = F.col(field)
-    inside = df.where((col <= T.moment(now, kind)) & (col > T.moment(start, kind) - T.seconds(overlap_seconds)))
+    inside = df.where((col > T.moment(start, kind) - T.seconds(overlap_seconds)) & (col <= T.moment(now, kind)))
     offset = F.timestamp_diff("MICROSECOND", T.moment(start, kind), col)
-    home = F.ceil(offset / step).cast("bigint") - 1
-    last = F.ceil((offset + F.lit(overlap_seconds * 1_000_000).cast("bigint")) / step).cast("bigint") - 1
+    home = F.greatest(F.ceil(offset / step).cast("int") - 1, F.lit(0))
+    if not overlap_seconds:
+        return inside.withColumn("seq", home)
+    last = F.ceil((offset + F.lit(overlap_seconds * 1_000_000).cast("bigint")) / step).cast("int") - 1
+    return inside.withColumn("seq", F.explode(F.sequence(home, last)))
+
+
+def window_rows(df: DataFrame, field: str, start, now, increment_minutes: int, overlap_seconds: int = 0) -> DataFrame:
+    """All rows read by a catch-up with overlapping windows; a row of the overlap comes once per window.
+
+    Adds ``seq`` and ``time_to``.
+    """
+    step = increment_minutes * 60
+    hits = _window_hits(df, field, start, now, increment_minutes, overlap_seconds)
+    lo = T.moment(start) + T.seconds(F.col("seq") * step)
+    return hits.where(lo < T.moment(now)).withColumn("time_to", F.least(lo + T.seconds(step), T.moment(now)))
+
+
+def window_counts(df: DataFrame, field: str, start, now, increment_minutes: int, overlap_seconds: int = 0) -> DataFrame:
+    """Rows per catch-up window, empty windows included."""
     windows = catch_up_windows(df.sparkSession, start, now, increment_minutes, overlap_seconds)
-    hits = inside.select(F.explode(F.sequence(F.greatest(home, F.lit(0).cast("bigint")), last)).alias("seq")) if overlap_seconds \
-        else inside.select(home.alias("seq"))
+    hits = _window_hits(df.select(field), field, start, now, increment_minutes, overlap_seconds)
     counts = hits.groupBy("seq").agg(F.count("*").alias("n_rows"))
     return windows.join(counts, "seq", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0).cast("bigint")))
 
