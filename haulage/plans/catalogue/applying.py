@@ -1 +1,63 @@
-"""."""
+"""Receiver side: batches applied to a target."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from haulage.functions import times as T
+from haulage.operators import apply as AP
+from haulage.plans.catalogue.base import query, table
+
+# Target: two thirds of the orders. Batch: updates, deletions, inserts, repeated keys and deletions without a match.
+TARGET_SQL = "SELECT o_orderkey, o_orderstatus, o_totalprice, 'I' AS ctl_action, TIMESTAMP '2024-01-01 00:00:00' AS ctl_validfrom FROM orders WHERE o_orderkey % 3 <> 0"
+BATCH_SQL = """
+    SELECT o_orderkey, 'U' || o_orderstatus AS o_orderstatus, o_totalprice + 1 AS o_totalprice, CASE WHEN o_orderkey % 7 = 0 THEN 'D' ELSE 'U' END AS ctl_action,
+           TIMESTAMP '2024-02-01 00:00:00' + to_minutes(CAST(o_custkey % 60 AS INTEGER)) AS ctl_validfrom FROM orders WHERE o_orderkey % 5 < 2
+    UNION ALL
+    SELECT o_orderkey, 'X', o_totalprice + 2, CASE WHEN o_orderkey % 11 = 0 THEN 'D' ELSE 'I' END, TIMESTAMP '2024-02-01 00:30:00' FROM orders WHERE o_orderkey % 5 = 0
+    UNION ALL
+    SELECT o_orderkey + 10000000, 'N', o_totalprice, CASE WHEN o_orderkey % 2 = 0 THEN 'D' ELSE 'I' END, TIMESTAMP '2024-02-02 00:00:00' FROM orders WHERE o_orderkey % 13 = 0"""
+DEDUP_SQL = "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY ctl_validfrom DESC, o_orderstatus DESC, o_totalprice DESC, ctl_action DESC) AS rn FROM ({})) WHERE rn = 1"
+
+
+def target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").where("o_orderkey % 3 <> 0").select(
+        "o_orderkey", "o_orderstatus", "o_totalprice", F.lit("I").alias("ctl_action"), T.moment("2024-01-01 00:00:00").alias("ctl_validfrom"))
+
+
+def batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    key = F.col("o_orderkey")
+    changed = orders.where(key % 5 < 2).select(
+        "o_orderkey", F.concat(F.lit("U"), "o_orderstatus").alias("o_orderstatus"), (F.col("o_totalprice") + 1).alias("o_totalprice"),
+        F.when(key % 7 == 0, "D").otherwise("U").alias("ctl_action"), (T.moment("2024-02-01 00:00:00") + T.seconds(F.col("o_custkey") % 60 * 60)).alias("ctl_validfrom"))
+    again = orders.where(key % 5 == 0).select(
+        "o_orderkey", F.lit("X").alias("o_orderstatus"), (F.col("o_totalprice") + 2).alias("o_totalprice"),
+        F.when(key % 11 == 0, "D").otherwise("I").alias("ctl_action"), T.moment("2024-02-01 00:30:00").alias("ctl_validfrom"))
+    fresh = orders.where(key % 13 == 0).select(
+        (key + 10_000_000).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"), "o_totalprice",
+        F.when(key % 2 == 0, "D").otherwise("I").alias("ctl_action"), T.moment("2024-02-02 00:00:00").alias("ctl_validfrom"))
+    return changed.unionByName(again).unionByName(fresh)
+
+
+@query("apply_full_uk", f"SELECT * REPLACE ('I' AS ctl_action) FROM ({DEDUP_SQL.format(f'SELECT * FROM ({BATCH_SQL}) WHERE ctl_action <> ' + chr(39) + 'D' + chr(39))})")
+def apply_full_uk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return AP.apply_batch(target(spark, sf_dir), batch(spark, sf_dir), "FULL_UK", ["o_orderkey"])
+
+
+@query("apply_full_no_uk", f"SELECT * REPLACE ('I' AS ctl_action) FROM ({BATCH_SQL}) WHERE ctl_action <> 'D'")
+def apply_full_no_uk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return AP.apply_batch(target(spark, sf_dir), batch(spark, sf_dir), "FULL_NO_UK")
+
+
+@query("apply_inc", f"""
+    WITH t AS ({TARGET_SQL}), b AS ({DEDUP_SQL.format(BATCH_SQL)})
+    SELECT b.* REPLACE (CASE WHEN t.o_orderkey IS NULL THEN 'I' ELSE 'U' END AS ctl_action) FROM b LEFT JOIN t USING (o_orderkey) WHERE b.ctl_action <> 'D'
+    UNION ALL SELECT t.* FROM t WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.o_orderkey = t.o_orderkey)""")
+def apply_inc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return AP.apply_batch(target(spark, sf_dir), batch(spark, sf_dir), "INC", ["o_orderkey"])
+
+
+@query("apply_append", f"SELECT * FROM ({TARGET_SQL}) UNION ALL SELECT * REPLACE ('I' AS ctl_action) FROM ({BATCH_SQL})")
+def apply_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return AP.apply_batch(target(spark, sf_dir), batch(spark, sf_dir), "APPEND")
