@@ -52,15 +52,17 @@ def run_type(given: Column, auto: Column, first_status: Column) -> Column:
 
 def normalised(loadings: DataFrame) -> DataFrame:
     """One row per document: parameters, statistics, run type, current status time, last time per status, history."""
-    history = F.col("loading_status")
+    # The outputs reuse input names, so the inputs are renamed first.
+    loadings = loadings.withColumnsRenamed({"params": "_params", "stats": "_stats", "loading_status": "_history"})
+    history = F.col("_history")
     by_time = F.array_sort(F.transform(history, lambda s: F.struct(s["effective_from"], s["status"], s["log"])))
-    params = kept_params(F.col("params"))
+    params = kept_params(F.col("_params"))
     last = J.last_wins_map(F.transform(by_time, lambda s: F.struct(s["status"].alias("key"), s["effective_from"].alias("value"))))
     past = F.transform(F.reverse(by_time), lambda s: F.struct(
         s["effective_from"], F.concat(s["status"], F.lit(" "), F.coalesce(s["log"], F.lit(""))).alias("text")))
     return loadings.select(
         "id", "wf_id", "profile", "alive", "auto", "status", "status_log", "start_dttm", F.col("workflow.name").alias("wf_name"),
-        params.alias("params"), stats_map(F.col("stats")).alias("stats"),
+        params.alias("params"), stats_map(F.col("_stats")).alias("stats"),
         run_type(params["wfp_run_type"], F.col("auto"), by_time[0]["status"]).alias("run_type"),
         F.coalesce(F.array_max(F.transform(history, lambda s: s["effective_from"])), F.col("start_dttm")).alias("status_sdt"),
         last.alias("status_last"), past.alias("history"))

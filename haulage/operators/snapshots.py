@@ -78,12 +78,15 @@ def json_nodes(df: DataFrame, ident: str, column: str, max_depth: int = 32) -> D
                       F.lit(False).alias("in_list"), F.parse_json(column).alias("v"))
     out = None
     for _ in range(max_depth):
-        name = F.schema_of_variant("v")
-        kind = (F.when(name.startswith("OBJECT"), "dict").when(name.startswith("ARRAY"), "list").when(name == "VOID", "NoneType")
-                .when(name == "BIGINT", "int").when(name == "STRING", "str").when(name == "BOOLEAN", "bool").otherwise("float"))
-        typed = level.select(ident, "path", "parent", "in_list", "v", kind.alias("kind"))
+        # The kind shows in the first character of the text; deriving a schema per node would cost far more.
+        typed = level.select(ident, "path", "parent", "in_list", "v", F.to_json("v").alias("json"))
+        start = F.left("json", F.lit(1))
+        number = F.when(F.col("json").rlike(r"[.eE]"), "float").otherwise("int")
+        kind = (F.when(start == "{", "dict").when(start == "[", "list").when(start == '"', "str").when(start.isin("t", "f"), "bool")
+                .when(start == "n", "NoneType").otherwise(number))
+        typed = typed.withColumn("kind", kind)
         leaf = ~F.col("kind").isin("dict", "list")
-        text = F.coalesce(F.when(leaf, F.col("v").cast("string")).otherwise(F.to_json("v")), F.lit("None"))
+        text = F.when(F.col("kind") == "NoneType", "None").when(F.col("kind") == "str", F.col("v").cast("string")).otherwise(F.col("json"))
         length = F.size(F.try_variant_get("v", "$", "array<variant>")).cast("string")
         nodes = typed.select(ident, "path", "parent", "in_list", "kind",
                              F.when(leaf, text).when(F.col("kind") == "list", length).alias("value"), text.alias("shown"))
