@@ -18,7 +18,7 @@ def last_segment(text: Column, sep: str = ".") -> Column:
 
 def ascii_name(name: Column, ident: Column) -> Column:
     """The part after ``#`` without non-ASCII characters; the id when nothing is left."""
-    kept = F.trim(F.regexp_replace(last_segment(name, "#"), r"[^\x00-\x7F]", ""))
+    kept = F.regexp_replace(F.regexp_replace(last_segment(name, "#"), r"[^\x00-\x7F]", ""), r"^\s+|\s+$", "")
     return F.coalesce(F.nullif(kept, F.lit("")), ident.cast("string"))
 
 

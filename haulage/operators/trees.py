@@ -7,24 +7,12 @@ from pyspark.sql import DataFrame, functions as F
 from haulage.session import stored
 
 
-def subtree(nodes: DataFrame, root: str, ident: str = "id", parent: str = "parent_id", name: str = "name") -> DataFrame:
-    """All nodes below and including the root name, at any depth and in any order, with ``parent_name`` and ``depth``.
+def subtree(nodes: DataFrame, root: str, max_depth: int = 64) -> DataFrame:
+    """All nodes ``(id, parent_id, name)`` below and including the root name, with ``parent_name`` and ``depth``.
 
-    A recursive query: each step joins only the rows found by the step before it.
+    Any depth and any row order. Every level is written out, so lineage stays short and no level is computed twice;
+    a recursive query would stop at the engine's row limit.
     """
-    spark = nodes.sparkSession
-    nodes.createOrReplaceTempView("_tree_nodes")
-    found = spark.sql(f"""
-        WITH RECURSIVE walk(id, parent_id, name, parent_name, depth) AS (
-            SELECT {ident}, {parent}, {name}, CAST(NULL AS STRING), 0 FROM _tree_nodes WHERE {name} = :root
-            UNION ALL
-            SELECT n.{ident}, n.{parent}, n.{name}, w.name, w.depth + 1 FROM _tree_nodes n JOIN walk w ON n.{parent} = w.id
-        ) SELECT id, parent_id, name, parent_name, depth FROM walk""", args={"root": root})
-    return found
-
-
-def subtree_by_levels(nodes: DataFrame, root: str, max_depth: int = 64) -> DataFrame:
-    """The same closure for large trees: every level is written out, so lineage stays short and no level is recomputed."""
     level = nodes.where(F.col("name") == root).select("id", "parent_id", "name", F.lit(None).cast("string").alias("parent_name"), F.lit(0).alias("depth"))
     out = level
     for depth in range(1, max_depth + 1):
