@@ -78,8 +78,8 @@ def event_payload(events: DataFrame, stats: DataFrame, base_url: str) -> DataFra
     has = F.coalesce(F.col("loading_id"), F.lit(0)) != 0
     own = events.select("pub_key", F.inline(F.array(
         F.struct(F.concat(ind, F.lit("/dt")).alias("name"), T.clock_text(F.col("published_at")).alias("value")),
-        F.struct(F.when(has, F.concat(ind, F.lit("/url"))).otherwise(F.concat(ind, F.lit("/"), F.col("sid"))),
-                 F.when(has, F.concat(F.lit(base_url), F.lit("/#/loading/"), F.col("loading_id").cast("string"))).otherwise(F.col("value"))))))
+        F.struct(F.when(has, F.concat(ind, F.lit("/url"))).otherwise(F.concat(ind, F.lit("/"), F.col("sid"))).alias("name"),
+                 F.when(has, F.concat(F.lit(base_url), F.lit("/#/loading/"), F.col("loading_id").cast("string"))).otherwise(F.col("value")).alias("value")))))
     per_stat = stats.groupBy("loading_id", "profile", "entity_id", "stat_id").agg(F.max_by("value", F.struct("published_at", "value")).alias("value"))
     values = events.where(has).select("pub_key", F.col("loading_id"), F.col("prf").alias("profile"), F.col("eid").cast("bigint").alias("entity_id")).join(
         per_stat, ["loading_id", "profile", "entity_id"]).select(

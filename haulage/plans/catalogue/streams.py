@@ -1 +1,58 @@
-"""."""
+"""Streaming queries, run over everything available."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from haulage.plans.catalogue.base import key_of_props, query, table
+from haulage.session import run_folder
+from haulage.streaming import flows as ST
+
+
+@query("stream_arrivals", "SELECT event_id, ts, user_id, event_type FROM events")
+def stream_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files arriving day by day, 25 per cycle."""
+    folder = run_folder(spark, "arrivals")
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    ev.repartition(40, F.to_date("ts")).write.parquet(f"{folder}/in")
+    return ST.drain(ST.arriving_rows(spark, f"{folder}/in", ev.schema), folder, "rows")
+
+
+@query("stream_listing", "SELECT count(*) AS n_rows, count(DISTINCT CAST(ts AS DATE)) AS n_days FROM events")
+def stream_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arriving files are listed first and read after."""
+    folder = run_folder(spark, "listing")
+    ev = table(spark, sf_dir, "events").select("event_id", "ts")
+    ev.repartition(30, F.to_date("ts")).write.parquet(f"{folder}/in")
+    seen = ST.drain(ST.arriving_files(spark, f"{folder}/in", "*.parquet"), folder, "files")
+    paths = [r.path for r in seen.select("path").collect()]
+    return spark.read.schema(ev.schema).parquet(*paths).agg(F.count("*").alias("n_rows"), F.countDistinct(F.to_date("ts")).alias("n_days"))
+
+
+@query("stream_events", "SELECT DISTINCT user_id, event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events")
+def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publications once per key."""
+    source = table(spark, sf_dir, "events")
+    stream = ST.arriving_rows(spark, f"{sf_dir}/events.parquet", source.schema)
+    keyed = ST.as_event_time(stream.select("ts", "user_id", "event_type", key_of_props().alias("k")), "ts")
+    once = ST.first_publications(keyed, ["user_id", "event_type", "k"], "ts", "90 days")
+    return ST.drain(once, run_folder(spark, "publications"), "rows").select("user_id", "event_type", "k")
+
+
+@query("stream_receipts", """
+    WITH q AS (SELECT event_id, ts FROM events WHERE event_type = 'purchase'), r AS (SELECT event_id - 1 AS event_id, ts, event_id % 3 AS code FROM events WHERE event_type = 'view'),
+    e AS (SELECT least((SELECT max(ts) FROM q), (SELECT max(ts) FROM r)) - INTERVAL 1 MINUTE AS mark)
+    SELECT CAST(q.event_id AS VARCHAR) AS rq_uid, code, CASE WHEN code IS NULL THEN 'timeout' WHEN code = 0 THEN 'confirmed' ELSE 'failed' END AS state
+    FROM q CROSS JOIN e LEFT JOIN r ON q.event_id = r.event_id AND r.ts >= q.ts AND r.ts <= q.ts + INTERVAL 5 MINUTE
+    WHERE code IS NOT NULL OR q.ts + INTERVAL 5 MINUTE < mark""")
+def stream_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests matched with receipts within five minutes; the unanswered ones time out."""
+    schema = table(spark, sf_dir, "events").schema
+
+    def events(kind: str) -> DataFrame:
+        return ST.as_event_time(ST.arriving_rows(spark, f"{sf_dir}/events.parquet", schema).where(F.col("event_type") == kind), "ts")
+
+    sent = events("purchase").select(F.col("event_id").cast("string").alias("rq_uid"), F.col("ts").alias("sent_at"))
+    got = events("view").select((F.col("event_id") - 1).cast("string").alias("rq_uid"), F.col("ts").alias("received_at"), (F.col("event_id") % 3).alias("code"))
+    out = ST.drain(ST.answered(sent, got, "5 MINUTES"), run_folder(spark, "receipts"), "rows")
+    return out.select("rq_uid", "code", "state")
