@@ -33,7 +33,7 @@ def stream_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publications once per key."""
     source = table(spark, sf_dir, "events")
-    stream = ST.arriving_rows(spark, f"{sf_dir}/events.parquet", source.schema)
+    stream = ST.arriving_rows(spark, sf_dir, source.schema, "events.parquet")
     keyed = ST.as_event_time(stream.select("ts", "user_id", "event_type", key_of_props().alias("k")), "ts")
     once = ST.first_publications(keyed, ["user_id", "event_type", "k"], "ts", "90 days")
     return ST.drain(once, run_folder(spark, "publications"), "rows").select("user_id", "event_type", "k")
@@ -50,7 +50,7 @@ def stream_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
 
     def events(kind: str) -> DataFrame:
-        return ST.as_event_time(ST.arriving_rows(spark, f"{sf_dir}/events.parquet", schema).where(F.col("event_type") == kind), "ts")
+        return ST.as_event_time(ST.arriving_rows(spark, sf_dir, schema, "events.parquet").where(F.col("event_type") == kind), "ts")
 
     sent = events("purchase").select(F.col("event_id").cast("string").alias("rq_uid"), F.col("ts").alias("sent_at"))
     got = events("view").select((F.col("event_id") - 1).cast("string").alias("rq_uid"), F.col("ts").alias("received_at"), (F.col("event_id") % 3).alias("code"))

@@ -92,7 +92,8 @@ def load_csv(spark: SparkSession, source: str | list[str], schema: str | PT.Stru
 def parse_files(spark: SparkSession, source: str | list[str], schema: PT.StructType, options: str | None = None) -> DataFrame:
     """Rows of many files with ``_file`` and ``_corrupt``; a broken line is marked instead of failing the read."""
     wide = PT.StructType([*schema.fields, PT.StructField("_corrupt", PT.StringType())])
-    reader = spark.read.schema(wide).options(**csv_options(options)).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
+    reader = spark.read.schema(wide).options(**csv_options(options)).option("mode", "PERMISSIVE").option(
+        "columnNameOfCorruptRecord", "_corrupt").option("columnPruning", "false")
     return reader.csv(source).select("*", F.col("_metadata.file_path").alias("_file"))
 
 
@@ -100,11 +101,13 @@ def load_files(spark: SparkSession, source: str | list[str], schema: PT.StructTy
                truncate: bool = False, archive: str = "tfs-archive", errors: str = "tfs-errors") -> DataFrame:
     """Load every intact file and return the ledger ``(path, table_name, status, n_rows, new_path, loaded_at)``.
 
-    A file with a broken line is not loaded at all and goes to the error prefix.
+    A file with a broken line is not loaded at all and goes to the error prefix. The texts are parsed once; the
+    ledger and the load read the parsed copy.
     """
+    from haulage.session import stored
     from haulage.sinks.ledger import ledger_rows
 
-    rows = parse_files(spark, source, schema, options)
+    rows = stored(parse_files(spark, source, schema, options), "parsed-files")
     per_file = rows.groupBy("_file").agg(F.count("*").alias("n_rows"), F.count("_corrupt").alias("n_bad"))
     ledger = ledger_rows(per_file.select(F.col("_file").alias("path"), "n_rows", (F.col("n_bad") > 0).alias("failed")), loaded_at, archive, errors)
     good = per_file.where(F.col("n_bad") == 0).select("_file")

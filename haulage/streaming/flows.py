@@ -17,14 +17,16 @@ FILES_PER_CYCLE = 25
 
 def arriving_files(spark: SparkSession, root: str, mask: str = "*", per_cycle: int = FILES_PER_CYCLE) -> DataFrame:
     """New files below ``root``, oldest first, at most ``per_cycle`` per trigger; contents are not read."""
-    reader = spark.readStream.format("binaryFile").option("pathGlobFilter", mask).option("recursiveFileLookup", "true")
+    schema = "path string, modificationTime timestamp, length bigint, content binary"
+    reader = spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", mask).option("recursiveFileLookup", "true")
     objects = reader.option("maxFilesPerTrigger", str(per_cycle)).option("latestFirst", "false").load(root)
     return objects.select("path", "modificationTime", "length")
 
 
-def arriving_rows(spark: SparkSession, path: str, schema, per_cycle: int = FILES_PER_CYCLE) -> DataFrame:
-    """Rows of arriving Parquet files."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", str(per_cycle)).option("latestFirst", "false").parquet(path)
+def arriving_rows(spark: SparkSession, root: str, schema, mask: str = "*.parquet", per_cycle: int = FILES_PER_CYCLE) -> DataFrame:
+    """Rows of Parquet files arriving below ``root``."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", mask)
+    return reader.option("maxFilesPerTrigger", str(per_cycle)).option("latestFirst", "false").parquet(root)
 
 
 def first_publications(events: DataFrame, key: list[str], at: str, horizon: str) -> DataFrame:
