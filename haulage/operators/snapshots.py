@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from haulage.functions import times as T
@@ -68,70 +69,87 @@ def stability(observations: DataFrame, ident: str = "id", at: str = "parsed_at",
     return seen.withColumn("verdict", verdict).drop("_at", "_hash", "_loc")
 
 
-def json_nodes(df: DataFrame, ident: str, column: str, max_depth: int = 32) -> DataFrame:
-    """``(id, path, parent, in_list, kind, value, shown)`` for every node of the JSON text in ``column``.
+NODES = "array<struct<path:string,parent:string,in_list:boolean,kind:string,value:string,shown:string>>"
 
-    ``value`` is what is compared (the length for a list), ``shown`` what is printed. One level per step, all
-    documents at once, until no object or array is left; deeper than ``max_depth`` is an error.
+
+def json_nodes(text: Column) -> Column:
+    """Every node of a JSON text, at any depth.
+
+    ``value`` is what is compared (the length of a list, nothing for an object), ``shown`` what is printed. Built-in
+    expressions cannot recurse, so this one step runs over Arrow batches; it stays inside its row.
     """
-    level = df.select(F.col(ident), F.lit("").alias("path"), F.lit(None).cast("string").alias("parent"),
-                      F.lit(False).alias("in_list"), F.parse_json(column).alias("v"))
-    out = None
-    for _ in range(max_depth):
-        # The kind shows in the first character of the text; deriving a schema per node would cost far more.
-        typed = level.select(ident, "path", "parent", "in_list", "v", F.to_json("v").alias("json"))
-        start = F.left("json", F.lit(1))
-        number = F.when(F.col("json").rlike(r"[.eE]"), "float").otherwise("int")
-        kind = (F.when(start == "{", "dict").when(start == "[", "list").when(start == '"', "str").when(start.isin("t", "f"), "bool")
-                .when(start == "n", "NoneType").otherwise(number))
-        typed = typed.withColumn("kind", kind)
-        leaf = ~F.col("kind").isin("dict", "list")
-        text = F.when(F.col("kind") == "NoneType", "None").when(F.col("kind") == "str", F.col("v").cast("string")).otherwise(F.col("json"))
-        length = F.size(F.try_variant_get("v", "$", "array<variant>")).cast("string")
-        nodes = typed.select(ident, "path", "parent", "in_list", "kind",
-                             F.when(leaf, text).when(F.col("kind") == "list", length).alias("value"), text.alias("shown"))
-        out = nodes if out is None else out.unionByName(nodes)
-        inner = typed.where(~leaf)
-        if inner.isEmpty():
-            return out
-        inner.createOrReplaceTempView("_json_inner")
-        level = df.sparkSession.sql(
-            f"SELECT d.{ident}, concat(d.path, CASE WHEN e.key IS NOT NULL THEN concat('.', e.key) ELSE concat('[', e.pos, ']') END) AS path, "
-            "d.path AS parent, e.key IS NULL AS in_list, e.value AS v FROM _json_inner d, LATERAL variant_explode(d.v) AS e")
-    raise ValueError(f"JSON is nested deeper than {max_depth}")
+    @F.arrow_udf(NODES)
+    def nodes(texts: pa.Array) -> pa.Array:
+        import json
+
+        dump = json.JSONEncoder(ensure_ascii=False, separators=(",", ":")).encode
+        paths, parents, in_lists, kinds, values, shown = [], [], [], [], [], []
+        offsets = [0]
+        for doc in texts.to_pylist():
+            todo = [] if doc is None else [("", None, False, json.loads(doc))]
+            while todo:
+                path, parent, in_list, node = todo.pop()
+                kind = type(node).__name__
+                text = dump(node) if kind in ("dict", "list", "bool") else str(node)
+                paths.append(path)
+                parents.append(parent)
+                in_lists.append(in_list)
+                kinds.append(kind)
+                values.append(None if kind == "dict" else str(len(node)) if kind == "list" else text)
+                shown.append(text)
+                if kind == "dict":
+                    todo += [(f"{path}.{key}", path, False, child) for key, child in node.items()]
+                elif kind == "list":
+                    todo += [(f"{path}[{i}]", path, True, child) for i, child in enumerate(node)]
+            offsets.append(len(paths))
+        text = pa.string()
+        fields = [pa.array(paths, text), pa.array(parents, text), pa.array(in_lists, pa.bool_()), pa.array(kinds, text), pa.array(values, text), pa.array(shown, text)]
+        rows = pa.StructArray.from_arrays(fields, ["path", "parent", "in_list", "kind", "value", "shown"])
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), rows)
+
+    return nodes(text)
 
 
 def json_diff(pairs: DataFrame, ident: str, before: str, after: str, limit: int = 20) -> DataFrame:
     """Differences of two JSON texts per id: ``(id, path, before, after)``, at most ``limit`` per id in path order.
 
     A type change shows both types and hides what lies below it, a missing key shows ``—``, lists of other length
-    show both lengths under ``path[]`` and only their common positions are compared.
+    show both lengths under ``path[]`` and only their common positions are compared. Both texts sit in one row, so
+    they are compared there: nothing is shuffled, whatever the size of the table.
     """
-    def side(column: str, mark: str) -> DataFrame:
-        nodes = json_nodes(pairs, ident, column)
-        return nodes.select(F.col(ident), "path", *[F.col(c).alias(f"{c}_{mark}") for c in ("parent", "in_list", "kind", "value", "shown")])
-
-    both = side(before, "a").join(side(after, "b"), [ident, "path"], "full_outer")
-    gone, added = F.col("kind_b").isNull(), F.col("kind_a").isNull()
-    retyped = ~gone & ~added & (F.col("kind_a") != F.col("kind_b"))
-    revalued = ~gone & ~added & ~retyped & (F.col("kind_a") != "dict") & (F.col("value_a") != F.col("value_b"))
-    in_list = F.coalesce("in_list_a", "in_list_b")
-    # A node below a missing or retyped node is covered by that node's row.
-    open_nodes = both.where(F.col("kind_a").isin("dict", "list") & (F.col("kind_a") == F.col("kind_b"))).select(
-        F.col(ident).alias("_id"), F.col("path").alias("_parent"))
-    rows = both.where(((gone | added) & ~in_list) | retyped | revalued).withColumn("_up", F.coalesce("parent_a", "parent_b"))
-    seen = rows.where(F.col("_up").isNull()).unionByName(
-        rows.join(open_nodes, (F.col(ident) == F.col("_id")) & (F.col("_up") == F.col("_parent")), "left_semi"))
-
-    def cell(mark: str, missing: Column) -> Column:
-        shown, kind = F.col(f"shown_{mark}"), F.col(f"kind_{mark}")
-        return F.when(missing, "—").when(retyped, F.concat(shown, F.lit(" ("), kind, F.lit(")"))).when(
-            kind == "list", F.when(gone | added, shown).otherwise(F.col(f"value_{mark}"))).otherwise(shown)
-
-    path = F.when(revalued & (F.col("kind_a") == "list"), F.concat("path", F.lit("[]"))).when(F.col("path") == "", ".").otherwise(F.col("path"))
-    out = seen.select(F.col(ident), path.alias("path"), cell("a", added).alias("before"), cell("b", gone).alias("after"))
-    w = Window.partitionBy(ident).orderBy("path")
-    return out.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= limit).drop("_rn")
+    def by_path(column: str) -> Column:
+        return F.map_from_entries(F.transform(json_nodes(F.col(column)), lambda n: F.struct(n["path"], n)))
+
+    changed = pairs.where(~F.col(before).eqNullSafe(F.col(after))).select(ident, by_path(before).alias("_a"), by_path(after).alias("_b"))
+    both = changed.select(ident, F.map_zip_with("_a", "_b", lambda path, a, b: F.struct(a.alias("a"), b.alias("b"))).alias("_m"))
+
+    def differs(path: Column, n: Column) -> Column:
+        a, b = n["a"], n["b"]
+        one_sided = a.isNull() | b.isNull()
+        there = F.coalesce(~one_sided, F.lit(False))
+        return F.coalesce((one_sided & ~F.coalesce(a["in_list"], b["in_list"])) | (there & (
+            (a["kind"] != b["kind"]) | ((a["kind"] != "dict") & (a["value"] != b["value"])))), F.lit(False))
+
+    def uncovered(e: Column) -> Column:
+        # A node below a missing or retyped node belongs to that node's row.
+        up = F.try_element_at("_m", F.coalesce(e["value"]["a"]["parent"], e["value"]["b"]["parent"]))
+        both_sides = e["value"]["a"].isNotNull() & e["value"]["b"].isNotNull()
+        return both_sides | (up.isNotNull() & F.coalesce(up["a"]["kind"] == up["b"]["kind"], F.lit(False)))
+
+    found = both.select(ident, F.filter(F.map_entries(F.map_filter("_m", differs)), uncovered).alias("_d"), "_m")
+
+    def cell(own: Column, other: Column) -> Column:
+        retyped = F.coalesce(own["kind"] != other["kind"], F.lit(False))
+        return F.when(own.isNull(), "—").when(retyped, F.concat(own["shown"], F.lit(" ("), own["kind"], F.lit(")"))).when(
+            other.isNotNull() & (own["kind"] == "list"), own["value"]).otherwise(own["shown"])
+
+    def row(e: Column) -> Column:
+        a, b, path = e["value"]["a"], e["value"]["b"], e["key"]
+        resized = F.coalesce((a["kind"] == "list") & (b["kind"] == "list"), F.lit(False))
+        name = F.when(resized, F.concat(path, F.lit("[]"))).when(path == "", ".").otherwise(path)
+        return F.struct(name.alias("path"), cell(a, b).alias("before"), cell(b, a).alias("after"))
+
+    return found.select(ident, F.inline(F.slice(F.array_sort(F.transform("_d", row)), 1, limit)))
 
 
 def content_version(df: DataFrame) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from haulage.session import stored
@@ -26,18 +27,27 @@ def subtree(nodes: DataFrame, root: str, max_depth: int = 64) -> DataFrame:
     raise ValueError(f"tree is deeper than {max_depth}")
 
 
-def flatten_entities(docs: DataFrame, column: str = "tree", max_depth: int = 64) -> DataFrame:
-    """Nested ``{"entity": {...}, "kidz": [...]}`` JSON texts as ``(id, parent_id, name)`` rows, one level per step."""
-    kind = "entity struct<id:bigint,parentId:bigint,name:string>, kidz array<string>"
-    level = docs.select(F.from_json(column, kind).alias("t"))
-    out = None
-    for _ in range(max_depth):
-        rows = level.select(F.col("t.entity.id").alias("id"), F.col("t.entity.parentId").alias("parent_id"), F.col("t.entity.name").alias("name"))
-        out = rows if out is None else out.unionByName(rows)
-        level = level.select(F.explode("t.kidz").alias("k")).select(F.from_json("k", kind).alias("t"))
-        if level.isEmpty():
-            return out
-    raise ValueError(f"tree is deeper than {max_depth}")
+def flatten_entities(docs: DataFrame, column: str = "tree") -> DataFrame:
+    """Nested ``{"entity": {...}, "kidz": [...]}`` JSON texts of any depth as ``(id, parent_id, name)`` rows.
+
+    One pass over Arrow batches; every document stays inside its row.
+    """
+    def walk(doc: str | None):
+        import json
+
+        out, todo = [], [json.loads(doc)] if doc else []
+        while todo:
+            node = todo.pop()
+            entity = node["entity"]
+            out.append((entity["id"], entity.get("parentId"), entity.get("name")))
+            todo += node.get("kidz") or []
+        return out
+
+    @F.pandas_udf("array<struct<id:bigint,parent_id:bigint,name:string>>")
+    def entities(texts: pd.Series) -> pd.Series:
+        return texts.map(walk)
+
+    return docs.select(F.inline(entities(column)))
 
 
 def evaluate_conditions(nodes: DataFrame, ready: DataFrame) -> DataFrame:

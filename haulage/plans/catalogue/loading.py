@@ -257,10 +257,10 @@ def workflow_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RG.selected_workflows(rows, ["small ring", "red widget", "no such"], 1500).select(F.col("id").alias("p_partkey"), F.col("name").alias("p_name"))
 
 
-@query("workflow_missing", "SELECT DISTINCT p_brand AS name FROM part WHERE p_brand NOT IN (SELECT p_brand FROM part WHERE p_size > 48)")
+@query("workflow_missing", "SELECT CAST(p_partkey AS VARCHAR) AS name FROM part WHERE p_size <= 45")
 def workflow_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part")
-    return RG.missing_names(part.select(F.col("p_brand").alias("name")).distinct(), part.where("p_size > 48").select(F.col("p_brand").alias("name")))
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("name"), "p_size")
+    return RG.missing_names(part.select("name"), part.where("p_size > 45").select("name"))
 
 
 @query("workflow_normalise", """

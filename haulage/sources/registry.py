@@ -81,17 +81,19 @@ def spec_of(row) -> dict:
 
 def merged_params(params: Column, overrides: Column | None = None) -> Column:
     """Registry JSON over the defaults, then run-time overrides; override values NULL, '' and 'None' do not count."""
-    own = F.from_json(F.coalesce(F.nullif(params, F.lit("")), F.lit("{}")), "map<string,string>")
-    run = F.from_json(F.coalesce(overrides, F.lit("{}")), "map<string,string>") if overrides is not None else None
+    kind = "struct<" + ",".join(f"{name}:string" for name in DEFAULTS) + ">"
+    own = F.from_json(F.coalesce(F.nullif(params, F.lit("")), F.lit("{}")), kind)
+    run = F.from_json(F.coalesce(overrides, F.lit("{}")) if overrides is not None else F.lit("{}"), kind)
 
-    def pick(name: str, default: str) -> Column:
-        value = F.coalesce(own[name], F.lit(default))
-        if run is None:
-            return value
-        given = run[name]
-        return F.when(given.isNotNull() & ~given.isin("", "None"), given).otherwise(value)
+    def merge(both: Column) -> Column:
+        def pick(name: str, default: str) -> Column:
+            given = both["run"][name]
+            return F.when(given.isNotNull() & ~given.isin("", "None"), given).otherwise(F.coalesce(both["own"][name], F.lit(default)))
 
-    return F.struct(*[pick(n, d).alias(n) for n, d in DEFAULTS.items()])
+        return F.struct(*[pick(n, d).alias(n) for n, d in DEFAULTS.items()])
+
+    # Bound once through a one-element array, so that each text is parsed once and not once per parameter.
+    return F.transform(F.array(F.struct(own.alias("own"), run.alias("run"))), merge)[0]
 
 
 def with_fallback(registry: DataFrame, key: str = "extract_name", shared: list[str] = SHARED_FIELDS, own: list[str] = OWN_FIELDS,
