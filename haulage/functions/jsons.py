@@ -68,4 +68,4 @@ def last_wins_map(entries: Column) -> Column:
     """A map from ``array<struct<key,value>>`` where a repeated key keeps its last value."""
     keys = F.transform(entries, lambda e: e["key"])
     kept = F.filter(entries, lambda e, i: ~F.array_contains(F.slice(keys, i + F.lit(2), F.greatest(F.size(keys) - i - 1, F.lit(0))), e["key"]))
-    return F.map_from_entries(F.array_sort(kept))
+    return F.map_from_entries(F.sort_array(kept))

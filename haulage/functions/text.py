@@ -116,4 +116,4 @@ def digit_set(text: Column) -> Column:
     """The whole numbers of a comma list, without repeats, sorted, joined by commas."""
     parts = F.transform(F.split(text, ","), lambda x: F.trim(x))
     numbers = F.transform(F.filter(parts, lambda x: x.rlike(r"^[0-9]+$")), lambda x: x.cast("bigint"))
-    return F.array_join(F.transform(F.array_sort(F.array_distinct(numbers)), lambda x: x.cast("string")), ",")
+    return F.array_join(F.transform(F.sort_array(F.array_distinct(numbers)), lambda x: x.cast("string")), ",")

@@ -89,7 +89,7 @@ def event_payload(events: DataFrame, stats: DataFrame, base_url: str) -> DataFra
 
 def payload_map(payload: DataFrame) -> DataFrame:
     """One map per event. An event has as many entries as there are statistic ids, so the group is small by nature."""
-    return payload.groupBy("pub_key").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "value")))).alias("payload"))
+    return payload.groupBy("pub_key").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("name", "value")))).alias("payload"))
 
 
 def readiness(waits: DataFrame, stats: DataFrame, now, settle_seconds: int = SETTLE_SECONDS) -> DataFrame:

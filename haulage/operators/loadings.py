@@ -37,7 +37,7 @@ def kept_params(params: Column) -> Column:
 
 def stats_map(stats: Column) -> Column:
     """``loading/profile/entity/stat`` → value; among repeats the highest value wins."""
-    ordered = F.array_sort(F.transform(stats, lambda s: F.struct(
+    ordered = F.sort_array(F.transform(stats, lambda s: F.struct(
         s["stat_id"].alias("stat"), F.coalesce(s["value"], F.lit("")).alias("sort"),
         F.concat_ws("/", s["loading_id"].cast("string"), s["profile"], s["entity_id"].cast("string"), s["stat_id"].cast("string")).alias("key"),
         s["value"].alias("value"))))
@@ -52,19 +52,18 @@ def run_type(given: Column, auto: Column, first_status: Column) -> Column:
 
 def normalised(loadings: DataFrame) -> DataFrame:
     """One row per document: parameters, statistics, run type, current status time, last time per status, history."""
-    # The outputs reuse input names, so the inputs are renamed first.
-    loadings = loadings.withColumnsRenamed({"params": "_params", "stats": "_stats", "loading_status": "_history"})
-    history = F.col("_history")
-    by_time = F.array_sort(F.transform(history, lambda s: F.struct(s["effective_from"], s["status"], s["log"])))
-    params = kept_params(F.col("_params"))
-    last = J.last_wins_map(F.transform(by_time, lambda s: F.struct(s["status"].alias("key"), s["effective_from"].alias("value"))))
-    past = F.transform(F.reverse(by_time), lambda s: F.struct(
-        s["effective_from"], F.concat(s["status"], F.lit(" "), F.coalesce(s["log"], F.lit(""))).alias("text")))
-    return loadings.select(
+    # Sorted history and parameter map are columns of their own step: each is used several times below.
+    history = F.transform("loading_status", lambda s: F.struct(s["effective_from"], s["status"], F.coalesce(s["log"], F.lit("")).alias("log")))
+    step = loadings.select(
         "id", "wf_id", "profile", "alive", "auto", "status", "status_log", "start_dttm", F.col("workflow.name").alias("wf_name"),
-        params.alias("params"), stats_map(F.col("_stats")).alias("stats"),
-        run_type(params["wfp_run_type"], F.col("auto"), by_time[0]["status"]).alias("run_type"),
-        F.coalesce(F.array_max(F.transform(history, lambda s: s["effective_from"])), F.col("start_dttm")).alias("status_sdt"),
+        F.sort_array(history).alias("_history"), kept_params(F.col("params")).alias("_params"), F.col("stats").alias("_stats"))
+    by_time, params = F.col("_history"), F.col("_params")
+    last = J.last_wins_map(F.transform(by_time, lambda s: F.struct(s["status"].alias("key"), s["effective_from"].alias("value"))))
+    past = F.transform(F.reverse(by_time), lambda s: F.struct(s["effective_from"], F.concat(s["status"], F.lit(" "), s["log"]).alias("text")))
+    return step.select(
+        "id", "wf_id", "profile", "alive", "auto", "status", "status_log", "start_dttm", "wf_name", params.alias("params"), stats_map(F.col("_stats")).alias("stats"),
+        run_type(params["wfp_run_type"], F.col("auto"), F.get(by_time, F.lit(0))["status"]).alias("run_type"),
+        F.coalesce(F.try_element_at(by_time, F.lit(-1))["effective_from"], F.col("start_dttm")).alias("status_sdt"),
         last.alias("status_last"), past.alias("history"))
 
 
@@ -303,7 +302,7 @@ def workflow_normalised(workflows: DataFrame) -> DataFrame:
     params = J.last_wins_map(F.transform("param", lambda p: F.struct(p["param"].alias("key"), p["prior_value"].alias("value"))))
     notes = J.last_wins_map(F.transform("statusNotifications", lambda p: F.struct(p["status"].alias("key"), p["emails"].alias("value"))))
     own = X.digit_set(params["wf_entity"])
-    linked = F.array_join(F.transform(F.array_sort(F.array_distinct("connectedEntities")), lambda x: x.cast("string")), ",")
+    linked = F.array_join(F.transform(F.sort_array(F.array_distinct("connectedEntities")), lambda x: x.cast("string")), ",")
     kind = "array<struct<profile:string,entity_id:string,stat_id:string,active:boolean>>"
     return workflows.withColumn("params", params).withColumn("statusNotifications", notes).withColumn(
         "events", workflow_events(F.col("wf_event_sched").cast(kind), F.col("params")["wf_event_sched"])).withColumn(

@@ -149,7 +149,7 @@ def json_diff(pairs: DataFrame, ident: str, before: str, after: str, limit: int
         name = F.when(resized, F.concat(path, F.lit("[]"))).when(path == "", ".").otherwise(path)
         return F.struct(name.alias("path"), cell(a, b).alias("before"), cell(b, a).alias("after"))
 
-    return found.select(ident, F.inline(F.slice(F.array_sort(F.transform("_d", row)), 1, limit)))
+    return found.select(ident, F.inline(F.slice(F.sort_array(F.transform("_d", row)), 1, limit)))
 
 
 def content_version(df: DataFrame) -> Column:

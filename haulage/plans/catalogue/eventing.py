@@ -81,7 +81,7 @@ def event_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("event_payload_map", f"SELECT pub_key, string_agg(name || '=' || value, ';' ORDER BY name) AS payload FROM ({PAYLOAD_SQL}) GROUP BY pub_key")
 def event_payload_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     maps = EV.payload_map(EV.event_payload(fresh_events(spark, sf_dir), stats(spark, sf_dir), "http://h"))
-    entries = F.array_sort(F.transform(F.map_entries("payload"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    entries = F.sort_array(F.transform(F.map_entries("payload"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
     return maps.select("pub_key", F.array_join(entries, ";").alias("payload"))
 
 
