@@ -85,21 +85,22 @@ def extracted(spark: SparkSession, job: Export, start: str, end: str, valid_from
     return EX.technical_columns(rows, end, valid_from)
 
 
-def run_export(spark: SparkSession, job: Export, history: DataFrame, now: str, write: bool = True) -> Outcome:
-    """Run one window of one export.
+def run_export(spark: SparkSession, job: Export, history: DataFrame, now: str, write: bool = True, run_at: str | None = None) -> Outcome:
+    """Run one window of one export. ``run_at`` (``now`` by default) names the package, so every run needs its own.
 
     The rows are written once to the shared folder after the window is read: sizes, parts and archives all read
     that copy, so the source is scanned once and a lost executor costs no second read of the source.
     """
     import ast
 
+    run_at = run_at or now
     start, end, is_current = window_of(spark, job, history, now)
-    rows = stored(extracted(spark, job, start, end, now), "package-rows")
+    rows = stored(extracted(spark, job, start, end, run_at), "package-rows")
     order = [f"{k}_" if f"{k}_" in rows.columns else k for k in job.key]
     if not order:
         order = rows.columns
     parts = PA.with_parts(rows, order, N.size_bytes(job.params["max_file_size"]))
-    stamp = dt.datetime.fromisoformat(now).strftime("%Y%m%d%H%M%S")
+    stamp = dt.datetime.fromisoformat(run_at).strftime("%Y%m%d%H%M%S")
     manifest = PA.package_manifest(parts, job.schema, job.name, job.replica, stamp, job.flag("send_empty"))
     totals = PA.package_totals(manifest).first()
     archives: list[str] = []
@@ -114,9 +115,9 @@ def run_export(spark: SparkSession, job: Export, history: DataFrame, now: str, w
             archives = [AR.write_empty_archive(job.root, manifest.first(), rows.columns, meta, stamp, dialect)]
         AR.write_summary_ticket(job.root, f"{job.replica}__{stamp}.tkt".lower(), archives)
         if job.flag("notify_kafka"):
-            NO.send(NO.notifications(NO.package_files(manifest), f"{job.replica}__{stamp}", job.scenario, now), f"{job.root}/_outbox")
+            NO.send(NO.notifications(NO.package_files(manifest), f"{job.replica}__{stamp}", job.scenario, run_at), f"{job.root}/_outbox")
     if write:
-        moment = dt.datetime.fromisoformat(now)
+        moment = dt.datetime.fromisoformat(run_at)
         sent = moment if archives else None
         ST.append_history(ST.history_row(
             spark, extract_name=job.name, extract_time=dt.datetime.fromisoformat(end), extract_count=int(totals.total_rows), loaded=moment, sent=sent,
@@ -127,7 +128,10 @@ def run_export(spark: SparkSession, job: Export, history: DataFrame, now: str, w
 
 
 def catch_up(spark: SparkSession, job: Export, now: str, limit: int | None = None) -> list[Outcome]:
-    """Run window after window until the present is reached (or ``limit`` windows were run)."""
+    """Run window after window until the present is reached (or ``limit`` windows were run).
+
+    The runs count as started one second apart, which keeps their package names apart.
+    """
     from pyspark.errors import AnalysisException
 
     done: list[Outcome] = []
@@ -136,6 +140,7 @@ def catch_up(spark: SparkSession, job: Export, now: str, limit: int | None = Non
             history = spark.read.schema(ST.HISTORY).parquet(job.history_path)
         except AnalysisException:
             history = spark.createDataFrame([], ST.HISTORY)
-        done.append(run_export(spark, job, history, now))
+        run_at = str(dt.datetime.fromisoformat(now) + dt.timedelta(seconds=len(done)))
+        done.append(run_export(spark, job, history, now, run_at=run_at))
         if done[-1].is_current or (limit and len(done) >= limit):
             return done

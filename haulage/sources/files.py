@@ -14,8 +14,38 @@ RECORDS_PER_BATCH = 5_000
 
 
 def listing(spark: SparkSession, root: str) -> DataFrame:
-    """``(path, modificationTime, length)`` of all files below ``root``; file contents are never read."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "modificationTime", "length")
+    """``(path, modificationTime, length)`` of all files below ``root``, empty marker files included.
+
+    The file sources of Spark leave out empty files, and a marker is one. The folders of the first level are spread
+    over the tasks and listed there; hidden files (``_`` or ``.`` in front, but for ``.done``) are left out.
+    """
+    from pyarrow import fs
+
+    system, inner = fs.FileSystem.from_uri(root)
+    head = _uri_head(root)
+    folders = [i.path for i in system.get_file_info(fs.FileSelector(inner)) if i.type == fs.FileType.Directory]
+    todo = spark.createDataFrame([(inner, False)] + [(f, True) for f in folders], "folder string, deep boolean")
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        source, _ = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            for folder, deep in zip(batch["folder"], batch["deep"]):
+                found = [i for i in source.get_file_info(fs.FileSelector(folder, recursive=bool(deep)))
+                         if i.type == fs.FileType.File and (i.base_name == DONE or i.base_name[:1] not in "_.")]
+                yield pd.DataFrame({"path": [head + i.path for i in found], "modificationTime": pd.to_datetime([i.mtime for i in found], utc=True),
+                                    "length": [i.size for i in found]})
+
+    return todo.repartition(min(len(folders) + 1, 2000), "folder").mapInPandas(walk, "path string, modificationTime timestamp, length long")
+
+
+def _uri_head(root: str) -> str:
+    """What stands before the inner path of a file system: nothing of it is lost when paths are put together again."""
+    from urllib.parse import urlparse
+
+    parts = urlparse(root)
+    if parts.scheme in ("", "file"):
+        return "file:"
+    return f"hdfs://{parts.netloc}" if parts.scheme in ("hdfs", "viewfs") else f"{parts.scheme}://"
 
 
 def matching(objects: DataFrame, mask: str, path: str = "path", cap: int = 0) -> DataFrame:
@@ -94,7 +124,9 @@ def parse_files(spark: SparkSession, source: str | list[str], schema: PT.StructT
     wide = PT.StructType([*schema.fields, PT.StructField("_corrupt", PT.StringType())])
     reader = spark.read.schema(wide).options(**csv_options(options)).option("mode", "PERMISSIVE").option(
         "columnNameOfCorruptRecord", "_corrupt").option("columnPruning", "false")
-    return reader.csv(source).select("*", F.col("_metadata.file_path").alias("_file"))
+    # File names come percent-encoded; a plus sign stands for itself.
+    name = F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B"))
+    return reader.csv(source).select("*", name.alias("_file"))
 
 
 def load_files(spark: SparkSession, source: str | list[str], schema: PT.StructType, target: str, loaded_at, options: str | None = None,
@@ -195,7 +227,7 @@ def text_lines(spark: SparkSession, source: str | list[str]) -> DataFrame:
 
     Line numbers need the file as one unit, so only files meant for people belong here.
     """
-    whole = spark.read.option("wholetext", "true").text(source).select(F.col("_metadata.file_path").alias("path"), "value")
+    whole = spark.read.text(source, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     return whole.select("path", F.posexplode(F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")).alias("line_no", "value"))
 
 
