@@ -21,9 +21,17 @@ def sum_check(df: DataFrame, column: str, rows: int, total) -> DataFrame:
 
 
 def difference(left: DataFrame, right: DataFrame, distinct: bool = False) -> DataFrame:
-    """Rows only on one side, marked with ``side``; duplicates count unless ``distinct``."""
-    a, b = (left.subtract(right), right.subtract(left)) if distinct else (left.exceptAll(right), right.exceptAll(left))
-    return a.withColumn("side", F.lit("left")).unionByName(b.withColumn("side", F.lit("right")))
+    """Contents that differ: the row, the ``side`` that has more of it and ``n_extra``, how many more.
+
+    Each input is read once and equal rows are counted before the shuffle, so a content that is repeated any number of
+    times costs one row. With ``distinct`` only presence counts.
+    """
+    sided = left.withColumn("_l", F.lit(1)).withColumn("_r", F.lit(0)).unionByName(right.withColumn("_l", F.lit(0)).withColumn("_r", F.lit(1)))
+    counted = sided.groupBy(*left.columns).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+    if distinct:
+        counted = counted.withColumn("_l", F.least("_l", F.lit(1).cast("bigint"))).withColumn("_r", F.least("_r", F.lit(1).cast("bigint")))
+    extra = F.col("_l") - F.col("_r")
+    return counted.where(extra != 0).select(*left.columns, F.when(extra > 0, "left").otherwise("right").alias("side"), F.abs(extra).alias("n_extra"))
 
 
 def same_content(left: DataFrame, right: DataFrame, distinct: bool = False) -> bool:

@@ -23,10 +23,11 @@ def with_parts(df: DataFrame, order: list[str], max_bytes: int | None = None, si
     """Add ``part_no`` (from 0, may have gaps) and ``row_size``; no part is larger than ``max_bytes``.
 
     Rows are laid end to end in ``order`` (unique) and cut every ``max_bytes`` less the widest row, so the row that
-    crosses a cut still fits. Rows wider than the bound get a part of their own.
+    crosses a cut still fits. Rows wider than the bound get a part of their own. A frame that has ``row_size`` already
+    is not measured again: its manifest then needs the order columns and the size only.
     """
     bound = max_bytes or UNBOUNDED_PART_BYTES
-    sized = df.withColumn("row_size", size if size is not None else row_bytes(df))
+    sized = df if "row_size" in df.columns else df.withColumn("row_size", size if size is not None else row_bytes(df))
     stats = sized.agg(F.max("row_size").alias("widest"), F.count("*").alias("n")).first()
     stride = max(bound - (stats.widest or 0), 1)
     laid = running_sum(sized, order, F.col("row_size"), "_end", rows_per_range, stats.n)

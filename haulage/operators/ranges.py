@@ -13,12 +13,18 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ROWS_PER_RANGE = 4_000_000
-MAX_RANGES = 2048
-SAMPLE_PER_RANGE = 48
+MAX_RANGES = 8192
+SAMPLE_PER_RANGE = 24
+# Cut points travel as JSON; microseconds must survive (fixed values).
+JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
-def cut_points(df: DataFrame, order: list[str], rows_per_range: int = ROWS_PER_RANGE, total: int | None = None) -> list[tuple]:
-    """Order tuples that split ``df`` into about equal ranges; empty when one range is enough.
+def _key(order: list[str]) -> Column:
+    return F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(order)])
+
+
+def cut_points(df: DataFrame, order: list[str], rows_per_range: int = ROWS_PER_RANGE, total: int | None = None) -> list[str]:
+    """Order tuples (as JSON) that split ``df`` into about equal ranges; empty when one range is enough.
 
     The sample brought to the driver is bounded by ``MAX_RANGES * SAMPLE_PER_RANGE`` tuples in expectation.
     """
@@ -27,28 +33,24 @@ def cut_points(df: DataFrame, order: list[str], rows_per_range: int = ROWS_PER_R
     if wanted <= 1:
         return []
     fraction = min(1.0, wanted * SAMPLE_PER_RANGE / total)
-    rows = df.select(*order).sample(False, fraction, seed=11).orderBy(*order).collect()
-    step = max(1, len(rows) // wanted)
-    cuts: list[tuple] = []
-    for row in rows[step::step]:
-        if not cuts or tuple(row) != cuts[-1]:
-            cuts.append(tuple(row))
-    return cuts[: wanted - 1]
-
-
-def range_id(df: DataFrame, order: list[str], cuts: list[tuple]) -> Column:
-    """Number of cut points at or before the row, as a balanced tree of comparisons."""
-    kinds = [df.schema[c].dataType for c in order]
-    row = F.struct(*[F.col(c) for c in order])
-    points = [F.struct(*[F.lit(v).cast(k) for v, k in zip(cut, kinds)]) for cut in cuts]
-
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(row < points[mid], tree(lo, mid)).otherwise(tree(mid + 1, hi))
-
-    return tree(0, len(points))
+    sample = df.select(*order).sample(False, fraction, seed=11).orderBy(*order).select(F.to_json(_key(order), JSON_TIMES).alias("k"))
+    keys = [r.k for r in sample.collect()]
+    return list(dict.fromkeys(keys[i * len(keys) // wanted] for i in range(1, wanted))) if keys else []
+
+
+def range_id(df: DataFrame, order: list[str], cuts: list[str]) -> Column:
+    """Number of cut points at or before the row.
+
+    The cut points are one constant array and the row finds its place by halving, so the expression stays small
+    however many ranges there are.
+    """
+    kind = "array<struct<" + ",".join(f"c{i}:{df.schema[c].dataType.simpleString()}" for i, c in enumerate(order)) + ">>"
+    points = F.from_json(F.lit("[" + ",".join(cuts) + "]"), kind, JSON_TIMES)
+    row = _key(order)
+    steps = [1 << b for b in reversed(range(len(cuts).bit_length()))]
+
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda at, step: F.when(
+        F.coalesce(F.try_element_at(points, at + step) <= row, F.lit(False)), at + step).otherwise(at))
 
 
 def running_sum(

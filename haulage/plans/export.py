@@ -88,31 +88,33 @@ def extracted(spark: SparkSession, job: Export, start: str, end: str, valid_from
 def run_export(spark: SparkSession, job: Export, history: DataFrame, now: str, write: bool = True, run_at: str | None = None) -> Outcome:
     """Run one window of one export. ``run_at`` (``now`` by default) names the package, so every run needs its own.
 
-    The rows are written once to the shared folder after the window is read: sizes, parts and archives all read
-    that copy, so the source is scanned once and a lost executor costs no second read of the source.
+    The rows are written once to the shared folder with their sizes after the window is read: cuts, manifest and
+    archives all read that copy, so the source is scanned once and a lost executor costs no second read of it.
     """
     import ast
 
     run_at = run_at or now
     start, end, is_current = window_of(spark, job, history, now)
-    rows = stored(extracted(spark, job, start, end, run_at), "package-rows")
+    package = extracted(spark, job, start, end, run_at)
+    rows = stored(package.withColumn("row_size", PA.row_bytes(package)), "package-rows")
     order = [f"{k}_" if f"{k}_" in rows.columns else k for k in job.key]
     if not order:
-        order = rows.columns
+        order = package.columns
     parts = PA.with_parts(rows, order, N.size_bytes(job.params["max_file_size"]))
     stamp = dt.datetime.fromisoformat(run_at).strftime("%Y%m%d%H%M%S")
-    manifest = PA.package_manifest(parts, job.schema, job.name, job.replica, stamp, job.flag("send_empty"))
+    # The manifest reads the order columns and sizes only and is kept: names, tickets and messages all come from it.
+    manifest = stored(PA.package_manifest(parts.select("part_no", "row_size"), job.schema, job.name, job.replica, stamp, job.flag("send_empty")), "manifest")
     totals = PA.package_totals(manifest).first()
     archives: list[str] = []
     if write and totals.total_files:
-        plain = rows.select(*[c for c in rows.columns if c not in ("export_time", "ctl_action", "ctl_validfrom")])
+        plain = package.drop("export_time", "ctl_action", "ctl_validfrom")
         meta = SC.meta_json(SC.descriptor(plain, words=[]), job.schema, job.name, job.params["strategy"], [], job.key, job.description)
         dialect = Dialect.of(ast.literal_eval(job.params["csv_format_params"]) if job.params["csv_format_params"] else None)
         if totals.total_rows:
-            written = AR.write_archives(parts, manifest, rows.columns, order, job.root, meta, stamp, dialect)
+            written = AR.write_archives(parts, manifest, package.columns, order, job.root, meta, stamp, dialect, tasks=min(totals.total_files, 10_000))
             archives = [r.archive_name for r in written.select("part_no", "archive_name").orderBy("part_no").collect()]
         else:
-            archives = [AR.write_empty_archive(job.root, manifest.first(), rows.columns, meta, stamp, dialect)]
+            archives = [AR.write_empty_archive(job.root, manifest.first(), package.columns, meta, stamp, dialect)]
         AR.write_summary_ticket(job.root, f"{job.replica}__{stamp}.tkt".lower(), archives)
         if job.flag("notify_kafka"):
             NO.send(NO.notifications(NO.package_files(manifest), f"{job.replica}__{stamp}", job.scenario, run_at), f"{job.root}/_outbox")

@@ -70,9 +70,11 @@ class _ZipLines:
 
 
 def write_archives(parts: DataFrame, named: DataFrame, columns: list[str], order: list[str], root: str, meta: str, stamp: str,
-                   dialect: Dialect = PLAIN_TSV, kind: str = "zip") -> DataFrame:
+                   dialect: Dialect = PLAIN_TSV, kind: str = "zip", tasks: int | None = None) -> DataFrame:
     """Write one archive per part below ``root`` and return ``(part_no, archive_name, data_name, n_rows, n_bytes)``.
 
+    ``tasks`` spreads the parts over so many tasks; the number of parts (up to some thousands) suits.
+
     Rows of a part meet in one task (parts are size-bounded) and stream through it batch by batch. Names do not
     depend on the attempt and a file appears only when it is complete, so a retried task writes the same package.
     """
@@ -84,7 +86,7 @@ def write_archives(parts: DataFrame, named: DataFrame, columns: list[str], order
     lines = as_lines(parts.select("part_no", *columns, *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]), dialect,
                      ["part_no", *[f"_o{i}" for i in range(len(order))]])
     ready = lines.join(named.select("part_no", "data_name", "meta_name", "ticket_name", "archive_name", "n_rows"), "part_no")
-    ready = ready.repartition("part_no").sortWithinPartitions("part_no", *[f"_o{i}" for i in range(len(order))])
+    ready = (ready.repartition(tasks, "part_no") if tasks else ready.repartition("part_no")).sortWithinPartitions("part_no", *[f"_o{i}" for i in range(len(order))])
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import uuid

@@ -225,15 +225,30 @@ def typed_records(records: DataFrame, schema: PT.StructType, header: bool = True
 def text_lines(spark: SparkSession, source: str | list[str]) -> DataFrame:
     """``(path, line_no, value)`` of text files, plain or gzip, counted from 0 inside each file.
 
-    Line numbers need the file as one unit, so only files meant for people belong here.
+    Line numbers need the file as one unit, so only package-sized files belong here.
     """
     whole = spark.read.text(source, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     return whole.select("path", F.posexplode(F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")).alias("line_no", "value"))
 
 
-def head(spark: SparkSession, source: str | list[str], lines: int) -> DataFrame:
-    """The first ``lines`` lines of every file."""
-    return text_lines(spark, source).where(F.col("line_no") < lines)
+def head(objects: DataFrame, lines: int, encoding: str = "utf-8") -> DataFrame:
+    """The first ``lines`` lines of every listed file, plain or gzip: ``(path, line_no, value)``.
+
+    A task opens one file after another and stops reading where the wanted lines end, whatever the size of the file.
+    """
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import gzip
+        import io
+        from itertools import islice
+
+        for batch in batches:
+            for path in batch["path"]:
+                raw = _open(path)
+                stream = gzip.GzipFile(fileobj=raw) if path.lower().endswith(".gz") else raw
+                with io.TextIOWrapper(stream, encoding=encoding, errors="replace") as text:
+                    found = [line.rstrip("\r\n") for line in islice(text, lines)]
+                yield pd.DataFrame({"path": [path] * len(found), "line_no": range(len(found)), "value": found})
+    return objects.select("path").mapInPandas(read, "path string, line_no int, value string")
 
 
 def line_heads(df: DataFrame, ident: str, text: Column, lines: int) -> DataFrame:

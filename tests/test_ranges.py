@@ -1,12 +1,14 @@
 """Range-wise running sums and neighbours against brute force, with a key that holds a third of all rows."""
 
+import datetime as dt
+import json
 import random
 
 import pytest
 
 from conftest import rows
 from haulage.operators import parts as PA, retention as RT, snapshots as SN
-from haulage.operators.ranges import cut_points, neighbours, running_sum
+from haulage.operators.ranges import cut_points, neighbours, range_id, running_sum
 from haulage.sources.files import package_parts
 from pyspark.sql import functions as F
 
@@ -33,9 +35,12 @@ def test_running_sum(skewed, per_range):
 
 
 def test_cuts_balance(skewed):
-    cuts = cut_points(skewed, ["k", "t"], 300)
-    assert 5 <= len(cuts) <= 9 and cuts == sorted(cuts, key=lambda c: (c[0] is not None, c[0] or 0, c[1]))
-    assert sum(1 for c in cuts if c[0] == 1) >= 2, "the large key must be cut as well"
+    raw = cut_points(skewed, ["k", "t"], 300)
+    cuts = [json.loads(c) for c in raw]
+    assert 5 <= len(cuts) <= 9 and cuts == sorted(cuts, key=lambda c: ("c0" in c, c.get("c0", 0), c["c1"]))
+    assert sum(1 for c in cuts if c.get("c0") == 1) >= 2, "the large key must be cut as well"
+    sizes = [r["count"] for r in skewed.groupBy(range_id(skewed, ["k", "t"], raw).alias("r")).count().collect()]
+    assert len(sizes) == len(cuts) + 1 and max(sizes) < 900
 
 
 @pytest.mark.parametrize("per_range", [10_000, 400, 37])
@@ -90,3 +95,13 @@ def test_package_parts(spark):
     for per_range in (1000, 4):
         got = package_parts(lines, per_range)
         assert rows(got.where("path = 'p1'"), "value", "part") == [("1", 1), ("2", 1), ("3", 2), ("4", 3), ("5", 3), ("6", 3)]
+
+
+def test_cuts_on_times_and_texts(spark):
+    base = dt.datetime(2024, 1, 1)
+    data = [(base + dt.timedelta(microseconds=37 * i), f'q"{i % 7}\\n', float(i) / 3) for i in range(400)]
+    df = spark.createDataFrame(data, "t timestamp_ntz, s string, d double")
+    for order in (["t"], ["s", "t"], ["d"]):
+        got = running_sum(df, order, F.lit(1), "n", 25)
+        want = {r.t: i + 1 for i, r in enumerate(df.orderBy(*order).collect())}
+        assert {r.t: r.n for r in got.collect()} == want
