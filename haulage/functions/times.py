@@ -36,6 +36,11 @@ def moment(value, kind: str = "timestamp_ntz") -> Column:
     return F.lit(str(value)).cast(kind)
 
 
+def moment_or_default(text: Column, default: str = "1970-01-01 00:00:00") -> Column:
+    """A time text as a timestamp; the default where it is missing or no time."""
+    return F.coalesce(F.try_to_timestamp(text).cast("timestamp_ntz"), moment(default))
+
+
 def micros(amount) -> Column:
     """An interval of so many microseconds."""
     amount = amount if isinstance(amount, Column) else F.lit(amount)

@@ -44,6 +44,20 @@ def publication_key(loading: Column, profile: Column, entity: Column, stat: Colu
     return F.when(F.coalesce(loading, F.lit(0)) != 0, with_loading).otherwise(without)
 
 
+def published_keys(dataset_events: DataFrame, datasets: DataFrame) -> DataFrame:
+    """``(pub_key, at)``: the newest publication of every key in the event log.
+
+    Log rows ``(dataset_id, extra JSON, at)`` belong to datasets ``(id, uri)``; only ``CTL/`` datasets count. An entry
+    ``loading/profile/entity/stat`` is a key, ``0/profile/entity/dt`` is one together with its value.
+    """
+    mine = datasets.where(F.col("uri").startswith("CTL/")).select(F.col("id").alias("dataset_id"))
+    entries = J.json_each(dataset_events.join(mine, "dataset_id", "left_semi").select("extra", "at"), "extra", "name", "value")
+    dated = F.col("name").rlike(r"^0/[^/]*/[^/]*/dt$")
+    plain = F.col("name").rlike(r"^[1-9][0-9]*/[^/]*/[^/]*/[0-9]+$")
+    keyed = entries.where(dated | plain).select(F.when(dated, F.concat("name", F.lit("="), "value")).otherwise(F.col("name")).alias("pub_key"), "at")
+    return keyed.groupBy("pub_key").agg(F.max("at").alias("at"))
+
+
 def new_events(registry: DataFrame, stats: DataFrame, publications: DataFrame, published: DataFrame, profile: str,
                all_events: bool = False, tolerance_seconds: int = 60) -> DataFrame:
     """Events to publish.
@@ -51,13 +65,13 @@ def new_events(registry: DataFrame, stats: DataFrame, publications: DataFrame, p
     Keys that are scheduled elsewhere are skipped, own-profile keys too unless ``all_events``. A value older than the
     last publication less the tolerance is stale, a key already in ``published (pub_key)`` is not sent again.
     """
-    open_keys = registry.where(~F.col("scheduled"))
+    # Keys take the types of the statistics, so that the join reuses their partitioning.
+    open_keys = registry.where(~F.col("scheduled")).select(
+        "event_key", "prf", "eid", "sid", F.col("prf").alias("profile"), F.col("eid").try_cast("bigint").alias("entity_id"), F.col("sid").try_cast("int").alias("stat_id"))
     if not all_events:
         open_keys = open_keys.where(F.col("prf") != profile)
-    last = latest_stats(stats).select(
-        F.col("profile").alias("prf"), F.col("entity_id").cast("string").alias("eid"), F.col("stat_id").cast("string").alias("sid"),
-        "loading_id", "value", "published_at")
-    joined = open_keys.join(last, ["prf", "eid", "sid"]).join(publications, ["prf", "eid"], "left")
+    last = latest_stats(stats)
+    joined = last.join(open_keys, ["profile", "entity_id", "stat_id"]).join(publications, ["prf", "eid"], "left")
     fresh = F.col("updated_at").isNull() | (F.col("published_at") >= F.col("updated_at") - T.seconds(tolerance_seconds))
     keyed = joined.where(fresh).withColumn(
         "pub_key", publication_key(F.col("loading_id"), F.col("prf"), F.col("eid"), F.col("sid"), F.col("published_at")))

@@ -62,6 +62,11 @@ def counted_name(key: Column, n_parts: Column, n_rows: Column, listed: bool = Tr
     return F.concat(stem, counts, ext)
 
 
+def sent_names(pairs: Column) -> Column:
+    """The counted names out of ``array<array<string>>`` pairs of name and counted name, as one flat list."""
+    return F.flatten(F.transform(pairs, lambda p: F.slice(p, 2, 1)))
+
+
 def empty_manifest(spark: SparkSession, schema: str, table: str, replica: str, stamp: str, ext: str = "csv") -> DataFrame:
     """The single header-only part ``0_1_0`` sent when there are no rows."""
     data = f"{schema}__{table}__{stamp}__0_1_0".lower()

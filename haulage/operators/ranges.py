@@ -12,7 +12,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-ROWS_PER_RANGE = 4_000_000
+ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 8192
 SAMPLE_PER_RANGE = 24
 # Cut points travel as JSON; microseconds must survive (fixed values).

@@ -230,3 +230,17 @@ def entity_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaf = F.struct(entity(key + 2, key, F.lit("leaf")), F.filter(F.array(grandchild), lambda g: F.lit(False)).alias("kidz"))
     root = F.struct(entity(key, none, F.col("o_orderstatus")), F.array(child, leaf).alias("kidz"))
     return TR.flatten_entities(table(spark, sf_dir, "orders").select(F.to_json(root).alias("tree")))
+
+
+@query("event_published", f"""
+    SELECT pub_key, max(ts) AS published_at FROM (
+        SELECT event_id || '/P/' || user_id || '/' || {KEY_SQL} % 5 AS pub_key, ts FROM events WHERE user_id % 4 <> 0 AND event_id % 2 = 0 AND event_id > 0
+        UNION ALL SELECT '0/P/' || user_id || '/dt=' || strftime(ts, '%Y-%m-%d %H'), ts FROM events WHERE user_id % 4 <> 0 AND event_id % 2 = 1) GROUP BY pub_key""")
+def event_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", key_of_props().alias("k"))
+    ind = F.concat_ws("/", F.when(F.col("event_id") % 2 == 0, text("event_id")).otherwise("0"), F.lit("P"), text("user_id"))
+    entry = F.when(F.col("event_id") % 2 == 0, F.concat(ind, F.lit("/"), (F.col("k") % 5).cast("string"))).otherwise(F.concat(ind, F.lit("/dt")))
+    extra = F.concat(F.lit('{"'), entry, F.lit('": "'), F.date_format("ts", "yyyy-MM-dd HH"), F.lit('", "'), ind, F.lit('/url": "u"}'))
+    log = ev.select(F.col("user_id").alias("dataset_id"), extra.alias("extra"), F.col("ts").alias("at"))
+    datasets = ev.select(F.col("user_id").alias("id"), F.concat(F.when(F.col("user_id") % 4 == 0, "TFS/").otherwise("CTL/"), text("user_id")).alias("uri")).distinct()
+    return EV.published_keys(log, datasets).withColumnRenamed("at", "published_at")

@@ -77,13 +77,21 @@ def header_line(columns: list[str], dialect: Dialect = PLAIN_TSV) -> str:
     return out.getvalue()
 
 
-def write_tsv(df: DataFrame, path: str) -> None:
-    """Tab separated UTF-8 files, each with a header line; special characters are escaped, nothing is quoted."""
-    lines = as_lines(df)
-    lines.write.mode("overwrite").option("lineSep", "\n").text(path)
+def with_headers(lines: DataFrame, header: str, dialect: Dialect) -> DataFrame:
+    """Put the header line before the first line of every task, and so of every written file."""
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    return lines.select(F.when(first, F.concat(F.lit(header + dialect.lineterminator), "value")).otherwise(F.col("value")).alias("value"))
 
 
-def write_csv(df: DataFrame, path: str, dialect: Dialect, compression: str = "none") -> None:
-    """Delimited files in any dialect."""
+def write_csv(df: DataFrame, path: str, dialect: Dialect, compression: str = "none", header: bool = False) -> None:
+    """Delimited files in any dialect, on request with a header line in each."""
     codec = "uncompressed" if compression == "none" else compression
-    as_lines(df, dialect).write.mode("overwrite").option("lineSep", dialect.lineterminator).option("compression", codec).text(path)
+    lines = as_lines(df, dialect)
+    if header:
+        lines = with_headers(lines, header_line(df.columns, dialect), dialect)
+    lines.write.mode("overwrite").option("lineSep", dialect.lineterminator).option("compression", codec).text(path)
+
+
+def write_tsv(df: DataFrame, path: str, compression: str = "none") -> None:
+    """Tab separated UTF-8 files, each with a header line; special characters are escaped, nothing is quoted."""
+    write_csv(df, path, PLAIN_TSV, compression, header=True)

@@ -56,9 +56,11 @@ def matching(objects: DataFrame, mask: str, path: str = "path", cap: int = 0) ->
 
 
 def done_gated(objects: DataFrame, path: str = "path") -> DataFrame:
-    """Data files whose marker ``<file>.done`` exists."""
-    markers = objects.where(F.col(path).endswith(DONE)).select(F.regexp_replace(path, r"\.done$", "").alias("_data"))
-    return objects.where(~F.col(path).endswith(DONE)).join(markers, F.col(path) == F.col("_data"), "left_semi")
+    """Data files whose marker ``<file>.done`` exists. The listing is read once: file and marker meet in one group of two."""
+    marker = F.col(path).endswith(DONE)
+    pairs = objects.groupBy(F.regexp_replace(path, r"\.done$", "").alias("_base")).agg(
+        F.bool_or(marker).alias("_marked"), F.max(F.when(~marker, F.struct(*objects.columns))).alias("_file"))
+    return pairs.where(F.col("_marked") & F.col("_file").isNotNull()).select("_file.*")
 
 
 def folder_gated(objects: DataFrame, path: str = "path") -> DataFrame:

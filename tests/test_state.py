@@ -193,3 +193,37 @@ def test_batches_applied_by_stream(spark, tmp_path):
     FL.arriving_rows(spark, f"{tmp_path}/in/1", spark.read.parquet(f"{tmp_path}/in/1").schema).writeStream.foreachBatch(body).option(
         "checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
     assert rows(spark.read.parquet(f"{tmp_path}/t/0"), "id", "v") == [(1, "b"), (2, "n")]
+
+
+def test_jobs(spark):
+    from haulage.plans import jobs
+
+    @jobs.job("demo.count")
+    def demo(session, params):
+        return session.range(params["n"]).agg(F.count("*").alias("cdc")).select(F.lit(1).alias("res"), "cdc", F.lit('{"7": "x"}').alias("stat"))
+
+    results = jobs.run_job(spark, "demo.count", {"n": 5}, 42, [1, 2])
+    assert rows(results, "loading_id", "entity_id", "res", "cdc", "hub") == [(42, 1, 1, "5", None), (42, 2, 1, "5", None)]
+    published = LD.result_stats(results, NOW)
+    assert {r.stat_id: r.value for r in published.where("entity_id = 1").collect()} == {1: "5", 2: "1", 7: "x", 11: NOW}
+    none = F.struct(F.lit(0).alias("left"), F.lit(None).cast("array<string>").alias("on"), F.lit(0).alias("ok"), F.lit(0).alias("no"), F.lit(0).alias("err"))
+    assert rows(jobs.finished(results, none), "loading_id", "status", "action") == [(42, "SUCCESS", "Completed")]
+    with pytest.raises(KeyError):
+        jobs.run_job(spark, "missing", {}, 1, [1])
+
+
+def test_small_helpers(spark):
+    from haulage.operators.parts import sent_names
+
+    one = lambda c: spark.range(1).select(c.alias("x")).first().x
+    assert one(sent_names(F.array(F.array(F.lit("a"), F.lit("a_1")), F.array(F.lit("b"), F.lit("b_2"))))) == ["a_1", "b_2"]
+    assert one(T.moment_or_default(F.lit("2024-01-02 03:04:05"))) == dt.datetime(2024, 1, 2, 3, 4, 5) and one(T.moment_or_default(F.lit("x"))) == dt.datetime(1970, 1, 1)
+
+
+def test_tsv_files_start_with_a_header(spark, tmp_path):
+    from haulage.sinks.delimited import write_tsv
+
+    write_tsv(spark.range(20).repartition(3).select("id", F.lit("a\tb").alias("v")), f"{tmp_path}/t")
+    files = list((tmp_path / "t").glob("*.txt"))
+    bodies = [f.read_text().split("\n")[:-1] for f in files]
+    assert len(files) == 3 and all(b[0] == "id\tv" and len(b) > 1 for b in bodies) and sum(len(b) - 1 for b in bodies) == 20
