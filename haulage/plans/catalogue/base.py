@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from haulage.operators.loadings import STATUSES
+from haulage.session import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table for work that is costly per row."""
+    return spread(table(spark, sf_dir, name).select(*columns))
+
+
 def views(spark: SparkSession, sf_dir: str, *names: str) -> None:
     for name in names:
         table(spark, sf_dir, name).createOrReplaceTempView(name)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from haulage.functions import jsons as J, text as X
 from haulage.operators import checks as CK, snapshots as SN
-from haulage.plans.catalogue.base import key_of_props, query, table
+from haulage.plans.catalogue.base import dealt, key_of_props, query, table
 from haulage.session import run_folder
 
 # "Altered" orders: some changed, some missing, some new.
@@ -145,7 +145,7 @@ def stability_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT event_id, '.more', '—', '{"a":[1]}' FROM e WHERE k % 7 = 0""")
 def json_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("k")
-    ev = table(spark, sf_dir, "events").select("event_id", key_of_props().alias("k"), "event_type")
+    ev = dealt(spark, sf_dir, "events", "event_id", "props", "event_type").select("event_id", key_of_props().alias("k"), "event_type")
     before = F.format_string('{"k":%d,"list":[1,%d],"sub":{"type":"%s","kind":1}}', k, k, F.col("event_type"))
     kept = F.when(k % 3 == 0, "").otherwise(F.concat(F.lit('"type":"'), "event_type", F.lit('",')))
     after = F.concat(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from haulage.functions import text as X
 from haulage.operators import events as EV, trees as TR
-from haulage.plans.catalogue.base import KEY_SQL, LATEST_STATS_SQL, NOW, STATS_SQL, key_of_props, newest, query, stats, table
+from haulage.plans.catalogue.base import KEY_SQL, LATEST_STATS_SQL, NOW, STATS_SQL, dealt, key_of_props, newest, query, stats, table
 
 
 def text(name: str):
@@ -167,7 +167,7 @@ def start_condition(spark: SparkSession, sf_dir: str) -> DataFrame:
         max(CASE WHEN k % 10 = 0 THEN 'AF-TFS' END) AS t FROM e GROUP BY ALL)
     SELECT run_id, uri, event_name, dt, source_run, max(dt) OVER (PARTITION BY run_id) AS af_sdt, coalesce(max(t) OVER (PARTITION BY run_id), 'AF-EVENT') AS run_type FROM u""")
 def trigger_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", key_of_props().alias("k"))
+    ev = dealt(spark, sf_dir, "events", "event_id", "user_id", "ts", "props").select("event_id", "user_id", "ts", key_of_props().alias("k"))
     entity = F.concat_ws("/", F.concat(F.lit("P"), (F.col("user_id") % 3).cast("string")), text("user_id"))
     ind = F.concat_ws("/", text("event_id"), entity)
     extra = F.concat(
@@ -229,7 +229,7 @@ def entity_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     child = F.struct(entity(key + 1, key, F.lit("kid")), F.array(grandchild).alias("kidz"))
     leaf = F.struct(entity(key + 2, key, F.lit("leaf")), F.filter(F.array(grandchild), lambda g: F.lit(False)).alias("kidz"))
     root = F.struct(entity(key, none, F.col("o_orderstatus")), F.array(child, leaf).alias("kidz"))
-    return TR.flatten_entities(table(spark, sf_dir, "orders").select(F.to_json(root).alias("tree")))
+    return TR.flatten_entities(dealt(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_orderpriority").select(F.to_json(root).alias("tree")))
 
 
 @query("event_published", f"""

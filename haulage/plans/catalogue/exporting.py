@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from haulage.functions import text as X, times as T
 from haulage.operators import extract as EX, parts as PA, schema as SC, state as ST
-from haulage.plans.catalogue.base import KEY_SQL, key_of_props, newest, query, table, views
+from haulage.plans.catalogue.base import KEY_SQL, dealt, key_of_props, newest, query, table, views
 from haulage.sinks import notify as NO
 from haulage.sources import registry as RG
 
@@ -172,7 +172,7 @@ def registry_described(spark: SparkSession, sf_dir: str) -> DataFrame:
            'extract_time' AS time_field, CASE WHEN {KEY_SQL} % 4 = 1 THEN '0' ELSE '1' END AS auto_confirm FROM events""")
 def param_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("k")
-    ev = table(spark, sf_dir, "events").select("event_id", key_of_props().alias("k"))
+    ev = dealt(spark, sf_dir, "events", "event_id", "props").select("event_id", key_of_props().alias("k"))
     own = F.to_json(F.struct(F.when(k % 3 == 0, k).alias("increment"), F.when(k % 5 == 0, "INC").alias("strategy"),
                              F.when(k % 4 == 1, 0).alias("auto_confirm")))
     run = F.to_json(F.struct(F.when(k % 5 == 2, "APPEND").when(k % 5 == 3, "None").when(k % 5 == 4, "").alias("strategy"), F.lit("").alias("increment")))
@@ -290,7 +290,7 @@ RULES = [(r"[\t\r\n]+", " "), (r"[0-9]{3,}", "#"), (r'"', "'"), (r" {2,}", " ")]
     SELECT doc_id, lang, source, md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '[\t\r\n]+', ' ', 'g'), '[0-9]{3,}', '#', 'g'), '"', '''', 'g'), ' {2,}', ' ', 'g')) AS text_md5
     FROM documents""")
 def sanitize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs = dealt(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
     return X.sanitize_frame(docs, RULES, columns=["text"]).select("doc_id", "lang", "source", F.md5("text").alias("text_md5"))
 
 
@@ -307,7 +307,7 @@ def array_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH w AS (SELECT doc_id, string_split(text, ' ') AS a FROM documents)
     SELECT doc_id, md5('{' || array_to_string([CASE WHEN x = '' OR upper(x) = 'NULL' OR regexp_matches(x, '[{}",\\\s]') THEN '"' || regexp_replace(x, '(["\\])', '\\\1', 'g') || '"' ELSE x END FOR x IN a], ',') || '}') AS pg_md5 FROM w""")
 def text_array_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.split("text", " ").alias("a"))
+    docs = dealt(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.split("text", " ").alias("a"))
     return docs.select("doc_id", F.md5(X.array_text(F.col("a"), "string", "pg")).alias("pg_md5"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as PT
 
 from haulage.functions import paths as P, text as X, times as T
-from haulage.plans.catalogue.base import KEY_SQL, key_of_props, query, table
+from haulage.plans.catalogue.base import KEY_SQL, dealt, key_of_props, query, table
 from haulage.plans.catalogue.exporting import PART_ORDER, PARTS_SQL, lineitem_manifest, lineitem_parts
 from haulage.session import run_folder
 from haulage.sinks import archive as AR, delimited as DL, ledger as LG, notify as NO
@@ -121,7 +121,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     spaced = F.col("o_orderkey") % 2 == 0
     inner = F.when(spaced, F.regexp_replace(body, r"<(/?)(\w)", "<$1n:$2")).otherwise(body)
     xml = F.concat(F.when(spaced, '<n:TransferFileCephRq xmlns:n="urn:t">').otherwise("<TransferFileCephRq>"), inner, F.when(spaced, "</n:TransferFileCephRq>").otherwise("</TransferFileCephRq>"))
-    return table(spark, sf_dir, "orders").select("o_orderkey", xml.alias("xml"))
+    return dealt(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority").select("o_orderkey", xml.alias("xml"))
 
 
 @query("request_parse", REQUEST_SQL)

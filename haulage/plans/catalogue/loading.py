@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from haulage.functions import jsons as J, times as T
 from haulage.operators import loadings as LD
-from haulage.plans.catalogue.base import KEY_SQL, LOADINGS_SQL, NOW, STATUS_LOG_SQL, key_of_props, loadings, newest, query, status_log, table
-from haulage.session import run_folder
+from haulage.plans.catalogue.base import KEY_SQL, LOADINGS_SQL, NOW, STATUS_LOG_SQL, dealt, key_of_props, loadings, newest, query, status_log, table
+from haulage.session import run_folder, spread
 from haulage.sources import registry as RG
 
 ACTION_SQL = f"""
@@ -99,7 +99,7 @@ def documents_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event as a loading document with two statuses, some parameters and statistics."""
     at = T.clock_text(F.col("ts"))
     later = T.clock_text(F.col("ts") + T.seconds(F.col("k") * 60 + 60))
-    rows = loadings(spark, sf_dir).withColumnRenamed("status_sdt", "ts")
+    rows = spread(loadings(spark, sf_dir).withColumnRenamed("status_sdt", "ts"))
     text = lambda c: F.col(c).cast("string")
     pair = lambda n, v: F.struct(F.lit(n).alias("param"), v.alias("value"))
     return rows.select(
@@ -182,7 +182,7 @@ def retry_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT event_id, date_trunc('second', ts + to_minutes(CAST(5 + {KEY_SQL} AS INTEGER)) + to_seconds(CAST(90 * (user_id % 4) AS INTEGER)))::TIMESTAMP AS next_at FROM events""")
 def retry_next(spark: SparkSession, sf_dir: str) -> DataFrame:
     delay = F.concat(F.lit("minutes=+"), (key_of_props() + 5).cast("string"))
-    return table(spark, sf_dir, "events").select(
+    return dealt(spark, sf_dir, "events", "event_id", "ts", "user_id", "props").select(
         "event_id", LD.next_retry(F.col("ts"), delay, F.lit("seconds=90"), (F.col("user_id") % 4 + 1).cast("int")).alias("next_at"))
 
 

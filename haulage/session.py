@@ -52,3 +52,13 @@ def stored(df, label: str):
     path = run_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df):
+    """Deal the rows of a plain scan out to all cores when the scan itself gives fewer tasks than there are cores.
+
+    A file with one row group is one task, which is too few for rows that are costly to parse. A scan with enough
+    tasks is left as it is, so nothing is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

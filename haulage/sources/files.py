@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as PT
 
 from haulage.functions import paths as P, text as X
@@ -194,28 +195,29 @@ def zip_records(objects: DataFrame, sep: str = ",", encoding: str = "utf-8") ->
 
     A task streams one member after another, a batch of records at a time; quoted line breaks stay inside a field.
     """
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import csv
         import gzip
         import io
+        from itertools import islice
 
+        names = ["path", "member", "record_no", "fields"]
         for batch in batches:
-            for path in batch["path"]:
+            for path in batch.column("path").to_pylist():
                 archive, members = _members(path)
                 for member in members:
                     name = member.filename.strip("/")
                     with archive.open(member) as raw:
                         stream = gzip.GzipFile(fileobj=raw) if name.lower().endswith(".gz") else raw
-                        numbers, fields = [], []
-                        for no, record in enumerate(csv.reader(io.TextIOWrapper(stream, encoding=encoding, newline=""), delimiter=sep)):
-                            numbers.append(no)
-                            fields.append(record)
-                            if len(numbers) == RECORDS_PER_BATCH:
-                                yield pd.DataFrame({"path": path, "member": name, "record_no": numbers, "fields": fields})
-                                numbers, fields = [], []
-                        if numbers:
-                            yield pd.DataFrame({"path": path, "member": name, "record_no": numbers, "fields": fields})
-    return objects.select("path").mapInPandas(read, "path string, member string, record_no long, fields array<string>")
+                        records = csv.reader(io.TextIOWrapper(stream, encoding=encoding, newline=""), delimiter=sep)
+                        start = 0
+                        while found := list(islice(records, RECORDS_PER_BATCH)):
+                            n = len(found)
+                            yield pa.RecordBatch.from_arrays([
+                                pa.array([path] * n, pa.string()), pa.array([name] * n, pa.string()), pa.array(range(start, start + n), pa.int64()),
+                                pa.array(found, pa.list_(pa.string()))], names)
+                            start += n
+    return objects.select("path").mapInArrow(read, "path string, member string, record_no long, fields array<string>")
 
 
 def typed_records(records: DataFrame, schema: PT.StructType, header: bool = True) -> DataFrame:
