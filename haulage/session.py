@@ -62,3 +62,10 @@ def spread(df):
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def dealt_by(df, column: str, tasks: int | None = None):
+    """Rows that stand for files or parts, spread over the cluster by name; the number of bytes in them says nothing
+    about the work behind them, so the task count is fixed and not left to coalescing."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(tasks or cores, column)

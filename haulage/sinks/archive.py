@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from haulage.session import dealt_by
 from haulage.sinks.delimited import Dialect, PLAIN_TSV, as_lines, header_line
 
 CHUNK = 8 * 1024 * 1024
@@ -33,17 +34,17 @@ class _TarLines:
         self.spool.write(data)
 
     def finish(self, small: list[tuple[str, bytes]]) -> None:
+        import calendar
         import io
         import tarfile
-        import time
 
         with tarfile.open(fileobj=self.raw, mode="w|gz") as tar:
             for name, body in small:
                 info = tarfile.TarInfo(name)
-                info.size, info.mtime = len(body), time.mktime(self.stamp)
+                info.size, info.mtime = len(body), calendar.timegm(self.stamp)
                 tar.addfile(info, io.BytesIO(body))
             info = tarfile.TarInfo(self.name)
-            info.size, info.mtime = self.spool.tell(), time.mktime(self.stamp)
+            info.size, info.mtime = self.spool.tell(), calendar.timegm(self.stamp)
             self.spool.seek(0)
             tar.addfile(info, self.spool)
 
@@ -73,7 +74,8 @@ def write_archives(parts: DataFrame, named: DataFrame, columns: list[str], order
                    dialect: Dialect = PLAIN_TSV, kind: str = "zip", tasks: int | None = None) -> DataFrame:
     """Write one archive per part below ``root`` and return ``(part_no, archive_name, data_name, n_rows, n_bytes)``.
 
-    ``tasks`` spreads the parts over so many tasks; the number of parts (up to some thousands) suits.
+    ``tasks`` spreads the parts over so many tasks (the cores of the cluster by default); the number of parts, up to
+    some thousands, suits.
 
     Rows of a part meet in one task (parts are size-bounded) and stream through it batch by batch. Names do not
     depend on the attempt and a file appears only when it is complete, so a retried task writes the same package.
@@ -83,47 +85,52 @@ def write_archives(parts: DataFrame, named: DataFrame, columns: list[str], order
     head = header_line(columns, dialect) + dialect.lineterminator
     end = dialect.lineterminator
     moment = tuple(time.strptime(stamp, "%Y%m%d%H%M%S"))
-    lines = as_lines(parts.select("part_no", *columns, *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]), dialect,
-                     ["part_no", *[f"_o{i}" for i in range(len(order))]])
-    ready = lines.join(named.select("part_no", "data_name", "meta_name", "ticket_name", "archive_name", "n_rows"), "part_no")
-    ready = (ready.repartition(tasks, "part_no") if tasks else ready.repartition("part_no")).sortWithinPartitions("part_no", *[f"_o{i}" for i in range(len(order))])
+    # Every part begins with one row that carries its names: no join, and no name travels with the data rows.
+    labels = named.select("part_no", F.lit(0).alias("_kind"), F.to_json(F.struct("data_name", "meta_name", "ticket_name", "archive_name", "n_rows")).alias("_names"))
+    extra = [c for c in order if c not in columns]
+    rows = parts.select("part_no", F.lit(1).alias("_kind"), *columns, *extra)
+    dealt = dealt_by(rows.unionByName(labels, allowMissingColumns=True), "part_no", tasks).sortWithinPartitions("part_no", "_kind", *order)
+    # Lines are rendered after the rows are spread, where all tasks share the work.
+    lines = as_lines(dealt.drop(*extra), dialect, ["part_no", "_kind", "_names"])
+    ready = lines.select("part_no", F.when(F.col("_kind") == 1, F.col("value")).alias("value"), "_names")
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import json
         import uuid
 
+        system, base = _sink(root)
+        system.create_dir(base, recursive=True)
         current = None
 
-        def close():
-            no, first, system, final, partial, raw, out, size = current
-            out.finish(small(first))
-            raw.close()
-            system.move(partial, final)
-            return pd.DataFrame([(no, first.archive_name, first.data_name, int(first.n_rows), size)],
-                                columns=["part_no", "archive_name", "data_name", "n_rows", "n_bytes"])
-
-        def small(first):
-            return [(first.ticket_name, f"{first.data_name};{first.n_rows}".encode()), (first.meta_name, meta.encode())]
+        def begin(no: int, names: dict) -> dict:
+            if kind != "zip":
+                names["archive_name"] = names["archive_name"].replace(".zip", ".tar.gz")
+            small = [(names["ticket_name"], f"{names['data_name']};{names['n_rows']}".encode()), (names["meta_name"], meta.encode())]
+            partial = f"{base}/_{names['archive_name']}.{uuid.uuid4().hex}"
+            raw = system.open_output_stream(partial)
+            out = _ZipLines(raw, names["data_name"], moment, small) if kind == "zip" else _TarLines(raw, names["data_name"], moment)
+            out.write(head.encode())
+            return {"no": no, "names": names, "small": small, "partial": partial, "raw": raw, "out": out, "size": len(head.encode())}
+
+        def close() -> pd.DataFrame:
+            names = current["names"]
+            current["out"].finish(current["small"])
+            current["raw"].close()
+            system.move(current["partial"], f"{base}/{names['archive_name']}")
+            return pd.DataFrame({"part_no": [current["no"]], "archive_name": [names["archive_name"]], "data_name": [names["data_name"]],
+                                 "n_rows": [names["n_rows"]], "n_bytes": [current["size"]]})
 
         for batch in batches:
-            for no, rows in batch.groupby("part_no", sort=True):
-                if current is None or current[0] != no:
+            for no, rows in batch.groupby("part_no", sort=False):
+                if current is None or current["no"] != no:
                     if current is not None:
                         yield close()
-                    first = rows.iloc[0]
-                    name = first.archive_name if kind == "zip" else first.archive_name.replace(".zip", ".tar.gz")
-                    first = first.copy()
-                    first["archive_name"] = name
-                    system, base = _sink(root)
-                    system.create_dir(base, recursive=True)
-                    partial = f"{base}/_{name}.{uuid.uuid4().hex}"
-                    raw = system.open_output_stream(partial)
-                    moment_s = time.struct_time(moment)
-                    out = _ZipLines(raw, first.data_name, moment, small(first)) if kind == "zip" else _TarLines(raw, first.data_name, moment_s)
-                    out.write(head.encode())
-                    current = [no, first, system, f"{base}/{name}", partial, raw, out, len(head.encode())]
-                body = (end.join(rows["value"]) + end).encode()
-                current[6].write(body)
-                current[7] += len(body)
+                    current = begin(int(no), json.loads(rows["_names"].iloc[0]))
+                    rows = rows.iloc[1:]
+                if len(rows):
+                    body = (end.join(rows["value"]) + end).encode()
+                    current["out"].write(body)
+                    current["size"] += len(body)
         if current is not None:
             yield close()
 
@@ -193,4 +200,4 @@ def copy_objects(objects: DataFrame, root: str, compress: bool = False) -> DataF
                 system.move(partial, f"{base}/{name}")
                 yield pd.DataFrame({"path": [path], "new_path": [f"{base}/{name}"], "n_bytes": [size]})
 
-    return todo.mapInPandas(move, "path string, new_path string, n_bytes long")
+    return dealt_by(todo, "path").mapInPandas(move, "path string, new_path string, n_bytes long")

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as PT
 
 from haulage.functions import paths as P, text as X
+from haulage.session import dealt_by
 
 DONE = ".done"
 RECORDS_PER_BATCH = 5_000
@@ -187,7 +188,7 @@ def zip_contents(objects: DataFrame) -> DataFrame:
                 _, members = _members(path)
                 yield pd.DataFrame({"path": [path] * len(members), "member": [m.filename.strip("/") for m in members],
                                     "length": [m.file_size for m in members]})
-    return objects.select("path").mapInPandas(list_members, "path string, member string, length long")
+    return dealt_by(objects.select("path"), "path").mapInPandas(list_members, "path string, member string, length long")
 
 
 def zip_records(objects: DataFrame, sep: str = ",", encoding: str = "utf-8") -> DataFrame:
@@ -217,7 +218,7 @@ def zip_records(objects: DataFrame, sep: str = ",", encoding: str = "utf-8") ->
                                 pa.array([path] * n, pa.string()), pa.array([name] * n, pa.string()), pa.array(range(start, start + n), pa.int64()),
                                 pa.array(found, pa.list_(pa.string()))], names)
                             start += n
-    return objects.select("path").mapInArrow(read, "path string, member string, record_no long, fields array<string>")
+    return dealt_by(objects.select("path"), "path").mapInArrow(read, "path string, member string, record_no long, fields array<string>")
 
 
 def typed_records(records: DataFrame, schema: PT.StructType, header: bool = True) -> DataFrame:
@@ -252,7 +253,7 @@ def head(objects: DataFrame, lines: int, encoding: str = "utf-8") -> DataFrame:
                 with io.TextIOWrapper(stream, encoding=encoding, errors="replace") as text:
                     found = [line.rstrip("\r\n") for line in islice(text, lines)]
                 yield pd.DataFrame({"path": [path] * len(found), "line_no": range(len(found)), "value": found})
-    return objects.select("path").mapInPandas(read, "path string, line_no int, value string")
+    return dealt_by(objects.select("path"), "path").mapInPandas(read, "path string, line_no int, value string")
 
 
 def line_heads(df: DataFrame, ident: str, text: Column, lines: int) -> DataFrame:
