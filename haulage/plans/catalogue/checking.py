@@ -54,7 +54,7 @@ def except_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("except_distinct", f"""
-    SELECT *, 1 AS n_extra FROM (SELECT *, 'left' AS side FROM (SELECT o_custkey, o_orderstatus FROM orders EXCEPT SELECT o_custkey, o_orderstatus FROM ({ALTERED_SQL}))
+    SELECT *, CAST(1 AS BIGINT) AS n_extra FROM (SELECT *, 'left' AS side FROM (SELECT o_custkey, o_orderstatus FROM orders EXCEPT SELECT o_custkey, o_orderstatus FROM ({ALTERED_SQL}))
     UNION ALL SELECT *, 'right' FROM (SELECT o_custkey, o_orderstatus FROM ({ALTERED_SQL}) EXCEPT SELECT o_custkey, o_orderstatus FROM orders))""")
 def except_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return CK.difference(original(spark, sf_dir).drop("o_orderkey"), altered(spark, sf_dir).drop("o_orderkey"), distinct=True)

@@ -203,7 +203,7 @@ def entity_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("category_tree", """
-    SELECT r_regionkey + 1 AS id, 0 AS parent_id, r_name AS name, NULL AS parent_name, 0 AS depth FROM region WHERE r_name = 'ASIA'
+    SELECT CAST(r_regionkey + 1 AS BIGINT) AS id, CAST(0 AS BIGINT) AS parent_id, r_name AS name, NULL AS parent_name, 0 AS depth FROM region WHERE r_name = 'ASIA'
     UNION ALL SELECT n_nationkey + 100, n_regionkey + 1, n_name, r_name, 1 FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA'
     UNION ALL SELECT c_custkey + 1000, c_nationkey + 100, c_name, n_name, 2 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA'""")
 def category_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -348,7 +348,7 @@ def package_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("empty_package", """
-    SELECT 'repl__20240101000000__orders__0_1_0.zip' AS archive_name, 0 AS n_rows FROM (SELECT count(*) AS n FROM orders WHERE o_orderdate > TIMESTAMP '2999-01-01 00:00:00') WHERE n = 0""")
+    SELECT 'repl__20240101000000__orders__0_1_0.zip' AS archive_name, CAST(0 AS BIGINT) AS n_rows FROM (SELECT count(*) AS n FROM orders WHERE o_orderdate > TIMESTAMP '2999-01-01 00:00:00') WHERE n = 0""")
 def empty_package(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").where(F.col("o_orderdate") > T.moment("2999-01-01 00:00:00"))
     parts = PA.with_parts(rows, ["o_orderkey"], PART_BYTES)
