@@ -33,8 +33,8 @@ def size_bytes(text: str | int | None) -> int | None:
 
 
 def share(part: Column, total: Column) -> Column:
-    """Whole percent, NULL for an empty total."""
-    return F.when(total != 0, F.round(part * 100.0 / total, 0)).cast("bigint")
+    """Whole percent, halves to the even side; NULL for an empty total."""
+    return F.when(total != 0, F.bround(part * F.lit(100.0).cast("double") / total, 0)).cast("bigint")
 
 
 def ceil_div(value: Column, by: Column) -> Column:

@@ -165,8 +165,12 @@ def entity_names(ids: DataFrame, entities: DataFrame, ident: str = "entity_id")
     return named.withColumn("name", X.ascii_name(F.coalesce("name", F.lit("_Not_found_")), F.col(ident)))
 
 
-def all_entity_ids(entities: DataFrame, events: DataFrame, ident: str = "id", parent: str = "parent_id") -> DataFrame:
-    """Entities, entities of events, and the parents of both; positive ids only."""
-    event_ids = events.select(F.col("entity_id").cast("bigint").alias(ident))
-    parents = entities.select(F.col(parent).alias(ident))
+def all_entity_ids(entities: DataFrame, events: DataFrame, everything: DataFrame | None = None, ident: str = "id", parent: str = "parent_id") -> DataFrame:
+    """Entities, entities of events, and the parents of both; positive ids only.
+
+    ``everything`` holds all known entities, where the parents of event entities are looked up.
+    """
+    event_ids = events.select(F.col("entity_id").cast("bigint").alias(ident)).distinct()
+    known = entities if everything is None else everything
+    parents = entities.select(F.col(parent).alias(ident)).union(known.join(event_ids, ident, "left_semi").select(F.col(parent).alias(ident)))
     return entities.select(ident).union(event_ids).union(parents).where(F.col(ident) > 0).distinct()

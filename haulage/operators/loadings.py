@@ -210,7 +210,7 @@ def retry_config(explicit: Column, param: Column, log: Column, on: Column, count
 
     nested = F.from_json(J.outer_object(log), f"struct<retry:{kind}>")["retry"]
     from_log = F.coalesce(F.when(F.coalesce(nested["try"], F.lit(0)) != 0, nested), parsed(log))
-    names = F.filter(F.transform(F.split(F.lower(on), ","), lambda x: F.trim(x)), lambda x: x != "")
+    names = F.when(F.coalesce(on, F.lit("")) != "", F.filter(F.transform(F.split(F.lower(on), ","), lambda x: F.trim(x)), lambda x: x != ""))
     by_count = F.coalesce(count, F.lit(1)) > 1
     by_fault = F.coalesce(attempts, F.lit(1)) > 1
     fault_delay = F.when(F.coalesce(delay_ms, F.lit(0)) != 0, F.concat(F.lit("seconds=+"), F.floor(delay_ms / 1000).cast("string")))
@@ -267,7 +267,7 @@ def result_stats(results: DataFrame, now, ident: str = "loading_id") -> DataFram
     """Statistics published for result rows ``(id, entity_id, res, cdc, hub, stat)``; hub and stat are JSON texts."""
     good = F.coalesce(F.col("res"), F.lit(NO_RESULT)) > 0
     filled = good & (F.coalesce(F.col("hub"), F.lit("")).isin("", "{}") == F.lit(False))
-    business = F.get_json_object("hub", "$.dataBusiness")
+    business = F.try_variant_get(F.try_parse_json("hub"), "$.dataBusiness", "variant")
 
     def entry(stat: int, value: Column, cond: Column) -> Column:
         return F.struct(F.lit(stat).alias("stat_id"), F.when(cond, value).alias("value"))
@@ -277,7 +277,7 @@ def result_stats(results: DataFrame, now, ident: str = "loading_id") -> DataFram
         entry(2, F.lit("1"), good),
         entry(1, F.col("cdc").cast("string"), good & (F.coalesce(F.col("cdc").cast("string"), F.lit("")) != "")),
         entry(56, F.col("hub"), filled),
-        entry(55, F.concat(F.lit('{"dataBusiness":'), business, F.lit("}")), filled & (F.coalesce(business, F.lit("")) != "")))
+        entry(55, F.to_json(F.struct(business.alias("dataBusiness"))), filled & ~F.coalesce(F.to_json(business), F.lit("null")).isin("null", '""', "0", "false", "{}", "[]")))
     given = F.transform(F.map_entries(F.coalesce(J.json_map(F.col("stat")), F.create_map().cast("map<string,string>"))),
                         lambda e: F.struct(e["key"].cast("int").alias("stat_id"), e["value"].alias("value")))
     return results.select(ident, "entity_id", F.inline(F.concat(fixed, given))).where(F.col("value").isNotNull())

@@ -196,10 +196,12 @@ def entity_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("entity_ids", """
-    SELECT DISTINCT id FROM (SELECT n_nationkey AS id FROM nation UNION ALL SELECT n_regionkey FROM nation UNION ALL SELECT user_id FROM events) WHERE id > 0""")
+    SELECT DISTINCT id FROM (SELECT n_nationkey AS id FROM nation UNION ALL SELECT n_regionkey FROM nation UNION ALL SELECT user_id FROM events
+        UNION ALL SELECT c_nationkey + 5000 FROM customer WHERE c_custkey IN (SELECT user_id FROM events)) WHERE id > 0""")
 def entity_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_regionkey").cast("bigint").alias("parent_id"))
-    return EV.all_entity_ids(nations, table(spark, sf_dir, "events").select(F.col("user_id").alias("entity_id")))
+    known = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), (F.col("c_nationkey") + 5000).cast("bigint").alias("parent_id"))
+    return EV.all_entity_ids(nations, table(spark, sf_dir, "events").select(F.col("user_id").alias("entity_id")), known)
 
 
 @query("category_tree", """

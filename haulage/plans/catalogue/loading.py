@@ -215,8 +215,7 @@ def stat_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "entity_id", F.when(k % 3 == 0, 1).when(k % 3 == 1, 0).alias("res"), F.when(k % 2 == 0, k).alias("cdc"),
         F.when(k % 5 == 0, F.concat(F.lit('{"dataBusiness":"d'), text, F.lit('"}'))).alias("hub"),
         F.when(k % 4 == 0, F.concat(F.lit('{"'), (k + 100).cast("string"), F.lit('":"s"}'))).alias("stat"))
-    out = LD.result_stats(results, "2024-02-01 00:00:00", "event_id")
-    return out.withColumn("value", F.when(F.col("stat_id") == 55, F.regexp_replace("value", r':([^"].*)\}$', r':"$1"}')).otherwise(F.col("value")))
+    return LD.result_stats(results, "2024-02-01 00:00:00", "event_id")
 
 
 @query("time_wait_due", f"""

@@ -30,7 +30,7 @@ def period_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("period_shares", f"""
     WITH c AS ({PERIOD_SQL}), u AS (UNPIVOT c ON COLUMNS(* EXCLUDE total) INTO NAME period VALUE n)
-    SELECT period, n, CAST(round(n * 100.0 / total) AS BIGINT) AS pct FROM u""")
+    SELECT period, n, CAST(round_even(CAST(n AS DOUBLE) * 100 / total, 0) AS BIGINT) AS pct FROM u""")
 def period_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RP.period_shares(period_row(spark, sf_dir))
 
@@ -120,7 +120,7 @@ def size_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("coverage", """
-    SELECT count(*) AS n_live, count(o_custkey) AS n_covered, CAST(round(count(o_custkey) * 100.0 / count(*)) AS BIGINT) AS pct, CAST(ceil((count(*) - count(o_custkey)) / 25.0) AS BIGINT) AS runs_left
+    SELECT count(*) AS n_live, count(o_custkey) AS n_covered, CAST(round_even(CAST(count(o_custkey) AS DOUBLE) * 100 / count(*), 0) AS BIGINT) AS pct, CAST(ceil((count(*) - count(o_custkey)) / 25.0) AS BIGINT) AS runs_left
     FROM customer LEFT JOIN (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'P') ON c_custkey = o_custkey""")
 def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     live = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))

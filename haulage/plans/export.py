@@ -96,10 +96,9 @@ def run_export(spark: SparkSession, job: Export, history: DataFrame, now: str, w
     run_at = run_at or now
     start, end, is_current = window_of(spark, job, history, now)
     package = extracted(spark, job, start, end, run_at)
-    rows = stored(package.withColumn("row_size", PA.row_bytes(package)), "package-rows")
-    order = [f"{k}_" if f"{k}_" in rows.columns else k for k in job.key]
-    if not order:
-        order = package.columns
+    # The stored row number makes the order total, also where the key repeats: every later pass cuts at the same rows.
+    rows = stored(package.withColumn("row_size", PA.row_bytes(package)).withColumn("_row", F.monotonically_increasing_id()), "package-rows")
+    order = [f"{k}_" if f"{k}_" in package.columns else k for k in job.key] + ["_row"]
     parts = PA.with_parts(rows, order, N.size_bytes(job.params["max_file_size"]))
     stamp = dt.datetime.fromisoformat(run_at).strftime("%Y%m%d%H%M%S")
     # The manifest reads the order columns and sizes only and is kept: names, tickets and messages all come from it.

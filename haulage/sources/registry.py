@@ -62,6 +62,12 @@ def valid_registry(active: DataFrame, routes: DataFrame) -> DataFrame:
     return good
 
 
+def with_schedule(active: DataFrame) -> DataFrame:
+    """Empty schedules and parameters take their defaults."""
+    return active.withColumn("schedule", F.coalesce(F.nullif(F.col("schedule"), F.lit("")), F.lit(DEFAULT_SCHEDULE))).withColumn(
+        "params", F.coalesce(F.nullif(F.col("params"), F.lit("")), F.lit("{}")))
+
+
 def described(active: DataFrame, comments: DataFrame) -> DataFrame:
     """Fill an empty description from table comments ``(db_name, extract_name, comment)``."""
     return active.join(comments, ["db_name", "extract_name"], "left").withColumn(

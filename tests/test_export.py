@@ -43,6 +43,11 @@ def test_registry_rules(spark, registry):
     assert spec == {"from": "src", "where": "{condition}", "fields": ["t1.*"]}
 
 
+def test_registry_defaults(spark, registry):
+    got = RG.with_schedule(RG.active_registry(registry)).where("extract_name = 'a'").first()
+    assert got.schedule == "55 0 * * *" and got.params == '{"increment": 2}'
+
+
 def test_gates(spark):
     reg = spark.createDataFrame([("a", True, None, False)], "extract_name string, is_active boolean, optimize_exp_table boolean, auto_confirm_delta boolean")
     assert RG.gates(reg, "a") == {"is_active": True, "optimize_exp_table": False, "auto_confirm_delta": False}
@@ -133,6 +138,21 @@ def test_export_run_until_current(spark, tmp_path):
     assert outbox.where(F.col("message").contains(runs[-1].archives[0])).count() == 1
 
 
+def test_repeated_keys_and_equal_rows(spark, tmp_path):
+    """A key that holds most rows, equal rows among them: manifest and archives still agree, every part is bounded."""
+    spark.createDataFrame([(1 if i % 3 else i, "same" if i % 2 else f"v{i}" * (i % 9), dt.datetime(2024, 1, 1, 1)) for i in range(600)],
+                          "id int, v string, t timestamp_ntz").repartition(4).createOrReplaceTempView("src")
+    out = PL.run_export(spark, job(spark, tmp_path, max_file_size=1500), history(spark), "2024-01-01 02:00:00")
+    counts = []
+    for name in out.archives:
+        with zipfile.ZipFile(tmp_path / "out" / name) as z:
+            ticket, _, data = z.namelist()
+            lines = z.read(data).decode().split("\n")[1:-1]
+            assert z.read(ticket).decode().endswith(f";{len(lines)}") and sum(len(x.encode()) + 1 for x in lines) <= 1500
+            counts.append(len(lines))
+    assert sum(counts) == 600 == out.n_rows and len(counts) > 20
+
+
 def test_empty_package(spark, tmp_path):
     source(spark, 10)
     silent = PL.run_export(spark, job(spark, tmp_path, lower_bound="2025-01-01 00:00:00"), history(spark), "2025-01-02 00:00:00")
