@@ -33,8 +33,9 @@ def cut_points(df: DataFrame, order: list[str], rows_per_range: int = ROWS_PER_R
     if wanted <= 1:
         return []
     fraction = min(1.0, wanted * SAMPLE_PER_RANGE / total)
-    sample = df.select(*order).sample(False, fraction, seed=11).orderBy(*order).select(F.to_json(_key(order), JSON_TIMES).alias("k"))
-    keys = [r.k for r in sample.collect()]
+    # One task sorts the bounded sample; a global ordering would read the input a second time to find its own ranges.
+    sample = df.select(*order).sample(False, fraction, seed=11).repartition(1).sortWithinPartitions(*order)
+    keys = [r.k for r in sample.select(F.to_json(_key(order), JSON_TIMES).alias("k")).collect()]
     return list(dict.fromkeys(keys[i * len(keys) // wanted] for i in range(1, wanted))) if keys else []
 
 

@@ -54,17 +54,15 @@ def histogram(df: DataFrame, *columns: str) -> DataFrame:
 def outliers(df: DataFrame, value: str, sigmas: float = 3, min_items: int = 5, timeout: float | None = None) -> DataFrame:
     """Rows above mean + ``sigmas`` · sample deviation, with ``threshold``; also rows past half of ``timeout``.
 
-    No outliers exist for ``min_items`` rows or fewer or without any spread. Mean and deviation come in as one-row
-    subqueries, not as a join.
+    No outliers exist for ``min_items`` rows or fewer or without any spread. Mean and deviation are one row; fetched
+    first, they become constants that the second reading can push into the scan.
     """
-    stats = df.agg(F.struct(
-        (F.avg(value) + F.lit(sigmas) * F.coalesce(F.stddev_samp(value), F.lit(0.0))).alias("threshold"),
-        ((F.count("*") > min_items) & (F.coalesce(F.stddev_samp(value), F.lit(0.0)) > 0)).alias("enough"))).scalar()
-    marked = df.withColumn("_s", stats)
-    marked = marked.withColumn("threshold", F.col("_s.threshold")).withColumn(
-        "is_outlier", F.col("_s.enough") & (F.col(value) > F.col("_s.threshold")))
+    stats = df.agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("sigma")).first()
+    sigma = stats.sigma or 0.0
+    threshold = float(stats.mean + sigmas * sigma) if stats.n else 0.0
+    high = F.col(value) > threshold if stats.n > min_items and sigma > 0 else F.lit(False)
     near = F.col(value) > timeout / 2 if timeout is not None else F.lit(False)
-    return marked.withColumn("is_near_timeout", near).drop("_s").where(F.col("is_outlier") | F.col("is_near_timeout"))
+    return df.where(high | near).select("*", F.lit(threshold).alias("threshold"), high.alias("is_outlier"), near.alias("is_near_timeout"))
 
 
 def run_summary(tasks: DataFrame, run: str, state: str, seconds: str) -> DataFrame:

@@ -86,14 +86,14 @@ def time_slices(rows: DataFrame, age: str, before: Column, batch_rows: int = BAT
 
     The last slice closes at the cutoff.
     """
-    stats = rows.agg(F.struct(F.count("*").alias("n"), F.min(age).alias("lo"))).scalar()
-    marked = rows.withColumn("_s", stats)
-    n = F.greatest(F.ceil(F.col("_s.n") / F.lit(batch_rows)), F.lit(1)).cast("bigint")
-    span = F.timestamp_diff("MICROSECOND", F.col("_s.lo"), before)
-    offset = F.timestamp_diff("MICROSECOND", F.col("_s.lo"), F.col(age))
+    stats = rows.agg(F.count("*").alias("n"), F.min(age).cast("string").alias("lo")).first()
+    n = F.lit(max(-(-stats.n // batch_rows), 1)).cast("bigint")
+    lo = F.lit(stats.lo).cast(rows.schema[age].dataType)
+    span = F.timestamp_diff("MICROSECOND", lo, before)
+    offset = F.timestamp_diff("MICROSECOND", lo, F.col(age))
     # Exact whole-number arithmetic: offset · n div span.
     slot = F.floor((offset.cast("decimal(20,0)") * n.cast("decimal(10,0)")) / F.greatest(span, F.lit(1).cast("bigint")).cast("decimal(20,0)")).cast("bigint")
-    return marked.withColumn("batch_id", F.least(slot, n - 1)).drop("_s")
+    return rows.withColumn("batch_id", F.least(slot, n - 1))
 
 
 def key_batches(rows: DataFrame, key: list[str], batch_rows: int = BATCH_ROWS, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:

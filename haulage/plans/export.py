@@ -111,7 +111,8 @@ def run_export(spark: SparkSession, job: Export, history: DataFrame, now: str, w
         dialect = Dialect.of(ast.literal_eval(job.params["csv_format_params"]) if job.params["csv_format_params"] else None)
         if totals.total_rows:
             written = AR.write_archives(parts, manifest, package.columns, order, job.root, meta, stamp, dialect, tasks=min(totals.total_files, 10_000))
-            archives = [r.archive_name for r in written.select("part_no", "archive_name").orderBy("part_no").collect()]
+            # Sorted here: an ordering in the plan would sample its input first, and so write every archive twice.
+            archives = [name for _, name in sorted((r.part_no, r.archive_name) for r in written.collect())]
         else:
             archives = [AR.write_empty_archive(job.root, manifest.first(), package.columns, meta, stamp, dialect)]
         AR.write_summary_ticket(job.root, f"{job.replica}__{stamp}.tkt".lower(), archives)

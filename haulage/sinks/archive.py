@@ -21,6 +21,15 @@ def _sink(path: str):
     return system, inner
 
 
+def _publish(system, partial: str, final: str) -> None:
+    """Give a complete file its name; a file left by an earlier attempt is replaced."""
+    try:
+        system.move(partial, final)
+    except OSError:
+        system.delete_file(final)
+        system.move(partial, final)
+
+
 class _TarLines:
     """A gzip tar whose data member is spooled first, because a tar header holds the size."""
 
@@ -116,7 +125,7 @@ def write_archives(parts: DataFrame, named: DataFrame, columns: list[str], order
             names = current["names"]
             current["out"].finish(current["small"])
             current["raw"].close()
-            system.move(current["partial"], f"{base}/{names['archive_name']}")
+            _publish(system, current["partial"], f"{base}/{names['archive_name']}")
             return pd.DataFrame({"part_no": [current["no"]], "archive_name": [names["archive_name"]], "data_name": [names["data_name"]],
                                  "n_rows": [names["n_rows"]], "n_bytes": [current["size"]]})
 
@@ -197,7 +206,7 @@ def copy_objects(objects: DataFrame, root: str, compress: bool = False) -> DataF
                         size += len(chunk)
                     if pack:
                         out.close()
-                system.move(partial, f"{base}/{name}")
+                _publish(system, partial, f"{base}/{name}")
                 yield pd.DataFrame({"path": [path], "new_path": [f"{base}/{name}"], "n_bytes": [size]})
 
     return dealt_by(todo, "path").mapInPandas(move, "path string, new_path string, n_bytes long")
