@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 8192
 SAMPLE_PER_RANGE = 24
+# Up to so many cut points the comparisons are spelled out, which compiles to faster code.
+SPELLED_OUT = 24
 # Cut points travel as JSON; microseconds must survive (fixed values).
 JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
@@ -39,15 +41,32 @@ def cut_points(df: DataFrame, order: list[str], rows_per_range: int = ROWS_PER_R
     return list(dict.fromkeys(keys[i * len(keys) // wanted] for i in range(1, wanted))) if keys else []
 
 
+def _cut_type(df: DataFrame, order: list[str]) -> str:
+    return "struct<" + ",".join(f"c{i}:{df.schema[c].dataType.simpleString()}" for i, c in enumerate(order)) + ">"
+
+
+def _cut_table(df: DataFrame, order: list[str], cuts: list[str]) -> DataFrame:
+    texts = df.sparkSession.createDataFrame([(c,) for c in cuts], "k string")
+    return texts.select(F.from_json("k", _cut_type(df, order), JSON_TIMES).alias("k")).select("k.*")
+
+
 def range_id(df: DataFrame, order: list[str], cuts: list[str]) -> Column:
     """Number of cut points at or before the row.
 
     The cut points are one constant array and the row finds its place by halving, so the expression stays small
-    however many ranges there are.
+    however many ranges there are; a few cut points become plain comparisons.
     """
-    kind = "array<struct<" + ",".join(f"c{i}:{df.schema[c].dataType.simpleString()}" for i, c in enumerate(order)) + ">>"
-    points = F.from_json(F.lit("[" + ",".join(cuts) + "]"), kind, JSON_TIMES)
+    points = F.from_json(F.lit("[" + ",".join(cuts) + "]"), f"array<{_cut_type(df, order)}>", JSON_TIMES)
     row = _key(order)
+
+    def tree(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(row < F.element_at(points, mid + 1), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+
+    if len(cuts) <= SPELLED_OUT:
+        return tree(0, len(cuts))
     steps = [1 << b for b in reversed(range(len(cuts).bit_length()))]
 
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda at, step: F.when(
@@ -109,7 +128,12 @@ def neighbours(
     )
     carried = [c for c in dict.fromkeys([*previous.values(), *following.values()])]
     payload = F.struct(F.lit(1).alias("_there"), *[F.col(c) for c in carried])
-    edges = rows.groupBy("_range", *keys).agg(
+    # A key reaches over a cut only if the cut is one of its own rows, so the rows of all other keys stay out of this.
+    cut_keys = _cut_table(df, keys + order, cuts).select(*[F.col(f"c{i}").alias(f"_c{i}") for i in range(len(keys))]).distinct()
+    own = F.lit(True)
+    for i, k in enumerate(keys):
+        own = own & F.col(k).eqNullSafe(F.col(f"_c{i}"))
+    edges = rows.join(F.broadcast(cut_keys), own, "left_semi").groupBy("_range", *keys).agg(
         F.min_by(payload, F.struct(*order)).alias("_head"), F.max_by(payload, F.struct(*order)).alias("_tail"))
     across = Window.partitionBy(*keys).orderBy("_range")
     # Only keys that cross a cut have a neighbour range, and a cut is crossed by one key at most:
