@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 8192
 SAMPLE_PER_RANGE = 24
-# Up to so many cut points the comparisons are spelled out, which compiles to faster code.
-SPELLED_OUT = 24
+# Up to so many cut points the comparisons are spelled out.
+SPELLED_OUT = 63
 # Cut points travel as JSON; microseconds must survive (fixed values).
 JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
@@ -50,11 +50,11 @@ def _cut_table(df: DataFrame, order: list[str], cuts: list[str]) -> DataFrame:
     return texts.select(F.from_json("k", _cut_type(df, order), JSON_TIMES).alias("k")).select("k.*")
 
 
-def range_id(df: DataFrame, order: list[str], cuts: list[str]) -> Column:
-    """Number of cut points at or before the row.
+def with_range(df: DataFrame, order: list[str], cuts: list[str]) -> DataFrame:
+    """Add ``_range``: the number of cut points at or before the row.
 
-    The cut points are one constant array and the row finds its place by halving, so the expression stays small
-    however many ranges there are; a few cut points become plain comparisons.
+    The cut points are one constant array. A few of them are spelled out as a tree of comparisons; with more the row
+    finds its place by halving, one projection per step, so that the generated code stays small and compiled.
     """
     points = F.from_json(F.lit("[" + ",".join(cuts) + "]"), f"array<{_cut_type(df, order)}>", JSON_TIMES)
     row = _key(order)
@@ -66,11 +66,13 @@ def range_id(df: DataFrame, order: list[str], cuts: list[str]) -> Column:
         return F.when(row < F.element_at(points, mid + 1), tree(lo, mid)).otherwise(tree(mid + 1, hi))
 
     if len(cuts) <= SPELLED_OUT:
-        return tree(0, len(cuts))
-    steps = [1 << b for b in reversed(range(len(cuts).bit_length()))]
-
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda at, step: F.when(
-        F.coalesce(F.try_element_at(points, at + step) <= row, F.lit(False)), at + step).otherwise(at))
+        return df.withColumn("_range", tree(0, len(cuts)))
+    out, at = df.withColumn("_range", F.lit(0)), F.col("_range")
+    for bit in reversed(range(len(cuts).bit_length())):
+        step = 1 << bit
+        reached = F.coalesce(F.try_element_at(points, at + step) <= row, F.lit(False))
+        out = out.withColumn("_range", F.when(reached, at + step).otherwise(at))
+    return out
 
 
 def running_sum(
@@ -82,7 +84,7 @@ def running_sum(
     if not cuts:
         w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return rows.withColumn(out, F.sum("_value").over(w)).drop("_value")
-    rows = rows.withColumn("_range", range_id(df, order, cuts))
+    rows = with_range(rows, order, cuts)
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     # At most MAX_RANGES rows: one per range.
     offsets = rows.groupBy("_range").agg(F.sum("_value").alias("_total")).select(
@@ -117,7 +119,7 @@ def neighbours(
         return df.select("*", *[F.lag(c).over(w).alias(o) for o, c in previous.items()],
                          *[F.lead(c).over(w).alias(o) for o, c in following.items()])
 
-    rows = df.withColumn("_range", range_id(df, keys + order, cuts))
+    rows = with_range(df, keys + order, cuts)
     w = Window.partitionBy("_range", *keys).orderBy(*order)
     inside = rows.select(
         "*",

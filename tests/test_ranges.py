@@ -8,7 +8,7 @@ import pytest
 
 from conftest import rows
 from haulage.operators import parts as PA, retention as RT, snapshots as SN
-from haulage.operators.ranges import cut_points, neighbours, range_id, running_sum
+from haulage.operators.ranges import cut_points, neighbours, running_sum, with_range
 from haulage.sources.files import package_parts
 from pyspark.sql import functions as F
 
@@ -21,7 +21,7 @@ def skewed(spark):
     return spark.createDataFrame(data, "k int, t int, v int, s string").repartition(7).cache()
 
 
-@pytest.mark.parametrize("per_range", [10_000, 400, 37])
+@pytest.mark.parametrize("per_range", [10_000, 400, 37, 11])
 def test_running_sum(skewed, per_range):
     order = ["k", "t"]
     data = sorted([tuple(r) for r in skewed.collect()], key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
@@ -39,11 +39,11 @@ def test_cuts_balance(skewed):
     cuts = [json.loads(c) for c in raw]
     assert 5 <= len(cuts) <= 9 and cuts == sorted(cuts, key=lambda c: ("c0" in c, c.get("c0", 0), c["c1"]))
     assert sum(1 for c in cuts if c.get("c0") == 1) >= 2, "the large key must be cut as well"
-    sizes = [r["count"] for r in skewed.groupBy(range_id(skewed, ["k", "t"], raw).alias("r")).count().collect()]
+    sizes = [r["count"] for r in with_range(skewed, ["k", "t"], raw).groupBy("_range").count().collect()]
     assert len(sizes) == len(cuts) + 1 and max(sizes) < 900
 
 
-@pytest.mark.parametrize("per_range", [10_000, 400, 37])
+@pytest.mark.parametrize("per_range", [10_000, 400, 37, 11])
 def test_neighbours(skewed, per_range):
     got = neighbours(skewed, ["k"], ["t"], {"pt": "t", "ps": "s"}, {"nv": "v"}, per_range)
     by_key = {}
