@@ -1,6 +1,6 @@
 """Every query of this folder with its SQL."""
 
-from haulage.llm import chat, mixing, packing, pieces, rules  # noqa: F401
+from haulage.llm import chat, lines, mixing, packing, pieces, quality, rules  # noqa: F401
 from haulage.llm.base import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
