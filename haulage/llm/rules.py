@@ -22,7 +22,7 @@ from haulage.session import stored
 #: Fewest words, and largest share of words in repeated three-word windows in percent.
 LEAST_WORDS, MOST_REPEATED = 50, 50
 #: Rates that are held against limits: numerator, denominator, floor of the distance from the median (in thousandths).
-RATES = {"letters": ("word_chars", "n_words", 4000), "symbols": ("n_symbols", "n_words", 150), "repeats": ("n_repeat_words", "n_words", 200), "dup_lines": ("n_dup_lines", "n_lines", 200)}
+RATES = {"letters": ("word_chars", "n_words", 4000), "symbols": ("n_symbols", "n_words", 150), "repeats": ("n_repeat_words", "n_words", 350), "dup_lines": ("n_dup_lines", "n_lines", 450)}
 #: A rate may exceed the median by this many times the distance between the median and the upper quartile.
 REACH = 8
 #: Linear buckets below, and buckets to an octave above.
