@@ -32,6 +32,15 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def id_text(column: str) -> Column:
+    """An id on its way through pandas: a long column with a null would arrive as floats, which are exact up to 2^53 only."""
+    return F.col(column).cast("long").cast("string").alias(column)
+
+
+def id_back(df: DataFrame, column: str) -> DataFrame:
+    return df.withColumn(column, F.col(column).cast("long"))
+
+
 def in_slices(batches, size: int = 4 << 20):
     """The rows of Arrow-fed pandas frames again, in frames of about ``size`` characters of their last column.
 

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from haulage.llm.base import query, table
+from haulage.llm.base import id_back, id_text, query, table
 from haulage.session import stored
 
 START, AFTER_ROLE, END = "### ", ": ", "</turn>\n"
@@ -27,7 +27,7 @@ BLOCK_CHARS = 1 << 18
 TRAINED = "assistant"
 
 BLOCK = ("text string, node_start array<long>, node_end array<long>, node_position array<long>, node_parent array<int>, loss_start array<long>, loss_end array<long>, "
-         "attend_from array<array<long>>, attend_to array<array<long>>, conv_id array<long>, conv_leaf array<int>")
+         "attend_from array<array<long>>, attend_to array<array<long>>, conv_id array<string>, conv_leaf array<int>")
 
 
 def escaped(text: str, role: bool = False) -> str:
@@ -103,13 +103,13 @@ def prefix_blocks(conversations: DataFrame, block_chars: int = BLOCK_CHARS) -> D
     grouped = conversations.groupBy("conv_id").agg(turns.alias("turns"))
     path = F.concat_ws("", F.transform("turns", lambda t: F.lpad(F.hex(F.xxhash64(t["role"], t["text"])), 16, "0")))
     ordered = (grouped.withColumn("path", path).repartitionByRange("path", "conv_id").sortWithinPartitions("path", "conv_id")
-               .select("conv_id", F.transform("turns", lambda t: t["role"]).alias("roles"), F.transform("turns", lambda t: t["text"]).alias("texts")))
+               .select(id_text("conv_id"), F.transform("turns", lambda t: t["role"]).alias("roles"), F.transform("turns", lambda t: t["text"]).alias("texts")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block = Block()
         for frame in batches:
             for conv_id, roles, texts in zip(frame["conv_id"], frame["roles"], frame["texts"]):
-                block.add(None if pd.isna(conv_id) else int(conv_id), list(zip(roles, texts)))
+                block.add(conv_id, list(zip(roles, texts)))
                 if block.size >= block_chars:
                     yield block.frame()
                     block = Block()
@@ -135,10 +135,9 @@ def read_back(blocks: DataFrame) -> DataFrame:
                         k = b.node_parent[k]
                     loss = "".join([unescaped(b.text[b.loss_start[k]:b.loss_end[k]]) for k in reversed(nodes)])
                     out.append((conv_id, len(turns), hashlib.sha256(every.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(whole)))
-                made = pd.DataFrame(out, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
-                yield made.astype({"conv_id": "Int64"})
+                yield pd.DataFrame(out, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
-    return blocks.mapInPandas(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return id_back(blocks.mapInPandas(run, "conv_id string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"), "conv_id")
 
 
 ODD = "\\### Assistant: </turn> ok"

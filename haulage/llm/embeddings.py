@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from haulage.llm.base import query, table
+from haulage.llm.base import id_back, id_text, query, table
 from haulage.llm.graph import components
 from haulage.session import stored
 
@@ -162,9 +162,9 @@ def near_vectors(vectors: DataFrame, similar: float = SIMILAR, sample: int = SAM
                 good = v is not None and len(v) and np.isfinite(v).all() and v.any()
                 cls.append(int(np.uint64(xxhash.xxh3_64_intdigest(v.tobytes())).astype(np.int64)) if good else None)
                 kept.append(v if good else None)
-            yield pd.DataFrame({"vec_id": pd.array([None if pd.isna(i) else int(i) for i in frame["vec_id"]], "Int64"), "cls": pd.array(cls, "Int64"), "vector": kept})
+            yield pd.DataFrame({"vec_id": frame["vec_id"].to_numpy(), "cls": pd.array(cls, "Int64"), "vector": kept})
 
-    rows = stored(vectors.select("vec_id", "embedding").mapInPandas(check, "vec_id long, cls long, vector array<double>"), "vectors")
+    rows = stored(id_back(vectors.select(id_text("vec_id"), "embedding").mapInPandas(check, "vec_id string, cls long, vector array<double>"), "vec_id"), "vectors")
     classes = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     named = rows.select(F.col("cls").alias("_cls"), "vec_id", "vector")
     reps = stored(classes.join(named, (F.col("cls") == F.col("_cls")) & F.col("rep").eqNullSafe(F.col("vec_id"))).select("cls", "rep", "copies", "vector").dropDuplicates(["cls"]), "vector-classes")

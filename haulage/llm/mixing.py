@@ -18,6 +18,8 @@ from haulage.session import stored
 WEIGHTS = (5, 2, 1)
 #: Share of all words that the mix takes, in percent, and how often a source may be taken at most.
 SHARE, MOST = 150, 2
+#: Words of the rest of a target that the dynamic program fits, or twice the longest document if that is more.
+ROOM = 1 << 17
 #: Documents of one length and source that are ranked together.
 RANKED = 1000
 
@@ -59,7 +61,7 @@ def choose(lengths: list[int], counts: list[int], target: float) -> tuple[int, l
     rest = 0 if full == MOST else min(total, round(target - full * total))
     take = [c * rest // total if n else 0 for n, c in zip(lengths, counts)]
     rest -= sum(n * k for n, k in zip(lengths, take))
-    room = 2 * max(lengths)
+    room = max(2 * max(lengths), ROOM)
     for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
         if lengths[i] and rest > room:
             more = min(counts[i] - take[i], (rest - room) // lengths[i])

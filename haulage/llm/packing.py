@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from haulage.llm.base import in_slices, query, table, whole_text
+from haulage.llm.base import id_text, in_slices, query, table, whole_text
 from haulage.llm.words import UnitIds, kept_with, marked_encode
 from haulage.session import run_folder
 from haulage.sinks.archive import _publish
@@ -128,7 +128,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, block:
         size = block * units.dtype.itemsize
         for frame in in_slices(batches):
             encoded = units.join([word_units(t) for t in frame.iloc[:, 1].tolist()])
-            doc_ids += [None if pd.isna(d) else int(d) for d in frame.iloc[:, 0].tolist()]
+            doc_ids += [None if d is None else int(d) for d in frame.iloc[:, 0].tolist()]
             lengths += [len(e) // units.dtype.itemsize + 1 for e in encoded]
             run_of = rest + b"".join([part for e in encoded for part in (e, end)])
             whole = len(run_of) // size * size
@@ -151,7 +151,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, block:
         yield pd.DataFrame({"file_no": [context.partitionId()], "path": [f"{folder}/{part}"], "n_docs": [len(doc_ids)], "n_ids": [int(sum(lengths))]})
 
     ordered = docs.select("doc_id", whole_text().alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    written = ordered.mapInPandas(run, "file_no long, path string, n_docs long, n_ids long").collect()
+    written = ordered.select(id_text("doc_id"), "text").mapInPandas(run, "file_no long, path string, n_docs long, n_ids long").collect()
     starts, at = [], 0
     for row in sorted(written, key=lambda r: r.file_no):
         starts.append((row.path, row.n_docs, row.n_ids, at))

@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from haulage.llm.base import in_slices, query, table, whole_text
+from haulage.llm.base import id_back, id_text, in_slices, query, table, whole_text
 from haulage.llm.words import UnitIds, kept_with
 
 MARKER = "▁"
@@ -195,7 +195,7 @@ def encode_decode(docs: DataFrame, path: str, threads: int = 2) -> DataFrame:
             ids = pieces.encode(frame["text"].tolist())
             yield pd.DataFrame({"doc_id": frame["doc_id"].to_numpy(), "ids": [i.astype(np.int32) for i in ids], "decoded": pieces.decode(ids)})
 
-    return docs.select("doc_id", whole_text().alias("text")).mapInPandas(run, "doc_id long, ids array<int>, decoded string")
+    return id_back(docs.select(id_text("doc_id"), whole_text().alias("text")).mapInPandas(run, "doc_id string, ids array<int>, decoded string"), "doc_id")
 
 
 def digests(docs: DataFrame, path: str, threads: int = 2) -> DataFrame:
@@ -215,7 +215,8 @@ def digests(docs: DataFrame, path: str, threads: int = 2) -> DataFrame:
                 "doc_id": frame["doc_id"].to_numpy(), "n_ids": [len(i) for i in ids], "ids_crc32": [zlib.crc32(i.astype("<u4")) for i in ids],
                 "n_chars": [len(t) for t in texts], "decoded_same": [b == t for b, t in zip(back, texts)]})
 
-    return docs.select("doc_id", whole_text().alias("text")).mapInPandas(run, "doc_id long, n_ids long, ids_crc32 long, n_chars long, decoded_same boolean")
+    texts = docs.select(id_text("doc_id"), whole_text().alias("text"))
+    return id_back(texts.mapInPandas(run, "doc_id string, n_ids long, ids_crc32 long, n_chars long, decoded_same boolean"), "doc_id")
 
 
 def piece_model() -> str:

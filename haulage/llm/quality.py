@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from haulage.llm.base import in_slices, query, table, whole_text
+from haulage.llm.base import id_back, id_text, in_slices, query, table, whole_text
 from haulage.llm.words import kept_with
 
 #: Size of the weight vector (a power of two); the last place is the constant feature.
@@ -176,7 +176,8 @@ def with_scores(docs: DataFrame, weights: np.ndarray) -> DataFrame:
             score = scored(frame["text"].tolist(), shared.value, words)
             yield pd.DataFrame({"doc_id": frame["doc_id"].to_numpy(), "held_out": frame["held_out"].to_numpy(), "score": score, "predicted": (score >= THRESHOLD).astype(np.int32)})
 
-    return docs.select("doc_id", held_out().alias("held_out"), whole_text().alias("text")).mapInPandas(run, "doc_id long, held_out boolean, score double, predicted int")
+    texts = docs.select(id_text("doc_id"), held_out().alias("held_out"), whole_text().alias("text"))
+    return id_back(texts.mapInPandas(run, "doc_id string, held_out boolean, score double, predicted int"), "doc_id")
 
 
 def good(docs: DataFrame, weights: np.ndarray) -> DataFrame:

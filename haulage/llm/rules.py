@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from haulage.llm.base import in_slices, query, table, whole_text
+from haulage.llm.base import id_back, id_text, in_slices, query, table, whole_text
 from haulage.session import stored
 
 #: Fewest words, and largest share of words in repeated three-word windows in percent.
@@ -29,7 +29,7 @@ REACH = 8
 STEPS = 32
 
 SYMBOLS = b"#*$%&|<>"
-MEASURES = "doc_id long, lang string, source string, n_words long, n_lines long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+MEASURES = "doc_id string, lang string, source string, n_words long, n_lines long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
 def measure(text: str) -> tuple[int, int, int, int, int, int]:
@@ -66,7 +66,8 @@ def measured(docs: DataFrame) -> DataFrame:
             found = pd.DataFrame([measure(t) for t in frame["text"]], columns=names, dtype=np.int64)
             yield pd.concat([frame.iloc[:, :3].reset_index(drop=True), found], axis=1)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("source").cast("string"), whole_text().alias("text")).mapInPandas(run, MEASURES)
+    texts = docs.select(id_text("doc_id"), F.col("lang").cast("string"), F.col("source").cast("string"), whole_text().alias("text"))
+    return id_back(texts.mapInPandas(run, MEASURES), "doc_id")
 
 
 def bucket(rate: Column) -> Column:

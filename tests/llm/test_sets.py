@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from haulage.llm import chat, embeddings, jaccard, lines, mixing, quality
+from haulage.llm import bloom, chat, embeddings, jaccard, lines, mixing, quality
 from haulage.llm.graph import components
 from haulage.llm.queries import QUERIES
 from haulage.session import stored
@@ -109,8 +109,7 @@ def test_lines_with_a_full_filter(documents, monkeypatch):
     """A filter that is much too small suspects nearly everything, and changes nothing."""
     rng = random.Random(9)
     rows = [(i, "\n".join(f"line number {rng.randrange(3000)} of many" for _ in range(20))) for i in range(150)]
-    monkeypatch.setattr(lines, "FEWEST_BITS", 1 << 10)
-    monkeypatch.setattr(lines, "MOST_BITS", 1 << 10)
+    monkeypatch.setattr(lines, "size_for", lambda entries: 1 << 10)
     monkeypatch.setattr(lines, "SHARD", 64)
     assert sorted([(r.doc_id, r.n_lines, r.n_dropped, r.text) for r in lines.without_repeated_lines(documents(rows)).collect()], key=repr) == plain_lines(rows)
 
@@ -119,9 +118,9 @@ def test_merged_filters_lose_no_line():
     rng = np.random.default_rng(0)
     hashes, bits = rng.integers(0, 2**63, 500, dtype=np.uint64), 1 << 13
     a, b = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
-    lines.put(a, hashes[:300], bits)
-    lines.put(b, hashes[200:], bits)
-    assert lines.has(a & b, hashes[200:300], bits).all() and lines.has(a, hashes[:300], bits).all() and not lines.has(a & b, hashes, bits).all()
+    bloom.put(a, hashes[:300], bits)
+    bloom.put(b, hashes[200:], bits)
+    assert bloom.has(a & b, hashes[200:300], bits).all() and bloom.has(a, hashes[:300], bits).all() and not bloom.has(a & b, hashes, bits).all()
 
 
 # --- vectors
@@ -271,7 +270,8 @@ def held_to_plain(rows, texts):
         sums[r.source] = sums.get(r.source, 0) + r.taken
     for s in sizes:
         assert all(abs(r.target - target[s]) <= 1e-9 * max(1, target[s]) for r in rows if r.source == s)
-        assert abs(sums[s] - target[s]) <= 1, (s, sums[s], target[s])
+        # a source with few documents may have no subset of exactly this size
+        assert abs(sums[s] - target[s]) <= max(1, 0.002 * target[s]), (s, sums[s], target[s])
 
 
 def decided(docs):
