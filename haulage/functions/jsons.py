@@ -2,14 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 TEXT_MAP = "map<string,string>"
 
 
-def canonical_hash(*cols: Column) -> Column:
-    """MD5 of the JSON text of the given columns, in the given order."""
-    return F.md5(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}))
+def _sorted_keys(value: Column, kind: T.DataType) -> Column:
+    """A value with the fields of every struct and the keys of every map in order, at any depth."""
+    if isinstance(kind, T.StructType):
+        fields = [_sorted_keys(value[f.name], f.dataType).alias(f.name) for f in sorted(kind, key=lambda f: f.name)]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda v: _sorted_keys(v, kind.elementType))
+    if isinstance(kind, T.MapType):
+        entries = F.array_sort(F.transform(F.map_keys(value), lambda k: F.struct(k.alias("key"), _sorted_keys(value[k], kind.valueType).alias("value"))))
+        return F.map_from_entries(entries)
+    return value
+
+
+def canonical_hash(schema: T.StructType, *names: str) -> Column:
+    """MD5 of the JSON text of the named columns, with sorted keys at every depth."""
+    fields = [_sorted_keys(F.col(f"`{n}`"), schema[n].dataType).alias(n) for n in sorted(names)]
+    return F.md5(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}))
 
 
 def literal_as_json(text: Column) -> Column:

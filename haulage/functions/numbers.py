@@ -12,15 +12,14 @@ COUNT_UNITS = ["", "тыс", "млн", "млрд", "трлн", "птлн"]
 def readable_size(value: Column, base: int = 1024) -> Column:
     """``1.5 MB``: two decimals at most, sign kept, ``0 B`` for zero and NULL."""
     units = BYTE_UNITS if base == 1024 else COUNT_UNITS
-    size = F.abs(value.cast("double"))
+    size = F.abs(F.coalesce(value.cast("double"), F.lit(0.0)))
     number, unit = size, F.lit(units[0])
     for power in range(1, len(units)):
         reached = size >= float(base) ** power
         number = F.when(reached, size / (float(base) ** power)).otherwise(number)
         unit = F.when(reached, F.lit(units[power])).otherwise(unit)
-    sign = F.when(value < 0, F.lit("-")).otherwise("")
-    text = F.rtrim(F.concat(sign, F.bround(number, 2).cast("string"), F.lit(" "), unit))
-    return F.when(value.isNull() | (value == 0), F.lit(f"0 {units[0]}".rstrip())).otherwise(text)
+    digits = F.when(size > 0, F.bround(number, 2).cast("string")).otherwise("0")
+    return F.rtrim(F.concat(F.when(value < 0, F.lit("-")).otherwise(""), digits, F.lit(" "), unit))
 
 
 def size_bytes(text: str | int | None) -> int | None:

@@ -59,97 +59,109 @@ def minutes(amount) -> Column:
     return seconds(amount * F.lit(60))
 
 
-def _at_clock(ts: Column, hour: int, minute: int, second: int) -> Column:
-    return F.date_trunc("day", ts).cast("timestamp_ntz") + seconds(hour * 3600 + minute * 60 + second)
+# Kinds of steps in a delta text: the pattern of a part, tried in this order, and the step it stands for.
+_CLOCK = r"[+-]?\d+(?::[+-]?\d+)*"
+STEPS = [
+    (rf"time\s*=\s*({_CLOCK})", "clock"),
+    (r"date\s*=\s*([\d.-]+)", "day"),
+    (r"weekday\s*=\s*([+-]?\d+)", "weekday"),
+    (rf"({_CLOCK})", "later"),
+    (r"\w+\s*=\s*[+-]*\d+|[+-]*\d+\s+\w+", "amount"),
+]
+# Names of the fields in a date, by its separator.
+DATE_FIELDS = {".": ("day", "month", "year"), "-": ("year", "month", "day")}
+
+
+def _midnight(ts: Column) -> Column:
+    return F.date_trunc("day", ts).cast("timestamp_ntz")
+
+
+def _to_day(ts: Column, fields: dict[str, Column]) -> Column:
+    """The same clock time on another day; fields that are not given, or NULL, stay."""
+    own = [F.coalesce(fields.get(name, F.lit(None).cast("int")), getattr(F, of)(ts)) for name, of in (("year", "year"), ("month", "month"), ("day", "dayofmonth"))]
+    day = F.try_to_timestamp(F.format_string("%04d-%02d-%02d", *own), F.lit("yyyy-MM-dd")).cast("timestamp_ntz")
+    return day + (ts - _midnight(ts))
+
+
+# What a step does to a moment; the argument is a Column, or a dict of Columns for a day.
+MOVES = {
+    "clock": lambda ts, sec: _midnight(ts) + seconds(sec),
+    "day": _to_day,
+    "weekday": lambda ts, number: ts + F.make_dt_interval(number - F.weekday(ts)),
+    "later": lambda ts, sec: ts + seconds(sec),
+    "amount": lambda ts, us: ts + micros(us),
+}
+
+
+def _argument(kind: str, part: str):
+    """The argument of a step as a constant."""
+    value = part.split("=")[-1].strip()
+    if kind in ("clock", "later"):
+        return F.lit(sum(int(v) * unit for v, unit in zip(value.split(":"), (3600, 60, 1))))
+    if kind == "weekday":
+        return F.lit(int(value))
+    if kind == "day":
+        sep = "." if "." in value else "-"
+        return {name: F.lit(int(v)) for name, v in zip(DATE_FIELDS[sep], value.split(sep))}
+    number, unit = re.search(r"[+-]*\d+", part)[0], re.search(r"[a-z_]+", part)
+    unit = (unit[0].rstrip("s") if unit else "") + "s"
+    if unit not in UNIT_MICROS:
+        raise ValueError(f"unknown unit in delta text: {part!r}")
+    return F.lit(int(number) * UNIT_MICROS[unit])
 
 
 def shift(ts: Column, expression: str | None) -> Column:
     """Apply a delta text known when the plan is built; it compiles to plain arithmetic.
 
     The text is a comma list of ``time=H[:M[:S]]``, ``date=Y-M-D`` or ``date=D.M.Y`` (short forms allowed),
-    ``weekday=N`` (0 is Monday, same week), ``unit=±N``, ``N unit`` and ``H:M:S`` (added).
+    ``weekday=N`` (0 is Monday, same week), ``unit=±N``, ``N unit`` and ``H:M:S`` (added); other parts do nothing.
     The result has whole seconds.
     """
     if expression is None:
         return ts
+    steps = []
+    for part in map(str.strip, expression.lower().split(",")):
+        kind = next((kind for pattern, kind in STEPS if re.fullmatch(pattern, part)), None)
+        if kind:
+            steps.append((kind, _argument(kind, part)))
     out = ts.cast("timestamp_ntz")
-    for part in (p.strip().lower() for p in expression.split(",")):
-        name, eq, value = (x.strip() for x in part.partition("="))
-        if not eq:
-            words = part.split()
-            if len(words) == 2:
-                name, value = words[1].rstrip("s") + "s", words[0]
-            else:
-                name, value = "", words[0] if words else ""
-        if name == "time":
-            clock = [int(v) for v in value.split(":")] + [0, 0]
-            out = _at_clock(out, *clock[:3])
-        elif name == "date":
-            day_first = "." in value
-            fields = ("day", "month", "year") if day_first else ("year", "month", "day")
-            given = dict(zip(fields, (int(v) for v in value.split("." if day_first else "-"))))
-            day = F.make_date(*(F.lit(given[f]) if f in given else getattr(F, f)(out) for f in ("year", "month", "day")))
-            out = day.cast("timestamp_ntz") + (out - F.date_trunc("day", out).cast("timestamp_ntz"))
-        elif name == "weekday":
-            out = out + F.make_dt_interval(F.lit(int(value)) - F.weekday(out))
-        elif name == "" and value:
-            clock = [int(v) for v in value.split(":")] + [0, 0]
-            out = out + seconds(clock[0] * 3600 + clock[1] * 60 + clock[2])
-        elif re.fullmatch(r"[+-]*\d+", value):
-            if name not in UNIT_MICROS:
-                raise ValueError(f"unknown unit in delta text: {part!r}")
-            out = out + micros(int(value) * UNIT_MICROS[name])
+    for kind, argument in steps:
+        out = MOVES[kind](out, argument)
     return F.date_trunc("second", out).cast("timestamp_ntz")
 
 
 def shift_by_column(ts: Column, expression: Column) -> Column:
-    """The same rule as :func:`shift` with a different text on every row, still evaluated inside the JVM.
+    """The same steps as :func:`shift` with a different text on every row, still evaluated inside the JVM.
 
     Parts that :func:`shift` would reject give NULL.
     """
-    def number(text: Column, pos: int, sep: str) -> Column:
-        return F.coalesce(F.split_part(text, F.lit(sep), F.lit(pos)).try_cast("int"), F.lit(0))
-
-    def clock_seconds(text: Column) -> Column:
-        return number(text, 1, ":") * 3600 + number(text, 2, ":") * 60 + number(text, 3, ":")
+    def piece(text: Column, at: int, sep: str) -> Column:
+        return F.split_part(text, F.lit(sep), F.lit(at)).try_cast("int")
+
+    def argument(kind: str, part: Column):
+        value = F.trim(F.element_at(F.split(part, "="), -1))
+        if kind in ("clock", "later"):
+            return sum((F.coalesce(piece(value, at, ":"), F.lit(0)) * unit for at, unit in ((2, 60), (3, 1))), F.coalesce(piece(value, 1, ":"), F.lit(0)) * 3600)
+        if kind == "weekday":
+            return value.try_cast("int")
+        if kind == "day":
+            dotted = value.contains(".")
+            place = {sep: {name: at for at, name in enumerate(names, 1)} for sep, names in DATE_FIELDS.items()}
+            return {name: F.when(dotted, piece(value, place["."][name], ".")).otherwise(piece(value, place["-"][name], "-")) for name in DATE_FIELDS["-"]}
+        unit = F.concat(F.regexp_replace(F.regexp_extract(part, "[a-z_]+", 0), "s+$", ""), F.lit("s"))
+        number = F.regexp_replace(F.regexp_extract(part, r"[+-]*\d+", 0), r"^\++", "").try_cast("bigint")
+        return number * F.coalesce(*[F.when(unit == k, F.lit(v).cast("bigint")) for k, v in UNIT_MICROS.items()])
 
     def step(acc: Column, raw: Column) -> Column:
-        part = F.trim(raw)
-        has_eq = part.contains("=")
-        pair = F.regexp_extract(part, r"^(\S+)\s+(\S+)$", 0) != ""
-        name = F.when(has_eq, F.trim(F.split_part(part, F.lit("="), F.lit(1)))).when(
-            pair, F.concat(F.regexp_replace(F.regexp_extract(part, r"(\S+)$", 1), r"s+$", ""), F.lit("s"))
-        ).otherwise("")
-        value = F.when(has_eq, F.trim(F.split_part(part, F.lit("="), F.lit(2)))).otherwise(
-            F.regexp_extract(part, r"^(\S*)", 1)
-        )
-        day0 = F.date_trunc("day", acc).cast("timestamp_ntz")
-        dotted = value.contains(".")
-
-        def field(dot_pos: int, dash_pos: int, current: Column) -> Column:
-            text = F.when(dotted, F.split_part(value, F.lit("."), F.lit(dot_pos))).otherwise(
-                F.split_part(value, F.lit("-"), F.lit(dash_pos)))
-            return F.coalesce(text.try_cast("int"), current)
-
-        new_day = F.try_to_timestamp(
-            F.format_string("%04d-%02d-%02d", field(3, 1, F.year(acc)), field(2, 2, F.month(acc)), field(1, 3, F.dayofmonth(acc))),
-            F.lit("yyyy-MM-dd"),
-        ).cast("timestamp_ntz")
-        unit = F.coalesce(*[F.when(name == k, F.lit(v).cast("bigint")) for k, v in UNIT_MICROS.items()])
-        amount = F.regexp_replace(value, r"^\++", "").try_cast("bigint")
-        return (
-            F.when(name == "time", day0 + seconds(clock_seconds(value)))
-            .when(name == "date", new_day + (acc - day0))
-            .when(name == "weekday", acc + F.make_dt_interval(value.try_cast("int") - F.weekday(acc)))
-            .when((name == "") & (value != ""), acc + seconds(clock_seconds(value)))
-            .when(amount.isNotNull(), acc + micros(amount * unit))
-            .otherwise(acc)
-        )
+        part, moved = F.trim(raw), None
+        for pattern, kind in STEPS:
+            fits, there = part.rlike(f"^(?:{pattern})$"), MOVES[kind](acc, argument(kind, part))
+            moved = F.when(fits, there) if moved is None else moved.when(fits, there)
+        return moved.otherwise(acc)
 
     start = ts.cast("timestamp_ntz")
-    moved = F.aggregate(F.split(F.lower(expression), ","), start, step,
-                        lambda acc: F.date_trunc("second", acc).cast("timestamp_ntz"))
-    return F.when(expression.isNull(), start).otherwise(moved)
+    done = F.aggregate(F.split(F.lower(expression), ","), start, step, lambda acc: F.date_trunc("second", acc).cast("timestamp_ntz"))
+    return F.when(expression.isNull(), start).otherwise(done)
 
 
 def duration(text: Column) -> Column:

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from haulage.functions import jsons as J, text as X, times as T
 
 SETTLE_SECONDS = 1800
-MAX_EVENTS = 25
 
 
 def event_registry(workflow_events: DataFrame) -> DataFrame:
@@ -79,8 +78,8 @@ def new_events(registry: DataFrame, stats: DataFrame, publications: DataFrame, p
         "pub_key", "event_key", "prf", "eid", "sid", "loading_id", "value", "published_at")
 
 
-def capped_events(events: DataFrame, seed: str = "", cap: int = MAX_EVENTS) -> DataFrame:
-    """One cycle's events in a fair, repeatable order."""
+def cycle_events(events: DataFrame, seed: str = "", cap: int | None = None) -> DataFrame:
+    """Events in a fair, repeatable order; with a cap those of one cycle."""
     from haulage.operators.reports import random_order
 
     return random_order(events, seed, "event_key", limit=cap)

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from haulage.functions import times as T
 
-# Row caps by environment, 0 means no cap (fixed values).
-ROW_CAPS = {"prom": 0, "uat": 100, "qa": 100, "ift": 100, "dev": 100}
+# Environments outside production, whose packages are samples (fixed values).
+SAMPLED = ("uat", "qa", "ift", "dev")
 
 
 def in_window(field: Column, start, end, kind: str = "timestamp_ntz") -> Column:
@@ -33,10 +33,9 @@ def technical_columns(df: DataFrame, export_time, valid_from) -> DataFrame:
         F.lit("I").alias("ctl_action"), T.moment(valid_from).alias("ctl_validfrom"))
 
 
-def capped(df: DataFrame, environment: str = "") -> DataFrame:
-    """The sample size allowed outside production; unknown environments have no cap."""
-    cap = ROW_CAPS.get(environment.strip().lower(), 0)
-    return df.limit(cap) if cap else df
+def sampled(df: DataFrame, environment: str, rows: int | None, order: list[str]) -> DataFrame:
+    """The first ``rows`` rows in the given order outside production, when a number is given; else all rows."""
+    return df.orderBy(*order).limit(rows) if rows is not None and environment.strip().lower() in SAMPLED else df
 
 
 def statement(spec: dict | str, lead: list[str] | None = None, tail: list[str] | None = None) -> str:

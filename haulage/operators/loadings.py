@@ -101,9 +101,8 @@ def status_last(log: DataFrame, ident: str = "loading_id") -> DataFrame:
 
 
 def status_history(log: DataFrame, ident: str = "loading_id") -> DataFrame:
-    """One row per loading and moment with the text ``STATUS log``; a history of any length stays spread out."""
-    entry = F.concat("status", F.lit(" "), F.coalesce("log", F.lit("")))
-    return log.groupBy(ident, "effective_from").agg(F.min(entry).alias("entry"))
+    """One row per loading, moment and text ``STATUS log``; a history of any length stays spread out."""
+    return log.select(ident, "effective_from", F.concat("status", F.lit(" "), F.coalesce("log", F.lit(""))).alias("entry")).distinct()
 
 
 def run_types(log: DataFrame, runs: DataFrame, ident: str = "loading_id") -> DataFrame:
@@ -112,6 +111,30 @@ def run_types(log: DataFrame, runs: DataFrame, ident: str = "loading_id") -> Dat
     return runs.join(first, ident, "left").select(ident, run_type(F.col("given"), F.col("auto"), F.col("first_status")).alias("run_type"))
 
 
+# What the monitor does by status: (statuses, condition, hours that must have passed, action). The first line of a status
+# that applies decides (statuses, actions and hours are fixed values); a status without a line is not known.
+MONITOR = [
+    (("PREREQ", "PARAM", "START"), "always", 0, "reStarted"),
+    (("LOCK", "LOCK-WAIT"), "always", 5, "reStarted"),
+    (("LOCK", "LOCK-WAIT"), "always", 0, "Skipped"),
+    (("TIME-WAIT", "EVENT-WAIT"), "runs", 0, "Skipped"),
+    (("TIME-WAIT",), "start is due", 0, "reStarted"),
+    (("TIME-WAIT",), "start is planned", 0, "Skipped"),
+    (("TIME-WAIT",), "always", 0, "Aborted"),
+    (("EVENT-WAIT",), "events are missing", 0, "Skipped"),
+    (("EVENT-WAIT",), "always", 0, "reStarted"),
+    (("RUNNING",), "no text", 0, "Skipped"),
+    (("RUNNING",), "text of the run", 6, "reRunned"),
+    (("RUNNING",), "text of the run", 0, "Skipped"),
+    (("RUNNING",), "always", 0, "reRunned"),
+    (("ERROR",), "aborts on failure", 0, "Aborted"),
+    (("ERROR", "SUCCESS"), "always", 0, "Completed"),
+    (("ERRORCHECK",), "always", 0, "reRunned"),
+    (("ABORTING",), "names a status", 0, None),
+    (("ABORTING",), "always", 0, "Aborted"),
+]
+
+
 def monitor_action(now, events_wait: Column | None = None) -> Column:
     """What to do with an active loading.
 
@@ -119,30 +142,25 @@ def monitor_action(now, events_wait: Column | None = None) -> Column:
     EVENT-WAIT loading are not ready. Anything younger than an hour is New.
     """
     now = T.moment(now)
-    at, status, log = F.col("status_sdt"), F.col("status"), F.coalesce(F.col("log"), F.lit(""))
-    waits = F.coalesce(events_wait, F.lit(True)) if events_wait is not None else F.lit(True)
+    log = F.coalesce(F.col("log"), F.lit(""))
+    named = F.split_part(F.trim(log), F.lit(" "), F.lit(1))
+    planned = F.try_to_timestamp(F.substr(log, F.lit(20)), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
+    scheduled = log.startswith("Start scheduled on ")
+    conditions = {
+        "always": F.lit(True), "runs": F.col("running"), "no text": log == "", "text of the run": log.startswith("RUN"),
+        "start is planned": scheduled, "start is due": scheduled & (planned + T.seconds(900) <= now), "aborts on failure": F.col("abort_on_failure"),
+        "names a status": named.isin(STATUSES), "events are missing": F.lit(True) if events_wait is None else F.coalesce(events_wait, F.lit(True)),
+    }
 
     def older(hours: int) -> Column:
-        return at + T.seconds(hours * 3600) <= now
+        return F.col("status_sdt") + T.seconds(hours * 3600) <= now
 
-    word = F.split_part(F.trim(log), F.lit(" "), F.lit(1))
-    planned = F.try_to_timestamp(F.substr(log, F.lit(20)), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
-    decided = (
-        F.when(status == "ERRORCHECK", "reRunned")
-        .when(status == "ERROR", F.when(F.col("abort_on_failure"), "Aborted").otherwise("Completed"))
-        .when(status == "SUCCESS", "Completed")
-        .when(status == "ABORTING", F.when(word.isin(STATUSES), word).otherwise("Aborted"))
-        .when(status.isin("LOCK-WAIT", "LOCK"), F.when(older(5), "reStarted").otherwise("Skipped"))
-        .when((status == "RUNNING") & (log != "") & ~log.startswith("RUN"), "reRunned")
-        .when((status == "RUNNING") & log.startswith("RUN"), F.when(older(6), "reRunned").otherwise("Skipped"))
-        .when((status == "TIME-WAIT") & ~F.col("running"),
-              F.when(log.startswith("Start scheduled on "), F.when(planned + T.seconds(900) <= now, "reStarted").otherwise("Skipped")).otherwise("Aborted"))
-        .when((status == "EVENT-WAIT") & ~F.col("running"), F.when(waits, "Skipped").otherwise("reStarted"))
-        .when((status == "RUNNING") & (log == ""), "Skipped")
-        .when(status.isin("TIME-WAIT", "EVENT-WAIT") & F.col("running"), "Skipped")
-        .when(status.isin("PREREQ", "PARAM", "START"), "reStarted")
-        .otherwise("notFound"))
-    return F.when(older(1), decided).otherwise("New")
+    decided = None
+    for statuses, condition, hours, action in MONITOR:
+        applies = F.col("status").isin(*statuses) & conditions[condition] & (older(hours) if hours else F.lit(True))
+        result = named if action is None else F.lit(action)
+        decided = F.when(applies, result) if decided is None else decided.when(applies, result)
+    return F.when(older(1), decided.otherwise("notFound")).otherwise("New")
 
 
 def with_sla(action: Column, now, interval: Column | None = None) -> Column:
@@ -159,9 +177,10 @@ def monitor(loadings: DataFrame, now, events_wait: Column | None = None, interva
         "age", T.elapsed_text(T.moment(now), F.col("status_sdt")))
 
 
-def actionable(monitored: DataFrame, cap: int = 25) -> DataFrame:
-    """The loadings acted on in one cycle, lowest ids first."""
-    return monitored.where(~F.col("action").isin("Skipped", "New", "notFound", "SLA")).orderBy("lid").limit(cap)
+def actionable(monitored: DataFrame, limit: int | None = None) -> DataFrame:
+    """The loadings to act on; with a limit those of one cycle, lowest ids first."""
+    due = monitored.where(~F.col("action").isin("Skipped", "New", "notFound", "SLA"))
+    return due if limit is None else due.orderBy("lid").limit(limit)
 
 
 def reject_reason(profile: str) -> Column:
@@ -176,8 +195,8 @@ def reject_reason(profile: str) -> Column:
         .when((F.col("status") == "RUNNING") & (F.coalesce(F.col("log"), F.lit("")) != ""), "already run"))
 
 
-def launch_candidates(loadings: DataFrame, profile: str, cap: int = 50) -> DataFrame:
-    """Every loading with ``reject_reason`` (NULL = launched).
+def launch_candidates(loadings: DataFrame, profile: str, cap: int) -> DataFrame:
+    """Every loading with ``reject_reason`` (NULL = launched); ``cap`` is the number of workflows started in one cycle.
 
     Per workflow the lowest id wins; workflows are taken in id order up to the cap. Rows met after the cap is full
     are over the limit even when their workflow was taken.
@@ -189,7 +208,7 @@ def launch_candidates(loadings: DataFrame, profile: str, cap: int = 50) -> DataF
     # At most ``cap`` rows, so the closing id is one value.
     full_at = taken.agg(F.when(F.count("*") >= cap, F.max("first_lid"))).scalar()
     chosen = taken.select(F.col("wf_id").alias("_w"), F.col("first_lid").alias("_f"))
-    joined = marked.join(F.broadcast(chosen), F.col("wf_id") == F.col("_w"), "left")
+    joined = marked.join(chosen, F.col("wf_id") == F.col("_w"), "left")
     over = F.coalesce(F.col("lid") > full_at, F.lit(False))
     final = F.when(~good, F.col("reject_reason")).when(F.col("lid") == F.col("_f"), None).when(over, f"limit {cap} exceeded").otherwise("wf already added")
     return joined.withColumn("reject_reason", final).drop("_w", "_f")

@@ -2,53 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from haulage.operators.ranges import ROWS_PER_RANGE, running_sum
+from haulage.operators.ranges import running_sum
+from haulage.sinks.delimited import Dialect, PLAIN_TSV, header_line, line_of
 
-# A package without a size bound is still cut into parts of this size, so that no task holds a whole table.
-UNBOUNDED_PART_BYTES = 1024 ** 3
 
+def row_bytes(df: DataFrame, dialect: Dialect = PLAIN_TSV) -> Column:
+    """Bytes of a row as a written line, escapes, quotes and line end included."""
+    return (F.octet_length(line_of(df.schema, dialect)) + len(dialect.lineterminator.encode())).cast("bigint")
 
-def row_bytes(df: DataFrame, sep_bytes: int = 1) -> Column:
-    """Bytes of a row as delimited text, separators and line end included."""
-    total = F.lit(len(df.columns) * sep_bytes)
-    for c in df.columns:
-        total = total + F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0))
-    return total.cast("bigint")
 
+def head_bytes(columns: list[str], dialect: Dialect = PLAIN_TSV) -> int:
+    """Bytes of the header line of every part."""
+    return len((header_line(columns, dialect) + dialect.lineterminator).encode())
 
-def with_parts(df: DataFrame, order: list[str], max_bytes: int | None = None, size: Column | None = None,
-               rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """Add ``part_no`` (from 0, may have gaps) and ``row_size``; no part is larger than ``max_bytes``.
 
-    Rows are laid end to end in ``order`` (unique) and cut every ``max_bytes`` less the widest row, so the row that
+def with_parts(df: DataFrame, order: list[str], max_bytes: int, size: Column | None = None, rows_per_range: int | None = None, head: int = 0) -> DataFrame:
+    """Add ``part_no`` (from 0, may have gaps) and ``row_size``; no part with its header of ``head`` bytes is larger than
+    ``max_bytes``.
+
+    Rows are laid end to end in ``order`` (unique) and cut every ``max_bytes`` less header and widest row, so the row that
     crosses a cut still fits. Rows wider than the bound get a part of their own. A frame that has ``row_size`` already
     is not measured again: its manifest then needs the order columns and the size only.
     """
-    bound = max_bytes or UNBOUNDED_PART_BYTES
     sized = df if "row_size" in df.columns else df.withColumn("row_size", size if size is not None else row_bytes(df))
     stats = sized.agg(F.max("row_size").alias("widest"), F.count("*").alias("n")).first()
-    stride = max(bound - (stats.widest or 0), 1)
+    stride = max(max_bytes - head - (stats.widest or 0), 1)
     laid = running_sum(sized, order, F.col("row_size"), "_end", rows_per_range, stats.n)
     return laid.withColumn("part_no", F.floor((F.col("_end") - F.col("row_size")) / F.lit(stride)).cast("bigint")).drop("_end")
 
 
-def manifest(parts: DataFrame) -> DataFrame:
-    """``(part_no, part_index, part_total, n_rows, n_bytes)``; indexes are dense and start at 1."""
-    counts = parts.groupBy("part_no").agg(F.count("*").alias("n_rows"), F.sum("row_size").alias("n_bytes"))
-    # One row per part: the table is as small as the number of files of the package.
-    everything = Window.partitionBy(F.lit(0))
-    return counts.select(
-        "part_no", F.dense_rank().over(everything.orderBy("part_no")).cast("bigint").alias("part_index"),
-        F.count("*").over(everything).alias("part_total"), "n_rows", "n_bytes")
+def manifest(parts: DataFrame, head: int = 0) -> DataFrame:
+    """``(part_no, part_index, part_total, n_rows, n_bytes)``; indexes are dense and start at 1, bytes are those written."""
+    counts = parts.groupBy("part_no").agg(F.count("*").alias("n_rows"), (F.sum("row_size") + head).alias("n_bytes"))
+    total = counts.agg(F.count("*").alias("n")).scalar()
+    placed = running_sum(counts, ["part_no"], F.lit(1).cast("bigint"), "part_index")
+    return placed.select("part_no", "part_index", total.alias("part_total"), "n_rows", "n_bytes")
 
 
-def named_manifest(parts: DataFrame, schema: str, table: str, replica: str, stamp: str, ext: str = "csv") -> DataFrame:
+def named_manifest(parts: DataFrame, schema: str, table: str, replica: str, stamp: str, ext: str = "csv", head: int = 0) -> DataFrame:
     """Names of the data, descriptor, ticket and archive of every part; lower case, one time stamp per package."""
     tail = F.format_string("%d_%d_%d", "part_index", "part_total", "n_rows")
     data = F.concat(F.lit(f"{schema}__{table}__{stamp}__"), tail)
-    return manifest(parts).select(
+    return manifest(parts, head).select(
         "*", F.lower(F.concat(data, F.lit(f".{ext}"))).alias("data_name"), F.lower(F.concat(data, F.lit(".meta"))).alias("meta_name"),
         F.lower(F.lit(f"{replica}__{stamp}.tkt")).alias("ticket_name"),
         F.lower(F.concat(F.lit(f"{replica}__{stamp}__{table}__"), tail, F.lit(".zip"))).alias("archive_name"))
@@ -76,9 +73,9 @@ def empty_manifest(spark: SparkSession, schema: str, table: str, replica: str, s
         "ticket_name string, archive_name string")
 
 
-def package_manifest(parts: DataFrame, schema: str, table: str, replica: str, stamp: str, send_empty: bool, ext: str = "csv") -> DataFrame:
+def package_manifest(parts: DataFrame, schema: str, table: str, replica: str, stamp: str, send_empty: bool, ext: str = "csv", head: int = 0) -> DataFrame:
     """The named manifest, or the header-only one when there are no rows and empty packages are sent."""
-    named = named_manifest(parts, schema, table, replica, stamp, ext)
+    named = named_manifest(parts, schema, table, replica, stamp, ext, head)
     if not send_empty:
         return named
     spare = empty_manifest(parts.sparkSession, schema, table, replica, stamp, ext)

@@ -12,11 +12,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 8192
 SAMPLE_PER_RANGE = 24
-# Up to so many cut points the comparisons are spelled out.
-SPELLED_OUT = 63
 # Cut points travel as JSON; microseconds must survive (fixed values).
 JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
@@ -25,16 +21,15 @@ def _key(order: list[str]) -> Column:
     return F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(order)])
 
 
-def cut_points(df: DataFrame, order: list[str], rows_per_range: int = ROWS_PER_RANGE, total: int | None = None) -> list[str]:
-    """Order tuples (as JSON) that split ``df`` into about equal ranges; empty when one range is enough.
+def cut_points(df: DataFrame, order: list[str], rows_per_range: int | None = None, total: int | None = None) -> list[str]:
+    """Order tuples (as JSON) that split ``df`` into about equal ranges: as many as the session has shuffle partitions, or
+    of about ``rows_per_range`` rows.
 
-    The sample brought to the driver is bounded by ``MAX_RANGES * SAMPLE_PER_RANGE`` tuples in expectation.
+    The sample brought to the driver has ``SAMPLE_PER_RANGE`` tuples a range in expectation.
     """
     total = df.count() if total is None else total
-    wanted = min(MAX_RANGES, math.ceil(total / rows_per_range))
-    if wanted <= 1:
-        return []
-    fraction = min(1.0, wanted * SAMPLE_PER_RANGE / total)
+    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if rows_per_range is None else math.ceil(total / rows_per_range)
+    fraction = min(1.0, wanted * SAMPLE_PER_RANGE / max(total, 1))
     # One task sorts the bounded sample; a global ordering would read the input a second time to find its own ranges.
     sample = df.select(*order).sample(False, fraction, seed=11).repartition(1).sortWithinPartitions(*order)
     keys = [r.k for r in sample.select(F.to_json(_key(order), JSON_TIMES).alias("k")).collect()]
@@ -53,20 +48,11 @@ def _cut_table(df: DataFrame, order: list[str], cuts: list[str]) -> DataFrame:
 def with_range(df: DataFrame, order: list[str], cuts: list[str]) -> DataFrame:
     """Add ``_range``: the number of cut points at or before the row.
 
-    The cut points are one constant array. A few of them are spelled out as a tree of comparisons; with more the row
-    finds its place by halving, one projection per step, so that the generated code stays small and compiled.
+    The cut points are one constant array; a row finds its place by halving, one projection per step, so that the
+    generated code stays small and compiled.
     """
     points = F.from_json(F.lit("[" + ",".join(cuts) + "]"), f"array<{_cut_type(df, order)}>", JSON_TIMES)
     row = _key(order)
-
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(row < F.element_at(points, mid + 1), tree(lo, mid)).otherwise(tree(mid + 1, hi))
-
-    if len(cuts) <= SPELLED_OUT:
-        return df.withColumn("_range", tree(0, len(cuts)))
     out, at = df.withColumn("_range", F.lit(0)), F.col("_range")
     for bit in reversed(range(len(cuts).bit_length())):
         step = 1 << bit
@@ -76,17 +62,13 @@ def with_range(df: DataFrame, order: list[str], cuts: list[str]) -> DataFrame:
 
 
 def running_sum(
-    df: DataFrame, order: list[str], value: Column, out: str, rows_per_range: int = ROWS_PER_RANGE, total: int | None = None
+    df: DataFrame, order: list[str], value: Column, out: str, rows_per_range: int | None = None, total: int | None = None
 ) -> DataFrame:
     """Add ``out`` = sum of ``value`` over all rows up to and including this one in the given total order."""
     cuts = cut_points(df, order, rows_per_range, total)
-    rows = df.withColumn("_value", value)
-    if not cuts:
-        w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return rows.withColumn(out, F.sum("_value").over(w)).drop("_value")
-    rows = with_range(rows, order, cuts)
+    rows = with_range(df.withColumn("_value", value), order, cuts)
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # At most MAX_RANGES rows: one per range.
+    # One row per range.
     offsets = rows.groupBy("_range").agg(F.sum("_value").alias("_total")).select(
         "_range", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"))
     w = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -104,7 +86,7 @@ def neighbours(
     order: list[str],
     previous: dict[str, str] | None = None,
     following: dict[str, str] | None = None,
-    rows_per_range: int = ROWS_PER_RANGE,
+    rows_per_range: int | None = None,
     total: int | None = None,
 ) -> DataFrame:
     """``lag`` / ``lead`` by one row inside each key; a key of any size is spread over many tasks.
@@ -114,11 +96,6 @@ def neighbours(
     """
     previous, following = previous or {}, following or {}
     cuts = cut_points(df, keys + order, rows_per_range, total)
-    if not cuts:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.select("*", *[F.lag(c).over(w).alias(o) for o, c in previous.items()],
-                         *[F.lead(c).over(w).alias(o) for o, c in following.items()])
-
     rows = with_range(df, keys + order, cuts)
     w = Window.partitionBy("_range", *keys).orderBy(*order)
     inside = rows.select(

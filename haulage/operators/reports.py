@@ -110,12 +110,12 @@ def coverage(live: DataFrame, covered: DataFrame, ident: str, limit: int) -> Dat
                          (F.ceil(left / F.lit(limit)) if limit else F.lit(0)).cast("bigint").alias("runs_left"))
 
 
-def top(df: DataFrame, limit: int, *order) -> DataFrame:
-    """The first ``limit`` rows; Spark keeps only that many per task. 0 means all."""
+def top(df: DataFrame, limit: int | None, *order) -> DataFrame:
+    """The first ``limit`` rows, of which Spark keeps only that many per task; None means all, in order."""
     ordered = df.orderBy(*order)
-    return ordered.limit(limit) if limit else ordered
+    return ordered if limit is None else ordered.limit(limit)
 
 
-def random_order(df: DataFrame, seed: str, *key: str, limit: int = 0) -> DataFrame:
+def random_order(df: DataFrame, seed: str, *key: str, limit: int | None = None) -> DataFrame:
     """A fair but repeatable order: by a hash of the key and the seed."""
     return top(df, limit, F.md5(F.concat_ws("|", F.lit(seed), *[F.col(k).cast("string") for k in key])), *key)

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from haulage.functions import times as T
-from haulage.operators.ranges import ROWS_PER_RANGE, running_sum
+from haulage.operators.ranges import running_sum
 
 MIN_RETENTION_DAYS = 30
 BATCH_ROWS = 50_000
@@ -96,7 +96,7 @@ def time_slices(rows: DataFrame, age: str, before: Column, batch_rows: int = BAT
     return rows.withColumn("batch_id", F.least(slot, n - 1))
 
 
-def key_batches(rows: DataFrame, key: list[str], batch_rows: int = BATCH_ROWS, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def key_batches(rows: DataFrame, key: list[str], batch_rows: int = BATCH_ROWS, rows_per_range: int | None = None) -> DataFrame:
     """Add ``batch_id``: batches of exactly ``batch_rows`` rows in key order. ``key`` must be unique."""
     numbered = running_sum(rows, key, F.lit(1).cast("bigint"), "_rn", rows_per_range)
     return numbered.withColumn("batch_id", F.floor((F.col("_rn") - 1) / F.lit(batch_rows)).cast("bigint")).drop("_rn")

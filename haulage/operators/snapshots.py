@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from haulage.functions import times as T
-from haulage.operators.ranges import ROWS_PER_RANGE, neighbours
+from haulage.operators.ranges import neighbours
 
 
 def latest_versions(versions: DataFrame, ident: str = "id", extra: list[str] | None = None) -> DataFrame:
@@ -42,26 +42,26 @@ def carried_over(stored: DataFrame, current: DataFrame, ident: str = "id", hash_
                          (~F.coalesce(same, F.lit(False))).alias("is_changed")).select("_row.*", "is_changed")
 
 
-def version_pairs(versions: DataFrame, ident: list[str], order: list[str], carried: dict[str, str], rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def version_pairs(versions: DataFrame, ident: list[str], order: list[str], carried: dict[str, str], rows_per_range: int | None = None) -> DataFrame:
     """Each version next to the one before it; first versions are left out."""
     paired = neighbours(versions, ident, order, previous=carried, rows_per_range=rows_per_range)
     first = next(iter(carried))
     return paired.where(F.col(first).isNotNull())
 
 
-def rotation(live: DataFrame, copies: DataFrame, changed: DataFrame, limit: int, ident: str = "id", at: str = "copied_at") -> DataFrame:
-    """Who is copied next: changed ids, then ids without a copy, then the oldest copies. 0 takes all."""
+def rotation(live: DataFrame, copies: DataFrame, changed: DataFrame, limit: int | None = None, ident: str = "id", at: str = "copied_at") -> DataFrame:
+    """Who is copied next: changed ids, then ids without a copy, then the oldest copies; on request the first ones only."""
     joined = (
         live.select(ident).distinct()
         .join(changed.select(ident).distinct().withColumn("_ch", F.lit(0)), ident, "left")
         .join(copies.groupBy(ident).agg(F.max(at).alias(at)), ident, "left")
     )
     ordered = joined.select(ident, F.coalesce("_ch", F.lit(1)).alias("rank"), F.col(at).isNotNull().alias("has_copy"), at).orderBy("rank", "has_copy", at, ident)
-    return ordered.limit(limit) if limit else ordered
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def stability(observations: DataFrame, ident: str = "id", at: str = "parsed_at", hash_col: str = "hash", loc: str = "fileloc",
-              tie: list[str] | None = None, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+              tie: list[str] | None = None, rows_per_range: int | None = None) -> DataFrame:
     """Verdict of each observation by the next later one: stable, unstable, duplicate_id or no_parse."""
     seen = neighbours(observations, [ident], [at, *(tie or [])], following={"_at": at, "_hash": hash_col, "_loc": loc}, rows_per_range=rows_per_range)
     moved = F.col(loc).isNotNull() & F.col("_loc").isNotNull() & (F.col(loc) != F.col("_loc"))
@@ -110,8 +110,8 @@ def json_nodes(text: Column) -> Column:
     return nodes(text)
 
 
-def json_diff(pairs: DataFrame, ident: str, before: str, after: str, limit: int = 20) -> DataFrame:
-    """Differences of two JSON texts per id: ``(id, path, before, after)``, at most ``limit`` per id in path order.
+def json_diff(pairs: DataFrame, ident: str, before: str, after: str, limit: int | None = None) -> DataFrame:
+    """Differences of two JSON texts per id: ``(id, path, before, after)``, with a limit the first per id in path order.
 
     A type change shows both types and hides what lies below it, a missing key shows ``—``, lists of other length
     show both lengths under ``path[]`` and only their common positions are compared. Both texts sit in one row, so
@@ -149,7 +149,8 @@ def json_diff(pairs: DataFrame, ident: str, before: str, after: str, limit: int
         name = F.when(resized, F.concat(path, F.lit("[]"))).when(path == "", ".").otherwise(path)
         return F.struct(name.alias("path"), cell(a, b).alias("before"), cell(b, a).alias("after"))
 
-    return found.select(ident, F.inline(F.slice(F.sort_array(F.transform("_d", row)), 1, limit)))
+    shown = F.transform("_d", row)
+    return found.select(ident, F.inline(shown if limit is None else F.slice(F.sort_array(shown), 1, limit)))
 
 
 def content_version(df: DataFrame) -> Column:

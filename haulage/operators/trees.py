@@ -8,23 +8,24 @@ from pyspark.sql import DataFrame, functions as F
 from haulage.session import stored
 
 
-def subtree(nodes: DataFrame, root: str, max_depth: int = 64) -> DataFrame:
+def subtree(nodes: DataFrame, root: str) -> DataFrame:
     """All nodes ``(id, parent_id, name)`` below and including the root name, with ``parent_name`` and ``depth``.
 
-    Any depth and any row order. Every level is written out, so lineage stays short and no level is computed twice;
+    Any depth and any row order; a node is taken once, also where the rows run in a circle. Every level is written out, so lineage stays short and no level is computed twice;
     a recursive query would stop at the engine's row limit.
     """
     level = nodes.where(F.col("name") == root).select("id", "parent_id", "name", F.lit(None).cast("string").alias("parent_name"), F.lit(0).alias("depth"))
     out = level
-    for depth in range(1, max_depth + 1):
+    depth = 0
+    while True:
+        depth += 1
         above = level.select(F.col("id").alias("_p"), F.col("name").alias("_pn"))
         level = stored(
-            nodes.join(above, F.col("parent_id") == F.col("_p")).select("id", "parent_id", "name", F.col("_pn").alias("parent_name"), F.lit(depth).alias("depth")),
+            nodes.join(above, F.col("parent_id") == F.col("_p")).join(out.select(F.col("id").alias("_seen")), F.col("id") == F.col("_seen"), "left_anti").select("id", "parent_id", "name", F.col("_pn").alias("parent_name"), F.lit(depth).alias("depth")),
             "tree-level")
         if level.isEmpty():
             return out
         out = out.unionByName(level)
-    raise ValueError(f"tree is deeper than {max_depth}")
 
 
 def flatten_entities(docs: DataFrame, column: str = "tree") -> DataFrame:

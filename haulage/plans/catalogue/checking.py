@@ -78,9 +78,13 @@ def copy_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return CK.count_check(original(spark, sf_dir), altered(spark, sf_dir))
 
 
-@query("sum_check", "SELECT count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS total, count(*) = 15000 AND sum(o_orderkey) = 112492500 AS is_ok FROM orders")
+@query("sum_check", """
+    SELECT count(*) AS n_rows, CAST(sum(l_orderkey) AS BIGINT) AS total, count(*) = (SELECT count(*) FROM orders) AND sum(l_orderkey) = (SELECT sum(o_orderkey) FROM orders) AS is_ok
+    FROM (SELECT DISTINCT l_orderkey FROM lineitem)""")
 def sum_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return CK.sum_check(original(spark, sf_dir), "o_orderkey", 15_000, 112_492_500)
+    """The orders of the line items against number and sum of the orders."""
+    wanted = table(spark, sf_dir, "orders").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("total")).first()
+    return CK.sum_check(table(spark, sf_dir, "lineitem").select("l_orderkey").distinct(), "l_orderkey", wanted.n, wanted.total)
 
 
 # Versions of a user's document: one per event, the hash changes with the key of props.
@@ -119,13 +123,13 @@ def new_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("rotation_order", """
     SELECT c_custkey AS id, CASE WHEN c_custkey IN (SELECT user_id FROM events WHERE event_id % 500 = 0) THEN 0 ELSE 1 END AS rank, copied_at IS NOT NULL AS has_copy, copied_at
     FROM customer LEFT JOIN (SELECT user_id, max(ts) AS copied_at FROM events GROUP BY user_id) ON c_custkey = user_id
-    ORDER BY rank, has_copy, copied_at, id LIMIT 40""")
+    """)
 def rotation_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     live = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
     copies = ev.select(F.col("user_id").alias("id"), F.col("ts").alias("copied_at"))
     changed = ev.where("event_id % 500 = 0").select(F.col("user_id").alias("id"))
-    return SN.rotation(live, copies, changed, 40)
+    return SN.rotation(live, copies, changed)
 
 
 @query("stability_verdict", f"""
@@ -164,12 +168,17 @@ def json_diff_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SN.json_diff(pairs, "event_id", "prev", "props")
 
 
-@query("canonical_hash", "SELECT event_id, md5('{\"event_type\":\"' || event_type || '\",\"user_id\":' || user_id || '}') AS h FROM events")
+@query("canonical_hash", """
+    SELECT event_id, md5('{"event_type":"' || event_type || '","nested":{"a":[{"x":1,"y":' || event_id || '}],"b":"' || event_type || '"},"user_id":' || user_id || '}') AS h FROM events""")
 def canonical_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select("event_id", J.canonical_hash(F.col("event_type"), F.col("user_id")).alias("h"))
+    inner = F.array(F.struct(F.col("event_id").alias("y"), F.lit(1).alias("x")))
+    rows = table(spark, sf_dir, "events").withColumn("nested", F.struct(F.col("event_type").alias("b"), inner.alias("a")))
+    return rows.select("event_id", J.canonical_hash(rows.schema, "user_id", "nested", "event_type").alias("h"))
 
 
-@query("write_if_changed")
+@query("write_if_changed", f"""
+    SELECT 'first' AS step, true AS written, (SELECT count(*) FROM orders) AS n_rows
+    UNION ALL SELECT 'same', false, (SELECT count(*) FROM orders) UNION ALL SELECT 'altered', true, (SELECT count(*) FROM ({ALTERED_SQL}))""")
 def write_if_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three writes: a first one, an equal one that is skipped, a changed one."""
     folder = run_folder(spark, "if-changed")
@@ -177,7 +186,11 @@ def write_if_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     same, again = SN.write_if_changed(original(spark, sf_dir).repartition(3), folder, first)
     other, third = SN.write_if_changed(altered(spark, sf_dir), folder, same)
     marks = spark.createDataFrame([("first", first, wrote), ("same", same, again), ("altered", other, third)], "step string, marker string, written boolean")
-    return marks
+    counts = None
+    for marker in (first, other):
+        rows = spark.read.parquet(f"{folder}/{marker.replace(':', '_')}").agg(F.lit(marker).alias("marker"), F.count("*").alias("n_rows"))
+        counts = rows if counts is None else counts.unionByName(rows)
+    return marks.join(counts, "marker").select("step", "written", "n_rows")
 
 
 @query("line_shape", """

@@ -60,9 +60,9 @@ def event_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("event_cycle", f"""
-    SELECT pub_key, prf || '/' || eid || '/' || sid AS event_key FROM ({NEW_SQL}) ORDER BY md5('c1|' || event_key), event_key LIMIT 25""")
+    SELECT pub_key, prf || '/' || eid || '/' || sid AS event_key FROM ({NEW_SQL})""")
 def event_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return EV.capped_events(fresh_events(spark, sf_dir), "c1").select("pub_key", "event_key")
+    return EV.cycle_events(fresh_events(spark, sf_dir), "c1").select("pub_key", "event_key")
 
 
 PAYLOAD_SQL = f"""
@@ -179,12 +179,12 @@ def trigger_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("entity_names", r"""
-    WITH n AS (SELECT l.doc_id AS entity_id, coalesce(d.name, '_Not_found_') AS name FROM labels l LEFT JOIN (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'été#é ' ELSE source || '#' || substr(text, 1, 40) END AS name FROM documents WHERE doc_id % 5 <> 0) d USING (doc_id)),
+    WITH n AS (SELECT l.doc_id AS entity_id, coalesce(d.name, '_Not_found_') AS name FROM labels l LEFT JOIN (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'été#é ' ELSE source || '#' || text END AS name FROM documents WHERE doc_id % 5 <> 0) d USING (doc_id)),
     s AS (SELECT entity_id, regexp_replace(regexp_replace(string_split(name, '#')[-1], '[^\x00-\x7F]', '', 'g'), '^\s+|\s+$', '', 'g') AS name FROM n)
     SELECT entity_id, CASE WHEN name = '' THEN CAST(entity_id AS VARCHAR) ELSE name END AS name FROM s""")
 def entity_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").where("doc_id % 5 <> 0").select(
-        F.col("doc_id").alias("id"), F.when(F.col("doc_id") % 7 == 0, "été#é ").otherwise(F.concat("source", F.lit("#"), F.substring("text", 1, 40))).alias("name"))
+        F.col("doc_id").alias("id"), F.when(F.col("doc_id") % 7 == 0, "été#é ").otherwise(F.concat("source", F.lit("#"), "text")).alias("name"))
     return EV.entity_names(table(spark, sf_dir, "labels").select(F.col("doc_id").alias("entity_id")), docs)
 
 

@@ -266,7 +266,7 @@ def export_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("row_cap", "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 100")
 def row_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return EX.capped(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").orderBy("o_orderkey"), "UAT")
+    return EX.sampled(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "UAT", 100, ["o_orderkey"])
 
 
 SCHEMA_COUNTS = ", ".join(f"count({c}) AS {c}" for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"))
@@ -313,20 +313,21 @@ def text_array_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 PART_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"]
 PART_BYTES = 200_000
+PART_HEAD = len("\t".join(PART_ORDER)) + 1
 PARTS_SQL = f"""
     WITH s AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus, 6 + length(l_orderkey || '') + length(l_partkey || '') + length(l_suppkey || '') + length(l_linenumber || '') + length(l_returnflag) + length(l_linestatus) AS row_size FROM lineitem),
     c AS (SELECT row_size, sum(row_size) OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus ROWS UNBOUNDED PRECEDING) AS upto, max(row_size) OVER () AS widest FROM s),
-    p AS (SELECT CAST(floor((upto - row_size) / ({PART_BYTES} - widest)) AS BIGINT) AS part_no, count(*) AS n_rows, sum(row_size) AS n_bytes FROM c GROUP BY 1),
+    p AS (SELECT CAST(floor((upto - row_size) / ({PART_BYTES} - {PART_HEAD} - widest)) AS BIGINT) AS part_no, count(*) AS n_rows, sum(row_size) + {PART_HEAD} AS n_bytes FROM c GROUP BY 1),
     m AS (SELECT part_no, dense_rank() OVER (ORDER BY part_no) AS part_index, count(*) OVER () AS part_total, n_rows, CAST(n_bytes AS BIGINT) AS n_bytes FROM p)"""
 
 
 def lineitem_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").select(*PART_ORDER)
-    return PA.with_parts(rows, PART_ORDER, PART_BYTES)
+    return PA.with_parts(rows, PART_ORDER, PART_BYTES, head=PA.head_bytes(PART_ORDER))
 
 
 def lineitem_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return PA.named_manifest(lineitem_parts(spark, sf_dir), "Sales", "LineItem", "repl", "20240101000000")
+    return PA.named_manifest(lineitem_parts(spark, sf_dir), "Sales", "LineItem", "repl", "20240101000000", head=PA.head_bytes(PART_ORDER))
 
 
 @query("part_manifest", PARTS_SQL + """
@@ -348,11 +349,18 @@ def package_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("empty_package", """
-    SELECT 'repl__20240101000000__orders__0_1_0.zip' AS archive_name, CAST(0 AS BIGINT) AS n_rows FROM (SELECT count(*) AS n FROM orders WHERE o_orderdate > TIMESTAMP '2999-01-01 00:00:00') WHERE n = 0""")
+    WITH w AS (SELECT max(o_orderdate) AS newest FROM orders), n AS (SELECT d.days, count(o_orderkey) AS n FROM w CROSS JOIN (VALUES (0), (400)) d(days) LEFT JOIN orders ON o_orderdate > newest - to_days(d.days) GROUP BY 1)
+    SELECT days, CASE WHEN n = 0 THEN 'repl__20240101000000__orders__0_1_0.zip' ELSE 'repl__20240101000000__orders__1_1_' || n || '.zip' END AS archive_name, n AS n_rows FROM n""")
 def empty_package(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").where(F.col("o_orderdate") > T.moment("2999-01-01 00:00:00"))
-    parts = PA.with_parts(rows, ["o_orderkey"], PART_BYTES)
-    return PA.package_manifest(parts, "sales", "orders", "repl", "20240101000000", True).select("archive_name", "n_rows")
+    """Packages of the orders since the newest one, which are none, and of the last 400 days."""
+    orders = table(spark, sf_dir, "orders")
+    last = T.moment(newest(orders, "o_orderdate"))
+    out = None
+    for days in (0, 400):
+        parts = PA.with_parts(orders.where(F.col("o_orderdate") > last - F.make_dt_interval(F.lit(days))), ["o_orderkey"], 1 << 40)
+        one = PA.package_manifest(parts, "sales", "orders", "repl", "20240101000000", True).select(F.lit(days).alias("days"), "archive_name", "n_rows")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 NOTIFY_AT = "2024-01-01 10:20:30.123"

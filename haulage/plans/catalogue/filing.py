@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as PT
 
 from haulage.functions import paths as P, text as X, times as T
 from haulage.plans.catalogue.base import KEY_SQL, dealt, key_of_props, query, table
-from haulage.plans.catalogue.exporting import PART_ORDER, PARTS_SQL, lineitem_manifest, lineitem_parts
-from haulage.session import run_folder
+from haulage.plans.catalogue.exporting import PART_ORDER, PARTS_SQL, lineitem_parts
+from haulage.operators import parts as PA
+from haulage.session import run_folder, stored
 from haulage.sinks import archive as AR, delimited as DL, ledger as LG, notify as NO
 from haulage.sources import files as FI, messages as MS, tables as TB
 
@@ -50,15 +51,15 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("listing_top", f"SELECT * FROM ({LISTING_SQL}) ORDER BY length DESC, path LIMIT 10")
 def listing_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return FI.sorted_listing(listing(spark, sf_dir), "Size", reverse=True)
+    return FI.sorted_listing(listing(spark, sf_dir), "Size", reverse=True, items=10)
 
 
-@query("listing_by_ext", f"SELECT path FROM ({LISTING_SQL}) ORDER BY string_split(path, '.')[-1], path LIMIT 40")
+@query("listing_by_ext", f"SELECT path FROM ({LISTING_SQL})")
 def listing_by_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return FI.sorted_listing(listing(spark, sf_dir), "Ext", items=40).select("path")
+    return FI.sorted_listing(listing(spark, sf_dir), "Ext").select("path")
 
 
-@query("oldest_files", f"SELECT path, modificationTime FROM ({LISTING_SQL}) ORDER BY modificationTime, path LIMIT 25")
+@query("oldest_files", f"SELECT path, modificationTime FROM ({LISTING_SQL}) ORDER BY modificationTime, path")
 def oldest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FI.oldest_first(listing(spark, sf_dir)).select("path", "modificationTime")
 
@@ -79,16 +80,16 @@ def target_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", P.target_key(key, F.lit(".csv"), F.lit("from/a/"), F.lit("tfs1/"), F.col("ts")).alias("new_key"))
 
 
-@query("table_names", """SELECT doc_id, regexp_extract(substr(text, 1, 60), '([^/]*)$', 1) AS tail, regexp_extract(regexp_extract(substr(text, 1, 60), '([^/]*)$', 1), '^[^ ''":;.]*') AS table_name FROM documents""")
+@query("table_names", """SELECT doc_id, string_split(text, '/')[-1] AS tail, regexp_extract(string_split(text, '/')[-1], '^[^ ''":;.]*') AS table_name FROM documents""")
 def table_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    start = F.substring("text", 1, 60)
-    return table(spark, sf_dir, "documents").select("doc_id", X.last_segment(start, "/").alias("tail"), X.table_from_file(start).alias("table_name"))
+    text = F.col("text")
+    return table(spark, sf_dir, "documents").select("doc_id", X.last_segment(text, "/").alias("tail"), X.table_from_file(text).alias("table_name"))
 
 
 @query("load_ledger", """
     SELECT 'in/' || o_orderstatus || '/' || o_orderkey || '.csv' AS path, CAST(o_orderkey AS VARCHAR) AS table_name, CASE WHEN o_orderkey % 10 = 0 THEN 'failed' ELSE 'loaded' END AS status,
            CASE WHEN o_orderkey % 10 = 0 THEN 0 ELSE o_custkey END AS n_rows,
-           CASE WHEN o_orderkey % 10 = 0 THEN 'tfs-errors/' ELSE 'tfs-archive/' END || o_orderkey || ' 2024-02-03 04:05:06.csv' AS new_path FROM orders""")
+           CASE WHEN o_orderkey % 10 = 0 THEN 'tfs-errors/' ELSE 'tfs-archive/' END || 'in/' || o_orderstatus || '/' || o_orderkey || ' 2024-02-03 04:05:06.csv' AS new_path FROM orders""")
 def load_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = table(spark, sf_dir, "orders").select(
         F.concat(F.lit("in/"), "o_orderstatus", F.lit("/"), text("o_orderkey"), F.lit(".csv")).alias("path"), F.col("o_custkey").alias("n_rows"), (F.col("o_orderkey") % 10 == 0).alias("failed"))
@@ -104,7 +105,7 @@ def message_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
 REQUEST_SQL = """
     SELECT o_orderkey, 'rq' || o_orderkey AS rq_uid, CASE WHEN o_orderkey % 5 = 0 THEN 'manual' ELSE 'SC-' || o_orderpriority END AS scenario_id, CAST(i AS INTEGER) AS file_no, 'f' || o_orderkey || '_' || i || '.csv' AS name,
            CASE WHEN i % 2 = 1 THEN 'in/sub' ELSE '' END AS folder, 'root/' || CASE WHEN i % 2 = 1 THEN 'in/sub/' ELSE '' END || 'f' || o_orderkey || '_' || i || '.csv' AS key
-    FROM orders, generate_series(0, 29) g(i) WHERE i < CASE WHEN o_orderkey % 100 = 0 THEN 25 ELSE o_orderkey % 4 END"""
+    FROM orders, generate_series(0, 29) g(i) WHERE i < CASE WHEN o_orderkey % 100 = 0 THEN 30 ELSE o_orderkey % 4 END"""
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,16 +218,55 @@ def multi_file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def packed_lines(spark: SparkSession, sf_dir: str, kind: str = "zip") -> str:
     folder = run_folder(spark, "package")
-    parts = lineitem_parts(spark, sf_dir)
-    AR.write_archives(parts, lineitem_manifest(spark, sf_dir), PART_ORDER, PART_ORDER, folder, '{"columns": []}', "20240101000000", kind=kind).write.parquet(f"{folder}-log")
+    parts = stored(lineitem_parts(spark, sf_dir), "package-rows")
+    named = PA.named_manifest(parts, "Sales", "LineItem", "repl", "20240101000000", head=PA.head_bytes(PART_ORDER))
+    AR.write_archives(parts, named, PART_ORDER, PART_ORDER, folder, '{"columns": []}', "20240101000000", kind=kind).write.parquet(f"{folder}-log")
     return folder
 
 
-@query("package_archives", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus FROM lineitem")
+TEXTS = ["doc_id", "lang", "source", "text"]
+TEXT_PART_BYTES = 2_000_000
+# Fields with everything a dialect has to carry, and one without a value.
+ODD_TEXTS_SQL = r"""SELECT doc_id, nullif(lang, 'de') AS lang, source, CASE WHEN doc_id % 9 = 0 THEN 'a' || chr(9) || 'b"c' || chr(10) || '\d' || chr(13) || text ELSE text END AS text FROM documents"""
+
+
+def odd_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    special = F.when(F.col("doc_id") % 9 == 0, F.concat(F.lit('a\tb"c\n\\d\r'), "text")).otherwise(F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.nullif("lang", F.lit("de")).alias("lang"), "source", special.alias("text"))
+
+
+def packed_texts(spark: SparkSession, sf_dir: str, kind: str = "zip") -> tuple[str, DataFrame]:
+    """The folder of packages of whole texts and the log of what was written."""
+    folder, head = run_folder(spark, "package"), PA.head_bytes(TEXTS)
+    parts = stored(PA.with_parts(odd_texts(spark, sf_dir), ["doc_id"], TEXT_PART_BYTES, head=head), "package-rows")
+    named = PA.named_manifest(parts.select("part_no", "row_size"), "Corpus", "Texts", "repl", "20240101000000", head=head)
+    AR.write_archives(parts, named, TEXTS, ["doc_id"], folder, '{"columns": []}', "20240101000000", kind=kind).write.parquet(f"{folder}-log")
+    return folder, spark.read.parquet(f"{folder}-log").join(named.select("part_no", F.col("n_bytes").alias("planned")), "part_no")
+
+
+@query("package_archives", ODD_TEXTS_SQL)
 def package_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows packed into archives and ingested again."""
-    records = FI.zip_records(FI.listing(spark, packed_lines(spark, sf_dir)), sep="\t").where(F.col("member").endswith(".csv"))
-    return FI.typed_records(records, schema_of(table(spark, sf_dir, "lineitem").select(*PART_ORDER)))
+    """Whole texts packed into archives and ingested again, in one dialect both ways."""
+    folder, _ = packed_texts(spark, sf_dir)
+    records = FI.zip_records(FI.listing(spark, folder), DL.PLAIN_TSV).where(F.col("member").endswith(".csv"))
+    return FI.typed_records(records, schema_of(table(spark, sf_dir, "documents").select(*TEXTS)))
+
+
+@query("package_sizes", "SELECT true AS within, true AS as_planned, count(*) AS n_rows FROM documents")
+def package_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written bytes of every tar.gz part against its bound and its manifest; a text wider than that is alone in its part."""
+    _, log = packed_texts(spark, sf_dir, "tar.gz")
+    within = (F.col("n_bytes") <= TEXT_PART_BYTES) | (F.col("n_rows") == 1)
+    return log.agg(F.bool_and(within).alias("within"), F.bool_and(F.col("n_bytes") == F.col("planned")).alias("as_planned"), F.sum("n_rows").alias("n_rows"))
+
+
+@query("tsv_roundtrip", ODD_TEXTS_SQL)
+def tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Escaped TSV files with header lines, gzip on the way, read back record by record."""
+    folder = run_folder(spark, "tsv")
+    DL.write_tsv(odd_texts(spark, sf_dir), f"{folder}/in", "gzip")
+    AR.convert_objects(FI.listing(spark, f"{folder}/in").where(F.col("path").endswith(".gz")), f"{folder}/zip", f"{folder}/in", "zip").write.parquet(f"{folder}/log")
+    return FI.typed_records(FI.zip_records(FI.listing(spark, f"{folder}/zip"), DL.PLAIN_TSV), schema_of(table(spark, sf_dir, "documents").select(*TEXTS)))
 
 
 @query("zip_contents", PARTS_SQL + """, n AS (SELECT *, part_index || '_' || part_total || '_' || n_rows AS t FROM m)
@@ -236,14 +276,26 @@ def zip_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toc.select(P.base_name(F.col("path")).alias("archive"), "member")
 
 
-@query("object_copy", "SELECT count(*) AS n_lines FROM orders")
+@query("object_copy", "SELECT o_orderstatus AS folder, count(*) AS n_lines FROM orders GROUP BY 1")
 def object_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Copy text files with compression and count their lines."""
+    """Copy text files of several folders, all with the same base name, with compression, and count their lines."""
     folder = run_folder(spark, "copy")
-    DL.write_csv(table(spark, sf_dir, "orders"), f"{folder}/in", DL.PLAIN_TSV)
+    orders = table(spark, sf_dir, "orders")
+    orders.select("o_orderstatus", text("o_orderkey").alias("value")).repartition(1, "o_orderstatus").write.partitionBy("o_orderstatus").text(f"{folder}/in")
     files = FI.listing(spark, f"{folder}/in").where(F.col("path").endswith(".txt"))
-    AR.copy_objects(files, f"{folder}/out", compress=True).write.parquet(f"{folder}/log")
-    return spark.read.text(f"{folder}/out").agg(F.count("*").alias("n_lines"))
+    AR.copy_objects(files, f"{folder}/out", f"{folder}/in", compress=True).write.parquet(f"{folder}/log")
+    return spark.read.text(f"{folder}/out").groupBy(F.col("o_orderstatus").alias("folder")).agg(F.count("*").alias("n_lines"))
+
+
+@query("page_listing", "SELECT regexp_extract(url, '^https?://([^/]*)', 1) AS host, count(*) AS n_files, CAST(sum(strlen(html)) AS BIGINT) AS n_bytes FROM pages WHERE html <> '' GROUP BY 1")
+def page_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as files in a folder of their host, some hosts without a file, and listed again."""
+    folder = run_folder(spark, "pages")
+    pages = table(spark, sf_dir, "pages").select(F.regexp_extract("url", "^https?://([^/]*)", 1).alias("host"), "page_id", "html").where("html <> ''")
+    keyed = pages.select(F.concat_ws("/", F.lit(f"{folder}/in"), "host", text("page_id")).alias("path"), "html")
+    AR.write_texts(keyed).write.parquet(f"{folder}/log")
+    host = F.regexp_extract("path", "/in/([^/]*)/", 1).alias("host")
+    return FI.listing(spark, f"{folder}/in").groupBy(host).agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"))
 
 
 @query("table_copy", "SELECT count(*) AS source_rows, count(*) AS target_rows, true AS is_equal FROM embeddings")

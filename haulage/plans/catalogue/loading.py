@@ -53,7 +53,7 @@ def action_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return histogram(monitored(spark, sf_dir), "action", "status")
 
 
-@query("actionable", f"SELECT lid, action FROM ({MONITOR_SQL}) WHERE action NOT IN ('Skipped', 'New', 'notFound', 'SLA') ORDER BY lid LIMIT 25")
+@query("actionable", f"SELECT lid, action FROM ({MONITOR_SQL}) WHERE action NOT IN ('Skipped', 'New', 'notFound', 'SLA')")
 def actionable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return LD.actionable(monitored(spark, sf_dir)).select("lid", "action")
 
@@ -66,7 +66,7 @@ def actionable(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT r.lid, CASE WHEN reason IS NOT NULL THEN reason WHEN f.no <= 50 THEN NULL WHEN r.lid > full_at THEN 'limit 50 exceeded' ELSE 'wf already added' END AS reject_reason
     FROM r CROSS JOIN e LEFT JOIN (SELECT lid, no FROM f) f USING (lid)""")
 def launch_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return LD.launch_candidates(loadings(spark, sf_dir), "main").select("lid", "reject_reason")
+    return LD.launch_candidates(loadings(spark, sf_dir), "main", cap=50).select("lid", "reject_reason")
 
 
 @query("stat_latest", f"""
@@ -80,7 +80,7 @@ def status_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     return LD.status_last(status_log(spark, sf_dir))
 
 
-@query("status_history", f"SELECT loading_id, effective_from, min(status || ' ' || log) AS entry FROM ({STATUS_LOG_SQL}) GROUP BY ALL")
+@query("status_history", f"SELECT DISTINCT loading_id, effective_from, status || ' ' || log AS entry FROM ({STATUS_LOG_SQL})")
 def status_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return LD.status_history(status_log(spark, sf_dir))
 
@@ -146,10 +146,10 @@ def status_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("state_gate", f"""
-    SELECT lid, CASE WHEN alive <> 'ACTIVE' THEN 'alive' WHEN status NOT IN ('RUNNING', 'TIME-WAIT', 'START') THEN 'status' WHEN k % 5 NOT IN (1, 2) THEN 'step' WHEN k % 5 = 0 THEN 'log' END AS reason FROM ({LOADINGS_SQL})""")
+    SELECT lid, CASE WHEN alive <> 'ACTIVE' THEN 'alive' WHEN status NOT IN ('RUNNING', 'TIME-WAIT', 'START') THEN 'status' WHEN k % 5 NOT IN (0, 1, 2) THEN 'step' WHEN k % 5 = 0 THEN 'log' END AS reason FROM ({LOADINGS_SQL})""")
 def state_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     view = LD.status_view(LD.normalised(landed(spark, sf_dir)))
-    return view.select("lid", LD.gate(["ACTIVE"], ["RUNNING", "TIME-WAIT", "START"], ["RUN", "TFS"], True).alias("reason"))
+    return view.select("lid", LD.gate(["ACTIVE"], ["RUNNING", "TIME-WAIT", "START"], ["RUN", "TFS", ""], True).alias("reason"))
 
 
 @query("loading_read", f"SELECT lid AS id, status FROM ({LOADINGS_SQL}) WHERE profile = 'main' AND status IN ('RUNNING', 'TIME-WAIT', 'EVENT-WAIT') AND status_sdt >= TIMESTAMP '2024-01-10 00:00:00'")

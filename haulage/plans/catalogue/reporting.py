@@ -37,12 +37,12 @@ def period_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("recent_changed", """
     SELECT event_id, ts, user_id FROM events JOIN (SELECT user_id AS u, max(ts) AS p FROM events GROUP BY 1) ON user_id = u
-    WHERE ts >= p - INTERVAL 600 SECOND ORDER BY ts DESC, event_id LIMIT 500""")
+    WHERE ts >= p - INTERVAL 600 SECOND""")
 def recent_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
     parsed = ev.groupBy("user_id").agg(F.max("ts").alias("p"))
     late = ev.join(parsed, "user_id").where(F.col("ts") >= F.col("p") - T.seconds(600)).select("event_id", "ts", "user_id")
-    return RP.top(late, 500, F.col("ts").desc(), "event_id")
+    return RP.top(late, None, F.col("ts").desc(), "event_id")
 
 
 @query("size_rollup", """
@@ -135,9 +135,9 @@ def covered_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.union(targets).intersect(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")))
 
 
-@query("fair_order", "SELECT event_id, user_id FROM events ORDER BY md5('s1|' || event_id), event_id LIMIT 25")
+@query("fair_order", "SELECT event_id, user_id FROM events")
 def fair_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return RP.random_order(table(spark, sf_dir, "events").select("event_id", "user_id"), "s1", "event_id", limit=25)
+    return RP.random_order(table(spark, sf_dir, "events").select("event_id", "user_id"), "s1", "event_id")
 
 
 SIZE_CASE = "CASE WHEN v IS NULL OR v = 0 THEN '0{z}' ELSE CASE WHEN v < 0 THEN '-' ELSE '' END || {body} END"

@@ -15,18 +15,19 @@ def stream_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = run_folder(spark, "arrivals")
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     ev.repartition(40, F.to_date("ts")).write.parquet(f"{folder}/in")
-    return ST.drain(ST.arriving_rows(spark, f"{folder}/in", ev.schema), folder, "rows")
+    return ST.drain(ST.arriving_rows(spark, f"{folder}/in", ev.schema, per_cycle=25), folder, "rows")
 
 
 @query("stream_listing", "SELECT count(*) AS n_rows, count(DISTINCT CAST(ts AS DATE)) AS n_days FROM events")
 def stream_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Arriving files are listed first and read after."""
+    """Arriving files are listed first and read after; rows of files that were not listed do not count."""
     folder = run_folder(spark, "listing")
     ev = table(spark, sf_dir, "events").select("event_id", "ts")
     ev.repartition(30, F.to_date("ts")).write.parquet(f"{folder}/in")
     seen = ST.drain(ST.arriving_files(spark, f"{folder}/in", "*.parquet"), folder, "files")
-    paths = [r.path for r in seen.select("path").collect()]
-    return spark.read.schema(ev.schema).parquet(*paths).agg(F.count("*").alias("n_rows"), F.countDistinct(F.to_date("ts")).alias("n_days"))
+    rows = spark.read.schema(ev.schema).parquet(f"{folder}/in").withColumn("_path", F.regexp_replace("_metadata.file_path", "^file:/*", "/"))
+    listed = seen.select(F.regexp_replace("path", "^file:/*", "/").alias("_path")).distinct()
+    return rows.join(listed, "_path", "left_semi").agg(F.count("*").alias("n_rows"), F.countDistinct(F.to_date("ts")).alias("n_days"))
 
 
 @query("stream_events", "SELECT DISTINCT user_id, event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events")

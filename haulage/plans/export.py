@@ -15,6 +15,9 @@ from haulage.sinks import archive as AR, notify as NO
 from haulage.sinks.delimited import Dialect
 from haulage.sources import registry as RG
 
+# The size of a part where the registry gives none: one file for a table of any size would be one task.
+DEFAULT_PART_BYTES = 1024 ** 3
+
 
 @dataclass
 class Export:
@@ -31,6 +34,7 @@ class Export:
     history_path: str
     is_recent: bool = False
     environment: str = "prom"
+    sample_rows: int | None = None
     description: str | None = None
     reserved: list[str] | None = None
     extra: dict = field(default_factory=dict)
@@ -77,7 +81,7 @@ def window_of(spark: SparkSession, job: Export, history: DataFrame, now: str):
 def extracted(spark: SparkSession, job: Export, start: str, end: str, valid_from: str) -> DataFrame:
     """The package rows: windowed spec, environment cap, technical columns, cleaned and rendered text."""
     rows = EX.read_spec(spark, job.spec, job.params["time_field"], start, end)
-    rows = SC.renamed(EX.capped(rows, job.environment), job.reserved)
+    rows = SC.renamed(EX.sampled(rows, job.environment, job.sample_rows, job.key), job.reserved)
     if job.flag("xstream_sanitize") and job.params["sanitize_list"]:
         rules = [tuple(pair) for pair in json.loads(job.params["sanitize_list"])]
         rows = X.sanitize_frame(rows, rules, arrays=job.flag("sanitize_array"))
@@ -97,20 +101,21 @@ def run_export(spark: SparkSession, job: Export, history: DataFrame, now: str, w
     start, end, is_current = window_of(spark, job, history, now)
     package = extracted(spark, job, start, end, run_at)
     # The stored row number makes the order total, also where the key repeats: every later pass cuts at the same rows.
-    rows = stored(package.withColumn("row_size", PA.row_bytes(package)).withColumn("_row", F.monotonically_increasing_id()), "package-rows")
+    dialect = Dialect.of(ast.literal_eval(job.params["csv_format_params"]) if job.params["csv_format_params"] else None)
+    head = PA.head_bytes(package.columns, dialect)
+    rows = stored(package.withColumn("row_size", PA.row_bytes(package, dialect)).withColumn("_row", F.monotonically_increasing_id()), "package-rows")
     order = [f"{k}_" if f"{k}_" in package.columns else k for k in job.key] + ["_row"]
-    parts = PA.with_parts(rows, order, N.size_bytes(job.params["max_file_size"]))
+    parts = PA.with_parts(rows, order, N.size_bytes(job.params["max_file_size"]) or DEFAULT_PART_BYTES, head=head)
     stamp = dt.datetime.fromisoformat(run_at).strftime("%Y%m%d%H%M%S")
     # The manifest reads the order columns and sizes only and is kept: names, tickets and messages all come from it.
-    manifest = stored(PA.package_manifest(parts.select("part_no", "row_size"), job.schema, job.name, job.replica, stamp, job.flag("send_empty")), "manifest")
+    manifest = stored(PA.package_manifest(parts.select("part_no", "row_size"), job.schema, job.name, job.replica, stamp, job.flag("send_empty"), head=head), "manifest")
     totals = PA.package_totals(manifest).first()
     archives: list[str] = []
     if write and totals.total_files:
         plain = package.drop("export_time", "ctl_action", "ctl_validfrom")
         meta = SC.meta_json(SC.descriptor(plain, words=[]), job.schema, job.name, job.params["strategy"], [], job.key, job.description)
-        dialect = Dialect.of(ast.literal_eval(job.params["csv_format_params"]) if job.params["csv_format_params"] else None)
         if totals.total_rows:
-            written = AR.write_archives(parts, manifest, package.columns, order, job.root, meta, stamp, dialect, tasks=min(totals.total_files, 10_000))
+            written = AR.write_archives(parts, manifest, package.columns, order, job.root, meta, stamp, dialect, tasks=totals.total_files)
             # Sorted here: an ordering in the plan would sample its input first, and so write every archive twice.
             archives = [name for _, name in sorted((r.part_no, r.archive_name) for r in written.collect())]
         else:

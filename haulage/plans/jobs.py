@@ -25,16 +25,19 @@ def job(name: str):
 
 
 def run_job(spark: SparkSession, name: str, params: dict, loading_id: int, entity_ids: list[int]) -> DataFrame:
-    """The result of a job, one row per entity of its workflow."""
+    """The result rows of a job, for every entity of its workflow."""
     if name not in JOBS:
         raise KeyError(f"no job named {name!r}")
     result = JOBS[name](spark, params)
     shaped = result.select(*[(F.col(c) if c in result.columns else F.lit(None)).cast(kind).alias(c) for c, kind in RESULT.items()])
     entities = F.explode(F.array(*[F.lit(e).cast("bigint") for e in entity_ids])).alias("entity_id")
-    return shaped.limit(1).select(F.lit(loading_id).cast("bigint").alias("loading_id"), entities, *RESULT)
+    return shaped.select(F.lit(loading_id).cast("bigint").alias("loading_id"), entities, *RESULT)
 
 
 def finished(results: DataFrame, retry, abort_on_failure: bool = False) -> DataFrame:
-    """Loading id with message, counters, next status and action; ``retry`` is the retry struct of the loading."""
-    one = results.dropDuplicates(["loading_id"])
+    """Loading id with message, counters, next status and action; ``retry`` is the retry struct of the loading.
+
+    A loading with several results is as good as the worst of them: one without a result, else the lowest.
+    """
+    one = results.groupBy("loading_id").agg(F.min(F.struct(F.col("res").isNotNull(), "res"))["res"].alias("res"))
     return one.select("loading_id", LD.outcome(F.col("res"), retry, F.lit(abort_on_failure)).alias("o")).select("loading_id", "o.*")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -168,45 +169,182 @@ def write_summary_ticket(root: str, ticket_name: str, archives: list[str]) -> st
     return ticket_name
 
 
-def copy_codecs(name: str, source: str | None = None, target: str | None = None) -> tuple[str | None, str | None, str]:
-    """``(source codec, target codec, target name)`` of a copy; equal codecs mean a plain copy."""
-    valid = ("gz", "zip", "tar.gz")
-    src = source if source in valid else ("tar.gz" if name.endswith(".tar.gz") else name.rsplit(".", 1)[-1] if "." in name else None)
-    src = src if src in valid else None
-    dst = target if target in valid else None
-    if src == dst:
-        src = dst = None
-    return src, dst, name + (f".{dst}" if dst else "")
+def _copies(objects: DataFrame, root: str, below: str, new_key) -> DataFrame:
+    """``(path, key)`` of the files to copy, the key below the listed root; two files for one key are an error."""
+    from pyarrow import fs
+
+    inside = fs.FileSystem.from_uri(below)[1].rstrip("/") + "/"
+    key = F.substring_index("path", inside, -1)
+    todo = objects.select("path", new_key(key).alias("key"))
+    if not objects.where(~F.col("path").contains(inside)).isEmpty():
+        raise ValueError(f"files outside {below}")
+    twice = todo.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").first()
+    if twice:
+        raise ValueError(f"{twice.n} files for {root}/{twice.key}")
+    return todo
 
 
-def copy_objects(objects: DataFrame, root: str, compress: bool = False) -> DataFrame:
-    """Copy listed files below ``root`` as byte streams, with gzip on request; packed files are never compressed again.
+def copy_objects(objects: DataFrame, root: str, below: str, compress: bool = False) -> DataFrame:
+    """Copy listed files below ``root`` as byte streams, under the key they have below ``below``; with gzip on request, but
+    packed files are never compressed again.
 
     Returns ``(path, new_path, n_bytes)``.
     """
     from haulage.functions.paths import packed
 
-    todo = objects.select("path", (F.lit(compress) & ~packed(F.col("path"))).alias("pack"))
+    todo = _copies(objects, root, below, lambda key: F.when(F.lit(compress) & ~packed(F.col("path")), F.concat(key, F.lit(".gz"))).otherwise(key))
+    todo = todo.withColumn("pack", F.lit(compress) & ~packed(F.col("path")))
 
     def move(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import gzip
-        import uuid
 
         for batch in batches:
-            for path, pack in zip(batch["path"], batch["pack"]):
+            for path, key, pack in zip(batch["path"], batch["key"], batch["pack"]):
                 source, inner = _sink(path)
-                system, base = _sink(root)
-                system.create_dir(base, recursive=True)
-                name = path.rsplit("/", 1)[-1] + (".gz" if pack else "")
-                partial, size = f"{base}/_{name}.{uuid.uuid4().hex}", 0
-                with source.open_input_stream(inner, compression=None) as src, system.open_output_stream(partial, compression=None) as raw:
+                size = 0
+                with source.open_input_stream(inner, compression=None) as src, _published(root, key) as raw:
                     out = gzip.GzipFile(fileobj=raw, mode="wb", mtime=0) if pack else raw
                     while chunk := src.read(CHUNK):
                         out.write(chunk)
                         size += len(chunk)
                     if pack:
                         out.close()
-                _publish(system, partial, f"{base}/{name}")
-                yield pd.DataFrame({"path": [path], "new_path": [f"{base}/{name}"], "n_bytes": [size]})
+                yield pd.DataFrame({"path": [path], "new_path": [f"{root}/{key}"], "n_bytes": [size]})
 
     return dealt_by(todo, "path").mapInPandas(move, "path string, new_path string, n_bytes long")
+
+
+@contextmanager
+def _published(root: str, key: str):
+    """A file that gets its name below ``root`` when it is complete."""
+    import uuid
+
+    system, base = _sink(root)
+    folder, _, name = f"{base}/{key}".rpartition("/")
+    system.create_dir(folder, recursive=True)
+    partial = f"{folder}/_{name}.{uuid.uuid4().hex}"
+    with system.open_output_stream(partial, compression=None) as raw:
+        yield raw
+    _publish(system, partial, f"{folder}/{name}")
+
+
+# Codecs by the end of a name.
+CODECS = {".tar.gz": "tar.gz", ".tgz": "tar.gz", ".zip": "zip", ".gz": "gz"}
+
+
+def codec_of(name: str) -> tuple[str, str]:
+    """The name without the end that tells its codec, and the codec (``none`` for any other end)."""
+    for end, codec in CODECS.items():
+        if name.lower().endswith(end):
+            return name[:-len(end)], codec
+    return name, "none"
+
+
+@contextmanager
+def _unpacked(path: str):
+    """``[(member name, open function)]`` of a file: its members, or the file itself."""
+    import gzip
+    import tarfile
+    import zipfile
+
+    source, inner = _sink(path)
+    stem, codec = codec_of(path.rsplit("/", 1)[-1])
+    with source.open_input_file(inner) as raw:
+        if codec == "zip":
+            with zipfile.ZipFile(raw) as archive:
+                yield [(m.filename, lambda m=m: archive.open(m)) for m in archive.infolist() if not m.is_dir()]
+        elif codec == "tar.gz":
+            with tarfile.open(fileobj=raw, mode="r:gz") as archive:
+                yield [(m.name, lambda m=m: archive.extractfile(m)) for m in archive.getmembers() if m.isfile()]
+        else:
+            def again():
+                raw.seek(0)
+                return gzip.GzipFile(fileobj=raw) if codec == "gz" else raw
+            yield [(stem, again)]
+
+
+def write_texts(texts: DataFrame) -> DataFrame:
+    """Every row ``(path, text)`` as a file of its own; returns ``(path, n_bytes)``."""
+    first, body = texts.columns
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sizes = []
+            for path, value in zip(batch[first], batch[body]):
+                root, _, key = path.rpartition("/")
+                with _published(root, key) as raw:
+                    raw.write(value.encode())
+                sizes.append(len(value.encode()))
+            yield pd.DataFrame({"path": batch[first].to_numpy(), "n_bytes": sizes})
+
+    return dealt_by(texts, first).mapInPandas(write, "path string, n_bytes long")
+
+
+def _chunks(stream):
+    while chunk := stream.read(CHUNK):
+        yield chunk
+
+
+def convert_objects(objects: DataFrame, root: str, below: str, codec: str) -> DataFrame:
+    """Listed files under their keys below ``root``, converted to ``gz``, ``zip``, ``tar.gz`` or ``none``.
+
+    An archive becomes an archive of the same members; for ``gz`` and ``none`` each member becomes a file, in a folder named
+    after an archive. Members are streamed; a tar header needs a length, so a member without one is read twice instead of
+    being kept. A file that has the codec already is copied. Returns ``(path, new_path, n_bytes)``, bytes unpacked.
+    """
+    if codec not in ("gz", "zip", "tar.gz", "none"):
+        raise ValueError(f"no codec {codec!r}")
+    todo = _copies(objects, root, below, lambda key: key)
+
+    def convert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import gzip
+        import tarfile
+        import zipfile
+
+        for batch in batches:
+            for path, key in zip(batch["path"], batch["key"]):
+                stem, own = codec_of(key)
+                made = []
+                if own == codec:
+                    source, inner = _sink(path)
+                    size = 0
+                    with source.open_input_stream(inner, compression=None) as src, _published(root, key) as raw:
+                        for chunk in _chunks(src):
+                            raw.write(chunk)
+                            size += len(chunk)
+                    made.append((f"{root}/{key}", size))
+                else:
+                    with _unpacked(path) as members:
+                        if codec in ("gz", "none"):
+                            for name, read in members:
+                                target = (f"{stem}/{name}" if own in ("zip", "tar.gz") else stem) + (".gz" if codec == "gz" else "")
+                                size = 0
+                                with _published(root, target) as raw:
+                                    out = gzip.GzipFile(fileobj=raw, mode="wb", mtime=0) if codec == "gz" else raw
+                                    for chunk in _chunks(read()):
+                                        out.write(chunk)
+                                        size += len(chunk)
+                                    if codec == "gz":
+                                        out.close()
+                                made.append((f"{root}/{target}", size))
+                        else:
+                            size = 0
+                            with _published(root, f"{stem}.{codec}") as raw:
+                                if codec == "zip":
+                                    with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as archive:
+                                        for name, read in members:
+                                            with archive.open(zipfile.ZipInfo(name), "w", force_zip64=True) as out:
+                                                for chunk in _chunks(read()):
+                                                    out.write(chunk)
+                                                    size += len(chunk)
+                                else:
+                                    with tarfile.open(fileobj=raw, mode="w|gz") as archive:
+                                        for name, read in members:
+                                            info = tarfile.TarInfo(name)
+                                            info.size = sum(map(len, _chunks(read())))
+                                            archive.addfile(info, read())
+                                            size += info.size
+                            made.append((f"{root}/{stem}.{codec}", size))
+                yield pd.DataFrame({"path": [path] * len(made), "new_path": [m[0] for m in made], "n_bytes": [m[1] for m in made]})
+
+    return dealt_by(todo, "path").mapInPandas(convert, "path string, new_path string, n_bytes long")

@@ -28,6 +28,8 @@ class Dialect:
 
 
 PLAIN_TSV = Dialect()
+# What other systems usually send.
+FOREIGN_CSV = Dialect(delimiter=",", quoting=MINIMAL, escapechar=None, doublequote=True)
 
 
 def _java(text: str) -> str:
@@ -55,16 +57,29 @@ def field_text(value: Column, numeric: bool, d: Dialect) -> Column:
     return F.when(text.rlike(f"[{special}]"), quoted).otherwise(text)
 
 
+def line_of(fields, dialect: Dialect = PLAIN_TSV) -> Column:
+    """The given schema fields as one line without its terminator."""
+    line = None
+    for f in fields:
+        text = field_text(F.col(f"`{f.name}`"), f.dataType.simpleString().startswith(NUMERIC), dialect)
+        line = text if line is None else F.concat(line, F.lit(dialect.delimiter), text)
+    return line
+
+
 def as_lines(df: DataFrame, dialect: Dialect = PLAIN_TSV, keep: list[str] | None = None) -> DataFrame:
     """``value`` = the row as one line without its terminator; ``keep`` columns stay beside it."""
     keep = keep or []
-    fields = [
-        field_text(F.col(f"`{f.name}`"), f.dataType.simpleString().startswith(NUMERIC), dialect)
-        for f in df.schema if f.name not in keep]
-    line = fields[0]
-    for f in fields[1:]:
-        line = F.concat(line, F.lit(dialect.delimiter), f)
-    return df.select(*keep, line.alias("value"))
+    return df.select(*keep, line_of([f for f in df.schema if f.name not in keep], dialect).alias("value"))
+
+
+def records_of(lines, dialect: Dialect = PLAIN_TSV):
+    """Records of an open text file in the dialect it was written in; the other direction of :func:`line_of`."""
+    import csv
+    import sys
+
+    csv.field_size_limit(sys.maxsize)
+    return csv.reader(lines, delimiter=dialect.delimiter, quotechar=dialect.quotechar, quoting=csv.QUOTE_NONE if dialect.quoting == NONE else csv.QUOTE_MINIMAL,
+                      escapechar=dialect.escapechar, doublequote=dialect.doublequote)
 
 
 def header_line(columns: list[str], dialect: Dialect = PLAIN_TSV) -> str:

@@ -8,9 +8,11 @@ from haulage.functions import paths as P, text as X, times as T
 
 
 def ledger_rows(files: DataFrame, loaded_at, archive: str = "tfs-archive", errors: str = "tfs-errors") -> DataFrame:
-    """Where each file ``(path, n_rows, failed)`` goes after its load: the archive or the error prefix, time in the name."""
-    name = P.base_name(F.col("path"))
-    ext = F.regexp_extract(name, r"[^.](\.[^.]*)$", 1)
+    """Where each file ``(path, n_rows, failed)`` goes after its load: its whole key below the archive or the error prefix, with
+    the time in the name. Of a URI the key is what follows the bucket or host.
+    """
+    name = F.regexp_replace(F.regexp_replace("path", r"^(?:file:/*|[^:/]+://[^/]*/+)", ""), "^/+", "")
+    ext = F.regexp_extract(P.base_name(name), r"[^.](\.[^.]*)$", 1)
     stem = F.left(name, F.length(name) - F.length(ext))
     at = T.moment(loaded_at)
     prefix = F.when(F.col("failed"), F.lit(errors)).otherwise(F.lit(archive))

@@ -10,34 +10,45 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from haulage.functions import paths as P, text as X
 from haulage.session import dealt_by
+from haulage.sinks.delimited import Dialect, FOREIGN_CSV, records_of
 
 DONE = ".done"
 RECORDS_PER_BATCH = 5_000
+LISTED_PER_BATCH = 10_000
 
 
 def listing(spark: SparkSession, root: str) -> DataFrame:
     """``(path, modificationTime, length)`` of all files below ``root``, empty marker files included.
 
-    The file sources of Spark leave out empty files, and a marker is one. The folders of the first level are spread
-    over the tasks and listed there; hidden files (``_`` or ``.`` in front, but for ``.done``) are left out.
+    The file sources of Spark leave out empty files, and a marker is one. Folders are listed level by level, each folder
+    by a task of its own and its files in slices; hidden files (``_`` or ``.`` in front, but for ``.done``) are left out.
     """
     from pyarrow import fs
 
-    system, inner = fs.FileSystem.from_uri(root)
+    from haulage.session import stored
+
+    _, inner = fs.FileSystem.from_uri(root)
     head = _uri_head(root)
-    folders = [i.path for i in system.get_file_info(fs.FileSelector(inner)) if i.type == fs.FileType.Directory]
-    todo = spark.createDataFrame([(inner, False)] + [(f, True) for f in folders], "folder string, deep boolean")
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         source, _ = fs.FileSystem.from_uri(root)
         for batch in batches:
-            for folder, deep in zip(batch["folder"], batch["deep"]):
-                found = [i for i in source.get_file_info(fs.FileSelector(folder, recursive=bool(deep)))
-                         if i.type == fs.FileType.File and (i.base_name == DONE or i.base_name[:1] not in "_.")]
-                yield pd.DataFrame({"path": [head + i.path for i in found], "modificationTime": pd.to_datetime([i.mtime for i in found], utc=True),
-                                    "length": [i.size for i in found]})
-
-    return todo.repartition(min(len(folders) + 1, 2000), "folder").mapInPandas(walk, "path string, modificationTime timestamp, length long")
+            for folder in batch["folder"]:
+                found = source.get_file_info(fs.FileSelector(folder))
+                found = [i for i in found if i.type == fs.FileType.Directory or i.type == fs.FileType.File and (i.base_name == DONE or i.base_name[:1] not in "_.")]
+                for at in range(0, len(found), LISTED_PER_BATCH):
+                    part = found[at:at + LISTED_PER_BATCH]
+                    yield pd.DataFrame({"path": [i.path for i in part], "is_folder": [i.type == fs.FileType.Directory for i in part],
+                                        "modificationTime": pd.to_datetime([i.mtime for i in part], utc=True), "length": [i.size or 0 for i in part]})
+
+    level, files = spark.createDataFrame([(inner,)], "folder string"), None
+    while True:
+        found = stored(level.repartition("folder").mapInPandas(walk, "path string, is_folder boolean, modificationTime timestamp, length long"), "listing")
+        own = found.where(~F.col("is_folder")).select(F.concat(F.lit(head), "path").alias("path"), "modificationTime", "length")
+        files = own if files is None else files.unionByName(own)
+        level = found.where("is_folder").select(F.col("path").alias("folder"))
+        if level.isEmpty():
+            return files
 
 
 def _uri_head(root: str) -> str:
@@ -50,8 +61,8 @@ def _uri_head(root: str) -> str:
     return f"hdfs://{parts.netloc}" if parts.scheme in ("hdfs", "viewfs") else f"{parts.scheme}://"
 
 
-def matching(objects: DataFrame, mask: str, path: str = "path", cap: int = 0) -> DataFrame:
-    """Objects that match a mask, without folders and ``.error`` objects. ``cap`` 0 means all."""
+def matching(objects: DataFrame, mask: str, path: str = "path", cap: int | None = None) -> DataFrame:
+    """Objects that match a mask, without folders and ``.error`` objects; with a cap the first ones."""
     name = F.col(path)
     out = objects.where(X.matches_glob(name, mask) & ~name.endswith("/") & ~name.endswith(".error"))
     return out.orderBy(path).limit(cap) if cap else out
@@ -77,21 +88,23 @@ def used_markers(loaded: DataFrame, path: str = "path") -> DataFrame:
     return loaded.select(F.concat(F.col(path), F.lit(DONE)).alias("marker"))
 
 
-def sorted_listing(objects: DataFrame, by: str = "Date", reverse: bool = False, items: int = 10) -> DataFrame:
-    """The first ``items`` objects by Date, Size, Key, Name or Ext; the key settles ties."""
+def sorted_listing(objects: DataFrame, by: str = "Date", reverse: bool = False, items: int | None = None) -> DataFrame:
+    """Objects by Date, Size, Key, Name or Ext, the first ``items`` on request; the key settles ties."""
     keys = {"Date": F.col("modificationTime"), "Size": F.col("length"), "Key": F.col("path"),
             "Name": P.base_name(F.col("path")), "Ext": X.last_segment(F.col("path"), ".")}
     key = keys[by]
-    return objects.orderBy(key.desc() if reverse else key.asc(), "path").limit(items)
+    ordered = objects.orderBy(key.desc() if reverse else key.asc(), "path")
+    return ordered if items is None else ordered.limit(items)
 
 
-def oldest_first(objects: DataFrame, cap: int = 25, newest: bool = False) -> DataFrame:
-    """The next files to take, by modification time."""
+def oldest_first(objects: DataFrame, cap: int | None = None, newest: bool = False) -> DataFrame:
+    """Files to take, by modification time; with a cap those of one cycle."""
     at = F.col("modificationTime")
-    return objects.orderBy(at.desc() if newest else at.asc(), "path").limit(cap)
+    ordered = objects.orderBy(at.desc() if newest else at.asc(), "path")
+    return ordered if cap is None else ordered.limit(cap)
 
 
-def first_source(sources: list[DataFrame], cap: int = 25) -> DataFrame | None:
+def first_source(sources: list[DataFrame], cap: int | None = None) -> DataFrame | None:
     """Files of the first source that has any."""
     for objects in sources:
         if not objects.isEmpty():
@@ -153,16 +166,19 @@ def load_files(spark: SparkSession, source: str | list[str], schema: PT.StructTy
 
 def load_by_name(spark: SparkSession, objects: DataFrame, schemas: dict[str, PT.StructType], root: str, loaded_at, options: str | None = None,
                  truncate: bool = False) -> DataFrame:
-    """Load listed files into tables named after the files; one read per table. Returns the ledger of all files."""
+    """Load listed files into tables named after the files; one read per table. Returns the ledger of all files: files of
+    a table that is not in ``schemas`` are failed ones, like files with a broken line.
+    """
+    from haulage.sinks.ledger import ledger_rows
+
     named = objects.withColumn("table_name", X.table_from_file(F.col("path")))
-    ledgers = []
+    strange = named.where(F.col("table_name").isNull() | ~F.col("table_name").isin(*schemas)).select("path", F.lit(0).cast("bigint").alias("n_rows"), F.lit(True).alias("failed"))
+    out = ledger_rows(strange, loaded_at)
     for table, schema in schemas.items():
+        # Spark's own file index holds the paths of a read on the driver as well.
         files = [r.path for r in named.where(F.col("table_name") == table).select("path").collect()]
         if files:
-            ledgers.append(load_files(spark, files, schema, f"{root}/{table}", loaded_at, options, truncate))
-    out = ledgers[0]
-    for more in ledgers[1:]:
-        out = out.unionByName(more)
+            out = out.unionByName(load_files(spark, files, schema, f"{root}/{table}", loaded_at, options, truncate))
     return out
 
 
@@ -191,13 +207,13 @@ def zip_contents(objects: DataFrame) -> DataFrame:
     return dealt_by(objects.select("path"), "path").mapInPandas(list_members, "path string, member string, length long")
 
 
-def zip_records(objects: DataFrame, sep: str = ",", encoding: str = "utf-8") -> DataFrame:
+def zip_records(objects: DataFrame, dialect: Dialect = FOREIGN_CSV, encoding: str = "utf-8") -> DataFrame:
     """Delimited records of all archive members: ``(path, member, record_no, fields)``.
 
-    A task streams one member after another, a batch of records at a time; quoted line breaks stay inside a field.
+    ``dialect`` is the one the members were written in, see :mod:`haulage.sinks.delimited`. A task streams one member after
+    another, a batch of records at a time; line breaks that are quoted or escaped stay inside a field of any length.
     """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import csv
         import gzip
         import io
         from itertools import islice
@@ -210,7 +226,7 @@ def zip_records(objects: DataFrame, sep: str = ",", encoding: str = "utf-8") ->
                     name = member.filename.strip("/")
                     with archive.open(member) as raw:
                         stream = gzip.GzipFile(fileobj=raw) if name.lower().endswith(".gz") else raw
-                        records = csv.reader(io.TextIOWrapper(stream, encoding=encoding, newline=""), delimiter=sep)
+                        records = records_of(io.TextIOWrapper(stream, encoding=encoding, newline=""), dialect)
                         start = 0
                         while found := list(islice(records, RECORDS_PER_BATCH)):
                             n = len(found)
@@ -266,11 +282,11 @@ def package_parts(lines: DataFrame, rows_per_range: int | None = None) -> DataFr
 
     Adds ``part`` (from 1) without the header lines; the running count is taken in ranges of the line order.
     """
-    from haulage.operators.ranges import ROWS_PER_RANGE, running_sum
+    from haulage.operators.ranges import running_sum
 
     header = lines.where(F.col("line_no") == 0).select(F.col("path").alias("_p"), F.col("value").alias("_h"))
     marked = lines.join(header, F.col("path") == F.col("_p")).withColumn("_is_header", (F.col("value") == F.col("_h")).cast("bigint"))
-    counted = running_sum(marked.drop("_p", "_h"), ["path", "line_no"], F.col("_is_header"), "_seen", rows_per_range or ROWS_PER_RANGE)
+    counted = running_sum(marked.drop("_p", "_h"), ["path", "line_no"], F.col("_is_header"), "_seen", rows_per_range)
     base = counted.groupBy("path").agg(F.min("_seen").alias("_base"))
     return counted.join(base, "path").where(F.col("_is_header") == 0).select(
         "path", "line_no", "value", (F.col("_seen") - F.col("_base") + 1).alias("part"))

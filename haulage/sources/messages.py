@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 FILE_INFO = "FileInfo: array<struct<Name:string, FolderSource:string>>"
 REQUEST = f"RqUID string, RqTm string, ScenarioInfo struct<ScenarioId:string>, ScenarioId string, File array<struct<{FILE_INFO}>>"
 RECEIPT = "RqUID string, RqTm string, StatusCode int, StatusDesc string"
-MAX_FILES = 25
 
 
 def kafka_topic(spark: SparkSession, servers: str, topic: str, starting: str = "earliest", stream: bool = False, **options: str) -> DataFrame:
@@ -23,17 +22,18 @@ def tail(messages: DataFrame, n: int) -> DataFrame:
     return messages.join(high, "partition").where(F.col("offset") > F.col("_high") - n).drop("_high")
 
 
-def parse_requests(messages: DataFrame, xml: str, keep: list[str], prefix: str = "", fallback_id: str = "manual", max_files: int = MAX_FILES) -> DataFrame:
+def parse_requests(messages: DataFrame, xml: str, keep: list[str], prefix: str = "", fallback_id: str = "manual", max_files: int | None = None) -> DataFrame:
     """Files named by transfer requests: ``(keep…, rq_uid, scenario_id, file_no, name, folder, key)``.
 
-    Only the first ``max_files`` entries of a request count (the rule of the interface), entries without a name are skipped.
+    All entries of a request count; ``max_files`` keeps the first ones only, for an interface with such a rule. Entries without a
+    name are skipped.
     """
     parsed = messages.select(*keep, F.from_xml(xml, REQUEST, {"ignoreNamespace": "true"}).alias("r"))
     infos = F.flatten(F.transform("r.File", lambda f: f["FileInfo"]))
     files = parsed.select(
         *keep, F.trim(F.coalesce("r.RqUID", F.lit(""))).alias("rq_uid"),
         F.coalesce(F.nullif(F.trim(F.coalesce("r.ScenarioInfo.ScenarioId", "r.ScenarioId")), F.lit("")), F.lit(fallback_id)).alias("scenario_id"),
-        F.posexplode(F.slice(infos, 1, max_files)).alias("file_no", "f"))
+        F.posexplode(infos if max_files is None else F.slice(infos, 1, max_files)).alias("file_no", "f"))
     name = F.trim(F.coalesce("f.Name", F.lit("")))
     folder = F.regexp_replace(F.coalesce("f.FolderSource", F.lit("")), "^/+|/+$", "")
     return files.select(

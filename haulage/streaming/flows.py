@@ -10,23 +10,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from haulage.functions import times as T
+def _cycled(reader, per_cycle: int | None):
+    reader = reader.option("latestFirst", "false")
+    return reader if per_cycle is None else reader.option("maxFilesPerTrigger", str(per_cycle))
 
-FILES_PER_CYCLE = 25
 
-
-def arriving_files(spark: SparkSession, root: str, mask: str = "*", per_cycle: int = FILES_PER_CYCLE) -> DataFrame:
-    """New files below ``root``, oldest first, at most ``per_cycle`` per trigger; contents are not read."""
+def arriving_files(spark: SparkSession, root: str, mask: str = "*", per_cycle: int | None = None) -> DataFrame:
+    """New files below ``root``, oldest first, on request at most ``per_cycle`` per trigger; contents are not read."""
     schema = "path string, modificationTime timestamp, length bigint, content binary"
     reader = spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", mask).option("recursiveFileLookup", "true")
-    objects = reader.option("maxFilesPerTrigger", str(per_cycle)).option("latestFirst", "false").load(root)
+    objects = _cycled(reader, per_cycle).load(root)
     return objects.select("path", "modificationTime", "length")
 
 
-def arriving_rows(spark: SparkSession, root: str, schema, mask: str = "*.parquet", per_cycle: int = FILES_PER_CYCLE) -> DataFrame:
+def arriving_rows(spark: SparkSession, root: str, schema, mask: str = "*.parquet", per_cycle: int | None = None) -> DataFrame:
     """Rows of Parquet files arriving below ``root``."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", mask)
-    return reader.option("maxFilesPerTrigger", str(per_cycle)).option("latestFirst", "false").parquet(root)
+    return _cycled(reader, per_cycle).parquet(root)
 
 
 def first_publications(events: DataFrame, key: list[str], at: str, horizon: str) -> DataFrame:
@@ -46,12 +46,6 @@ def answered(requests: DataFrame, receipts: DataFrame, wait: str, lateness: str
         "state", F.when(F.col("code").isNull(), "timeout").when(F.col("code") == 0, "confirmed").otherwise("failed"))
 
 
-def stat_folds(stats: DataFrame, at: str, horizon: str) -> DataFrame:
-    """Running newest value per event key, the stream form of the last-value lookup."""
-    return stats.withWatermark(at, horizon).groupBy("profile", "entity_id", "stat_id").agg(
-        F.max_by(F.struct("loading_id", "value", at), F.col(at)).alias("last"))
-
-
 def due_in_batches(now: Callable[[], object], act: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` body that hands the time waits that are due to ``act``."""
     from haulage.operators.loadings import due_waits
@@ -86,12 +80,3 @@ def apply_in_batches(target_path: Callable[[int], str], read_target: Callable[[]
         apply_batch(read_target(), batch, strategy, uk).write.mode("overwrite").parquet(target_path(epoch))
 
     return run
-
-
-def every(minutes: int) -> dict[str, str]:
-    """Trigger of a polling cycle."""
-    return {"processingTime": f"{minutes} minutes"}
-
-
-def recent_start(now, minutes: int):
-    return T.moment(now) - T.seconds(minutes * 60)

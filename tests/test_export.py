@@ -216,10 +216,73 @@ def test_tar_archives(spark, tmp_path):
     assert sorted(got) == sorted(f"{i}\tv{i}" for i in range(100)) and all(".tar.gz" in r.archive_name for r in log)
 
 
-def test_copy_codecs():
-    assert AR.copy_codecs("a.csv.gz", None, "gz") == (None, None, "a.csv.gz")
-    assert AR.copy_codecs("a.zip", None, "gz") == ("zip", "gz", "a.zip.gz") and AR.copy_codecs("a.csv", None, "zip") == (None, "zip", "a.csv.zip")
-    assert AR.copy_codecs("a.tar.gz", None, "default") == ("tar.gz", None, "a.tar.gz")
+def unpacked(path):
+    """Members of a file by name, read with the standard library."""
+    import gzip
+
+    if path.name.endswith(".zip"):
+        with zipfile.ZipFile(path) as z:
+            return {n: z.read(n) for n in z.namelist()}
+    if path.name.endswith(".tar.gz"):
+        with tarfile.open(path) as tar:
+            return {m.name: tar.extractfile(m).read() for m in tar.getmembers()}
+    data = path.read_bytes()
+    return {path.name.removesuffix(".gz"): gzip.decompress(data) if path.name.endswith(".gz") else data}
+
+
+@pytest.mark.parametrize("codec", ["gz", "zip", "tar.gz", "none"])
+def test_conversions(spark, tmp_path, codec):
+    import gzip
+
+    from haulage.sources import files as FI
+
+    source = tmp_path / "in"
+    for folder in ("a", "b/c"):
+        (source / folder).mkdir(parents=True)
+        (source / folder / "x.txt").write_bytes(folder.encode() * 1000)
+        (source / folder / "y.csv.gz").write_bytes(gzip.compress(b"y" + folder.encode()))
+        with zipfile.ZipFile(source / folder / "z.zip", "w") as z:
+            z.writestr("m1", "one")
+            z.writestr("d/m2", folder)
+        with tarfile.open(source / folder / "t.tar.gz", "w:gz") as tar:
+            for name, body in (("p", b"pp"), ("q", b"")):
+                info = tarfile.TarInfo(name)
+                info.size = len(body)
+                tar.addfile(info, io.BytesIO(body))
+    log = AR.convert_objects(FI.listing(spark, str(source)), f"file://{tmp_path}/out", str(source), codec).collect()
+    made = {str(p.relative_to(tmp_path / "out")): unpacked(p) for p in (tmp_path / "out").rglob("*") if p.is_file()}
+    assert {r.new_path.removeprefix(f"file://{tmp_path}/out/") for r in log} == set(made)
+    contents = sorted(body for members in made.values() for body in members.values())
+    assert contents == sorted(x for f in (b"a", b"b/c") for x in (f * 1000, b"y" + f, b"one", f, b"pp", b""))
+    ends = {"gz": ".gz", "zip": ".zip", "tar.gz": ".tar.gz", "none": ""}
+    assert all(name.endswith(ends[codec]) for name in made)
+
+
+def test_copies_do_not_meet(spark, tmp_path):
+    from haulage.sources import files as FI
+
+    for folder in ("a", "b"):
+        (tmp_path / "in" / folder).mkdir(parents=True)
+        (tmp_path / "in" / folder / "x.csv").write_text(folder)
+    (tmp_path / "in" / "a" / "x.csv.gz").write_bytes(b"packed")
+    objects = FI.listing(spark, str(tmp_path / "in"))
+    AR.copy_objects(objects, f"file://{tmp_path}/out", str(tmp_path / "in")).collect()
+    assert [(tmp_path / "out" / f / "x.csv").read_text() for f in "ab"] == ["a", "b"]
+    with pytest.raises(ValueError):
+        AR.copy_objects(objects, f"file://{tmp_path}/out2", str(tmp_path / "in"), compress=True)
+    with pytest.raises(ValueError):
+        AR.copy_objects(objects, f"file://{tmp_path}/out2", str(tmp_path / "other"))
+
+
+def test_parts_keep_their_bound(spark, tmp_path):
+    df = spark.range(200).select("id", F.concat(F.lit('a\t"b\\c\n'), F.repeat(F.lit("\t"), (F.col("id") % 40).cast("int"))).alias("v"))
+    head = PA.head_bytes(df.columns)
+    parts = PA.with_parts(df, ["id"], 600, head=head)
+    named = PA.named_manifest(parts, "S", "T", "R", "20240101000000", head=head)
+    log = {r.part_no: r for r in AR.write_archives(parts, named, ["id", "v"], ["id"], f"file://{tmp_path}", "{}", "20240101000000").collect()}
+    for r in named.collect():
+        with zipfile.ZipFile(tmp_path / r.archive_name) as z:
+            assert len(z.read(r.data_name)) == r.n_bytes == log[r.part_no].n_bytes <= 600
 
 
 def test_hand_named_zip(spark, tmp_path):

@@ -13,31 +13,33 @@ from haulage.sources import files as FI, messages as MS, tables as TB
 
 PAIR = PT.StructType([PT.StructField("a", PT.IntegerType()), PT.StructField("b", PT.StringType())])
 
-# A typed table of three rows: ordinary, special characters, NULLs.
-SPECIAL = 'Текст: "q", c, ; s,\tt,\nline, \\ b, №42'
-TYPED = [
-    (1, "Normal row", "ascii-only text", 123, 1234567890123, 1.23, "1.2300", True, [1, 2, 3], ["a", "b", "c"], dt.date(2023, 1, 1), dt.datetime(2023, 1, 1, 12)),
-    (2, "Special row", SPECIAL, 456, None, 4.56, "4.5600", False, [4, 5, 6], ["слово", "b,c", "d-e"], dt.date(2023, 1, 2), dt.datetime(2023, 1, 2, 13, 30)),
-    (3, "Nulls row", "", None, None, None, None, None, [], [], None, None),
+# A store's stock: five articles, one with a remark full of separators, one of which only the number is known.
+REMARK = '6" pipe; "red"\tor blue,\nsee C:\\lists'
+STOCK = [
+    (11, "bolt M8", "", 2400, "0.1250", 7.9, [8, 16, 25], ["steel", "din 933"], True, dt.date(2021, 3, 30), dt.datetime(2021, 3, 31, 6, 45, 10)),
+    (12, "pipe", REMARK, 18, "14.0000", 0.55, [], ["red, blue", "6\""], False, dt.date(2020, 2, 29), dt.datetime(2020, 2, 29, 23, 59, 59)),
+    (13, "rope", "by the metre", None, "2.9900", None, [10], [], True, None, dt.datetime(1999, 12, 31)),
+    (14, None, None, None, None, None, None, None, None, None, None),
+    (15, "größe µ", "ünïcode", -1, "-99999.0001", 1e-9, [-2, 0], ["ß"], False, dt.date(1970, 1, 1), None),
 ]
 
 
 @pytest.fixture(scope="module")
 def typed(spark):
-    raw = spark.createDataFrame(TYPED, "id int, name string, s_special string, val_int int, val_bigint bigint, val_float double, val_numeric string, val_bool boolean, "
-                                "arr_int array<int>, arr_text array<string>, val_date date, val_ts timestamp_ntz")
-    return raw.withColumn("val_numeric", F.col("val_numeric").cast("decimal(18,4)"))
+    raw = spark.createDataFrame(STOCK, "article int, label string, remark string, pieces bigint, price string, weight double, sizes array<int>, tags array<string>, sold boolean, "
+                                "listed date, counted timestamp_ntz")
+    return raw.withColumn("price", F.col("price").cast("decimal(18,4)"))
 
 
 def test_copy_and_checks(spark, typed, tmp_path):
     check = TB.copy_table(typed, f"{tmp_path}/t").first()
     back = spark.read.parquet(f"{tmp_path}/t")
     assert check.is_equal and CK.same_content(typed, back) and CK.same_checksum(typed, back)
-    assert CK.sum_check(back, "id", 3, 6).first().is_ok
-    assert TB.copy_table(typed, f"{tmp_path}/t", truncate=False).first().is_equal and spark.read.parquet(f"{tmp_path}/t").count() == 6
+    assert CK.sum_check(back, "article", 5, 65).first().is_ok
+    assert TB.copy_table(typed, f"{tmp_path}/t", truncate=False).first().is_equal and spark.read.parquet(f"{tmp_path}/t").count() == 10
     assert not CK.same_content(typed, spark.read.parquet(f"{tmp_path}/t")) and CK.same_content(typed, spark.read.parquet(f"{tmp_path}/t"), distinct=True)
-    text = TB.all_text(typed).where("id = '2'").first()
-    assert text.arr_text == "['слово','b,c','d-e']" and text.val_numeric == "4.5600" and text.val_ts == "2023-01-02 13:30:00"
+    text = TB.all_text(typed).where("article = '11'").first()
+    assert text.tags == "['steel','din 933']" and text.price == "0.1250" and text.counted == "2021-03-31 06:45:10"
 
 
 def test_checksum_sees_moved_nulls(spark):
@@ -49,14 +51,14 @@ def test_checksum_sees_moved_nulls(spark):
 @pytest.mark.parametrize("fmt", ["CSV", "TSVWithNames", "JSON"])
 @pytest.mark.parametrize("codec", ["none", "gzip"])
 def test_export_formats(spark, typed, tmp_path, fmt, codec):
-    TB.export_table(typed.drop("arr_int", "arr_text"), f"{tmp_path}/{fmt}", fmt, codec)
-    plain = typed.drop("arr_int", "arr_text")
+    plain = typed.drop("sizes", "tags")
+    TB.export_table(plain, f"{tmp_path}/{fmt}", fmt, codec)
     reader = spark.read.schema(plain.schema)
     if fmt == "JSON":
         back = reader.json(f"{tmp_path}/{fmt}")
     else:
         back = reader.option("header", "true").option("multiLine", "true").option("escape", '"').option("emptyValue", "").option("sep", "," if fmt == "CSV" else "\t").csv(f"{tmp_path}/{fmt}")
-    assert back.count() == 3 and back.where("id = 2").first().s_special == SPECIAL and back.agg(F.sum("id")).first()[0] == 6
+    assert back.count() == 5 and back.where("article = 12").first().remark == REMARK and back.agg(F.sum("article")).first()[0] == 65
     assert all((".gz" in f) == (codec == "gzip") for f in plain.sparkSession.read.text(f"{tmp_path}/{fmt}").inputFiles())
 
 
@@ -78,10 +80,11 @@ def test_load_by_name(spark, tmp_path):
     (folder / "tab 2.csv").write_text("a,b\n2,y\n3,z\n")
     (folder / "tab 3.csv").write_text("a,b\nbad,y\n9,z\n")
     (folder / "other.csv").write_text("a,b\n7,o\n")
-    ledger = FI.load_by_name(spark, FI.listing(spark, str(folder)), {"tab": PAIR, "other": PAIR, "none": PAIR}, f"{tmp_path}/tables", "2024-01-02 03:04:05", truncate=True)
+    ledger = FI.load_by_name(spark, FI.listing(spark, str(folder)), {"tab": PAIR, "none": PAIR}, f"{tmp_path}/tables", "2024-01-02 03:04:05", truncate=True)
     got = {r.new_path: (r.table_name, r.status, r.n_rows) for r in ledger.collect()}
     assert {k.split("/")[0]: None for k in got} == {"tfs-archive": None, "tfs-errors": None}
-    assert sorted(got.values()) == [("other", "loaded", 1), ("tab", "failed", 0), ("tab", "loaded", 1), ("tab", "loaded", 2)]
+    assert sorted(got.values()) == [("other", "failed", 0), ("tab", "failed", 0), ("tab", "loaded", 1), ("tab", "loaded", 2)]
+    assert FI.load_by_name(spark, FI.listing(spark, str(folder)), {}, f"{tmp_path}/none", "2024-01-02 03:04:05").count() == 4
     assert rows(spark.read.parquet(f"{tmp_path}/tables/tab")) == [(1, "x"), (2, "y"), (3, "z")]
 
 
@@ -98,11 +101,31 @@ def test_listing_and_heads(spark, tmp_path):
     assert FI.first_source([objects.where("false"), objects]).count() == 5 and FI.first_source([objects.where("false")]) is None
     assert CK.has_prefix(objects, f"file:{tmp_path}/a") and not CK.has_prefix(objects, "nothing")
     assert RT.expired_objects(objects, "2999-01-01 00:00:00", 30).count() == 5 and RT.expired_objects(objects, "2000-01-01 00:00:00", 30).isEmpty()
-    log = AR.copy_objects(FI.matching(objects, "*.csv").unionByName(FI.matching(objects, "*.gz")), f"file://{tmp_path}/out", compress=True).collect()
+    log = AR.copy_objects(FI.matching(objects, "*.csv").unionByName(FI.matching(objects, "*.gz")), f"file://{tmp_path}/out", str(tmp_path), compress=True).collect()
     assert sorted(r.new_path.rsplit("/", 1)[1] for r in log) == ["a.csv.gz", "b.csv.gz", "z.txt.gz"]
     assert gzip.decompress((tmp_path / "out" / "a.csv.gz").read_bytes()) == b"1\n2\n3\n" and gzip.decompress((tmp_path / "out" / "z.txt.gz").read_bytes()) == b"g1\ng2\n"
 
 
+def test_listing_of_any_tree(spark, tmp_path):
+    for folder in ("deep/er/still", "empty", "flat"):
+        (tmp_path / "in" / folder).mkdir(parents=True)
+    paths = lambda: sorted(r.path.rsplit("/in/", 1)[1] for r in FI.listing(spark, str(tmp_path / "in")).collect())
+    assert paths() == []
+    for name in ("deep/er/still/a.csv", "deep/b.csv", "flat/c.csv", "flat/.hidden", "flat/.done"):
+        (tmp_path / "in" / name).write_text("x")
+    assert paths() == ["deep/b.csv", "deep/er/still/a.csv", "flat/.done", "flat/c.csv"]
+    assert FI.listing(spark, str(tmp_path / "in" / "empty")).count() == 0
+
+
+def test_long_fields_of_archives(spark, tmp_path):
+    import zipfile
+
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("m.csv", "k,v\n1," + "x" * 300_000 + "\n")
+    got = FI.typed_records(FI.zip_records(FI.listing(spark, str(tmp_path))), PAIR).first()
+    assert got.a == 1 and len(got.b) == 300_000
+
+
 def test_messages(spark):
     xml = ('<n:TransferFileCephRq xmlns:n="u"><n:RqUID> u1 </n:RqUID><n:ScenarioInfo><n:ScenarioId>S</n:ScenarioId></n:ScenarioInfo><n:File><n:FileInfo><n:Name>a.csv</n:Name></n:FileInfo>'
            "<n:FileInfo><n:Name></n:Name></n:FileInfo><n:FileInfo><n:Name>b.csv</n:Name><n:FolderSource>/x/</n:FolderSource></n:FileInfo></n:File></n:TransferFileCephRq>")

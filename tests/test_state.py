@@ -42,7 +42,7 @@ def test_launch_limit(spark):
     frame = spark.createDataFrame(data, "lid bigint, wf_id bigint, alive string, profile string, status string, log string, loading_id bigint")
     got = {r.lid: r.reject_reason for r in LD.launch_candidates(frame, "p", 3).collect()}
     assert got == {1: None, 2: "wf already added", 3: None, 4: None, 5: "limit 3 exceeded", 6: "limit 3 exceeded", 7: "limit 3 exceeded"}
-    assert {r.reject_reason for r in LD.launch_candidates(frame, "q").collect()} == {"not profile"}
+    assert {r.reject_reason for r in LD.launch_candidates(frame, "q", 3).collect()} == {"not profile"}
 
 
 def test_outcome(spark):
@@ -110,7 +110,8 @@ def test_json_diff(spark):
     assert rows(got.where("id < 6")) == [
         (1, ".a", "1 (int)", "1 (str)"), (1, ".b[1]", "2", "3"), (1, ".b[]", "2", "3"), (1, ".c.d", "None", "—"), (2, ".x", '{"y":{"z":1}} (dict)', "5 (int)"),
         (3, ".", "[1] (list)", '{"k":1} (dict)'), (5, ".a", '{"b":1}', "—")]
-    assert got.where("id = 6").count() == 20
+    assert got.where("id = 6").count() == 40
+    assert SN.json_diff(spark.createDataFrame(pairs, "id int, b string, a string"), "id", "b", "a", limit=20).where("id = 6").count() == 20
 
 
 def test_apply_rules(spark):
