@@ -206,6 +206,14 @@ def bad_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return CK.bad_names(table(spark, sf_dir, "pages").select(F.lower("url").alias("url")), "url")
 
 
+@query("prefix_present", """
+    SELECT p AS prefix, (SELECT count(*) FROM pages WHERE starts_with(url, p)) > 0 AS present FROM (SELECT regexp_extract(url, '^https?://[^/]*/', 0) AS p FROM pages WHERE page_id = 0 UNION ALL SELECT 'ftp://')""")
+def prefix_present(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("path"))
+    first = pages.where("page_id = 0").select(F.regexp_extract("path", "^https?://[^/]*/", 0)).first()[0]
+    return spark.createDataFrame([(p, CK.has_prefix(pages, p)) for p in (first, "ftp://")], "prefix string, present boolean")
+
+
 @query("prefix_check", "SELECT lang, count(*) AS n FROM documents WHERE starts_with(source, 'w') OR NOT starts_with(lang, 'e') GROUP BY lang")
 def prefix_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     keep = F.col("source").startswith("w") | X.without_prefixes(F.col("lang"), ["e"])

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from haulage.functions import text as X, times as T
 from haulage.operators import extract as EX, parts as PA, schema as SC, state as ST
 from haulage.plans.catalogue.base import KEY_SQL, dealt, key_of_props, newest, query, table, views
+from haulage.session import run_folder
 from haulage.sinks import notify as NO
 from haulage.sources import registry as RG
 
@@ -283,6 +284,54 @@ def schema_descriptor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SC.descriptor(df).join(counts, "column_name", "left").select("column_name", "source_type", "length", "n_values")
 
 
+@query("reserved_columns", """
+    SELECT * FROM (VALUES ('export_time', 'TIMESTAMP', NULL, NULL), ('order_', 'INT', NULL, 1), ('user_', 'BIGINT', 'Calculated: o_custkey + 1', 2), ('price', 'DOUBLE', 'total price', 3),
+        ('ctl_action', 'VARCHAR', NULL, NULL), ('ctl_validfrom', 'TIMESTAMP', NULL, NULL)) d(column_name, source_type, description, place)
+    LEFT JOIN (SELECT 1 AS place, count(*) AS n_values FROM orders UNION ALL SELECT 2, count(o_custkey) FROM orders UNION ALL SELECT 3, count(o_totalprice) FROM orders) USING (place)""")
+def reserved_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns named as the receiver's words get another name in data and descriptor; computed columns say how."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("int").alias("order"), (F.col("o_custkey") + 1).cast("bigint").alias("user"), F.col("o_totalprice").cast("double").alias("price"))
+    words = ["ORDER", "user", "table"]
+    sent = SC.renamed(orders, words)
+    comments = spark.createDataFrame([("price", "total price")], "column_name string, comment string")
+    columns = SC.descriptor(orders, comments, words, {"user": "o_custkey + 1"})
+    counts = sent.agg(*[F.count(c).alias(c) for c in sent.columns]).unpivot([], sent.columns, "column_name", "n_values")
+    places = spark.createDataFrame([(c, i) for i, c in enumerate(sent.columns, 1)], "column_name string, place int")
+    return columns.select("column_name", "source_type", "description").join(counts, "column_name", "left").join(places, "column_name", "left")
+
+
+@query("gate_switches", """
+    SELECT CAST(c_custkey AS VARCHAR) AS extract_name, c_custkey % 3 = 0 AS is_active, c_custkey % 5 = 0 AS optimize_exp_table, c_custkey % 4 <> 1 AND c_nationkey > 10 AS auto_confirm_delta FROM customer""")
+def gate_switches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("c_custkey")
+    return RG.gated(table(spark, sf_dir, "customer").select(
+        key.cast("string").alias("extract_name"), F.when(key % 3 == 0, True).alias("is_active"), (key % 5 == 0).alias("optimize_exp_table"),
+        F.when(key % 4 != 1, F.col("c_nationkey") > 10).alias("auto_confirm_delta")))
+
+
+@query("sent_names", "SELECT o_orderkey, 'a' || o_orderkey || '_' || o_custkey || ',' || 'b' || o_orderkey || '_1' AS names FROM orders")
+def sent_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key, n = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    pairs = F.array(*[F.array(F.concat(F.lit(x), key), F.concat(F.lit(x), key, F.lit("_"), counted)) for x, counted in (("a", n), ("b", F.lit("1")))])
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.array_join(PA.sent_names(pairs), ",").alias("names"))
+
+
+@query("history_append", """
+    WITH h AS (SELECT 'x' || user_id AS extract_name, max(ts) AS extract_time, count(*) AS extract_count FROM events GROUP BY 1)
+    SELECT extract_name, count(*) AS n_rows, max(extract_time) AS extract_time, CAST(sum(extract_count) AS BIGINT) AS extract_count, count(confirmed) AS n_confirmed
+    FROM (SELECT *, NULL AS confirmed FROM h UNION ALL SELECT *, 1 FROM h) GROUP BY 1""")
+def history_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state log of all users, appended to in two steps: sent rows, then their confirmed copies."""
+    path = run_folder(spark, "history")
+    sent = table(spark, sf_dir, "events").groupBy(F.concat(F.lit("x"), F.col("user_id").cast("string")).alias("extract_name")).agg(
+        F.max("ts").cast("timestamp_ntz").alias("extract_time"), F.count("*").alias("extract_count"))
+    given = sent.withColumn("sent", F.col("extract_time"))
+    ST.append_history(given.select(*[(F.col(f.name) if f.name in given.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in ST.HISTORY]), path)
+    ST.append_history(ST.auto_confirm(spark.read.schema(ST.HISTORY).parquet(path), VALID), path)
+    back = spark.read.schema(ST.HISTORY).parquet(path)
+    return back.groupBy("extract_name").agg(F.count("*").alias("n_rows"), F.max("extract_time").alias("extract_time"), F.sum("extract_count").alias("extract_count"), F.count("confirmed").alias("n_confirmed"))
+
+
 RULES = [(r"[\t\r\n]+", " "), (r"[0-9]{3,}", "#"), (r'"', "'"), (r" {2,}", " ")]
 
 

@@ -21,6 +21,13 @@ def delta_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
         T.shift(ts, "1:05:10").alias("later"), (month - F.make_dt_interval(F.dayofmonth(ts) - 5)).alias("on_date"))
 
 
+@query("moment_default", """
+    SELECT event_id, CASE event_id % 3 WHEN 0 THEN date_trunc('second', ts)::TIMESTAMP ELSE TIMESTAMP '1970-01-01 00:00:00' END AS at FROM events""")
+def moment_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = F.when(F.col("event_id") % 3 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).when(F.col("event_id") % 3 == 1, "no time")
+    return table(spark, sf_dir, "events").select("event_id", T.moment_or_default(texts).alias("at"))
+
+
 EXPRESSIONS = ["time=8:30", "weekday=0", "hours=+5", "2 days", "1:05:10", "date=2023-06-15,minutes=-1", "weeks=1, seconds=30", "", "unknown"]
 
 

@@ -127,11 +127,18 @@ def fallback_by_priority(rows: DataFrame, key: str, priority: str, shared: list[
         *[first_of(n, F.lower(F.col(n)) != "default") for n in shared])
 
 
+GATES = ["is_active", "optimize_exp_table", "auto_confirm_delta"]
+
+
+def gated(registry: DataFrame) -> DataFrame:
+    """The switches of every extract; one that is not set is off."""
+    return registry.select("extract_name", *[F.coalesce(F.col(f), F.lit(False)).alias(f) for f in GATES])
+
+
 def gates(registry: DataFrame, name: str) -> dict[str, bool]:
-    """The switches of one extract: is_active, optimize_exp_table, auto_confirm_delta."""
-    fields = ["is_active", "optimize_exp_table", "auto_confirm_delta"]
-    row = registry.where(F.col("extract_name") == name).select(*[F.coalesce(F.col(f), F.lit(False)).alias(f) for f in fields]).first()
-    return {f: bool(row[f]) if row else False for f in fields}
+    """The switches of one extract, all off for an unknown one."""
+    row = gated(registry.where(F.col("extract_name") == name)).first()
+    return {f: bool(row[f]) if row else False for f in GATES}
 
 
 def flow_of(file_name: Column) -> Column:
