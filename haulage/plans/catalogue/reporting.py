@@ -116,7 +116,7 @@ def growth_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("size_ranking", "SELECT source, CAST(sum(n_chars) AS BIGINT) AS total FROM documents GROUP BY source ORDER BY total DESC")
 def size_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return RP.top(table(spark, sf_dir, "documents").groupBy("source").agg(F.sum("n_chars").alias("total")), 0, F.col("total").desc(), "source")
+    return RP.top(table(spark, sf_dir, "documents").groupBy("source").agg(F.sum("n_chars").alias("total")), None, F.col("total").desc(), "source")
 
 
 @query("coverage", """
