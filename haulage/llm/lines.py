@@ -17,15 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from haulage.llm.base import query, table, whole_text
+from haulage.llm.bloom import SHARD, has, put, size_for
 from haulage.session import stored
 
 #: Code points from which a line counts.
 LEAST_CHARS = 10
-#: Filter bits per line, the fewest bits of a filter, and the most (128 MB): with more lines the filter gets fuller and
-#: suspects more lines, which are then confirmed or cleared exactly like all others.
-BITS_PER_LINE, FEWEST_BITS, MOST_BITS = 12, 1 << 20, 1 << 30
-#: Bytes of a filter that are merged together.
-SHARD = 8192
+#: Groups into which the documents of a line are dealt when its first occurrence is told to them.
+SALTS = 16
 
 
 def keys_of(data: bytes) -> list[bytes | None]:
@@ -34,24 +32,6 @@ def keys_of(data: bytes) -> list[bytes | None]:
     return [k if len(k) >= 4 * LEAST_CHARS or len(k) >= LEAST_CHARS and len(k.decode()) >= LEAST_CHARS else None for k in keys]
 
 
-def places(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The two bits of a hash in a filter of ``bits`` (a power of two)."""
-    mask = np.uint64(bits - 1)
-    return (hashes & mask).astype(np.int64), ((hashes >> np.uint64(32)) * np.uint64(0x9E3779B1) & mask).astype(np.int64)
-
-
-def has(bitmap: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
-    found = np.ones(len(hashes), bool)
-    for at in places(hashes, bits):
-        found &= bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1 > 0
-    return found
-
-
-def put(bitmap: np.ndarray, hashes: np.ndarray, bits: int) -> None:
-    for at in places(hashes, bits):
-        np.bitwise_or.at(bitmap, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
-
-
 def line_hashes(keys) -> np.ndarray:
     import xxhash
 
@@ -90,7 +70,7 @@ def twice_seen(docs: DataFrame, bits: int) -> np.ndarray:
     texts = docs.where(F.col("doc_id").isNotNull()).select(F.encode(whole_text(), "UTF-8").alias("text")).coalesce(tasks)
     merged = texts.mapInArrow(fill, "shard int, once binary, twice binary").groupBy("shard").applyInPandas(merge, "shard int, twice binary")
     out = np.zeros(bits // 8, np.uint8)
-    for row in merged.toLocalIterator():
+    for row in merged.collect():
         out[row.shard * SHARD:(row.shard + 1) * SHARD] = np.frombuffer(row.twice, np.uint8)
     return out
 
@@ -107,7 +87,7 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
     docs = docs.drop("n_lines", "n_dropped")
     columns = docs.columns
     n_lines = docs.agg(F.sum(F.length(whole_text()) - F.length(F.replace(whole_text(), F.lit("\n"), F.lit(""))) + 1)).first()[0] or 0
-    bits = min(max(1 << int(BITS_PER_LINE * n_lines).bit_length(), FEWEST_BITS), MOST_BITS)
+    bits = size_for(n_lines)
     seen = spark.sparkContext.broadcast(twice_seen(docs, bits))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,7 +126,9 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
     suspects = stored(probed.where(F.size("_keys") > 0), "line-suspects")
     held = suspects.select("doc_id", F.explode("_keys").alias("key"))
     first = held.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    gone = held.join(first, "key").where("doc_id > first").groupBy("doc_id").agg(F.collect_set("key").alias("_drop")).withColumnRenamed("doc_id", "_doc_id")
+    # a line that many documents hold is told its first occurrence in several groups of documents
+    salted = first.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    gone = held.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(salted, ["key", "salt"]).where("doc_id > first").groupBy("doc_id").agg(F.collect_set("key").alias("_drop")).withColumnRenamed("doc_id", "_doc_id")
     joined = suspects.drop("_keys").join(gone, F.col("doc_id") == F.col("_doc_id"), "left").drop("_doc_id")
     done_schema = T.StructType([*filled.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
     return clear.unionByName(joined.mapInArrow(drop, done_schema)).select(*columns, "n_lines", "n_dropped")
