@@ -5,9 +5,9 @@ similar enough share a shingle among the first of each in this order, which give
 fragments; the overlap of a candidate pair is counted in every fragment by itself and the counts are summed per pair.
 
 Sets that are equal are one class with one representative, and only representatives are compared. In a posting list with
-many sets all are first compared with a few hubs; sets that end up in one component need no further comparison, so that a
-group of near copies costs about as many pairs as it has members. After that every pair of a list that may still join two
-components is compared, so no link that matters for the components is lost.
+many sets all are first compared with a few hubs, in turns; sets that end up in one component need no further comparison, so
+that a group of near copies costs about as many pairs as it has members. After that every pair of a list that may still join
+two components is compared, so no link that matters for the components is lost.
 """
 
 from __future__ import annotations
@@ -18,14 +18,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from haulage.llm.base import in_slices, query, table, whole_text
+from haulage.llm.base import id_back, id_text, in_slices, query, table, whole_text
+from haulage.llm.bloom import filter_of, has
 from haulage.llm.graph import components
 from haulage.session import stored
 
 #: Counters of the order, and how many of them are added up together.
 COUNTERS, SHARD = 1 << 22, 4096
-#: Fragments of the order, and hubs of a posting list.
-FRAGMENTS, HUBS = 8, 4
+#: Fragments of the order, hubs of a posting list in a turn, and turns at most before all that is left is compared.
+FRAGMENTS, HUBS, TURNS = 8, 4, 2
 WORDS, SIMILAR = 5, 80
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -54,7 +55,8 @@ def sets_of(texts: list[str], size: int) -> list[np.ndarray]:
 
 
 def counters(docs: DataFrame, size: int) -> np.ndarray:
-    """Level of every counter: 0 up to about twice the mean number of shingles, then one more with each doubling.
+    """Level of every counter: how far it stands above the mean, in standard deviations of what unique shingles alone would give,
+    one level more with each doubling. So a shingle that some tens of documents share is told from unique ones.
 
     Counts cover all documents. The table has a fixed size whatever the input, and every task fills one, so a task takes
     several splits.
@@ -78,20 +80,16 @@ def counters(docs: DataFrame, size: int) -> np.ndarray:
 
     tasks = 2 * docs.sparkSession.sparkContext.defaultParallelism
     out = np.zeros(COUNTERS, np.int64)
-    for row in docs.select(whole_text().alias("text")).coalesce(tasks).mapInPandas(count, "shard int, counts binary").groupBy("shard").applyInPandas(add, "shard int, counts binary").toLocalIterator():
+    for row in docs.select(whole_text().alias("text")).coalesce(tasks).mapInPandas(count, "shard int, counts binary").groupBy("shard").applyInPandas(add, "shard int, counts binary").collect():
         out[row.shard * SHARD:(row.shard + 1) * SHARD] = np.frombuffer(row.counts, "<i8")
-    return np.floor(np.log2(np.maximum(1, out / (2 * max(1.0, out.mean()))))).astype(np.uint8)
+    mean = out.mean()
+    return np.floor(np.log2(np.maximum(1, (out - mean) / (2 * mean ** 0.5 + 1)))).astype(np.uint8)
 
 
 def level_of(tokens: np.ndarray, levels: np.ndarray) -> np.ndarray:
     return levels[(tokens & np.uint64(COUNTERS - 1)).astype(np.int64)]
 
 
-def _at_least(percent: int, n: Column, m: Column) -> Column:
-    """Fewest shared shingles of sets of n and m whose Jaccard similarity reaches the percentage."""
-    return F.ceil((n + m) * percent / F.lit(100 + percent))
-
-
 def _may_link(percent: int, x: str, y: str) -> Column:
     """Whether sets whose first shared shingle this is can be similar enough, by their sizes and its places in them."""
     n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
@@ -99,29 +97,41 @@ def _may_link(percent: int, x: str, y: str) -> Column:
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (left * (100 + percent) >= percent * (n + m))
 
 
+def _key(doc_ids: pd.Series) -> np.ndarray:
+    """Hashes of documents."""
+    key = doc_ids.to_numpy().astype(np.int64).view(np.uint64) * _ODD
+    key = (key ^ (key >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+    return key ^ (key >> np.uint64(29))
+
+
 def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, shared_levels, size: int, percent: int, label: str) -> DataFrame:
-    """The pairs ``(a, b, n, m)`` of classes whose overlap, summed over the fragments, reaches the similarity."""
+    """The pairs ``(a, b, n, m)`` of classes whose overlap, summed over the fragments, reaches the similarity.
+
+    A filter of the documents that stand for the classes in question, of bounded size, lets the pass over the texts leave out
+    all others. So no text is shuffled, only the fragments of sets that have a candidate: one row a class, with a column for
+    each fragment.
+    """
     involved = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
-    wanted = stored(reps.join(involved, "cls").select("cls", F.col("rep").alias("_doc_id")), f"{label}-wanted")
-    texts = docs.select("doc_id", whole_text().alias("text")).join(wanted, F.col("doc_id") == F.col("_doc_id")).select("cls", "text")
+    wanted = stored(reps.where("rep IS NOT NULL").join(involved, "cls").select("rep"), f"{label}-wanted")
+    asked = docs.sparkSession.sparkContext.broadcast(filter_of(wanted, wanted.count(), lambda frame: _key(frame["rep"])))
+    parts = [f"f{k}" for k in range(FRAGMENTS)]
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        levels = shared_levels.value
-        for frame in in_slices(batches):
-            out = []
-            for cls, tokens in zip(frame["cls"], sets_of(frame["text"].tolist(), size)):
-                if class_of(tokens) != cls:  # another text under the same id
-                    continue
-                part = np.where(level_of(tokens, levels) > 0, FRAGMENTS - 1, ((tokens >> np.uint64(32)) * np.uint64(FRAGMENTS - 1) >> np.uint64(32)).astype(np.int64))
-                signed = tokens.view(np.int64)
-                out += [(cls, f, signed[part == f]) for f in np.unique(part).tolist()]
-            yield pd.DataFrame(out, columns=["cls", "fragment", "tokens"])
-
-    fragments = texts.mapInPandas(cut, "cls long, fragment int, tokens array<long>").dropDuplicates(["cls", "fragment"])
-    left = fragments.select(F.col("cls").alias("a"), "fragment", F.col("tokens").alias("own"))
-    right = fragments.select(F.col("cls").alias("b"), "fragment", F.col("tokens").alias("other"))
-    counted = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "n", "m", F.size(F.array_intersect("own", "other")).alias("overlap"))
-    summed = counted.groupBy("a", "b", "n", "m").agg(F.sum("overlap").alias("overlap"))
+        levels, (bitmap, bits) = shared_levels.value, asked.value
+        for batch in batches:
+            for frame in in_slices(iter([batch[has(bitmap, _key(batch["doc_id"]), bits)]])):
+                out = []
+                for tokens in sets_of(frame["text"].tolist(), size):
+                    part = np.where(level_of(tokens, levels) > 0, FRAGMENTS - 1, ((tokens >> np.uint64(32)) * np.uint64(FRAGMENTS - 1) >> np.uint64(32)).astype(np.int64))
+                    out.append((class_of(tokens), *[tokens.view(np.int64)[part == k] for k in range(FRAGMENTS)]))
+                yield pd.DataFrame(out, columns=["cls", *parts])
+
+    texts = docs.where("doc_id IS NOT NULL").select("doc_id", whole_text().alias("text"))
+    fragments = texts.mapInPandas(cut, "cls long, " + ", ".join(f"{p} array<long>" for p in parts)).dropDuplicates(["cls"])
+    left = fragments.select(F.col("cls").alias("a"), *[F.col(p).alias(f"own_{p}") for p in parts])
+    right = fragments.select(F.col("cls").alias("b"), *[F.col(p).alias(f"other_{p}") for p in parts])
+    counted = pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", F.array(*[F.size(F.array_intersect(f"own_{p}", f"other_{p}")) for p in parts]).alias("overlaps"))
+    summed = counted.withColumn("overlap", F.aggregate("overlaps", F.lit(0), lambda total, k: total + k))
     return stored(summed.where(F.col("overlap") * (100 + percent) >= percent * (F.col("n") + F.col("m"))).select("a", "b"), f"{label}-links")
 
 
@@ -146,39 +156,46 @@ def similar_groups(docs: DataFrame, size: int = WORDS, percent: int = SIMILAR) -
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in in_slices(batches, 8 << 20):
-            out = []
+            sizes, classes, prefixes = [], [], []
             for tokens in sets_of(frame["text"].tolist(), size):
                 n = len(tokens)
                 first = n - -(-percent * n // 100) + 1 if n else 0
                 order = np.lexsort((tokens, level_of(tokens, levels.value)))[:first]
-                out.append((n, class_of(tokens) if n else None, tokens[order].view(np.int64)))
-            made = pd.DataFrame(out, columns=["n", "cls", "prefix"])
-            made["cls"] = pd.array(made["cls"], "Int64")
-            made.insert(0, "doc_id", pd.array(frame["doc_id"].to_numpy(), "Int64") if frame["doc_id"].notna().all() else pd.array([None if pd.isna(d) else int(d) for d in frame["doc_id"]], "Int64"))
-            yield made
+                sizes.append(n)
+                classes.append(class_of(tokens) if n else None)
+                prefixes.append(tokens[order].view(np.int64))
+            yield pd.DataFrame({"doc_id": frame["doc_id"].to_numpy(), "n": sizes, "cls": pd.array(classes, "Int64"), "prefix": prefixes})
 
-    sets = stored(docs.select("doc_id", whole_text().alias("text")).mapInPandas(sketch, "doc_id long, n long, cls long, prefix array<long>"), "join-sets")
+    sketched = docs.select(id_text("doc_id"), whole_text().alias("text")).mapInPandas(sketch, "doc_id string, n long, cls long, prefix array<long>")
+    sets = stored(id_back(sketched, "doc_id"), "join-sets")
     reps = stored(sets.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep")), "join-classes")
     own = sets.join(reps.withColumnsRenamed({"cls": "_cls"}), (F.col("cls") == F.col("_cls")) & (F.col("doc_id") == F.col("rep")))
-    postings = own.select("cls", "n", F.posexplode("prefix").alias("pos", "token"))
+    postings = own.select("cls", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
     token = Window.partitionBy("token")
-    placed = postings.withColumn("together", F.count("*").over(token)).withColumn("place", F.row_number().over(token.orderBy(F.xxhash64("cls"), "cls")))
-    lists = stored(placed.where("together > 1").drop("together"), "join-lists")
+    counted = postings.withColumn("together", F.count("*").over(token)).withColumn("place", F.row_number().over(token.orderBy("pos", F.xxhash64("cls"), "cls")))
+    rest = stored(counted.where("together > 1").drop("together").withColumn("label", F.col("cls")), "join-lists")
+
+    edges, aside = None, None
+    for turn in range(TURNS):
+        hubs, others = rest.where(F.col("place") <= HUBS).alias("x"), rest.alias("y")
+        # a set with few shingles before the shared one has little of its own: it stands in the middle of its group
+        met = hubs.join(others, (F.col("x.token") == F.col("y.token")) & (F.col("x.place") < F.col("y.place")) & (F.col("x.label") != F.col("y.label")) & _may_link(percent, "x", "y"))
+        found = verified(_pairs(met, f"join-pairs-{turn}"), docs, reps, levels, size, percent, f"join-{turn}")
+        edges = found if edges is None else edges.unionByName(found)
+        near = components(edges, f"join-groups-{turn}").withColumnRenamed("node", "_cls")
+        left = rest.where(F.col("place") > HUBS).drop("place", "label").join(near, F.col("cls") == F.col("_cls"), "left").withColumn("label", F.coalesce("root", "cls"))
+        # hubs come first from what is not in the component of the list's first set
+        ordered = left.withColumn("main", F.min_by("label", F.struct("pos", "cls")).over(token)).withColumn("last", F.max("label").over(token)).withColumn("least", F.min("label").over(token))
+        ordered = ordered.withColumn("place", F.row_number().over(token.orderBy(F.col("label") == F.col("main"), "pos", F.xxhash64("cls"), "cls")))
+        rest = stored(ordered.where(F.col("last") != F.col("least")).select("token", "cls", "n", "pos", "place", "label", "main"), f"join-rest-{turn}")
+        before, aside = aside, rest.where(F.col("label") != F.col("main")).count()
+        if not aside or before is not None and aside > 0.8 * before:
+            break
 
-    hubs = lists.where(F.col("place") <= HUBS).alias("x")
-    met = hubs.join(lists.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.place") < F.col("y.place")) & _may_link(percent, "x", "y"))
-    first = verified(_pairs(met, "join-hub-pairs"), docs, reps, levels, size, percent, "join-hubs")
-
-    near = components(first, "join-first").withColumnsRenamed({"node": "_cls"})
-    rest = lists.where(F.col("place") > HUBS).join(near, F.col("cls") == F.col("_cls"), "left").withColumn("label", F.coalesce("root", "cls")).drop("_cls", "root")
-    mixed = stored(rest.withColumn("main", F.min_by("label", "place").over(token)).withColumn("last", F.max("label").over(token)).withColumn("least", F.min("label").over(token))
-                   .where(F.col("last") != F.col("least")).drop("last", "least"), "join-mixed")
     # one side is what is not in the component of the list's first set, so a large component is not compared with itself
-    aside = mixed.where(F.col("label") != F.col("main")).alias("x")
-    met = aside.join(mixed.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.label") != F.col("y.label")) & _may_link(percent, "x", "y"))
-    second = verified(_pairs(met, "join-cross-pairs"), docs, reps, levels, size, percent, "join-cross")
-
-    joined = components(first.unionByName(second), "join-all").withColumnsRenamed({"node": "_cls"})
+    met = rest.where(F.col("label") != F.col("main")).alias("x").join(rest.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.label") != F.col("y.label")) & _may_link(percent, "x", "y"))
+    found = verified(_pairs(met, "join-last-pairs"), docs, reps, levels, size, percent, "join-last")
+    joined = components(edges.unionByName(found), "join-groups").withColumnsRenamed({"node": "_cls"})
     rooted = stored(reps.join(joined, F.col("cls") == F.col("_cls"), "left").select("cls", "rep", F.coalesce("root", "cls").alias("root")), "join-rooted")
     smallest = rooted.groupBy("root").agg(F.min("rep").alias("component_id")).withColumnRenamed("root", "_root")
     labels = rooted.join(smallest, F.col("root") == F.col("_root")).select(F.col("cls").alias("_cls"), "component_id")
