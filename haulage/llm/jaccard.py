@@ -28,6 +28,8 @@ COUNTERS, SHARD = 1 << 22, 4096
 #: Fragments of the order, hubs of a posting list in a turn, and turns at most before all that is left is compared.
 FRAGMENTS, HUBS, TURNS = 8, 4, 2
 WORDS, SIMILAR = 5, 80
+#: Characters of text whose shingles are made at once.
+SLICE = 2 << 20
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -63,7 +65,7 @@ def counters(docs: DataFrame, size: int) -> np.ndarray:
     """
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table_, any_text = np.zeros(COUNTERS, np.int64), False
-        for frame in in_slices(batches, 8 << 20):
+        for frame in in_slices(batches, SLICE):
             found = [s for s in sets_of(frame["text"].tolist(), size) if len(s)]
             if found:
                 any_text = True
@@ -119,7 +121,7 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, shared_levels,
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         levels, (bitmap, bits) = shared_levels.value, asked.value
         for batch in batches:
-            for frame in in_slices(iter([batch[has(bitmap, _key(batch["doc_id"]), bits)]])):
+            for frame in in_slices(iter([batch[has(bitmap, _key(batch["doc_id"]), bits)]]), SLICE):
                 out = []
                 for tokens in sets_of(frame["text"].tolist(), size):
                     part = np.where(level_of(tokens, levels) > 0, FRAGMENTS - 1, ((tokens >> np.uint64(32)) * np.uint64(FRAGMENTS - 1) >> np.uint64(32)).astype(np.int64))
@@ -155,7 +157,7 @@ def similar_groups(docs: DataFrame, size: int = WORDS, percent: int = SIMILAR) -
     levels = spark.sparkContext.broadcast(counters(docs, size))
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in in_slices(batches, 8 << 20):
+        for frame in in_slices(batches, SLICE):
             sizes, classes, prefixes = [], [], []
             for tokens in sets_of(frame["text"].tolist(), size):
                 n = len(tokens)

@@ -26,7 +26,9 @@ THRESHOLD = 0.3
 #: Scale of the shares, so that a form that makes up a text weighs about as much as the constant.
 SCALE = 4.0
 #: Words whose hash and form are kept per Python worker.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 150_000
+#: Characters of text whose n-grams are made at once.
+SLICE = 1 << 20
 
 SIGNS = "#*$%&|<>"
 
@@ -150,7 +152,7 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndar
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, examples = Words(), []
-        for frame in in_slices(batches):
+        for frame in in_slices(batches, SLICE):
             places, owners, counts = places_of(frame["text"].tolist(), words)
             order = np.argsort(owners, kind="stable")
             cuts = np.searchsorted(owners[order], np.arange(len(frame) + 1))
@@ -172,7 +174,7 @@ def with_scores(docs: DataFrame, weights: np.ndarray) -> DataFrame:
         import xxhash
 
         words = kept_with(xxhash, "word forms", Words)
-        for frame in in_slices(batches):
+        for frame in in_slices(batches, SLICE):
             score = scored(frame["text"].tolist(), shared.value, words)
             yield pd.DataFrame({"doc_id": frame["doc_id"].to_numpy(), "held_out": frame["held_out"].to_numpy(), "score": score, "predicted": (score >= THRESHOLD).astype(np.int32)})
 
@@ -193,7 +195,7 @@ def good(docs: DataFrame, weights: np.ndarray) -> DataFrame:
             texts, keep, start, size = batch.column("text").to_pylist(), [], 0, 0
             for i, text in enumerate(texts):
                 size += len(text or "")
-                if size >= 4 << 20 or i == len(texts) - 1:
+                if size >= SLICE or i == len(texts) - 1:
                     keep.append(scored([t or "" for t in texts[start:i + 1]], shared.value, words) >= THRESHOLD)
                     start, size = i + 1, 0
             yield batch.filter(pa.array(np.concatenate(keep))) if keep else batch
