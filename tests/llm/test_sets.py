@@ -270,8 +270,10 @@ def held_to_plain(rows, texts):
         sums[r.source] = sums.get(r.source, 0) + r.taken
     for s in sizes:
         assert all(abs(r.target - target[s]) <= 1e-9 * max(1, target[s]) for r in rows if r.source == s)
-        # a source with few documents may have no subset of exactly this size
-        assert abs(sums[s] - target[s]) <= max(1, 0.01 * target[s]), (s, sums[s], target[s])
+        # a source with few documents may have no subset of exactly this size, but what is missing is less than any document left
+        own = [r for r in rows if r.source == s and r.size]
+        left = [r.size for r in own if r.copies == min(o.copies for o in own)]
+        assert -1 <= target[s] - sums[s] <= max(1, min(left, default=0)), (s, sums[s], target[s])
 
 
 def decided(docs):
