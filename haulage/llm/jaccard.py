@@ -177,7 +177,7 @@ def similar_groups(docs: DataFrame, size: int = WORDS, percent: int = SIMILAR) -
     counted = postings.withColumn("together", F.count("*").over(token)).withColumn("place", F.row_number().over(token.orderBy("pos", F.xxhash64("cls"), "cls")))
     rest = stored(counted.where("together > 1").drop("together").withColumn("label", F.col("cls")), "join-lists")
 
-    edges, aside = None, None
+    edges, aside, rows = None, None, rest.count()
     for turn in range(TURNS):
         hubs, others = rest.where(F.col("place") <= HUBS).alias("x"), rest.alias("y")
         # a set with few shingles before the shared one has little of its own: it stands in the middle of its group
@@ -191,7 +191,8 @@ def similar_groups(docs: DataFrame, size: int = WORDS, percent: int = SIMILAR) -
         ordered = ordered.withColumn("place", F.row_number().over(token.orderBy(F.col("label") == F.col("main"), "pos", F.xxhash64("cls"), "cls")))
         rest = stored(ordered.where(F.col("last") != F.col("least")).select("token", "cls", "n", "pos", "place", "label", "main"), f"join-rest-{turn}")
         before, aside = aside, rest.where(F.col("label") != F.col("main")).count()
-        if not aside or before is not None and aside > 0.8 * before:
+        # few rows left outside the main component of their list, or no progress: the rest is compared at once
+        if aside <= 0.1 * rows or before is not None and aside > 0.8 * before:
             break
 
     # one side is what is not in the component of the list's first set, so a large component is not compared with itself
