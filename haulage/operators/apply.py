@@ -32,14 +32,14 @@ def full_without_key(batch: DataFrame) -> DataFrame:
 def incremental(target: DataFrame, batch: DataFrame, uk: list[str]) -> DataFrame:
     """Update, insert and delete by key. ``ctl_action`` tells what happened to a row; untouched rows keep theirs.
 
-    Both sides have one row per key when they meet, so no key is hot in the join.
+    NULL is a key like any other. Both sides have one row per key when they meet, so no key is hot in the join.
     """
     cols = target.columns
     change = _newest_per_key(batch, uk).select(F.struct(*[F.col(c) for c in cols]).alias("_new"), *[F.col(k).alias(f"_k_{k}") for k in uk])
     old = target.select(F.struct(*[F.col(c) for c in cols]).alias("_old"), *[F.col(k).alias(f"_o_{k}") for k in uk])
     match = F.lit(True)
     for k in uk:
-        match = match & (F.col(f"_o_{k}") == F.col(f"_k_{k}"))
+        match = match & F.col(f"_o_{k}").eqNullSafe(F.col(f"_k_{k}"))
     joined = old.join(change, match, "full_outer")
     alive = F.col("_new").isNull() | (F.coalesce(F.col("_new.ctl_action"), F.lit("I")) != "D")
     action = F.when(F.col("_new").isNull(), F.col("_old.ctl_action")).when(F.col("_old").isNull(), "I").otherwise("U")

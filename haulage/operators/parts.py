@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from haulage.operators.ranges import running_sum
-from haulage.sinks.delimited import Dialect, PLAIN_TSV, header_line, line_of
+from haulage.session import spread, stored
+from haulage.sinks.delimited import Dialect, PLAIN_TSV, header_line, line_bytes
 
 
 def row_bytes(df: DataFrame, dialect: Dialect = PLAIN_TSV) -> Column:
     """Bytes of a row as a written line, escapes, quotes and line end included."""
-    return (F.octet_length(line_of(df.schema, dialect)) + len(dialect.lineterminator.encode())).cast("bigint")
+    return (line_bytes(df.schema.fields, dialect) + len(dialect.lineterminator.encode())).cast("bigint")
 
 
 def head_bytes(columns: list[str], dialect: Dialect = PLAIN_TSV) -> int:
@@ -23,22 +24,30 @@ def with_parts(df: DataFrame, order: list[str], max_bytes: int, size: Column | N
     ``max_bytes``.
 
     Rows are laid end to end in ``order`` (unique) and cut every ``max_bytes`` less header and widest row, so the row that
-    crosses a cut still fits. Rows wider than the bound get a part of their own. A frame that has ``row_size`` already
-    is not measured again: its manifest then needs the order columns and the size only.
+    crosses a cut still fits. Rows wider than the bound get a part of their own. Rows are measured once and stored with their size;
+    a frame that has ``row_size`` already is taken as stored, and its manifest then needs the order columns and the size only.
     """
-    sized = df if "row_size" in df.columns else df.withColumn("row_size", size if size is not None else row_bytes(df))
-    stats = sized.agg(F.max("row_size").alias("widest"), F.count("*").alias("n")).first()
-    stride = max(max_bytes - head - (stats.widest or 0), 1)
-    laid = running_sum(sized, order, F.col("row_size"), "_end", rows_per_range, stats.n)
+    measures = [F.max("row_size").alias("widest"), F.count("*").alias("n")]
+    if "row_size" in df.columns:
+        sized, found = df, df.agg(*measures).first().asDict()
+    else:
+        seen = Observation("row sizes")
+        sized = stored(spread(df).withColumn("row_size", size if size is not None else row_bytes(df)).observe(seen, *measures), "sized-rows")
+        found = seen.get
+    stride = max(max_bytes - head - (found["widest"] or 0), 1)
+    laid = running_sum(sized, order, F.col("row_size"), "_end", rows_per_range, found["n"])
     return laid.withColumn("part_no", F.floor((F.col("_end") - F.col("row_size")) / F.lit(stride)).cast("bigint")).drop("_end")
 
 
 def manifest(parts: DataFrame, head: int = 0) -> DataFrame:
-    """``(part_no, part_index, part_total, n_rows, n_bytes)``; indexes are dense and start at 1, bytes are those written."""
-    counts = parts.groupBy("part_no").agg(F.count("*").alias("n_rows"), (F.sum("row_size") + head).alias("n_bytes"))
-    total = counts.agg(F.count("*").alias("n")).scalar()
-    placed = running_sum(counts, ["part_no"], F.lit(1).cast("bigint"), "part_index")
-    return placed.select("part_no", "part_index", total.alias("part_total"), "n_rows", "n_bytes")
+    """``(part_no, part_index, part_total, n_rows, n_bytes)``; indexes are dense and start at 1, bytes are those written.
+
+    The layout is computed once: what follows reads one stored row per part.
+    """
+    counts = stored(parts.groupBy("part_no").agg(F.count("*").alias("n_rows"), (F.sum("row_size") + head).alias("n_bytes")), "part-counts")
+    total = counts.count()
+    placed = running_sum(counts, ["part_no"], F.lit(1).cast("bigint"), "part_index", total=total)
+    return placed.select("part_no", "part_index", F.lit(total).cast("bigint").alias("part_total"), "n_rows", "n_bytes")
 
 
 def named_manifest(parts: DataFrame, schema: str, table: str, replica: str, stamp: str, ext: str = "csv", head: int = 0) -> DataFrame:
@@ -76,11 +85,7 @@ def empty_manifest(spark: SparkSession, schema: str, table: str, replica: str, s
 def package_manifest(parts: DataFrame, schema: str, table: str, replica: str, stamp: str, send_empty: bool, ext: str = "csv", head: int = 0) -> DataFrame:
     """The named manifest, or the header-only one when there are no rows and empty packages are sent."""
     named = named_manifest(parts, schema, table, replica, stamp, ext, head)
-    if not send_empty:
-        return named
-    spare = empty_manifest(parts.sparkSession, schema, table, replica, stamp, ext)
-    none = parts.groupBy().agg(F.count("*").alias("n")).select(F.col("n") == 0).scalar()
-    return named.unionByName(spare.where(none))
+    return empty_manifest(parts.sparkSession, schema, table, replica, stamp, ext) if send_empty and named.isEmpty() else named
 
 
 def tickets(named: DataFrame) -> DataFrame:

@@ -13,6 +13,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SAMPLE_PER_RANGE = 24
+# Rows that are worth a range of their own, and rows of a range at most.
+LEAST_ROWS, MOST_ROWS = 250_000, 1_000_000
 # Cut points travel as JSON; microseconds must survive (fixed values).
 JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
@@ -21,14 +23,23 @@ def _key(order: list[str]) -> Column:
     return F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(order)])
 
 
+def ranges_for(total: int, partitions: int, rows_per_range: int | None = None) -> int:
+    """How many ranges ``total`` rows are worth: one per partition of a shuffle, more where these would hold more than
+    ``MOST_ROWS`` rows, fewer where they would hold less than ``LEAST_ROWS``."""
+    if rows_per_range is not None:
+        return max(1, math.ceil(total / rows_per_range))
+    return max(1, min(max(partitions, math.ceil(total / MOST_ROWS)), math.ceil(total / LEAST_ROWS)))
+
+
 def cut_points(df: DataFrame, order: list[str], rows_per_range: int | None = None, total: int | None = None) -> list[str]:
-    """Order tuples (as JSON) that split ``df`` into about equal ranges: as many as the session has shuffle partitions, or
-    of about ``rows_per_range`` rows.
+    """Order tuples (as JSON) that split ``df`` into about equal ranges; see ``ranges_for``. One range has none, and is not sampled.
 
     The sample brought to the driver has ``SAMPLE_PER_RANGE`` tuples a range in expectation.
     """
     total = df.count() if total is None else total
-    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if rows_per_range is None else math.ceil(total / rows_per_range)
+    wanted = ranges_for(total, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows_per_range)
+    if wanted == 1:
+        return []
     fraction = min(1.0, wanted * SAMPLE_PER_RANGE / max(total, 1))
     # One task sorts the bounded sample; a global ordering would read the input a second time to find its own ranges.
     sample = df.select(*order).sample(False, fraction, seed=11).repartition(1).sortWithinPartitions(*order)
@@ -66,6 +77,9 @@ def running_sum(
 ) -> DataFrame:
     """Add ``out`` = sum of ``value`` over all rows up to and including this one in the given total order."""
     cuts = cut_points(df, order, rows_per_range, total)
+    if not cuts:
+        upto = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(out, F.sum(value).over(upto))
     rows = with_range(df.withColumn("_value", value), order, cuts)
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     # One row per range.
@@ -96,6 +110,9 @@ def neighbours(
     """
     previous, following = previous or {}, following or {}
     cuts = cut_points(df, keys + order, rows_per_range, total)
+    if not cuts:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return df.select(*df.columns, *[F.lag(c).over(w).alias(o) for o, c in previous.items()], *[F.lead(c).over(w).alias(o) for o, c in following.items()])
     rows = with_range(df, keys + order, cuts)
     w = Window.partitionBy("_range", *keys).orderBy(*order)
     inside = rows.select(

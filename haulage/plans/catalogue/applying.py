@@ -8,21 +8,34 @@ from haulage.functions import times as T
 from haulage.operators import apply as AP
 from haulage.plans.catalogue.base import query, table
 
-# Target: two thirds of the orders. Batch: updates, deletions, inserts, repeated keys and deletions without a match.
-TARGET_SQL = "SELECT o_orderkey, o_orderstatus, o_totalprice, 'I' AS ctl_action, TIMESTAMP '2024-01-01 00:00:00' AS ctl_validfrom FROM orders WHERE o_orderkey % 3 <> 0"
+# Target: two thirds of the orders and a row without key. Batch: updates, deletions, inserts, repeated keys, deletions without a match and
+# two changes of the row without key.
+TARGET_SQL = """
+    SELECT o_orderkey, o_orderstatus, o_totalprice, 'I' AS ctl_action, TIMESTAMP '2024-01-01 00:00:00' AS ctl_validfrom FROM orders WHERE o_orderkey % 3 <> 0
+    UNION ALL SELECT NULL, 'O', max(o_totalprice), 'I', TIMESTAMP '2024-01-01 00:00:00' FROM orders"""
 BATCH_SQL = """
     SELECT o_orderkey, 'U' || o_orderstatus AS o_orderstatus, o_totalprice + 1 AS o_totalprice, CASE WHEN o_orderkey % 7 = 0 THEN 'D' ELSE 'U' END AS ctl_action,
            TIMESTAMP '2024-02-01 00:00:00' + to_minutes(CAST(o_custkey % 60 AS INTEGER)) AS ctl_validfrom FROM orders WHERE o_orderkey % 5 < 2
     UNION ALL
     SELECT o_orderkey, 'X', o_totalprice + 2, CASE WHEN o_orderkey % 11 = 0 THEN 'D' ELSE 'I' END, TIMESTAMP '2024-02-01 00:30:00' FROM orders WHERE o_orderkey % 5 = 0
     UNION ALL
-    SELECT o_orderkey + 10000000, 'N', o_totalprice, CASE WHEN o_orderkey % 2 = 0 THEN 'D' ELSE 'I' END, TIMESTAMP '2024-02-02 00:00:00' FROM orders WHERE o_orderkey % 13 = 0"""
+    SELECT o_orderkey + 10000000, 'N', o_totalprice, CASE WHEN o_orderkey % 2 = 0 THEN 'D' ELSE 'I' END, TIMESTAMP '2024-02-02 00:00:00' FROM orders WHERE o_orderkey % 13 = 0
+    UNION ALL SELECT NULL, 'E', max(o_totalprice) + 1, 'D', TIMESTAMP '2024-02-01 00:00:00' FROM orders
+    UNION ALL SELECT NULL, 'L', max(o_totalprice) + 2, 'U', TIMESTAMP '2024-02-03 00:00:00' FROM orders"""
 DEDUP_SQL = "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY ctl_validfrom DESC, o_orderstatus DESC, o_totalprice DESC, ctl_action DESC) AS rn FROM ({})) WHERE rn = 1"
 
 
 def target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").where("o_orderkey % 3 <> 0").select(
+    orders = table(spark, sf_dir, "orders")
+    rows = orders.where("o_orderkey % 3 <> 0").select(
         "o_orderkey", "o_orderstatus", "o_totalprice", F.lit("I").alias("ctl_action"), T.moment("2024-01-01 00:00:00").alias("ctl_validfrom"))
+    return rows.unionByName(without_key(orders, "O", 0, "I", "2024-01-01 00:00:00"))
+
+
+def without_key(orders: DataFrame, status: str, more: int, action: str, at: str) -> DataFrame:
+    """One row whose key is NULL."""
+    most = orders.agg((F.max("o_totalprice") + more).alias("o_totalprice"))
+    return most.select(F.lit(None).cast("bigint").alias("o_orderkey"), F.lit(status).alias("o_orderstatus"), "o_totalprice", F.lit(action).alias("ctl_action"), T.moment(at).alias("ctl_validfrom"))
 
 
 def batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,7 +50,8 @@ def batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     fresh = orders.where(key % 13 == 0).select(
         (key + 10_000_000).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"), "o_totalprice",
         F.when(key % 2 == 0, "D").otherwise("I").alias("ctl_action"), T.moment("2024-02-02 00:00:00").alias("ctl_validfrom"))
-    return changed.unionByName(again).unionByName(fresh)
+    early, late = without_key(orders, "E", 1, "D", "2024-02-01 00:00:00"), without_key(orders, "L", 2, "U", "2024-02-03 00:00:00")
+    return changed.unionByName(again).unionByName(fresh).unionByName(early).unionByName(late)
 
 
 @query("apply_full_uk", f"SELECT * REPLACE ('I' AS ctl_action) FROM ({DEDUP_SQL.format(f'SELECT * FROM ({BATCH_SQL}) WHERE ctl_action <> ' + chr(39) + 'D' + chr(39))})")
@@ -52,8 +66,8 @@ def apply_full_no_uk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("apply_inc", f"""
     WITH t AS ({TARGET_SQL}), b AS ({DEDUP_SQL.format(BATCH_SQL)})
-    SELECT b.* REPLACE (CASE WHEN t.o_orderkey IS NULL THEN 'I' ELSE 'U' END AS ctl_action) FROM b LEFT JOIN t USING (o_orderkey) WHERE b.ctl_action <> 'D'
-    UNION ALL SELECT t.* FROM t WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.o_orderkey = t.o_orderkey)""")
+    SELECT b.* REPLACE (CASE WHEN there IS NULL THEN 'I' ELSE 'U' END AS ctl_action) FROM b LEFT JOIN (SELECT *, true AS there FROM t) t ON b.o_orderkey IS NOT DISTINCT FROM t.o_orderkey WHERE b.ctl_action <> 'D'
+    UNION ALL SELECT t.* FROM t WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.o_orderkey IS NOT DISTINCT FROM t.o_orderkey)""")
 def apply_inc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return AP.apply_batch(target(spark, sf_dir), batch(spark, sf_dir), "INC", ["o_orderkey"])
 

@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 MINIMAL, ALL, NONNUMERIC, NONE = 0, 1, 2, 3
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+# Types whose text has no other characters than these, and so nothing to escape in most dialects.
+SIMPLE = (*NUMERIC, "boolean", "date", "timestamp")
+SIMPLE_CHARS = frozenset("0123456789+-.: eETNaInfitytrulsb")
 
 
 @dataclass(frozen=True)
@@ -36,12 +39,14 @@ def _java(text: str) -> str:
     return text.replace("\\", "\\\\").replace("$", "\\$")
 
 
-def field_text(value: Column, numeric: bool, d: Dialect) -> Column:
-    """One field as it appears in a line."""
+def field_text(value: Column, kind: str, d: Dialect) -> Column:
+    """One field of the type ``kind`` as it appears in a line."""
     text = F.coalesce(value.cast("string"), F.lit(""))
-    special = "".join(re.escape(c) for c in {d.delimiter, d.quotechar, "\r", "\n", *d.lineterminator, *([d.escapechar] if d.escapechar else [])})
+    numeric = kind.startswith(NUMERIC)
+    marks = {d.delimiter, d.quotechar, "\r", "\n", *d.lineterminator, *([d.escapechar] if d.escapechar else [])}
+    special = "".join(re.escape(c) for c in sorted(marks))
     if d.quoting == NONE:
-        if not d.escapechar:
+        if not d.escapechar or kind.startswith(SIMPLE) and not marks & SIMPLE_CHARS:
             return text
         return F.regexp_replace(text, f"([{special}])", f"{_java(d.escapechar)}$1")
     body = text
@@ -61,11 +66,19 @@ def line_of(fields, dialect: Dialect = PLAIN_TSV) -> Column:
     """The given schema fields as one line without its terminator."""
     line = None
     for f in fields:
-        text = field_text(F.col(f"`{f.name}`"), f.dataType.simpleString().startswith(NUMERIC), dialect)
+        text = field_text(F.col(f"`{f.name}`"), f.dataType.simpleString(), dialect)
         line = text if line is None else F.concat(line, F.lit(dialect.delimiter), text)
     return line
 
 
+def line_bytes(fields, dialect: Dialect = PLAIN_TSV) -> Column:
+    """Bytes of the line, without building it."""
+    total = F.lit(len(dialect.delimiter.encode()) * (len(fields) - 1))
+    for f in fields:
+        total = total + F.octet_length(field_text(F.col(f"`{f.name}`"), f.dataType.simpleString(), dialect))
+    return total
+
+
 def as_lines(df: DataFrame, dialect: Dialect = PLAIN_TSV, keep: list[str] | None = None) -> DataFrame:
     """``value`` = the row as one line without its terminator; ``keep`` columns stay beside it."""
     keep = keep or []
