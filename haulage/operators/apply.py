@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 STRATEGIES = ("FULL_UK", "FULL_NO_UK", "INC", "APPEND")
 
 
-def _newest_per_key(batch: DataFrame, uk: list[str]) -> DataFrame:
+def newest_per_key(batch: DataFrame, uk: list[str]) -> DataFrame:
+    """One row per key of a batch: the newest."""
     rest = [c for c in batch.columns if c not in uk]
     # Latest ctl_validfrom; equal times are settled by all columns so that the result does not depend on row order.
     order = F.struct("ctl_validfrom", *[c for c in rest if c != "ctl_validfrom"])
@@ -21,7 +22,7 @@ def _kept(batch: DataFrame) -> DataFrame:
 
 def full_by_key(batch: DataFrame, uk: list[str]) -> DataFrame:
     """Replace everything; deletions are dropped, then one row per key stays."""
-    return _newest_per_key(_kept(batch), uk).withColumn("ctl_action", F.lit("I"))
+    return newest_per_key(_kept(batch), uk).withColumn("ctl_action", F.lit("I"))
 
 
 def full_without_key(batch: DataFrame) -> DataFrame:
@@ -35,7 +36,7 @@ def incremental(target: DataFrame, batch: DataFrame, uk: list[str]) -> DataFrame
     NULL is a key like any other. Both sides have one row per key when they meet, so no key is hot in the join.
     """
     cols = target.columns
-    change = _newest_per_key(batch, uk).select(F.struct(*[F.col(c) for c in cols]).alias("_new"), *[F.col(k).alias(f"_k_{k}") for k in uk])
+    change = newest_per_key(batch, uk).select(F.struct(*[F.col(c) for c in cols]).alias("_new"), *[F.col(k).alias(f"_k_{k}") for k in uk])
     old = target.select(F.struct(*[F.col(c) for c in cols]).alias("_old"), *[F.col(k).alias(f"_o_{k}") for k in uk])
     match = F.lit(True)
     for k in uk:

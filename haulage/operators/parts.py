@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from haulage.operators.ranges import running_sum
 from haulage.session import spread, stored
@@ -27,15 +27,10 @@ def with_parts(df: DataFrame, order: list[str], max_bytes: int, size: Column | N
     crosses a cut still fits. Rows wider than the bound get a part of their own. Rows are measured once and stored with their size;
     a frame that has ``row_size`` already is taken as stored, and its manifest then needs the order columns and the size only.
     """
-    measures = [F.max("row_size").alias("widest"), F.count("*").alias("n")]
-    if "row_size" in df.columns:
-        sized, found = df, df.agg(*measures).first().asDict()
-    else:
-        seen = Observation("row sizes")
-        sized = stored(spread(df).withColumn("row_size", size if size is not None else row_bytes(df)).observe(seen, *measures), "sized-rows")
-        found = seen.get
-    stride = max(max_bytes - head - (found["widest"] or 0), 1)
-    laid = running_sum(sized, order, F.col("row_size"), "_end", rows_per_range, found["n"])
+    sized = df if "row_size" in df.columns else stored(spread(df).withColumn("row_size", size if size is not None else row_bytes(df)), "sized-rows")
+    stats = sized.agg(F.max("row_size").alias("widest"), F.count("*").alias("n")).first()
+    stride = max(max_bytes - head - (stats.widest or 0), 1)
+    laid = running_sum(sized, order, F.col("row_size"), "_end", rows_per_range, stats.n)
     return laid.withColumn("part_no", F.floor((F.col("_end") - F.col("row_size")) / F.lit(stride)).cast("bigint")).drop("_end")
 
 

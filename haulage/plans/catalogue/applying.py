@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from haulage.functions import times as T
 from haulage.operators import apply as AP
+from haulage.operators.apply import newest_per_key
 from haulage.plans.catalogue.base import query, table
+from haulage.session import run_folder
+from haulage.sinks.keyed import KeyedTarget
 
 # Target: two thirds of the orders and a row without key. Batch: updates, deletions, inserts, repeated keys, deletions without a match and
 # two changes of the row without key.
@@ -64,10 +67,13 @@ def apply_full_no_uk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return AP.apply_batch(target(spark, sf_dir), batch(spark, sf_dir), "FULL_NO_UK")
 
 
-@query("apply_inc", f"""
+INC_SQL = f"""
     WITH t AS ({TARGET_SQL}), b AS ({DEDUP_SQL.format(BATCH_SQL)})
     SELECT b.* REPLACE (CASE WHEN there IS NULL THEN 'I' ELSE 'U' END AS ctl_action) FROM b LEFT JOIN (SELECT *, true AS there FROM t) t ON b.o_orderkey IS NOT DISTINCT FROM t.o_orderkey WHERE b.ctl_action <> 'D'
-    UNION ALL SELECT t.* FROM t WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.o_orderkey IS NOT DISTINCT FROM t.o_orderkey)""")
+    UNION ALL SELECT t.* FROM t WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.o_orderkey IS NOT DISTINCT FROM t.o_orderkey)"""
+
+
+@query("apply_inc", INC_SQL)
 def apply_inc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return AP.apply_batch(target(spark, sf_dir), batch(spark, sf_dir), "INC", ["o_orderkey"])
 
@@ -75,3 +81,35 @@ def apply_inc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("apply_append", f"SELECT * FROM ({TARGET_SQL}) UNION ALL SELECT * REPLACE ('I' AS ctl_action) FROM ({BATCH_SQL})")
 def apply_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return AP.apply_batch(target(spark, sf_dir), batch(spark, sf_dir), "APPEND")
+
+
+@query("merge_inc", INC_SQL)
+def merge_inc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same batch in two merges into a target of many files."""
+    kept = KeyedTarget(spark, run_folder(spark, "merge-inc"), ["o_orderkey"])
+    kept.create(target(spark, sf_dir), rows_per_file=500)
+    whole = newest_per_key(batch(spark, sf_dir), ["o_orderkey"])
+    for turn in range(2):
+        kept.merge(whole.where(F.pmod(F.xxhash64("o_orderkey"), F.lit(2)) == turn))
+    return kept.read()
+
+
+@query("merge_touched", """
+    WITH m AS (SELECT max(o_orderkey) AS m, count(*) AS n FROM orders), c AS (SELECT count(*) AS n FROM orders, m WHERE o_orderkey > m // 2 AND o_orderkey <= m // 2 + m // 100)
+    SELECT s.step, CASE WHEN s.step = 'inserts' THEN m.n + c.n ELSE m.n END AS n_rows, CASE WHEN s.step = 'inserts' THEN CAST(0 AS BIGINT) ELSE c.n END AS n_changed, true AS is_bounded
+    FROM (VALUES ('updates'), ('inserts')) s(step), m, c""")
+def merge_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A hundredth of the keys updated, then as many new ones: rows after each merge, rows of the batch found in the files read, and
+    whether the files read are at most a quarter of all (none for new keys)."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.lit("I").alias("ctl_action"), T.moment("2024-01-01 00:00:00").alias("ctl_validfrom"))
+    kept = KeyedTarget(spark, run_folder(spark, "merge-touched"), ["o_orderkey"])
+    total = orders.count()
+    kept.create(orders, rows_per_file=max(1, total // 160))
+    most = orders.agg(F.max("o_orderkey")).first()[0]
+    part = orders.where((F.col("o_orderkey") > most // 2) & (F.col("o_orderkey") <= most // 2 + most // 100)).withColumn("ctl_action", F.lit("U"))
+    out = []
+    for step, change in (("updates", part), ("inserts", part.withColumn("o_orderkey", F.col("o_orderkey") + 2 * most))):
+        done = kept.merge(change)
+        found = kept.read().join(part.select("o_orderkey"), "o_orderkey", "left_semi").where("ctl_action = 'U'").count() if done.files_read else 0
+        out.append((step, kept.read().count(), found, done.files_read * 4 <= done.files_before))
+    return spark.createDataFrame(out, "step string, n_rows long, n_changed long, is_bounded boolean")

@@ -80,3 +80,14 @@ def apply_in_batches(target_path: Callable[[int], str], read_target: Callable[[]
         apply_batch(read_target(), batch, strategy, uk).write.mode("overwrite").parquet(target_path(epoch))
 
     return run
+
+
+def merge_in_batches(target) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` body that merges each micro-batch into a :class:`~haulage.sinks.keyed.KeyedTarget`; a micro-batch that
+    comes again after a failure is not merged twice."""
+    base = target.version()
+
+    def run(batch: DataFrame, epoch: int) -> None:
+        target.merge(batch, base + epoch + 1)
+
+    return run
