@@ -133,6 +133,55 @@ def needs_confirm(auto: Column, notify: Column, rows: Column) -> Column:
     return ~auto & notify & (rows > 0)
 
 
+RECEIPTS = "extract_name string, extract_time timestamp_ntz, received_at timestamp_ntz, code int"
+# States in which an extract may run its next window.
+RUNNABLE = ("new", "confirmed", "skipped", "auto", "received")
+
+
+def run_states(extracts: DataFrame, history: DataFrame, receipts: DataFrame, now) -> DataFrame:
+    """What every extract may do next, folded over its log: ``(extract_name, state, may_run, extract_time, sent_at, confirmed_at)``.
+
+    ``extracts``: ``(extract_name, is_active, auto_confirm_delta, auto_confirm, notify, confirm_timeout min)``, the first two being the
+    gates of the registry; ``receipts (extract_name, extract_time, received_at, code)``. The newest window decides:
+
+    * ``inactive`` the gate is closed, ``new`` nothing has run, ``confirmed`` a confirmed copy is in the log;
+    * ``skipped`` no receipt is awaited: confirmation is automatic, nothing was announced or there was no data;
+    * ``auto`` the gate confirms what was sent; ``received`` a good receipt has come in time, ``failed`` a bad one;
+    * ``timeout`` none has come in time, ``waiting`` there is time left.
+    """
+    now = T.moment(now)
+    windows = history.groupBy("extract_name", "extract_time").agg(
+        F.max("time_to").alias("time_to"), F.max("sent").alias("sent_at"), F.max("confirmed").alias("confirmed_at"), F.max("extract_count").alias("n_rows"))
+    last = windows.groupBy(F.col("extract_name").alias("_name")).agg(F.max_by(F.struct("extract_time", "sent_at", "confirmed_at", "n_rows"), F.struct("time_to", "extract_time")).alias("w"))
+    joined = extracts.join(last, F.col("extract_name") == F.col("_name"), "left").select(extracts.columns + ["w.*", F.col("w").isNotNull().alias("has_run")])
+    limit = F.col("sent_at") + T.seconds(F.col("confirm_timeout") * 60)
+    named = receipts.select(F.col("extract_name").alias("_name"), F.col("extract_time").alias("_time"), "received_at", "code")
+    come = joined.join(named, (F.col("extract_name") == F.col("_name")) & (F.col("extract_time") == F.col("_time")), "left")
+    counts = (F.col("received_at") >= F.col("sent_at")) & (F.col("received_at") <= limit) & (F.col("received_at") <= now)
+    # The first receipt in time counts; of several at once the worst.
+    first = F.min(F.when(counts, F.struct("received_at", (-F.col("code")).alias("bad")))).alias("receipt")
+    kept = [F.first(c, ignorenulls=True).alias(c) for c in ("is_active", "auto_confirm_delta", "auto_confirm", "notify", "extract_time", "sent_at", "confirmed_at", "n_rows", "has_run", "confirm_timeout")]
+    folded = come.groupBy("extract_name").agg(*kept, first)
+    awaited = needs_confirm(F.col("auto_confirm"), F.col("notify") & F.col("sent_at").isNotNull(), F.coalesce("n_rows", F.lit(0)))
+    state = (
+        F.when(~F.coalesce("is_active", F.lit(False)), "inactive").when(~F.col("has_run"), "new").when(F.col("confirmed_at").isNotNull(), "confirmed").when(~awaited, "skipped")
+        .when(F.coalesce("auto_confirm_delta", F.lit(False)), "auto").when(F.col("receipt.bad") == 0, "received").when(F.col("receipt").isNotNull(), "failed")
+        .when(limit <= now, "timeout").otherwise("waiting"))
+    return folded.select("extract_name", state.alias("state"), "extract_time", "sent_at", F.coalesce("confirmed_at", "receipt.received_at").alias("confirmed_at"), "is_active", "auto_confirm_delta").select(
+        "extract_name", "state", F.col("state").isin(*RUNNABLE).alias("may_run"), "extract_time", "sent_at", F.when(F.col("state").isin("confirmed", "received"), F.col("confirmed_at")).alias("confirmed_at"),
+        (F.coalesce("is_active", F.lit(False)) & F.coalesce("auto_confirm_delta", F.lit(False))).alias("confirms_all"))
+
+
+def confirmed_copies(history: DataFrame, states: DataFrame, now) -> DataFrame:
+    """Confirmed copies to be appended to the log: the window a receipt was received for, and every sent window of an extract whose
+    gate confirms by itself."""
+    marks = states.where("confirms_all OR state = 'received'").select("extract_name", "confirms_all", F.col("extract_time").alias("_time"), F.col("confirmed_at").alias("_at"))
+    done = history.where(F.col("confirmed").isNotNull()).select("extract_name", "extract_time").distinct()
+    open_rows = history.where(F.col("sent").isNotNull() & F.col("confirmed").isNull()).join(done, ["extract_name", "extract_time"], "left_anti")
+    due = open_rows.join(marks, "extract_name").where(F.col("confirms_all") | (F.col("extract_time") == F.col("_time")))
+    return due.withColumn("confirmed", F.when(F.col("confirms_all"), T.moment(now)).otherwise(F.col("_at"))).select(history.columns)
+
+
 def next_run(windows: DataFrame, now, timeout: Column) -> DataFrame:
     """When the next cycle of an extract starts; NULL once its window has reached the present."""
     return windows.withColumn("next_run", F.when(~F.col("is_current"), T.moment(now) + T.seconds(timeout * 60)))

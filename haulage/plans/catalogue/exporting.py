@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from haulage.functions import text as X, times as T
 from haulage.operators import extract as EX, parts as PA, schema as SC, state as ST
 from haulage.plans.catalogue.base import KEY_SQL, dealt, key_of_props, newest, query, table, views
-from haulage.session import run_folder
+from haulage.session import run_folder, stored
 from haulage.sinks import notify as NO
 from haulage.sources import registry as RG
 
@@ -332,6 +332,38 @@ def history_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.groupBy("extract_name").agg(F.count("*").alias("n_rows"), F.max("extract_time").alias("extract_time"), F.sum("extract_count").alias("extract_count"), F.count("confirmed").alias("n_confirmed"))
 
 
+RUN_STATES_SQL = f"""
+    WITH h AS (SELECT *, {KEY_SQL} AS k, 'x' || user_id AS name FROM events), m AS (SELECT max(ts) AS now FROM events),
+    x AS (SELECT DISTINCT name, user_id, user_id % 7 <> 3 AS active, user_id % 3 = 0 AS gate, user_id % 5 = 0 AS auto FROM h UNION ALL SELECT 'y' || user_id, user_id, true, true, false FROM h GROUP BY user_id),
+    l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY ts DESC) AS rn FROM h) WHERE rn = 1),
+    s AS (SELECT x.name, active, gate, ts, CASE WHEN NOT active THEN 'inactive' WHEN ts IS NULL THEN 'new' WHEN event_type = 'purchase' THEN 'confirmed' WHEN auto OR event_type = 'view' OR k % 5 = 0 THEN 'skipped'
+            WHEN gate THEN 'auto' WHEN event_type = 'click' AND k <= 60 AND ts + to_minutes(k) <= now THEN CASE WHEN event_id % 3 = 0 THEN 'failed' ELSE 'received' END
+            WHEN ts + INTERVAL 60 MINUTE <= now THEN 'timeout' ELSE 'waiting' END AS state FROM x LEFT JOIN l USING (name), m),
+    o AS (SELECT name, count(*) AS n FROM h WHERE event_type NOT IN ('view', 'purchase') GROUP BY name)
+    SELECT name AS extract_name, state, state IN ('new', 'confirmed', 'skipped', 'auto', 'received') AS may_run, ts AS extract_time,
+        CASE WHEN active AND gate THEN coalesce(n, 0) WHEN state = 'received' THEN 1 ELSE 0 END AS n_confirmed FROM s LEFT JOIN o USING (name)"""
+
+
+@query("run_states", RUN_STATES_SQL)
+def run_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State of every extract over a log of all events as windows, and the windows that are confirmed because of it."""
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type", key_of_props().alias("k"))
+    name, kind, user = F.concat(F.lit("x"), F.col("user_id").cast("string")), F.col("event_type"), F.col("user_id")
+    given = ev.select(name.alias("extract_name"), F.col("ts").alias("extract_time"), F.col("ts").alias("time_to"), (F.col("k") % 5).cast("bigint").alias("extract_count"), F.when(kind != "view", F.col("ts")).alias("sent"), kind.alias("kind"))
+    log = given.unionByName(given.where("kind = 'purchase'").withColumn("confirmed", F.col("sent") + T.seconds(60)), allowMissingColumns=True)
+    history = log.select(*[(F.col(f.name) if f.name in log.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in ST.HISTORY])
+    receipts = ev.where("event_type = 'click'").select(
+        name.alias("extract_name"), F.col("ts").alias("extract_time"), (F.col("ts") + T.seconds(F.col("k") * 60)).alias("received_at"), F.when(F.col("event_id") % 3 == 0, 104).otherwise(0).alias("code"))
+    users = ev.select("user_id").distinct()
+    switches = lambda prefix, active, gate, auto: users.select(
+        F.concat(F.lit(prefix), user.cast("string")).alias("extract_name"), active.alias("is_active"), gate.alias("auto_confirm_delta"), auto.alias("auto_confirm"), F.lit(True).alias("notify"), F.lit(60).alias("confirm_timeout"))
+    extracts = switches("x", user % 7 != 3, user % 3 == 0, user % 5 == 0).unionByName(switches("y", F.lit(True), F.lit(True), F.lit(False)))
+    now = newest(ev, "ts")
+    states = stored(ST.run_states(extracts, history, receipts, now), "run-states")
+    copies = ST.confirmed_copies(history, states, now).groupBy("extract_name").agg(F.count("*").alias("n_confirmed"))
+    return states.join(copies, "extract_name", "left").select("extract_name", "state", "may_run", "extract_time", F.coalesce("n_confirmed", F.lit(0)).cast("bigint").alias("n_confirmed"))
+
+
 RULES = [(r"[\t\r\n]+", " "), (r"[0-9]{3,}", "#"), (r'"', "'"), (r" {2,}", " ")]
 
 

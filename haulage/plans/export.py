@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -37,6 +38,9 @@ class Export:
     sample_rows: int | None = None
     description: str | None = None
     reserved: list[str] | None = None
+    # Switches of the registry; without them the extract is active and confirms nothing by itself.
+    gates: dict | None = None
+    optimize: Callable[[], None] | None = None
     extra: dict = field(default_factory=dict)
 
     def flag(self, name: str) -> bool:
@@ -50,7 +54,9 @@ class Outcome:
     is_current: bool
     n_rows: int
     archives: list[str]
-    manifest: DataFrame
+    manifest: DataFrame | None
+    # Why nothing ran: the state of the last window, see ``state.run_states``.
+    held: str | None = None
 
 
 def export_of(registry_row, scenario: str, root: str, history_path: str, overrides: dict | None = None, **more) -> Export:
@@ -89,15 +95,44 @@ def extracted(spark: SparkSession, job: Export, start: str, end: str, valid_from
     return EX.technical_columns(rows, end, valid_from)
 
 
-def run_export(spark: SparkSession, job: Export, history: DataFrame, now: str, write: bool = True, run_at: str | None = None) -> Outcome:
+def admitted(spark: SparkSession, job: Export, history: DataFrame, now: str, receipts: DataFrame | None = None, write: bool = True) -> tuple[str | None, DataFrame]:
+    """Whether the next window may run, None or the state that holds it, and the log with what was confirmed by now.
+
+    Receipts that came in time and the gate that confirms by itself become confirmed copies in the log, also where another
+    window keeps the extract waiting.
+    """
+    gates = job.gates or {}
+    extract = spark.createDataFrame(
+        [(job.name, gates.get("is_active", True), gates.get("auto_confirm_delta", False), job.flag("auto_confirm"), job.flag("notify_kafka"), int(job.params["confirm_timeout"]))],
+        "extract_name string, is_active boolean, auto_confirm_delta boolean, auto_confirm boolean, notify boolean, confirm_timeout int")
+    own = history.where(F.col("extract_name") == job.name)
+    came = receipts if receipts is not None else spark.createDataFrame([], ST.RECEIPTS)
+    states = ST.run_states(extract, own, came, now)
+    step = states.first()
+    if step.confirms_all or step.state == "received":
+        copies = stored(ST.confirmed_copies(own, states, now), "confirmed")
+        history = history.unionByName(copies)
+        if write:
+            ST.append_history(copies, job.history_path)
+    return None if step.may_run else step.state, history
+
+
+def run_export(spark: SparkSession, job: Export, history: DataFrame, now: str, write: bool = True, run_at: str | None = None, receipts: DataFrame | None = None) -> Outcome:
     """Run one window of one export. ``run_at`` (``now`` by default) names the package, so every run needs its own.
 
+    Before anything is read the log is asked whether the window may run: gates, confirmations and ``receipts`` decide. The gate
+    ``optimize_exp_table`` calls ``job.optimize`` first.
     The rows are written once to the shared folder with their sizes after the window is read: cuts, manifest and
     archives all read that copy, so the source is scanned once and a lost executor costs no second read of it.
     """
     import ast
 
     run_at = run_at or now
+    held, history = admitted(spark, job, history, now, receipts, write)
+    if held:
+        return Outcome("", "", False, 0, [], None, held)
+    if job.optimize and (job.gates or {}).get("optimize_exp_table"):
+        job.optimize()
     start, end, is_current = window_of(spark, job, history, now)
     package = extracted(spark, job, start, end, run_at)
     # The stored row number makes the order total, also where the key repeats: every later pass cuts at the same rows.
@@ -134,8 +169,9 @@ def run_export(spark: SparkSession, job: Export, history: DataFrame, now: str, w
     return Outcome(start, end, is_current, int(totals.total_rows), archives, manifest)
 
 
-def catch_up(spark: SparkSession, job: Export, now: str, limit: int | None = None) -> list[Outcome]:
-    """Run window after window until the present is reached (or ``limit`` windows were run).
+def catch_up(spark: SparkSession, job: Export, now: str, limit: int | None = None, receipts: Callable[[], DataFrame] | None = None) -> list[Outcome]:
+    """Run window after window until the present is reached, a window is held, or ``limit`` windows were run. ``receipts`` gives
+    those that have come so far.
 
     The runs count as started one second apart, which keeps their package names apart.
     """
@@ -148,6 +184,6 @@ def catch_up(spark: SparkSession, job: Export, now: str, limit: int | None = Non
         except AnalysisException:
             history = spark.createDataFrame([], ST.HISTORY)
         run_at = str(dt.datetime.fromisoformat(now) + dt.timedelta(seconds=len(done)))
-        done.append(run_export(spark, job, history, now, run_at=run_at))
-        if done[-1].is_current or (limit and len(done) >= limit):
+        done.append(run_export(spark, job, history, now, run_at=run_at, receipts=receipts() if receipts else None))
+        if done[-1].is_current or done[-1].held or (limit and len(done) >= limit):
             return done

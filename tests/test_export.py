@@ -201,6 +201,34 @@ def test_auto_confirm_appends_once(spark):
     assert rows(ST.next_run(windows, "2024-01-01 00:00:00", F.col("timeout")), "next_run") == [(None,), (dt.datetime(2024, 1, 1, 0, 10),)]
 
 
+def test_run_is_held_confirmed_and_auto_confirmed(spark, tmp_path):
+    """One window after another: held until its receipt comes, failed, timed out, and confirmed by the gate."""
+    source(spark)
+    log = lambda: spark.read.schema(ST.HISTORY).parquet(f"{tmp_path}/history")
+    receipt = lambda *items: spark.createDataFrame([("Tab", t, at, code) for t, at, code in items], ST.RECEIPTS)
+    export = job(spark, tmp_path, auto_confirm=0, confirm_timeout=30)
+    assert PL.run_export(spark, export, history(spark), "2024-01-01 08:20:00").n_rows == 180
+    first = log().first().extract_time
+    assert PL.run_export(spark, export, log(), "2024-01-01 08:40:00").held == "waiting" and log().count() == 1
+    assert PL.run_export(spark, export, log(), "2024-01-01 08:50:00").held == "timeout"
+    bad = receipt((first, dt.datetime(2024, 1, 1, 8, 30), 104))
+    assert PL.run_export(spark, export, log(), "2024-01-01 08:40:00", receipts=bad).held == "failed"
+    late = receipt((first, dt.datetime(2024, 1, 1, 8, 51), 0))
+    assert PL.run_export(spark, export, log(), "2024-01-01 08:55:00", receipts=late).held == "timeout" and log().where("confirmed IS NOT NULL").isEmpty()
+    good = receipt((first, dt.datetime(2024, 1, 1, 8, 30), 0), (first, dt.datetime(2024, 1, 1, 8, 35), 104))
+    runs = PL.catch_up(spark, export, "2024-01-01 08:40:00", receipts=lambda: good)
+    assert [(r.n_rows, r.held) for r in runs] == [(180, None), (0, "waiting")], "the next window waits for its own receipt"
+    assert [r.confirmed for r in log().where(F.col("extract_time") == first).orderBy("confirmed").collect()] == [None, dt.datetime(2024, 1, 1, 8, 30)]
+    calls = []
+    export.gates, export.optimize = {"is_active": True, "auto_confirm_delta": True, "optimize_exp_table": True}, lambda: calls.append(1)
+    done = PL.run_export(spark, export, log(), "2024-01-01 09:00:00")
+    assert done.held is None and done.n_rows == 140 and calls == [1]
+    states = {r.extract_time: r.confirmed for r in log().groupBy("extract_time").agg(F.max("confirmed").alias("confirmed")).collect()}
+    assert sorted(map(str, states.values())) == ["2024-01-01 08:30:00", "2024-01-01 09:00:00", "None"], "what was sent before the run is confirmed"
+    export.gates = {"is_active": False}
+    assert PL.run_export(spark, export, log(), "2024-01-01 10:00:00").held == "inactive" and calls == [1]
+
+
 def test_tar_archives(spark, tmp_path):
     df = spark.range(100).select(F.col("id"), F.concat(F.lit("v"), F.col("id").cast("string")).alias("v"))
     parts = PA.with_parts(df, ["id"], 300)
