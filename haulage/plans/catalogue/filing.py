@@ -176,6 +176,21 @@ def package_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FI.package_parts(lines).groupBy("path", "part").agg(F.count("*").alias("n_lines"), F.min("value").alias("first_value"))
 
 
+@query("file_lines", """
+    WITH l AS (SELECT row_number() OVER (ORDER BY event_id) - 1 AS line_no, CASE WHEN user_id % 50 = 0 OR event_id = (SELECT min(event_id) FROM events) THEN 'head' ELSE 'r' || event_id END AS value FROM events),
+    c AS (SELECT *, sum(CASE WHEN value = 'head' THEN 1 ELSE 0 END) OVER (ORDER BY line_no) AS part FROM l)
+    SELECT CAST(part AS BIGINT) AS part, count(*) AS n_lines, min(line_no) AS first_no, max(line_no) AS last_no FROM c WHERE value <> 'head' GROUP BY part""")
+def file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of one text file with a line per event, read in splits."""
+    folder, ev = run_folder(spark, "lines"), table(spark, sf_dir, "events").select("event_id", "user_id")
+    least = ev.agg(F.min("event_id")).first()[0]
+    value = F.when((F.col("user_id") % 50 == 0) | (F.col("event_id") == least), "head").otherwise(F.concat(F.lit("r"), text("event_id")))
+    # one sorted file is what is to be read here
+    ev.repartition(1).sortWithinPartitions("event_id").select(value.alias("value")).write.text(folder)
+    parts = FI.package_parts(stored(FI.text_lines(spark, folder), "lines"))
+    return parts.groupBy("part").agg(F.count("*").alias("n_lines"), F.min("line_no").alias("first_no"), F.max("line_no").alias("last_no"))
+
+
 def schema_of(df: DataFrame) -> PT.StructType:
     return PT.StructType([PT.StructField(f.name, f.dataType) for f in df.schema])
 

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import io
+import math
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as PT
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as PT
 
 from haulage.functions import paths as P, text as X
-from haulage.session import dealt_by
+from haulage.session import dealt_by, stored
 from haulage.sinks.delimited import Dialect, FOREIGN_CSV, records_of
 
 DONE = ".done"
 RECORDS_PER_BATCH = 5_000
-LISTED_PER_BATCH = 10_000
+LISTED_PER_BATCH = MEMBERS_PER_BATCH = 10_000
+# Unpacked bytes of archive members that are worth a task.
+BYTES_PER_TASK = 128 << 20
 
 
 def listing(spark: SparkSession, root: str) -> DataFrame:
@@ -25,8 +30,6 @@ def listing(spark: SparkSession, root: str) -> DataFrame:
     """
     from pyarrow import fs
 
-    from haulage.session import stored
-
     _, inner = fs.FileSystem.from_uri(root)
     head = _uri_head(root)
 
@@ -153,7 +156,6 @@ def load_files(spark: SparkSession, source: str | list[str], schema: PT.StructTy
     A file with a broken line is not loaded at all and goes to the error prefix. The texts are parsed once; the
     ledger and the load read the parsed copy.
     """
-    from haulage.session import stored
     from haulage.sinks.ledger import ledger_rows
 
     rows = stored(parse_files(spark, source, schema, options), "parsed-files")
@@ -196,45 +198,112 @@ def _members(path: str):
     return archive, [m for m in archive.infolist() if not m.is_dir() and m.filename.strip("/")]
 
 
-def zip_contents(objects: DataFrame) -> DataFrame:
-    """Table of contents of zip files: ``(path, member, length)``; directories are left out."""
+INDEX = "path string, member string, length long, packed long, start long, method int, crc long"
+
+
+def zip_index(objects: DataFrame) -> DataFrame:
+    """Where every archive member lies: ``(path, member, length, packed, start, method, crc)``; directories are left out.
+
+    Only the central directory at the end of each archive is read. ``start`` is the first byte of the member's local header.
+    """
     def list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path in batch["path"]:
-                _, members = _members(path)
-                yield pd.DataFrame({"path": [path] * len(members), "member": [m.filename.strip("/") for m in members],
-                                    "length": [m.file_size for m in members]})
-    return dealt_by(objects.select("path"), "path").mapInPandas(list_members, "path string, member string, length long")
+                archive, members = _members(path)
+                with archive:
+                    for at in range(0, len(members), MEMBERS_PER_BATCH):
+                        some = members[at:at + MEMBERS_PER_BATCH]
+                        if any(m.flag_bits & 1 for m in some):
+                            raise ValueError(f"{path} has encrypted members")
+                        yield pd.DataFrame({
+                            "path": [path] * len(some), "member": [m.filename.strip("/") for m in some], "length": [m.file_size for m in some], "packed": [m.compress_size for m in some],
+                            "start": [m.header_offset for m in some], "method": [m.compress_type for m in some], "crc": [m.CRC for m in some]})
+    return dealt_by(objects.select("path"), "path").mapInPandas(list_members, INDEX)
+
+
+def zip_contents(objects: DataFrame) -> DataFrame:
+    """Table of contents of zip files: ``(path, member, length)``."""
+    return zip_index(objects).select("path", "member", "length")
+
+
+class _Member(io.RawIOBase):
+    """One archive member as a stream, read from its own byte range; the checksum is compared at its end."""
+
+    # Size of a local header, where the lengths of its name and extra field stand, and the two methods (fixed values).
+    HEADER, NAME_AT, STORED, DEFLATED = 30, 26, 0, 8
+
+    def __init__(self, source, start: int, packed: int, method: int, crc: int):
+        if method not in (self.STORED, self.DEFLATED):
+            raise ValueError(f"compression method {method} is not supported")
+        source.seek(start)
+        header = source.read(self.HEADER)
+        if header[:4] != b"PK\x03\x04":
+            raise ValueError("no archive member at this place")
+        lengths = [int.from_bytes(header[at:at + 2], "little") for at in (self.NAME_AT, self.NAME_AT + 2)]
+        source.seek(start + self.HEADER + sum(lengths))
+        self.source, self.left, self.crc, self.seen = source, packed, crc, 0
+        self.unpack = zlib.decompressobj(-zlib.MAX_WBITS) if method == self.DEFLATED else None
+
+    def readable(self) -> bool:
+        return True
+
+    def _more(self, size: int) -> bytes:
+        if self.unpack is None:
+            data = self.source.read(min(size, self.left))
+            self.left -= len(data)
+            return data
+        while True:
+            given = self.unpack.unconsumed_tail
+            if not given and self.left:
+                given = self.source.read(min(1 << 20, self.left))
+                self.left -= len(given)
+                if not given:
+                    raise EOFError("the archive ends inside a member")
+            data = self.unpack.decompress(given, size)
+            if data or self.unpack.eof or not (self.left or self.unpack.unconsumed_tail):
+                return data
+
+    def readinto(self, buffer) -> int:
+        data = self._more(len(buffer))
+        self.seen = zlib.crc32(data, self.seen)
+        if not data and self.seen != self.crc:
+            raise ValueError("an archive member is damaged")
+        buffer[:len(data)] = data
+        return len(data)
 
 
 def zip_records(objects: DataFrame, dialect: Dialect = FOREIGN_CSV, encoding: str = "utf-8") -> DataFrame:
     """Delimited records of all archive members: ``(path, member, record_no, fields)``.
 
-    ``dialect`` is the one the members were written in, see :mod:`haulage.sinks.delimited`. A task streams one member after
-    another, a batch of records at a time; line breaks that are quoted or escaped stay inside a field of any length.
+    ``dialect`` is the one the members were written in, see :mod:`haulage.sinks.delimited`. Members are dealt out one by one, so
+    that many tasks read one archive, each its own byte ranges. A task streams one member after another, a batch of records at a
+    time; line breaks that are quoted or escaped stay inside a field of any length.
     """
+    index = stored(zip_index(objects), "zip-index")
+    total = index.agg(F.count("*").alias("n"), F.sum("length").alias("bytes")).first()
+    cores = objects.sparkSession.sparkContext.defaultParallelism
+    tasks = min(max(total.n, 1), max(cores, math.ceil((total.bytes or 0) / BYTES_PER_TASK)))
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import gzip
-        import io
         from itertools import islice
 
         names = ["path", "member", "record_no", "fields"]
         for batch in batches:
-            for path in batch.column("path").to_pylist():
-                archive, members = _members(path)
-                for member in members:
-                    name = member.filename.strip("/")
-                    with archive.open(member) as raw:
-                        stream = gzip.GzipFile(fileobj=raw) if name.lower().endswith(".gz") else raw
-                        records = records_of(io.TextIOWrapper(stream, encoding=encoding, newline=""), dialect)
-                        start = 0
-                        while found := list(islice(records, RECORDS_PER_BATCH)):
-                            n = len(found)
-                            yield pa.RecordBatch.from_arrays([
-                                pa.array([path] * n, pa.string()), pa.array([name] * n, pa.string()), pa.array(range(start, start + n), pa.int64()),
-                                pa.array(found, pa.list_(pa.string()))], names)
-                            start += n
-    return dealt_by(objects.select("path"), "path").mapInArrow(read, "path string, member string, record_no long, fields array<string>")
+            for m in batch.to_pylist():
+                with _open(m["path"]) as source:
+                    raw = io.BufferedReader(_Member(source, m["start"], m["packed"], m["method"], m["crc"]), 1 << 20)
+                    stream = gzip.GzipFile(fileobj=raw) if m["member"].lower().endswith(".gz") else raw
+                    records = records_of(io.TextIOWrapper(stream, encoding=encoding, newline=""), dialect)
+                    start = 0
+                    while found := list(islice(records, RECORDS_PER_BATCH)):
+                        n = len(found)
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array([m["path"]] * n, pa.string()), pa.array([m["member"]] * n, pa.string()), pa.array(range(start, start + n), pa.int64()),
+                            pa.array(found, pa.list_(pa.string()))], names)
+                        start += n
+
+    return index.repartition(tasks, "path", "member").mapInArrow(read, "path string, member string, record_no long, fields array<string>")
 
 
 def typed_records(records: DataFrame, schema: PT.StructType, header: bool = True) -> DataFrame:
@@ -246,10 +315,17 @@ def typed_records(records: DataFrame, schema: PT.StructType, header: bool = True
 def text_lines(spark: SparkSession, source: str | list[str]) -> DataFrame:
     """``(path, line_no, value)`` of text files, plain or gzip, counted from 0 inside each file.
 
-    Line numbers need the file as one unit, so only package-sized files belong here.
+    A plain file of any size is read in splits. A first pass counts the lines of each split; the sums over the splits before it are
+    what its own line numbers are moved by. Lines end with a line feed, a carriage return before it is not part of them.
     """
-    whole = spark.read.text(source, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
-    return whole.select("path", F.posexplode(F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")).alias("line_no", "value"))
+    # Rows of a split follow each other in one task, so their running ids do too; both passes read the same splits.
+    lines = spark.read.option("lineSep", "\n").text(source).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_split"), "value", F.monotonically_increasing_id().alias("_id"))
+    splits = lines.groupBy("path", "_split").agg(F.count("*").alias("n"), F.min("_id").alias("_first"))
+    # One row per split.
+    before = F.sum("n").over(Window.partitionBy("path").orderBy("_split")) - F.col("n")
+    offsets = stored(splits.select("path", "_split", (before - F.col("_first")).alias("_shift")), "line-offsets")
+    return lines.join(offsets, ["path", "_split"]).select("path", (F.col("_id") + F.col("_shift")).alias("line_no"), F.regexp_replace("value", "\r$", "").alias("value"))
 
 
 def head(objects: DataFrame, lines: int, encoding: str = "utf-8") -> DataFrame:

@@ -126,6 +126,64 @@ def test_long_fields_of_archives(spark, tmp_path):
     assert got.a == 1 and len(got.b) == 300_000
 
 
+def test_members_are_read_by_many_tasks(spark, tmp_path):
+    """One archive with 40 members, packed and plain, large and empty: every member by its own byte range."""
+    import random
+    import zipfile
+
+    rnd = random.Random(2)
+    rest, want = [], []
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("folder/", "")
+        for i in range(40):
+            found = [(i * 10_000 + k, rnd.choice(["x", "y" * 500, str(rnd.random())])) for k in range(rnd.choice([0, 1, 3, 4000]))]
+            want += found
+            info = zipfile.ZipInfo(f"m{i}.csv")
+            info.extra = b"\x99\x99\x04\x00abcd" * (i % 3)
+            z.writestr(info, "k,v\n" + "".join(f"{k},{v}\n" for k, v in found), zipfile.ZIP_DEFLATED if i % 4 else zipfile.ZIP_STORED)
+        z.writestr("deep.csv.gz", gzip.compress(b"k,v\n-1,z\n"))
+    objects = FI.listing(spark, str(tmp_path))
+    records = FI.zip_records(objects)
+    assert rows(FI.typed_records(records, PAIR)) == sorted([*want, (-1, "z")], key=repr)
+    assert records.where("record_no = 0").select(F.spark_partition_id().alias("task")).distinct().count() > 4
+    assert FI.zip_contents(objects).count() == 41
+    data = bytearray((tmp_path / "a.zip").read_bytes())
+    at = data.index(b"y" * 400)  # a plain member
+    data[at] = ord("n")
+    (tmp_path / "a.zip").write_bytes(bytes(data))
+    with pytest.raises(Exception, match="damaged"):
+        FI.zip_records(objects).collect()
+
+
+def test_line_numbers_over_splits(spark, tmp_path):
+    import random
+
+    rnd = random.Random(1)
+    texts = {name: "".join(rnd.choice(["", "a", "line " * 30, "ü"]) + rnd.choice(["\n", "\r\n"]) for _ in range(n)) for name, n in (("a.txt", 700), ("b c+d.txt", 300), ("one.txt", 1))}
+    texts["open.txt"] = "x\n\ny"
+    texts["empty.txt"] = ""
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+    (tmp_path / "z.txt.gz").write_bytes(gzip.compress(b"g1\ng2\n"))
+    texts["z.txt.gz"] = "g1\ng2\n"
+    want = []
+    for name, text in texts.items():
+        body = text.split("\n")
+        body = body[:-1] if body[-1] == "" else body
+        want += [(name, i, x.removesuffix("\r")) for i, x in enumerate(body)]
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("1000", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "100")
+            lines = FI.text_lines(spark, str(tmp_path))
+            named = lines.withColumn("name", F.regexp_extract(F.url_decode(F.regexp_replace("path", r"\+", "%2B")), "([^/]*)$", 1))
+            assert rows(named, "name", "line_no", "value") == sorted(want, key=repr)
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
 def test_messages(spark):
     xml = ('<n:TransferFileCephRq xmlns:n="u"><n:RqUID> u1 </n:RqUID><n:ScenarioInfo><n:ScenarioId>S</n:ScenarioId></n:ScenarioInfo><n:File><n:FileInfo><n:Name>a.csv</n:Name></n:FileInfo>'
            "<n:FileInfo><n:Name></n:Name></n:FileInfo><n:FileInfo><n:Name>b.csv</n:Name><n:FolderSource>/x/</n:FolderSource></n:FileInfo></n:File></n:TransferFileCephRq>")
