@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextvars
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
@@ -47,13 +50,51 @@ def run_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/haulage/{label}-{uuid.uuid4().hex}"
 
 
+# Folders that the run in progress has written and that go when it is over.
+_SCRATCH: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("scratch", default=None)
+
+
 def stored(df, label: str):
     """Write ``df`` to a fresh shared folder and read it back: cuts lineage and survives executor loss."""
     path = run_folder(df.sparkSession, label)
+    _noted(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _noted(path: str) -> None:
+    folders = _SCRATCH.get()
+    if folders is not None:
+        folders.append(path)
+
+
+def settled(spark: SparkSession, label: str, make: Callable):
+    """The frame that ``make()`` returns, stored, after which everything that was stored for it is removed."""
+    folders: list[str] = []
+    token = _SCRATCH.set(folders)
+    try:
+        df = make()
+        path = run_folder(spark, label)
+        df.write.parquet(path)
+        schema = df.schema
+    finally:
+        _SCRATCH.reset(token)
+        for folder in folders:
+            place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    _noted(path)
+    del df, make
+    swept(spark)
+    return spark.read.schema(schema).parquet(path)
+
+
+def swept(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished jobs now: Spark removes them when the driver collects its garbage, which a driver
+    with little to do puts off."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def spread(df):
     """Deal the rows of a plain scan out to all cores when the scan itself gives fewer tasks than there are cores.
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from haulage.functions import times as T
 from haulage.operators import apply as AP, events as EV, loadings as LD, reports as RP, retention as RT, snapshots as SN, trees as TR
-from haulage.session import run_folder, shared_folder, stored
+from haulage.session import run_folder, settled, shared_folder, stored
 from haulage.sources import registry as RG
 from haulage.streaming import flows as FL
 
@@ -159,6 +159,23 @@ def test_shared_folder(spark):
     assert stored(spark.range(5), "test").count() == 5
 
 
+def test_settled_results_leave_nothing_else(spark):
+    import os
+
+    folder = shared_folder(spark).removeprefix("file://") + "/haulage"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+    def make():
+        inner = settled(spark, "inner", lambda: stored(spark.range(5), "scratch-a"))
+        return stored(inner.where("id > 1"), "scratch-b")
+
+    out = settled(spark, "outer", make)
+    assert rows(out) == [(2,), (3,), (4,)] and {n.split("-")[0] for n in set(os.listdir(folder)) - before} == {"outer"}
+    with pytest.raises(ZeroDivisionError):
+        settled(spark, "broken", lambda: stored(spark.range(1), "scratch-c") and 1 / 0)
+    assert not any("scratch" in n for n in set(os.listdir(folder)) - before)
+
+
 def test_tags(spark):
     flag = lambda *v: spark.range(1).select(RG.schedule_tag(*[F.lit(x) for x in v]).alias("x")).first().x
     assert flag(True, False, True, True, False, True) == "CTL_event" and flag(False, False, True, False, False, True) == "AF_tfs-in"
