@@ -12,6 +12,7 @@ Any run of ids is found from the block offsets without reading what stands befor
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -21,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from haulage.llm.base import id_text, in_slices, query, table, whole_text
-from haulage.llm.words import UnitIds, kept_with, marked_encode
+from haulage.llm.words import UnitIds, kept_with, marked_encode, model_encode
 from haulage.session import run_folder
 from haulage.sinks.archive import _publish
 
@@ -100,6 +101,19 @@ def word_units(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
+#: Letters, and behind them a mark that the pre-tokenizer parts from them (fixed values).
+_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)").fullmatch
+
+
+def word_parts(unit: str) -> tuple[str, ...] | None:
+    """What gives the ids of this unit, one after the other, where that is certain: letters in lower case, and a mark behind them."""
+    found = _WORD(unit)
+    if found is None:
+        return None
+    letters, mark = found.groups()
+    return (letters.lower(), mark) if mark else (letters.lower(),)
+
+
 def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, block: int = BLOCK) -> DataFrame:
     """Encode ``(doc_id, text)`` and write files below ``folder``, in ascending order of ``doc_id`` (null first, equal ids
     by text).
@@ -119,8 +133,12 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, block:
 
         def made():
             tk = tokenizers.Tokenizer.from_file(tokenizer)
+            # the words of a lower-casing tokenizer are looked up without case and marks
+            lowers = tk.encode("ÀB, Ab", add_special_tokens=False).ids == tk.encode("àb, ab", add_special_tokens=False).ids
+            straight = model_encode(tk) if lowers else None
+            parts = word_parts if straight else None
             wide = tk.get_vocab_size() > 65_536 or end_id > 65_535
-            return UnitIds(marked_encode(tk), "<u4" if wide else "<u2"), width_of(max(tk.get_vocab_size(), end_id + 1))
+            return UnitIds(marked_encode(tk), "<u4" if wide else "<u2", parts=parts, encode_parts=straight), width_of(max(tk.get_vocab_size(), end_id + 1))
 
         units, bits = kept_with(tokenizers, f"words {tokenizer} {end_id}", made)
         end = np.asarray([end_id], units.dtype).tobytes()

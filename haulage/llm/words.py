@@ -18,12 +18,13 @@ MARK = ""
 class UnitIds:
     """Ids of units as little-endian bytes of ``dtype``; ``encode`` turns a list of units into a list of id lists."""
 
-    def __init__(self, encode, dtype: str, kept: int = KEPT):
-        self.encode, self.dtype, self.kept = encode, np.dtype(dtype), kept
+    def __init__(self, encode, dtype: str, kept: int = KEPT, parts=None, encode_parts=None):
+        """``parts(unit)`` may name units whose ids, one after the other, are those of the unit; ``encode_parts`` encodes these."""
+        self.encode, self.dtype, self.kept, self.parts, self.encode_parts = encode, np.dtype(dtype), kept, parts, encode_parts or encode
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def add(self, units: set[str]) -> None:
+    def add(self, units: set[str], encode=None) -> None:
         """Make sure that every unit can be looked up."""
         if len(self.new) + len(units) > self.kept:
             self.old, self.new = self.new, {}
@@ -38,14 +39,25 @@ class UnitIds:
                     new[unit] = ids
         for start in range(0, len(missing), 20_000):
             part = missing[start:start + 20_000]
-            for unit, ids in zip(part, self.encode(part)):
+            for unit, ids in zip(part, (encode or self.encode)(part)):
                 new[unit] = np.asarray(ids, self.dtype).tobytes()
 
     def join(self, texts: list[list[str]]) -> list[bytes]:
         """The ids of each text, given as its units."""
-        self.add(set().union(*texts) if texts else set())
-        look = self.new.__getitem__
-        return [b"".join(map(look, units)) for units in texts]
+        units = set().union(*texts) if texts else set()
+        if not self.parts:
+            self.add(units)
+            look = self.new.__getitem__
+            return [b"".join(map(look, each)) for each in texts]
+        # only parts and units without parts are kept
+        found = {unit: ids for unit in units if (ids := self.new.get(unit)) is not None}
+        cut = {unit: self.parts(unit) for unit in units if unit not in found}
+        whole = {unit for unit, parts in cut.items() if not parts}
+        self.add({p for parts in cut.values() if parts for p in parts}, self.encode_parts)
+        found.update({unit: b"".join([self.new[p] for p in parts]) for unit, parts in cut.items() if parts})
+        self.add(whole)
+        found.update({unit: self.new[unit] for unit in whole})
+        return [b"".join(map(found.__getitem__, each)) for each in texts]
 
 
 def marked_encode(tokenizer):
@@ -76,6 +88,29 @@ def marked_encode(tokenizer):
     return encode
 
 
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable ones stand for themselves, the others follow
+    behind the 256 in order."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return [chr(b) if b in plain else chr(256 + others.index(b)) for b in range(256)]
+
+
+def model_encode(tokenizer):
+    """Encode lower-case words and marks, each a piece of its own to the pre-tokenizer, straight by the tokenizer's model. None if
+    this tokenizer does more with them, as a few samples tell."""
+    letters = byte_letters()
+    tokenize = tokenizer.model.tokenize
+
+    def encode(units: list[str]):
+        for unit in units:
+            piece = unit if unit.isascii() else "".join([letters[b] for b in unit.encode()])
+            yield [t.id for t in tokenize(piece)]
+
+    samples = ["a", "the", "internationalisation", "straße", "élève", "ñandú", "þæöåø", ".", ",", ";", ":", "!", "?"]
+    return encode if list(encode(samples)) == [e.ids for e in tokenizer.encode_batch(samples, add_special_tokens=False)] else None
+
+
 def kept_with(library, key: str, make):
     """An object kept in an imported library, so that it outlives the task in a reused Python worker."""
     store = library.__dict__.setdefault("_haulage_kept", {})
