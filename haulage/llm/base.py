@@ -41,6 +41,23 @@ def id_back(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.col(column).cast("long"))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that ``df`` has no column of, whatever the case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def tasks_for(spark: SparkSession, amount: int, per_task: int) -> int:
+    """Tasks for a pass in which every task hands on a table of its own: two for each core, more where a task would get more than
+    ``per_task``, so that they grow with the input."""
+    return max(2 * spark.sparkContext.defaultParallelism, -(-amount // per_task))
+
+
 def in_slices(batches, size: int = 4 << 20):
     """The rows of Arrow-fed pandas frames again, in frames of about ``size`` characters of their last column.
 

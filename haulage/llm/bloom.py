@@ -8,11 +8,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from haulage.llm.base import tasks_for
+
 #: Filter bits per entry, the fewest bits of a filter, and the most (128 MB): with more entries the filter gets fuller and
 #: says yes more often, which every user of it can bear.
 BITS_PER_ENTRY, FEWEST_BITS, MOST_BITS = 12, 1 << 20, 1 << 30
 #: Bytes of a filter that are merged together.
 SHARD = 8192
+#: Entries that a task puts into its filter.
+PER_TASK = 50_000_000
 
 
 def size_for(entries: int) -> int:
@@ -40,7 +44,7 @@ def put(bitmap: np.ndarray, hashes: np.ndarray, bits: int) -> None:
 def filter_of(rows: DataFrame, entries: int, hash_of) -> tuple[np.ndarray, int]:
     """Filter bytes and bits of about ``entries`` rows; ``hash_of`` gives the 64-bit hashes of a pandas frame of them.
 
-    Every task fills a filter, so a task takes several splits: their number follows the cores, not the input.
+    Every task fills a filter, so a task takes several splits, of ``PER_TASK`` entries at most.
     """
     bits = size_for(entries)
 
@@ -58,7 +62,7 @@ def filter_of(rows: DataFrame, entries: int, hash_of) -> tuple[np.ndarray, int]:
             whole |= np.frombuffer(part, np.uint8)
         return pd.DataFrame({"shard": [parts["shard"].iloc[0]], "part": [whole.tobytes()]})
 
-    tasks = 2 * rows.sparkSession.sparkContext.defaultParallelism
+    tasks = tasks_for(rows.sparkSession, entries, PER_TASK)
     merged = rows.coalesce(tasks).mapInPandas(fill, "shard int, part binary").groupBy("shard").applyInPandas(merge, "shard int, part binary")
     out = np.zeros(bits // 8, np.uint8)
     for row in merged.collect():

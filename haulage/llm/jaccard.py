@@ -18,13 +18,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from haulage.llm.base import id_back, id_text, in_slices, query, table, whole_text
+from haulage.llm.base import id_back, id_text, in_slices, query, table, tasks_for, whole_text
 from haulage.llm.bloom import filter_of, has
 from haulage.llm.graph import components
-from haulage.session import stored
+from haulage.session import settled, stored, swept
 
 #: Counters of the order, and how many of them are added up together.
 COUNTERS, SHARD = 1 << 22, 4096
+#: Bytes of text that a task counts into a table of its own.
+PER_TASK = 1 << 30
 #: Fragments of the order, hubs of a posting list in a turn, and turns at most before all that is left is compared.
 FRAGMENTS, HUBS, TURNS = 8, 4, 2
 WORDS, SIMILAR = 5, 80
@@ -61,7 +63,7 @@ def counters(docs: DataFrame, size: int) -> np.ndarray:
     one level more with each doubling. So a shingle that some tens of documents share is told from unique ones.
 
     Counts cover all documents. The table has a fixed size whatever the input, and every task fills one, so a task takes
-    several splits.
+    several splits, of ``PER_TASK`` bytes of text at most.
     """
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table_, any_text = np.zeros(COUNTERS, np.int64), False
@@ -80,7 +82,7 @@ def counters(docs: DataFrame, size: int) -> np.ndarray:
             total += np.frombuffer(counts, "<i4")
         return pd.DataFrame({"shard": [parts["shard"].iloc[0]], "counts": [total.astype("<i8").tobytes()]})
 
-    tasks = 2 * docs.sparkSession.sparkContext.defaultParallelism
+    tasks = tasks_for(docs.sparkSession, docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0, PER_TASK)
     out = np.zeros(COUNTERS, np.int64)
     for row in docs.select(whole_text().alias("text")).coalesce(tasks).mapInPandas(count, "shard int, counts binary").groupBy("shard").applyInPandas(add, "shard int, counts binary").collect():
         out[row.shard * SHARD:(row.shard + 1) * SHARD] = np.frombuffer(row.counts, "<i8")
@@ -134,7 +136,10 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, shared_levels,
     right = fragments.select(F.col("cls").alias("b"), *[F.col(p).alias(f"other_{p}") for p in parts])
     counted = pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", F.array(*[F.size(F.array_intersect(f"own_{p}", f"other_{p}")) for p in parts]).alias("overlaps"))
     summed = counted.withColumn("overlap", F.aggregate("overlaps", F.lit(0), lambda total, k: total + k))
-    return stored(summed.where(F.col("overlap") * (100 + percent) >= percent * (F.col("n") + F.col("m"))).select("a", "b"), f"{label}-links")
+    links = stored(summed.where(F.col("overlap") * (100 + percent) >= percent * (F.col("n") + F.col("m"))).select("a", "b"), f"{label}-links")
+    del fragments, left, right, counted, summed
+    swept(docs.sparkSession)  # the sets that were shuffled
+    return links
 
 
 def class_of(tokens: np.ndarray) -> int:
@@ -150,8 +155,13 @@ def similar_groups(docs: DataFrame, size: int = WORDS, percent: int = SIMILAR) -
     Words are runs of anything but ASCII white space, with A-Z in lower case. Two documents link when their sets of
     ``size``-word shingles have a Jaccard similarity of at least ``percent`` %; ``component_id`` is the smallest doc_id that
     links lead to. Texts without words, and null, have the empty set and link with nothing. Repeated rows are one class.
-    Rows without an id form no group (component_id is that of their class, if any). Other columns are not looked at.
+    Rows without an id form no group (component_id is that of their class, if any). No rows give no rows, texts of any length are
+    compared whole. Other columns are not looked at. What is written on the way is removed when the result is.
     """
+    return settled(docs.sparkSession, "join-result", lambda: _similar_groups(docs, size, percent))
+
+
+def _similar_groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     levels = spark.sparkContext.broadcast(counters(docs, size))

@@ -16,8 +16,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from haulage.llm.base import query, table, whole_text
-from haulage.llm.bloom import SHARD, has, put, size_for
+from haulage.llm.base import free_names, query, table, tasks_for, whole_text
+from haulage.llm.bloom import PER_TASK, SHARD, has, put, size_for
 from haulage.session import stored
 
 #: Code points from which a line counts.
@@ -38,7 +38,7 @@ def line_hashes(keys) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64)
 
 
-def twice_seen(docs: DataFrame, bits: int) -> np.ndarray:
+def twice_seen(docs: DataFrame, bits: int, n_lines: int) -> np.ndarray:
     """The merged filter of lines that may occur in two documents, as bytes."""
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
@@ -65,8 +65,8 @@ def twice_seen(docs: DataFrame, bits: int) -> np.ndarray:
             once |= new
         return pd.DataFrame({"shard": [parts["shard"].iloc[0]], "twice": [twice.tobytes()]})
 
-    # a filter per task is shuffled, so a task takes several splits and their number follows the cores, not the input
-    tasks = 2 * docs.sparkSession.sparkContext.defaultParallelism
+    # a filter per task is shuffled, so a task takes several splits
+    tasks = tasks_for(docs.sparkSession, n_lines, PER_TASK)
     texts = docs.where(F.col("doc_id").isNotNull()).select(F.encode(whole_text(), "UTF-8").alias("text")).coalesce(tasks)
     merged = texts.mapInArrow(fill, "shard int, once binary, twice binary").groupBy("shard").applyInPandas(merge, "shard int, twice binary")
     out = np.zeros(bits // 8, np.uint8)
@@ -80,15 +80,17 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
 
     A line whose key has at least 10 code points and stands in at least two documents stays only in the one with the
     smallest doc_id, there as often as it stands. Null texts are empty and become the empty text, which is one line. Rows
-    with the same doc_id are one document; rows without doc_id stay whole and count for no other. Other columns are passed
-    on as they are; columns named n_lines or n_dropped are replaced.
+    with the same doc_id are one document; rows without doc_id stay whole and count for no other. No rows give no rows, lines and
+    texts of any length are compared whole. Other columns are passed on as they are, whatever their names; columns named n_lines or
+    n_dropped are replaced.
     """
     spark = docs.sparkSession
     docs = docs.drop("n_lines", "n_dropped")
     columns = docs.columns
     n_lines = docs.agg(F.sum(F.length(whole_text()) - F.length(F.replace(whole_text(), F.lit("\n"), F.lit(""))) + 1)).first()[0] or 0
     bits = size_for(n_lines)
-    seen = spark.sparkContext.broadcast(twice_seen(docs, bits))
+    seen = spark.sparkContext.broadcast(twice_seen(docs, bits, n_lines))
+    keys_name, drop_name, id_name = free_names(docs, "_keys", "_drop", "_doc_id")
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,12 +102,12 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
                 hit = has(seen.value, line_hashes(own), bits) if own else []
                 suspected.append([hashlib.sha256(k).digest() for k, h in zip(own, hit) if h])
             out = batch.append_column("n_lines", pa.array(lines, pa.int64()))
-            yield out.append_column("_keys", pa.array(suspected, pa.list_(pa.binary())))
+            yield out.append_column(keys_name, pa.array(suspected, pa.list_(pa.binary())))
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, dropped = [], []
-            for text, gone in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("_drop").to_pylist()):
+            for text, gone in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column(drop_name).to_pylist()):
                 if gone:
                     gone = set(gone)
                     lines = text.split(b"\n")
@@ -117,19 +119,20 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
                     dropped.append(0)
             at = batch.schema.get_field_index("text")
             out = batch.set_column(at, "text", pa.array(texts, pa.binary()).cast(pa.string()))
-            yield out.drop_columns(["_drop"]).append_column("n_dropped", pa.array(dropped, pa.int64()))
+            yield out.drop_columns([drop_name]).append_column("n_dropped", pa.array(dropped, pa.int64()))
 
     filled = docs.withColumn("text", whole_text())
-    probed_schema = T.StructType([*filled.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("_keys", T.ArrayType(T.BinaryType()))])
+    probed_schema = T.StructType([*filled.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField(keys_name, T.ArrayType(T.BinaryType()))])
     probed = filled.mapInArrow(probe, probed_schema)
-    clear = probed.where(F.size("_keys") == 0).drop("_keys").withColumn("n_dropped", F.lit(0).cast("long"))
-    suspects = stored(probed.where(F.size("_keys") > 0), "line-suspects")
-    held = suspects.select("doc_id", F.explode("_keys").alias("key"))
+    clear = probed.where(F.size(keys_name) == 0).drop(keys_name).withColumn("n_dropped", F.lit(0).cast("long"))
+    # only digests are stored; texts with suspected lines are probed once more when they are rewritten
+    suspects = probed.where(F.size(keys_name) > 0)
+    held = stored(suspects.select("doc_id", F.explode(keys_name).alias("key")), "line-suspects")
     first = held.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
     # a line that many documents hold is told its first occurrence in several groups of documents
     salted = first.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    gone = held.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(salted, ["key", "salt"]).where("doc_id > first").groupBy("doc_id").agg(F.collect_set("key").alias("_drop")).withColumnRenamed("doc_id", "_doc_id")
-    joined = suspects.drop("_keys").join(gone, F.col("doc_id") == F.col("_doc_id"), "left").drop("_doc_id")
+    gone = held.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(salted, ["key", "salt"]).where("doc_id > first").groupBy("doc_id").agg(F.collect_set("key").alias(drop_name)).withColumnRenamed("doc_id", id_name)
+    joined = suspects.drop(keys_name).join(gone, F.col("doc_id") == F.col(id_name), "left").drop(id_name)
     done_schema = T.StructType([*filled.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
     return clear.unionByName(joined.mapInArrow(drop, done_schema)).select(*columns, "n_lines", "n_dropped")
 

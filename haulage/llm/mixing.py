@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from haulage.llm.base import SPACE, query, table, whole_text
-from haulage.session import stored
+from haulage.session import settled, stored
 
 WEIGHTS = (5, 2, 1)
 #: Share of all words that the mix takes, in percent, and how often a source may be taken at most.
@@ -145,14 +145,21 @@ def mixed(docs: DataFrame, seed: int = 0) -> DataFrame:
 
 
 def taken(docs: DataFrame, seed: int = 0) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them, with all their columns."""
-    totals = mixed(docs, seed).groupBy("doc_id", "text_hash").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows")).withColumnsRenamed({"doc_id": "_doc_id", "text_hash": "_hash"})
-    hashed = docs.withColumn("_text_hash", F.xxhash64("text"))
-    joined = hashed.join(totals.where("_copies > 0"), F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_text_hash") == F.col("_hash")))
-    place = F.row_number().over(Window.partitionBy("doc_id", "_text_hash").orderBy(F.lit(0)))
-    each = F.floor(F.col("_copies") / F.col("_rows")) + (F.col("_place") <= F.col("_copies") % F.col("_rows")).cast("long")
-    numbered = joined.withColumn("_place", place).withColumn("_each", each).where("_each > 0")
-    return numbered.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_each")))).select(*docs.columns)
+    """The rows of ``docs`` as often as the mix takes them, with all their columns, whatever their names.
+
+    Rows equal in id and text share their copies evenly. Null, empty and wordless texts are never taken, texts of any length are
+    taken whole; rows without an id are taken like others, no rows give no rows.
+    """
+    spark = docs.sparkSession
+    decided = settled(spark, "mix-copies", lambda: mixed(docs, seed).groupBy("doc_id", "text_hash").agg(F.sum("copies").alias("copies"), F.count("*").alias("n")).where("copies > 0"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", F.xxhash64("text").alias("text_hash"))
+    same = F.col("rows.doc_id").eqNullSafe(F.col("decided.doc_id")) & (F.col("rows.text_hash") == F.col("decided.text_hash"))
+    joined = rows.alias("rows").join(decided.alias("decided"), same).select("row", "decided.*")
+    # only repeated rows are numbered
+    place = F.row_number().over(Window.partitionBy("doc_id", "text_hash").orderBy(F.lit(0)))
+    single = joined.where("n = 1").select("row", "copies")
+    several = joined.where("n > 1").withColumn("place", place).select("row", (F.floor(F.col("copies") / F.col("n")) + (F.col("place") <= F.col("copies") % F.col("n")).cast("long")).alias("copies"))
+    return single.unionByName(several).where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 @query("op9_mixing")
