@@ -5,7 +5,7 @@ balanced binary codes. Codes are looked up in several tables, one for each run o
 they differ in at most one bit of the run; codes within the radius always meet in some table. Pairs within the radius are
 then ranked again by the cosine of the original vectors, in double precision.
 
-Equal vectors are one class, compared once. A table entry with many members is cut into blocks, and every pair of blocks
+Vectors of each length have a rotation and tables of their own. Equal vectors are one class, compared once. A table entry with many members is cut into blocks, and every pair of blocks
 is a group of its own, so no task gets an unbounded entry and no pair is left out.
 """
 
@@ -19,11 +19,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from haulage.llm.base import id_back, id_text, query, table
 from haulage.llm.graph import components
-from haulage.session import stored
+from haulage.session import settled, stored
 
 SIMILAR = 0.95
-#: Vectors that the rotation is fitted on at most, and rounds of fitting.
+#: Vectors of a length that its rotation is fitted on, in expectation at most, and rounds of fitting.
 SAMPLE, ROUNDS = 20_000, 50
+#: Bytes of rotations that are sent out at once; lengths beyond it come in turns.
+AT_ONCE = 64 << 20
 #: Bits of a code at most, tables, and the radius within which every pair meets: one bit in each table and one less in all.
 BITS, TABLES = 64, 6
 RADIUS = 2 * TABLES - 1
@@ -55,7 +57,7 @@ def codes_of(unit: np.ndarray, mean: np.ndarray, projection: np.ndarray) -> np.n
 
 def runs(bits: int, tables: int = TABLES) -> list[tuple[int, int]]:
     """First bit and length of each table's run."""
-    cuts = np.linspace(0, bits, tables + 1).round().astype(int).tolist()
+    cuts = np.linspace(0, bits, min(bits, tables) + 1).round().astype(int).tolist()
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
@@ -98,24 +100,29 @@ def meetings(codes: np.ndarray, sides: np.ndarray | None, entry: int, bits: int,
     return np.concatenate(xs), np.concatenate(ys)
 
 
-def close_codes(coded: DataFrame, bits: int, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
-    """Every pair (a, b) of classes in ``(cls, code)`` whose codes differ in at most ``radius`` bits and meet in a table."""
+def bits_of(size: int) -> int:
+    return min(BITS, size)
+
+
+def close_codes(coded: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+    """Every pair (a, b) of classes in ``(cls, size, code)`` of one size whose codes differ in at most ``radius`` bits and meet in a table."""
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            keys = keys_of(frame["code"].to_numpy().view(np.uint64), bits)
-            yield pd.DataFrame({"entry": keys.ravel().view(np.int64), "cls": np.repeat(frame["cls"].to_numpy(), keys.shape[1]), "code": np.repeat(frame["code"].to_numpy(), keys.shape[1])})
+            for size, own in frame.groupby("size"):
+                keys = keys_of(own["code"].to_numpy().view(np.uint64), bits_of(size))
+                yield pd.DataFrame({"size": size, "entry": keys.ravel().view(np.int64), "cls": np.repeat(own["cls"].to_numpy(), keys.shape[1]), "code": np.repeat(own["code"].to_numpy(), keys.shape[1])})
 
-    entries = stored(coded.mapInPandas(look, "entry long, cls long, code long"), "vector-entries")
-    full = entries.groupBy("entry").agg(F.count("*").alias("n")).where(F.col("n") > block).select(F.col("entry").alias("_entry"), F.ceil(F.col("n") / block).alias("blocks"))
-    placed = entries.join(full, F.col("entry") == F.col("_entry"), "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("cls"), "blocks"))
+    entries = stored(coded.mapInPandas(look, "size long, entry long, cls long, code long"), "vector-entries")
+    full = entries.groupBy("size", "entry").agg(F.count("*").alias("n")).where(F.col("n") > block).select(F.col("size").alias("_size"), F.col("entry").alias("_entry"), F.ceil(F.col("n") / block).alias("blocks"))
+    placed = entries.join(full, (F.col("entry") == F.col("_entry")) & (F.col("size") == F.col("_size")), "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("cls"), "blocks"))
     spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-        "entry", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), (F.col("own") > F.col("other")).alias("upper"), "cls", "code")
+        "size", "entry", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), (F.col("own") > F.col("other")).alias("upper"), "cls", "code")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for frame in batches:
             frame = frame if rest is None or rest.empty else pd.concat([rest, frame], ignore_index=True)
-            ids = frame[["entry", "low", "high"]].to_numpy()
+            ids = frame[["size", "entry", "low", "high"]].to_numpy()
             cuts = np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1
             last = cuts[-1] if len(cuts) else 0
             yield from pairs_in(frame.iloc[:last], cuts)
@@ -126,30 +133,48 @@ def close_codes(coded: DataFrame, bits: int, radius: int = RADIUS, block: int =
     def pairs_in(frame: pd.DataFrame, cuts: np.ndarray) -> Iterator[pd.DataFrame]:
         if frame.empty:
             return
-        entry, low, high = (frame[c].to_numpy() for c in ("entry", "low", "high"))
+        size, entry, low, high = (frame[c].to_numpy() for c in ("size", "entry", "low", "high"))
         upper, cls, code = frame["upper"].to_numpy(), frame["cls"].to_numpy(), frame["code"].to_numpy().view(np.uint64)
         bounds = [0, *[c for c in cuts.tolist() if c < len(frame)], len(frame)]
         found = []
         for s, e in zip(bounds, bounds[1:]):
             if e - s > 1:
-                x, y = meetings(code[s:e], None if low[s] == high[s] else upper[s:e], int(entry[s]), bits, radius)
+                x, y = meetings(code[s:e], None if low[s] == high[s] else upper[s:e], int(entry[s]), bits_of(int(size[s])), radius)
                 if len(x):
                     found.append((cls[s:e][x], cls[s:e][y]))
         if found:
             yield pd.DataFrame({"a": np.concatenate([f[0] for f in found]), "b": np.concatenate([f[1] for f in found])})
 
-    dealt = spread.repartition("entry", "low", "high").sortWithinPartitions("entry", "low", "high")
+    dealt = spread.repartition("size", "entry", "low", "high").sortWithinPartitions("size", "entry", "low", "high")
     return dealt.mapInPandas(compare, "a long, b long")
 
 
+def rotations(reps: DataFrame, sizes: dict[int, int], sample: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Mean and projection of each of the ``sizes`` (with the number of its classes), fitted in a task each."""
+    def fit(group: pd.DataFrame) -> pd.DataFrame:
+        vectors = unit(np.stack(group.sort_values("cls")["vector"].to_list()))
+        mean, projection = fitted(vectors, bits_of(vectors.shape[1]))
+        return pd.DataFrame({"size": [vectors.shape[1]], "mean": [mean], "projection": [projection.ravel()]})
+
+    share = F.create_map(*[F.lit(x) for size, n in sizes.items() for x in (size, min(1.0, sample / n))])
+    drawn = reps.where(F.pmod(F.xxhash64("cls", F.lit("drawn")), F.lit(1 << 20)) < share[F.col("size")] * (1 << 20))
+    found = drawn.select("size", "cls", "vector").groupBy("size").applyInPandas(fit, "size long, mean array<double>, projection array<double>").collect()
+    out = {r["size"]: (np.array(r["mean"]), np.array(r["projection"]).reshape(r["size"], -1)) for r in found}
+    return {size: out.get(size) or (np.zeros(size), np.eye(size)[:, :bits_of(size)]) for size in sizes}
+
+
 def near_vectors(vectors: DataFrame, similar: float = SIMILAR, sample: int = SAMPLE) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``(vec_id, embedding)``.
 
-    Two vectors link when their cosine is at least ``similar``. Null or zero vectors, vectors with null or non-finite
-    components, and vectors of another length than most of the sample link with nothing. ``n_links`` counts the other rows
-    linked directly, equal ones included; ``component_id`` is the smallest vec_id that links lead to; ``kept`` says that it
-    is the row's own (false for rows without an id). Other columns are not looked at.
+    Two vectors of one length link when their cosine is at least ``similar``. Null, empty or zero vectors, and vectors with null or
+    non-finite components link with nothing. ``n_links`` counts the other rows linked directly, equal ones included;
+    ``component_id`` is the smallest vec_id that links lead to; ``kept`` says that it is the row's own (false for rows without an
+    id). No rows give no rows. Other columns are not looked at. What is written on the way is removed when the result is.
     """
+    return settled(vectors.sparkSession, "vector-result", lambda: _near_vectors(vectors, similar, sample))
+
+
+def _near_vectors(vectors: DataFrame, similar: float, sample: int) -> DataFrame:
     spark = vectors.sparkSession
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -169,28 +194,25 @@ def near_vectors(vectors: DataFrame, similar: float = SIMILAR, sample: int = SAM
     named = rows.select(F.col("cls").alias("_cls"), "vec_id", "vector")
     reps = stored(classes.join(named, (F.col("cls") == F.col("_cls")) & F.col("rep").eqNullSafe(F.col("vec_id"))).select("cls", "rep", "copies", "vector").dropDuplicates(["cls"]), "vector-classes")
 
-    drawn = [np.asarray(r.vector) for r in reps.select("vector", F.xxhash64("cls").alias("turn"), "cls").orderBy("turn", "cls").limit(sample).collect()]
-    lengths = [len(v) for v in drawn]
-    size = max(set(lengths), key=lambda n: (lengths.count(n), n)) if lengths else 1
-    fit_on = np.stack([v for v in drawn if len(v) == size]) if drawn else np.eye(1)
-    mean, projection = fitted(unit(fit_on))
-    model = spark.sparkContext.broadcast((mean, projection))
-    bits = projection.shape[1]
-
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            yield pd.DataFrame({"cls": frame["cls"].to_numpy(), "code": codes_of(unit(np.stack(frame["vector"].to_list())), *model.value).view(np.int64)})
-
-    coded = reps.where(F.size("vector") == size).select("cls", "vector").mapInPandas(encode, "cls long, code long")
-    candidates = close_codes(coded, bits)
+    reps = reps.withColumn("size", F.size("vector").cast("long"))
+    sizes = {r["size"]: r["n"] for r in reps.groupBy("size").agg(F.count("*").alias("n")).collect()}
+    candidates, lot, room = None, {}, AT_ONCE
+    for place, size in enumerate(sorted(sizes), 1):
+        lot[size] = sizes[size]
+        room -= 8 * size * bits_of(size)
+        if room <= 0 or place == len(sizes):
+            found = _candidates(reps, lot, sample)
+            candidates = found if candidates is None else candidates.unionByName(found)
+            lot, room = {}, AT_ONCE
+    candidates = spark.createDataFrame([], "a long, b long") if candidates is None else candidates
     own = reps.select(F.col("cls").alias("a"), F.col("vector").alias("va"))
     other = reps.select(F.col("cls").alias("b"), F.col("vector").alias("vb"))
 
     def rank(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            if len(frame):
-                cosine = (unit(np.stack(frame["va"].to_list())) * unit(np.stack(frame["vb"].to_list()))).sum(axis=1)
-                yield frame.loc[cosine >= similar, ["a", "b"]]
+            for _, own in frame.groupby(frame["va"].map(len)):
+                cosine = (unit(np.stack(own["va"].to_list())) * unit(np.stack(own["vb"].to_list()))).sum(axis=1)
+                yield own.loc[cosine >= similar, ["a", "b"]]
 
     links = stored(candidates.join(own, "a").join(other, "b").select("a", "b", "va", "vb").mapInPandas(rank, "a long, b long"), "vector-links")
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -200,12 +222,24 @@ def near_vectors(vectors: DataFrame, similar: float = SIMILAR, sample: int = SAM
                     .select("cls", "rep", F.coalesce("root", "cls").alias("root"), (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")), "vector-roots")
     smallest = rooted.groupBy("root").agg(F.min("rep").alias("component_id")).withColumnRenamed("root", "_root")
     labels = rooted.join(smallest, F.col("root") == F.col("_root")).select(F.col("cls").alias("_cls"), "n_links", "component_id")
-    same = F.size("vector") == size
-    held = rows.join(labels, (F.col("cls") == F.col("_cls")) & same, "left")
+    held = rows.join(labels, F.col("cls") == F.col("_cls"), "left")
     out = held.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
+def _candidates(reps: DataFrame, sizes: dict[int, int], sample: int) -> DataFrame:
+    """Pairs of classes of these lengths whose codes are close."""
+    model = reps.sparkSession.sparkContext.broadcast(rotations(reps, sizes, sample))
+
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            for size, own in frame.groupby("size"):
+                codes = codes_of(unit(np.stack(own["vector"].to_list())), *model.value[size])
+                yield pd.DataFrame({"cls": own["cls"].to_numpy(), "size": size, "code": codes.view(np.int64)})
+
+    return close_codes(reps.where(F.col("size").isin(list(sizes))).select("cls", "size", "vector").mapInPandas(encode, "cls long, size long, code long"))
+
+
 def unit(vectors: np.ndarray) -> np.ndarray:
     """Vectors of length 1; scaled first, so that no square overflows or vanishes."""
     scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from haulage.llm.base import query, table, whole_text
+from haulage.llm.base import SPACE, query, table, whole_text
 from haulage.session import stored
 
 KINDS = ("email", "ip", "card", "phone")
@@ -25,8 +25,8 @@ PATTERNS = {
 }
 #: Tokens that may be identifiers: six characters or more with a digit or an at sign among them.
 INSTANCE = r"(?:\G|(?<![A-Za-z0-9@._%+/-]))(?=[A-Za-z._%+/-]*+[0-9@])[A-Za-z0-9@._%+/-]{6,}+"
-#: Characters in which the word beside an entity is looked for.
-BESIDE = 40
+#: Words on each side of an entity that patterns are made of.
+BESIDE = 2
 #: Rounds of scoring; seeds that a pattern needs; scores from which a pattern and an instance are trusted.
 ROUNDS, LEAST_SEEDS, TRUSTED_PATTERN, TRUSTED_INSTANCE = 3, 3, 0.8, 0.8
 
@@ -35,8 +35,9 @@ def _parts(pattern: str, hint: Column) -> Column:
     """Matches of a pattern with the text before and after each: one struct a match, none where the hint says so."""
     pieces = F.split(F.col("text"), pattern, -1)
     hits = F.regexp_extract_all(F.col("text"), F.lit(pattern), F.lit(0))
-    before = lambda piece: F.regexp_extract(F.lower(F.right(piece, F.lit(BESIDE))), r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$", 1)
-    after = lambda piece: F.regexp_extract(F.lower(F.left(piece, F.lit(BESIDE))), r"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+)", 1)
+    plain = lambda piece: F.btrim(F.translate(F.lower(piece), SPACE, " " * len(SPACE)), F.lit(" "))
+    before = lambda piece: F.btrim(F.substring_index(plain(piece), " ", -BESIDE), F.lit(" "))
+    after = lambda piece: F.btrim(F.substring_index(plain(piece), " ", BESIDE), F.lit(" "))
     cut = F.transform(pieces, lambda p: F.struct(F.length(p).alias("gap"), before(p).alias("left"), after(p).alias("right")))
     n = F.size(hits)
     zipped = F.arrays_zip(hits.alias("hit"), F.slice(cut, 1, n).alias("at"), F.slice(cut, 2, n).alias("next"))
@@ -63,7 +64,8 @@ def _valid(kind: Column, hit: Column) -> Column:
 
 
 def matches(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, kind, start, end, hit, left, right) for every match in the texts, kind ``other`` for instances.
+    """(doc_id, text_hash, kind, start, end, hit, left, right) for every match in the texts, kind ``other`` for instances; ``left``
+    and ``right`` are the words beside it, however long they are and however far away.
 
     The gaps and lengths of the matches of a row add up to their places, in code points; only matches are shuffled for it, not
     texts. Rows equal in id and text give each match once.
@@ -81,11 +83,21 @@ def matches(docs: DataFrame) -> DataFrame:
     return rows.withColumn("end", end.cast("long")).withColumn("start", F.col("end") - F.length("hit")).drop("i", "gap")
 
 
+def contexts() -> Column:
+    """The lexical patterns around a match: the word and the two words on its left, on its right, and the word on both sides. The
+    more words, the rarer the pattern and the less of a background it has."""
+    left, right = F.substring_index("left", " ", -1), F.substring_index("right", " ", 1)
+    said = lambda *texts: F.forall(F.array(*texts), lambda t: t != "")
+    return F.array_compact(F.array(
+        F.when(said(left), F.concat(F.lit("l "), left)), F.when(said(right), F.concat(F.lit("r "), right)), F.when(said(left, right), F.concat(F.lit("b "), left, F.lit(" _ "), right)),
+        F.when(F.col("left").contains(" "), F.concat(F.lit("l "), "left")), F.when(F.col("right").contains(" "), F.concat(F.lit("r "), "right"))))
+
+
 def learnt(base: DataFrame, others: DataFrame) -> DataFrame:
     """Instances (hit, kind) among ``others`` that the patterns of the base entities discover."""
-    sides = F.explode(F.array(F.concat(F.lit("l "), F.col("left")), F.concat(F.lit("r "), F.col("right")))).alias("pattern")
-    seeds = base.select("kind", "hit", sides).where("length(pattern) > 2").groupBy("kind", "pattern").agg(F.count("*").alias("seeds"), F.count_distinct("hit").alias("distinct_seeds"))
-    edges = stored(others.select("hit", sides).where("length(pattern) > 2").groupBy("hit", "pattern").agg(F.count("*").alias("n")), "pii-edges")
+    sides = F.explode(contexts()).alias("pattern")
+    seeds = base.select("kind", "hit", sides).groupBy("kind", "pattern").agg(F.count("*").alias("seeds"), F.count_distinct("hit").alias("distinct_seeds"))
+    edges = stored(others.select("hit", sides).groupBy("hit", "pattern").agg(F.count("*").alias("n")), "pii-edges")
     # the graph of a kind: patterns that enough different seeds have induced, with all instances beside them
     good = stored(seeds.where(F.col("distinct_seeds") >= LEAST_SEEDS), "pii-patterns")
     every = seeds.groupBy("pattern").agg(F.sum("seeds").alias("all_seeds"))

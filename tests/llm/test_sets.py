@@ -105,6 +105,15 @@ def test_lines_of_odd_rows(documents, odd_rows):
     assert lines.without_repeated_lines(documents([])).count() == 0
 
 
+def test_lines_with_all_inner_names(spark):
+    """Columns that bear the operator's own names are passed on."""
+    names = ["_keys", "_drop", "_doc_id", "key", "first", "last", "salt", "_KEYS_"]
+    rows = [(i, "a line that all share\nown line %d here" % i, *[f"{n} {i}" for n in names]) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    out = lines.without_repeated_lines(docs).orderBy("doc_id").collect()
+    assert [tuple(r)[2:10] for r in out] == [r[2:] for r in rows] and [r.n_dropped for r in out] == [0, 1, 1, 1, 1]
+
+
 def test_lines_with_a_full_filter(documents, monkeypatch):
     """A filter that is much too small suspects nearly everything, and changes nothing."""
     rng = random.Random(9)
@@ -147,7 +156,7 @@ def clouds(seed=0, n=400, groups=25, noise=0.03):
 @pytest.mark.parametrize("block", [4096, 30])
 def test_vectors_against_brute_force(spark, monkeypatch, block):
     vectors = clouds() | {500 + i: [1.0] * 16 for i in range(50)} | {600: None, 601: [0.0] * 16, 602: [float("nan")] * 16, 603: [1.0] * 15 + [float("inf")], 604: [1.0, None] * 8, 605: [1.0] * 3, 606: [], 607: [1e30] * 16, 608: [1e-30] * 16}
-    monkeypatch.setattr(embeddings, "close_codes", lambda coded, bits, f=embeddings.close_codes: f(coded, bits, block=block))
+    monkeypatch.setattr(embeddings, "close_codes", lambda coded, f=embeddings.close_codes: f(coded, block=block))
     frame = spark.createDataFrame([(i, v, 1, "x") for i, v in vectors.items()], "vec_id long, embedding array<float>, label int, cls string")
     got = {r.vec_id: r for r in embeddings.near_vectors(frame).collect()}
     links, root = plain_links(vectors)
@@ -176,6 +185,19 @@ def test_few_vectors(spark):
     assert sorted(tuple(r) for r in embeddings.near_vectors(make([(3, [1.0, 2.0]), (2, [1.0, 2.0]), (2, [1.0, 2.0])])).collect()) == [(2, 2, 2, True), (2, 2, 2, True), (3, 2, 2, False)]
 
 
+def test_vectors_of_all_lengths_link(spark, monkeypatch):
+    """Short and rare lengths are compared as well, each with its own kind, also where rotations come in turns."""
+    rng = np.random.default_rng(5)
+    vectors = {i: v for i, v in clouds(n=120).items()} | {1000: [1.0, 2.0], 1001: [1.0, 2.0], 1002: [2.0, 4.0], 1003: [2.0, -1.0], 1004: [3.0], 1005: [5.0], 1006: [-1.0]}
+    base = rng.standard_normal(90)
+    vectors |= {1100 + i: (base + 0.02 * rng.standard_normal(90)).tolist() for i in range(12)} | {1200 + i: rng.standard_normal(90).tolist() for i in range(30)}
+    for at_once in (embeddings.AT_ONCE, 1):
+        monkeypatch.setattr(embeddings, "AT_ONCE", at_once)
+        got = {r.vec_id: r for r in embeddings.near_vectors(spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")).collect()}
+        assert [(got[i].n_links, got[i].component_id) for i in range(1000, 1007)] == [(2, 1000), (2, 1000), (2, 1000), (0, 1003), (1, 1004), (1, 1004), (0, 1006)]
+        assert all(got[1100 + i].component_id == 1100 and got[1100 + i].n_links == 11 for i in range(12)) and all(got[1200 + i].n_links == 0 for i in range(30))
+
+
 def test_every_pair_within_the_radius_meets_once():
     rng = np.random.default_rng(3)
     codes = rng.integers(0, 2**63, 300, dtype=np.uint64)
@@ -303,6 +325,16 @@ def test_mix_with_one_length_for_a_third(documents, monkeypatch):
     assert per_source == {s: sum(r.taken for r in got if r.source == s) for s in per_source}
 
 
+def test_mix_with_all_inner_names(spark):
+    names = ["_doc_id", "_hash", "_copies", "_rows", "_text_hash", "_place", "_copy", "_each", "row", "copies", "n", "place", "text_hash", "col"]
+    rows = [(i // 2, f"word {i // 2} here", "s", *[f"{n} {i // 2}" for n in names]) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{n}` string" for n in names))
+    out = mixing.taken(docs)
+    assert out.columns == docs.columns
+    got = out.collect()
+    assert len(got) == sum(r.copies for r in mixing.mixed(docs).collect()) > 0 and all(tuple(r) in rows for r in got)
+
+
 def test_mix_of_odd_rows(documents, odd_rows):
     got = decided(documents(odd_rows))
     assert len(got) == len(odd_rows) and all(r.taken == 0 for r in got if r.size == 0)
@@ -326,6 +358,18 @@ def test_fit_against_every_subset():
 
 # --- pipeline
 
+def test_stages_take_any_columns_and_no_rows(spark, sf_dir):
+    """Columns that operators name themselves and nulls in all columns do no harm; no rows stay no rows."""
+    names = ["_doc_id", "_keys", "_drop", "cls", "score", "n", "text_hash", "copies", "size", "row", "component_id"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    more = docs.limit(60).unionByName(spark.createDataFrame([(None, None, None, None, None), (10**9, "", None, None, 0)], docs.schema))
+    more = more.select("*", *[F.lit("x").alias(n) for n in names])
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, more, sf_dir).columns and stage(spark, more, sf_dir).count() >= 0
+        if stage is not corpus_pipeline.of_good_quality:
+            assert stage(spark, more.limit(0), sf_dir).count() == 0
+
+
 def test_pipeline_stage_by_stage(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*corpus_pipeline.COLUMNS)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
