@@ -60,6 +60,20 @@ def except_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return CK.difference(original(spark, sf_dir).drop("o_orderkey"), altered(spark, sf_dir).drop("o_orderkey"), distinct=True)
 
 
+# A copy in which few orders differ.
+NEARLY_SQL = """
+    SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 499 = 0 THEN 'Z' ELSE o_orderstatus END AS o_orderstatus FROM orders WHERE o_orderkey % 997 <> 0"""
+
+
+@query("range_compare", f"""
+    SELECT *, CAST(1 AS BIGINT) AS n_extra FROM (SELECT *, 'left' AS side FROM (SELECT o_orderkey, o_custkey, o_orderstatus FROM orders EXCEPT ALL SELECT * FROM ({NEARLY_SQL}))
+    UNION ALL SELECT *, 'right' FROM (SELECT * FROM ({NEARLY_SQL}) EXCEPT ALL SELECT o_orderkey, o_custkey, o_orderstatus FROM orders))""")
+def range_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    copy = original(spark, sf_dir).where(key % 997 != 0).withColumn("o_orderstatus", F.when(key % 499 == 0, "Z").otherwise(F.col("o_orderstatus")))
+    return CK.difference_by_ranges(original(spark, sf_dir), copy, ["o_orderkey"])
+
+
 @query("table_checksum", f"""
     SELECT 'copy' AS compared, (SELECT count(*) FROM orders) AS n_rows, true AS is_same
     UNION ALL SELECT 'altered', (SELECT count(*) FROM ({ALTERED_SQL})), (SELECT count(*) FROM (SELECT o_orderkey, o_custkey, o_orderstatus FROM orders EXCEPT ALL SELECT * FROM ({ALTERED_SQL}))) = 0""")
