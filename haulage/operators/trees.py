@@ -8,24 +8,44 @@ from pyspark.sql import DataFrame, functions as F
 from haulage.session import stored
 
 
+def depths(nodes: DataFrame, root: str) -> DataFrame:
+    """``(id, depth)`` of all nodes ``(id, parent_id, name)`` that the root name is above of, and of the roots themselves.
+
+    Pointers double: every node that has not met a root yet points to an ancestor, and takes over that ancestor's pointer, or its
+    depth, in each round. A chain of a thousand nodes takes ten rounds. Nodes on a circle without a root never meet one; no
+    node has more ancestors than there are nodes, which ends the rounds.
+    """
+    own = nodes.groupBy("id").agg(F.max(F.coalesce(F.col("name") == root, F.lit(False))).alias("is_root"))
+    state = stored(nodes.join(own, "id").where(F.col("is_root") | F.col("parent_id").isNotNull()).select(
+        "id", F.when(~F.col("is_root"), F.col("parent_id")).alias("up"), F.when(F.col("is_root"), 0).otherwise(1).cast("long").alias("far")).distinct(), "tree-pointers")
+    rounds = state.count().bit_length()
+    met = state.where("up IS NULL")
+    waiting = state.where("up IS NOT NULL")
+    for _ in range(rounds):
+        if waiting.isEmpty():
+            break
+        above = met.unionByName(waiting).select(F.col("id").alias("up"), F.col("up").alias("next"), F.col("far").alias("further"))
+        # parents that are no nodes lead nowhere: their children go
+        moved = waiting.join(above, "up").groupBy("id", F.col("next").alias("up")).agg(F.min(F.col("far") + F.col("further")).alias("far"))
+        moved = stored(moved, "tree-pointers")
+        arrived = moved.where("up IS NULL")
+        waiting = moved.where("up IS NOT NULL").join(arrived.select("id"), "id", "left_anti")
+        met = met.unionByName(arrived)
+    return met.select("id", F.col("far").cast("int").alias("depth"))
+
+
 def subtree(nodes: DataFrame, root: str) -> DataFrame:
     """All nodes ``(id, parent_id, name)`` below and including the root name, with ``parent_name`` and ``depth``.
 
-    Any depth and any row order; a node is taken once, also where the rows run in a circle. Every level is written out, so lineage stays short and no level is computed twice;
-    a recursive query would stop at the engine's row limit.
+    Any depth and any row order, in rounds by the logarithm of the depth; a node stands at its smallest depth, also where the
+    rows run in a circle. Nodes without an id or a parent, and parents that are no nodes, end their chain.
     """
-    level = nodes.where(F.col("name") == root).select("id", "parent_id", "name", F.lit(None).cast("string").alias("parent_name"), F.lit(0).alias("depth"))
-    out = level
-    depth = 0
-    while True:
-        depth += 1
-        above = level.select(F.col("id").alias("_p"), F.col("name").alias("_pn"))
-        level = stored(
-            nodes.join(above, F.col("parent_id") == F.col("_p")).join(out.select(F.col("id").alias("_seen")), F.col("id") == F.col("_seen"), "left_anti").select("id", "parent_id", "name", F.col("_pn").alias("parent_name"), F.lit(depth).alias("depth")),
-            "tree-level")
-        if level.isEmpty():
-            return out
-        out = out.unionByName(level)
+    level = depths(nodes, root)
+    placed = nodes.select("id", "parent_id", "name").join(level, "id")
+    above = placed.select(F.col("id").alias("_p"), F.col("name").alias("parent_name"), (F.col("depth") + 1).alias("_below"))
+    top = placed.where((F.col("depth") == 0) & (F.col("name") == root)).select("id", "parent_id", "name", F.lit(None).cast("string").alias("parent_name"), "depth")
+    lower = placed.where("depth > 0").join(above, (F.col("parent_id") == F.col("_p")) & (F.col("depth") == F.col("_below")))
+    return top.unionByName(lower.select("id", "parent_id", "name", "parent_name", "depth"))
 
 
 def flatten_entities(docs: DataFrame, column: str = "tree") -> DataFrame:
