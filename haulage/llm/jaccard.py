@@ -108,17 +108,23 @@ def _key(doc_ids: pd.Series) -> np.ndarray:
     return key ^ (key >> np.uint64(29))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, shared_levels, size: int, percent: int, label: str) -> DataFrame:
-    """The pairs ``(a, b, n, m)`` of classes whose overlap, summed over the fragments, reaches the similarity.
+def fragment_of(tokens: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """Fragment of the global order in which every shingle lies: what stands out is the last one, the rest is cut by hash."""
+    by_hash = (tokens >> np.uint64(32)) * np.uint64(FRAGMENTS - 1) >> np.uint64(32)
+    return np.where(level_of(tokens, levels) > 0, FRAGMENTS - 1, by_hash.astype(np.int64))
+
+
+def partial_overlaps(pairs: DataFrame, docs: DataFrame, reps: DataFrame, shared_levels, size: int, which: list[int], label: str) -> DataFrame:
+    """One row for each of ``pairs`` and each fragment of ``which``: the columns of the pair, ``fragment``, how many shingles the
+    sets of its classes ``a`` and ``b`` share there (``shared``) and how many each of them has (``own``, ``other``).
 
     A filter of the documents that stand for the classes in question, of bounded size, lets the pass over the texts leave out
-    all others. So no text is shuffled, only the fragments of sets that have a candidate: one row a class, with a column for
-    each fragment.
+    all others. So no text is shuffled, only the asked fragments of sets that have a candidate, each a row of its own: a very
+    long document is spread over as many tasks as there are fragments.
     """
     involved = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
     wanted = stored(reps.where("rep IS NOT NULL").join(involved, "cls").select("rep"), f"{label}-wanted")
     asked = docs.sparkSession.sparkContext.broadcast(filter_of(wanted, wanted.count(), lambda frame: _key(frame["rep"])))
-    parts = [f"f{k}" for k in range(FRAGMENTS)]
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         levels, (bitmap, bits) = shared_levels.value, asked.value
@@ -126,18 +132,38 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, shared_levels,
             for frame in in_slices(iter([batch[has(bitmap, _key(batch["doc_id"]), bits)]]), SLICE):
                 out = []
                 for tokens in sets_of(frame["text"].tolist(), size):
-                    part = np.where(level_of(tokens, levels) > 0, FRAGMENTS - 1, ((tokens >> np.uint64(32)) * np.uint64(FRAGMENTS - 1) >> np.uint64(32)).astype(np.int64))
-                    out.append((class_of(tokens), *[tokens.view(np.int64)[part == k] for k in range(FRAGMENTS)]))
-                yield pd.DataFrame(out, columns=["cls", *parts])
+                    place, cls = fragment_of(tokens, levels), class_of(tokens)
+                    out += [(cls, k, tokens.view(np.int64)[place == k]) for k in which]
+                yield pd.DataFrame(out, columns=["cls", "fragment", "tokens"])
 
     texts = docs.where("doc_id IS NOT NULL").select("doc_id", whole_text().alias("text"))
-    fragments = texts.mapInPandas(cut, "cls long, " + ", ".join(f"{p} array<long>" for p in parts)).dropDuplicates(["cls"])
-    left = fragments.select(F.col("cls").alias("a"), *[F.col(p).alias(f"own_{p}") for p in parts])
-    right = fragments.select(F.col("cls").alias("b"), *[F.col(p).alias(f"other_{p}") for p in parts])
-    counted = pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", F.array(*[F.size(F.array_intersect(f"own_{p}", f"other_{p}")) for p in parts]).alias("overlaps"))
-    summed = counted.withColumn("overlap", F.aggregate("overlaps", F.lit(0), lambda total, k: total + k))
-    links = stored(summed.where(F.col("overlap") * (100 + percent) >= percent * (F.col("n") + F.col("m"))).select("a", "b"), f"{label}-links")
-    del fragments, left, right, counted, summed
+    # one shuffle serves both sides
+    pieces = texts.mapInPandas(cut, "cls long, fragment int, tokens array<long>").repartition("cls", "fragment")
+    left = pieces.select(F.col("cls").alias("a"), "fragment", F.col("tokens").alias("_own"))
+    right = pieces.select(F.col("cls").alias("b"), "fragment", F.col("tokens").alias("_other"))
+    each = pairs.withColumn("fragment", F.explode(F.array(*[F.lit(k) for k in which])))
+    met = each.join(left, ["a", "fragment"]).join(right, ["b", "fragment"])
+    counted = met.select(*pairs.columns, "fragment", F.size(F.array_intersect("_own", "_other")).alias("shared"), F.size("_own").alias("own"), F.size("_other").alias("other"))
+    return counted.dropDuplicates(["a", "b", "fragment"])  # a class whose set was met twice
+
+
+def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, shared_levels, size: int, percent: int, label: str) -> DataFrame:
+    """The pairs ``(a, b, n, m)`` of classes whose overlap, summed over the fragments, reaches the similarity.
+
+    The first fragment is counted for all pairs. Those that could not reach the similarity even if all that is left of the
+    smaller set were shared go; most pairs that only happen to share a shingle end here. For the others every further fragment
+    is counted by itself, and the counts are summed per pair.
+    """
+    def reaches(overlap: Column) -> Column:
+        return overlap * (100 + percent) >= percent * (F.col("n") + F.col("m"))
+
+    begun = partial_overlaps(pairs, docs, reps, shared_levels, size, [0], f"{label}-first")
+    at_most = F.col("shared") + F.least(F.col("n") - F.col("own"), F.col("m") - F.col("other"))
+    left = stored(begun.where(reaches(at_most)).select("a", "b", "n", "m", F.col("shared").alias("begun")), f"{label}-left")
+    further = partial_overlaps(left, docs, reps, shared_levels, size, list(range(1, FRAGMENTS)), f"{label}-further")
+    summed = further.groupBy("a", "b", "n", "m", "begun").agg(F.sum("shared").alias("shared"))
+    links = stored(summed.where(reaches(F.col("begun") + F.col("shared"))).select("a", "b"), f"{label}-links")
+    del begun, further, summed
     swept(docs.sparkSession)  # the sets that were shuffled
     return links
 
