@@ -185,9 +185,11 @@ def file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, ev = run_folder(spark, "lines"), table(spark, sf_dir, "events").select("event_id", "user_id")
     least = ev.agg(F.min("event_id")).first()[0]
     value = F.when((F.col("user_id") % 50 == 0) | (F.col("event_id") == least), "head").otherwise(F.concat(F.lit("r"), text("event_id")))
-    # one sorted file is what is to be read here
-    ev.repartition(1).sortWithinPartitions("event_id").select(value.alias("value")).write.text(folder)
-    parts = FI.package_parts(stored(FI.text_lines(spark, folder), "lines"))
+    # one sorted file is what is to be read here; it is sorted in ranges, whose files are joined in the order of their tasks
+    ev.orderBy("event_id").select(value.alias("value")).write.text(f"{folder}/ranges")
+    task = F.regexp_extract("path", r"/part-(\d+)[^/]*$", 1).cast("bigint")
+    AR.join_objects(FI.listing(spark, f"{folder}/ranges"), [task, F.col("path")], f"{folder}/in", "lines.txt").write.parquet(f"{folder}/log")
+    parts = FI.package_parts(stored(FI.text_lines(spark, f"{folder}/in"), "lines"))
     return parts.groupBy("part").agg(F.count("*").alias("n_lines"), F.min("line_no").alias("first_no"), F.max("line_no").alias("last_no"))
 
 

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from haulage.session import dealt_by
 from haulage.sinks.delimited import Dialect, PLAIN_TSV, as_lines, header_line
@@ -214,6 +214,27 @@ def copy_objects(objects: DataFrame, root: str, below: str, compress: bool = Fal
     return dealt_by(todo, "path").mapInPandas(move, "path string, new_path string, n_bytes long")
 
 
+def join_objects(objects: DataFrame, order: list[Column], root: str, key: str) -> DataFrame:
+    """Put listed files one behind the other, in the given order, into the file ``key`` below ``root``; no byte comes between.
+
+    One task writes, as a file has one writer; it holds a chunk at a time, whatever the sizes. Returns ``(new_path, n_files, n_bytes)``.
+    """
+    def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        files = size = 0
+        with _published(root, key) as raw:
+            for batch in batches:
+                for path in batch["path"]:
+                    source, inner = _sink(path)
+                    with source.open_input_stream(inner, compression=None) as src:
+                        for chunk in _chunks(src):
+                            raw.write(chunk)
+                            size += len(chunk)
+                    files += 1
+        yield pd.DataFrame({"new_path": [f"{root}/{key}"], "n_files": [files], "n_bytes": [size]})
+
+    return objects.repartition(1).sortWithinPartitions(*order).select("path").mapInPandas(join, "new_path string, n_files long, n_bytes long")
+
+
 @contextmanager
 def _published(root: str, key: str):
     """A file that gets its name below ``root`` when it is complete."""

@@ -20,6 +20,8 @@ RECORDS_PER_BATCH = 5_000
 LISTED_PER_BATCH = MEMBERS_PER_BATCH = 10_000
 # Unpacked bytes of archive members that are worth a task.
 BYTES_PER_TASK = 128 << 20
+# Lines of one file that stay together where its lines meet what is known of the file.
+LINES_PER_BLOCK = 10_000
 
 
 def listing(spark: SparkSession, root: str) -> DataFrame:
@@ -353,6 +355,15 @@ def line_heads(df: DataFrame, ident: str, text: Column, lines: int) -> DataFrame
     return df.select(ident, F.posexplode(F.slice(F.split(text, "\n"), 1, lines)).alias("line_no", "line"))
 
 
+def with_file(lines: DataFrame, blocks: DataFrame, facts: DataFrame) -> DataFrame:
+    """Lines ``(path, _block, ...)`` with what ``facts`` holds of their files, rows by ``path``; inner join.
+
+    They meet by ``blocks``, the distinct pairs ``(path, _block)``: one long file is spread over many tasks, each of which keeps the
+    facts of its blocks and streams the lines past them.
+    """
+    return lines.join(blocks.join(facts, "path").hint("shuffle_hash"), ["path", "_block"])
+
+
 def package_parts(lines: DataFrame, rows_per_range: int | None = None) -> DataFrame:
     """Split lines ``(path, line_no, value)`` into parts: each repeat of a file's first line starts a new one.
 
@@ -360,9 +371,11 @@ def package_parts(lines: DataFrame, rows_per_range: int | None = None) -> DataFr
     """
     from haulage.operators.ranges import running_sum
 
-    header = lines.where(F.col("line_no") == 0).select(F.col("path").alias("_p"), F.col("value").alias("_h"))
-    marked = lines.join(header, F.col("path") == F.col("_p")).withColumn("_is_header", (F.col("value") == F.col("_h")).cast("bigint"))
-    counted = running_sum(marked.drop("_p", "_h"), ["path", "line_no"], F.col("_is_header"), "_seen", rows_per_range)
+    blocked = lines.withColumn("_block", F.coalesce(F.floor(F.col("line_no") / LINES_PER_BLOCK), F.lit(0)))
+    blocks = stored(blocked.select("path", "_block").distinct(), "line-blocks")
+    header = lines.where(F.col("line_no") == 0).select("path", F.col("value").alias("_h"))
+    marked = with_file(blocked, blocks, header).select(*blocked.columns, (F.col("value") == F.col("_h")).cast("bigint").alias("_is_header"))
+    counted = running_sum(stored(marked, "marked-lines"), ["path", "line_no"], F.col("_is_header"), "_seen", rows_per_range)
     base = counted.groupBy("path").agg(F.min("_seen").alias("_base"))
-    return counted.join(base, "path").where(F.col("_is_header") == 0).select(
+    return with_file(counted, blocks, base).where(F.col("_is_header") == 0).select(
         "path", "line_no", "value", (F.col("_seen") - F.col("_base") + 1).alias("part"))

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import gzip
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F, types as PT
@@ -184,6 +185,40 @@ def test_line_numbers_over_splits(spark, tmp_path):
             spark.conf.set(k, v)
 
 
+def test_join_objects(spark, tmp_path):
+    texts = {"part-10-x.txt": "c\n", "part-9-x.txt": "", "part-2-x.txt": "a\nb", "part-100-x.txt": "größe\r\n"}
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+    number = F.regexp_extract("path", r"part-(\d+)", 1).cast("int")
+    made = AR.join_objects(FI.listing(spark, str(tmp_path)), [number], f"file://{tmp_path}/out", "all/one.txt").collect()
+    assert [tuple(r) for r in made] == [(f"file://{tmp_path}/out/all/one.txt", 4, 14)]
+    assert (tmp_path / "out/all/one.txt").read_bytes() == "a\nbc\ngröße\r\n".encode()
+    assert [p.name for p in (tmp_path / "out/all").iterdir() if not p.name.startswith(".")] == ["one.txt"]
+
+
+def test_file_lines_sorts_in_ranges(spark, tmp_path):
+    """One sorted file is written, but no task sorts all of it; event ids here are out of order, twice, null and negative."""
+    from haulage.plans.catalogue import QUERIES
+
+    ids = [None, None, -3, 7, 7, *range(20, 1020)]
+    events = [(i, 50 if i is not None and i % 100 == 0 else 1) for i in ids]
+    spark.createDataFrame(events[::-1], "event_id long, user_id long").write.parquet(f"{tmp_path}/in/events.parquet")
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")) / "haulage"
+    before = set(shared.glob("lines-*/"))
+    kept = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        got = rows(QUERIES["file_lines"](spark, f"{tmp_path}/in"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", kept)
+    lines = ["", "", "head", "r7", "r7", *["head" if i % 100 == 0 else f"r{i}" for i in range(20, 1020)]]
+    folders = set(shared.glob("lines-*/")) - before
+    whole = [f for folder in folders for f in folder.rglob("*.txt") if f.read_text().split("\n")[:-1] == lines]
+    sizes = [f.stat().st_size for folder in folders for f in folder.rglob("part-*.txt")]
+    assert len(whole) == 1 and len(sizes) >= 4 and max(sizes) < whole[0].stat().st_size / 2
+    assert sum(r[1] for r in got) == len([x for x in lines if x != ""])
+
+
 def test_messages(spark):
     xml = ('<n:TransferFileCephRq xmlns:n="u"><n:RqUID> u1 </n:RqUID><n:ScenarioInfo><n:ScenarioId>S</n:ScenarioId></n:ScenarioInfo><n:File><n:FileInfo><n:Name>a.csv</n:Name></n:FileInfo>'
            "<n:FileInfo><n:Name></n:Name></n:FileInfo><n:FileInfo><n:Name>b.csv</n:Name><n:FolderSource>/x/</n:FolderSource></n:FileInfo></n:File></n:TransferFileCephRq>")

@@ -9,6 +9,7 @@ import pytest
 from conftest import rows
 from haulage.operators import parts as PA, retention as RT, snapshots as SN
 from haulage.operators.ranges import cut_points, neighbours, running_sum, with_range
+from haulage.sources import files as FI
 from haulage.sources.files import package_parts
 from pyspark.sql import functions as F
 
@@ -97,6 +98,31 @@ def test_package_parts(spark):
         assert rows(got.where("path = 'p1'"), "value", "part") == [("1", 1), ("2", 1), ("3", 2), ("4", 3), ("5", 3), ("6", 3)]
 
 
+def test_parts_of_one_long_file_are_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(FI, "LINES_PER_BLOCK", 100, raising=False)
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        texts = ["h" if i % 700 == 0 else None if i % 50 == 7 else str(i) for i in range(4000)]
+        data = [("long", i, t, -i) for i, t in enumerate(texts)] + [("short", 0, "x", 0), ("short", 1, "1", -1), ("short", 2, "x", -2), ("short", 3, "2", -3), ("headless", 5, "x", 0), (None, 0, "h", 0)]
+        lines = spark.createDataFrame(data, "path string, line_no int, value string, extra int")
+        got = package_parts(lines, 500)
+        assert got.columns == ["path", "line_no", "value", "part"]
+        want = [("long", i, t, i // 700 + 1) for i, t in enumerate(texts) if t not in ("h", None)] + [("short", 1, "1", 1), ("short", 3, "2", 2)]
+        assert rows(got) == sorted(want, key=repr)
+        per_task = [r["count"] for r in got.where("path = 'long'").groupBy(F.spark_partition_id()).count().collect()]
+        assert len(per_task) >= 4 and max(per_task) < sum(per_task) / 2
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
+def test_first_line_twice_counts_twice(spark):
+    lines = spark.createDataFrame([("p", 0, "h"), ("p", 0, "h"), ("p", 1, "a"), ("q", 0, None), ("q", 1, "b")], "path string, line_no int, value string")
+    assert rows(package_parts(lines), "path", "line_no", "value") == [("p", 1, "a"), ("p", 1, "a")]
+
+
 def test_cuts_on_times_and_texts(spark):
     base = dt.datetime(2024, 1, 1)
     data = [(base + dt.timedelta(microseconds=37 * i), f'q"{i % 7}\\n', float(i) / 3) for i in range(400)]
