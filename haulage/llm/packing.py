@@ -12,23 +12,26 @@ Any run of ids is found from the block offsets without reading what stands befor
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from haulage.llm.base import id_text, in_slices, query, table, whole_text
-from haulage.llm.words import UnitIds, kept_with, marked_encode, model_encode
+from haulage.llm.base import query, table, whole_text
+from haulage.llm.words import TextIds, kept_with
 from haulage.session import run_folder
 from haulage.sinks.archive import _publish
 
 HEADER = struct.Struct("<4sHHIQQQ")
 MAGIC, VERSION = b"HLTK", 1
 BLOCK = 65_536
+#: Bytes of texts that are encoded in one go.
+SLICE = 8 << 20
 
 
 def width_of(vocabulary: int) -> int:
@@ -97,21 +100,15 @@ class Reader:
         return self.ids(int(self.starts[k]), int(self.lengths[k]))
 
 
-def word_units(text: str) -> list[str]:
-    return text.replace("\n", " ").split(" ")
-
-
-#: Letters, and behind them a mark that the pre-tokenizer parts from them (fixed values).
-_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)").fullmatch
-
-
-def word_parts(unit: str) -> tuple[str, ...] | None:
-    """What gives the ids of this unit, one after the other, where that is certain: letters in lower case, and a mark behind them."""
-    found = _WORD(unit)
-    if found is None:
-        return None
-    letters, mark = found.groups()
-    return (letters.lower(), mark) if mark else (letters.lower(),)
+def by_bytes(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches again, in batches of at most ``size`` bytes of a column's texts, or of one row."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < len(ends):
+            stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + size, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
 
 
 def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, block: int = BLOCK) -> DataFrame:
@@ -124,7 +121,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, block:
     replaces equal bytes. Returns a row per file: path, n_docs, n_ids, start (ids in the files before). Other columns are
     not looked at. No documents: no file.
     """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import io
 
         import tokenizers
@@ -133,29 +130,23 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, block:
 
         def made():
             tk = tokenizers.Tokenizer.from_file(tokenizer)
-            # the words of a lower-casing tokenizer are looked up without case and marks
-            lowers = tk.encode("ÀB, Ab", add_special_tokens=False).ids == tk.encode("àb, ab", add_special_tokens=False).ids
-            straight = model_encode(tk) if lowers else None
-            parts = word_parts if straight else None
             wide = tk.get_vocab_size() > 65_536 or end_id > 65_535
-            return UnitIds(marked_encode(tk), "<u4" if wide else "<u2", parts=parts, encode_parts=straight), width_of(max(tk.get_vocab_size(), end_id + 1))
-
-        units, bits = kept_with(tokenizers, f"words {tokenizer} {end_id}", made)
-        end = np.asarray([end_id], units.dtype).tobytes()
-        doc_ids, lengths, rest, packed = [], [], b"", io.BytesIO()
-        size = block * units.dtype.itemsize
-        for frame in in_slices(batches):
-            encoded = units.join([word_units(t) for t in frame.iloc[:, 1].tolist()])
-            doc_ids += [None if d is None else int(d) for d in frame.iloc[:, 0].tolist()]
-            lengths += [len(e) // units.dtype.itemsize + 1 for e in encoded]
-            run_of = rest + b"".join([part for e in encoded for part in (e, end)])
-            whole = len(run_of) // size * size
-            for at in range(0, whole, size):
-                packed.write(pack(np.frombuffer(run_of, units.dtype, block, at), bits))
+            return TextIds(tk, "<u4" if wide else "<u2"), width_of(max(tk.get_vocab_size(), end_id + 1))
+
+        texts, bits = kept_with(tokenizers, f"words {tokenizer} {end_id}", made)
+        doc_ids, lengths, rest, packed = [], [], np.empty(0, texts.dtype), io.BytesIO()
+        for rows in by_bytes(batches, "text", SLICE):
+            counts, ids = texts.encode(rows.column("text"), end_id)
+            doc_ids += rows.column("doc_id").to_pylist()
+            lengths += counts.tolist()
+            run_of = np.concatenate([rest, ids])
+            whole = len(run_of) // block * block
+            for at in range(0, whole, block):
+                packed.write(pack(run_of[at:at + block], bits))
             rest = run_of[whole:]
         if not doc_ids:
             return
-        packed.write(pack(np.frombuffer(rest, units.dtype), bits))
+        packed.write(pack(rest, bits))
         head, _ = layout(doc_ids, lengths, bits, block)
         context = TaskContext.get()
         system, inner = fs.FileSystem.from_uri(folder)
@@ -166,10 +157,10 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, block:
             sink.write(head)
             sink.write(packed.getbuffer())
         _publish(system, partial, f"{inner}/{part}")
-        yield pd.DataFrame({"file_no": [context.partitionId()], "path": [f"{folder}/{part}"], "n_docs": [len(doc_ids)], "n_ids": [int(sum(lengths))]})
+        yield pa.RecordBatch.from_pydict({"file_no": [context.partitionId()], "path": [f"{folder}/{part}"], "n_docs": [len(doc_ids)], "n_ids": [sum(lengths)]})
 
     ordered = docs.select("doc_id", whole_text().alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    written = ordered.select(id_text("doc_id"), "text").mapInPandas(run, "file_no long, path string, n_docs long, n_ids long").collect()
+    written = ordered.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "file_no long, path string, n_docs long, n_ids long").collect()
     starts, at = [], 0
     for row in sorted(written, key=lambda r: r.file_no):
         starts.append((row.path, row.n_docs, row.n_ids, at))

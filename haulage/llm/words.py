@@ -7,25 +7,34 @@ looked up from then on.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Collection
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Units kept per Python worker, in two generations: what the older one holds is moved up when met again.
 KEPT = 400_000
 #: A private character between units that are encoded in one call.
 MARK = ""
+#: Letters in lower case, and marks that never begin a contraction or a special token (fixed values).
+LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"
+#: Letters in any case and marks behind them.
+PLAIN = f"^[A-Za-zÀ-ÖØ-öø-ÿ]*[{re.escape(MARKS)}]*$"
 
 
 class UnitIds:
     """Ids of units as little-endian bytes of ``dtype``; ``encode`` turns a list of units into a list of id lists."""
 
-    def __init__(self, encode, dtype: str, kept: int = KEPT, parts=None, encode_parts=None):
-        """``parts(unit)`` may name units whose ids, one after the other, are those of the unit; ``encode_parts`` encodes these."""
-        self.encode, self.dtype, self.kept, self.parts, self.encode_parts = encode, np.dtype(dtype), kept, parts, encode_parts or encode
+    def __init__(self, encode, dtype: str, kept: int = KEPT):
+        self.encode, self.dtype, self.kept = encode, np.dtype(dtype), kept
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def add(self, units: set[str], encode=None) -> None:
-        """Make sure that every unit can be looked up."""
+    def add(self, units: Collection[str], encode=None) -> None:
+        """Make sure that each of these different units can be looked up; ``encode`` stands in for the one of the table."""
         if len(self.new) + len(units) > self.kept:
             self.old, self.new = self.new, {}
         new, old = self.new, self.old
@@ -44,20 +53,52 @@ class UnitIds:
 
     def join(self, texts: list[list[str]]) -> list[bytes]:
         """The ids of each text, given as its units."""
-        units = set().union(*texts) if texts else set()
-        if not self.parts:
-            self.add(units)
-            look = self.new.__getitem__
-            return [b"".join(map(look, each)) for each in texts]
-        # only parts and units without parts are kept
-        found = {unit: ids for unit in units if (ids := self.new.get(unit)) is not None}
-        cut = {unit: self.parts(unit) for unit in units if unit not in found}
-        whole = {unit for unit, parts in cut.items() if not parts}
-        self.add({p for parts in cut.values() if parts for p in parts}, self.encode_parts)
-        found.update({unit: b"".join([self.new[p] for p in parts]) for unit, parts in cut.items() if parts})
-        self.add(whole)
-        found.update({unit: self.new[unit] for unit in whole})
-        return [b"".join(map(found.__getitem__, each)) for each in texts]
+        self.add(set().union(*texts) if texts else set())
+        look = self.new.__getitem__
+        return [b"".join(map(look, each)) for each in texts]
+
+
+class TextIds:
+    """Ids of whole texts by a tokenizer that splits at spaces and line breaks.
+
+    Units are cut, told apart and put together again as Arrow arrays; Python sees a unit once for all texts of a call. If the tokenizer
+    allows it (see ``model_encode``), units of letters and marks behind them are looked up as lower-case letters and as marks.
+    """
+
+    def __init__(self, tokenizer, dtype: str, kept: int = KEPT):
+        self.units, self.straight = UnitIds(marked_encode(tokenizer), dtype, kept), model_encode(tokenizer)
+        self.dtype = self.units.dtype
+
+    def looked_up(self, units: pa.Array, encode=None) -> pa.Array:
+        names = units.to_numpy(zero_copy_only=False).tolist()
+        self.units.add(names, encode)
+        return pa.array([self.units.new[name] for name in names], pa.large_binary())
+
+    def of_units(self, units: pa.Array) -> pa.Array:
+        """The ids of different units."""
+        if self.straight is None:
+            return self.looked_up(units)
+        plain = pc.match_substring_regex(units, pattern=PLAIN)
+        lower, odd = pc.utf8_lower(units.filter(plain)), units.filter(pc.invert(plain))
+        parts = pa.concat_arrays([pc.ascii_rtrim(lower, characters=MARKS), pc.utf8_ltrim(lower, characters=LETTERS)]).dictionary_encode()
+        ids, n = self.looked_up(parts.dictionary, self.straight).take(parts.indices), len(lower)
+        joined = pc.binary_join_element_wise(ids[:n], ids[n:], pa.scalar(b"", pa.large_binary()))
+        flags = plain.to_numpy(zero_copy_only=False)
+        place = np.empty(len(flags), np.int64)
+        place[np.concatenate([np.flatnonzero(flags), np.flatnonzero(~flags)])] = np.arange(len(flags))
+        return pa.concat_arrays([joined, self.looked_up(odd)]).take(pa.array(place))
+
+    def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each text has, and the ids of all texts one after the other; ``end`` stands behind each text. No nulls."""
+        if not len(texts):
+            return np.empty(0, np.int64), np.empty(0, self.dtype)
+        cut = pc.split_pattern(pc.replace_substring(texts, pattern="\n", replacement=" "), pattern=" ")
+        stops = np.cumsum(pc.list_value_length(cut).to_numpy(), dtype=np.int64)
+        units = cut.flatten().dictionary_encode()
+        table = pa.concat_arrays([self.of_units(units.dictionary), pa.array([np.asarray([end], self.dtype).tobytes()], pa.large_binary())])
+        ids = table.take(pa.array(np.insert(units.indices.to_numpy(), stops, len(table) - 1)))
+        offsets = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1) // self.dtype.itemsize
+        return np.diff(offsets[stops + np.arange(1, len(stops) + 1)], prepend=0), np.frombuffer(ids.buffers()[2], self.dtype, int(offsets[-1]))
 
 
 def marked_encode(tokenizer):
@@ -97,8 +138,9 @@ def byte_letters() -> list[str]:
 
 
 def model_encode(tokenizer):
-    """Encode lower-case words and marks, each a piece of its own to the pre-tokenizer, straight by the tokenizer's model. None if
-    this tokenizer does more with them, as a few samples tell."""
+    """Encode runs of lower-case letters or of marks, each a piece of its own to the pre-tokenizer, straight by the tokenizer's model.
+    None if this tokenizer does more with such units: each letter in both cases and each pair of marks is tried, and special tokens
+    must hold a sign that is neither."""
     letters = byte_letters()
     tokenize = tokenizer.model.tokenize
 
@@ -107,8 +149,14 @@ def model_encode(tokenizer):
             piece = unit if unit.isascii() else "".join([letters[b] for b in unit.encode()])
             yield [t.id for t in tokenize(piece)]
 
-    samples = ["a", "the", "internationalisation", "straße", "élève", "ñandú", "þæöåø", ".", ",", ";", ":", "!", "?"]
-    return encode if list(encode(samples)) == [e.ids for e in tokenizer.encode_batch(samples, add_special_tokens=False)] else None
+    if any(set(t.content.lower()) <= {*LETTERS, *MARKS} for t in tokenizer.get_added_tokens_decoder().values()):
+        return None
+    words = ["the", "internationalisation", "straße", "élève", "ñandú", "þæöåø", *LETTERS, *(f"b{c}d" for c in LETTERS)]
+    samples = [(unit, (word,)) for word in words for unit in (word, "".join(c if c in "ßÿ" else c.upper() for c in word))]
+    samples += [(f"Ab{a}{b}", ("ab", a + b)) for a in MARKS for b in ("", *MARKS)] + [(a + b, (a + b,)) for a in MARKS for b in ("", *MARKS)]
+    whole = tokenizer.encode_batch([unit for unit, _ in samples], add_special_tokens=False)
+    same = all(e.ids == [i for ids in encode(parts) for i in ids] for e, (_, parts) in zip(whole, samples))
+    return encode if same else None
 
 
 def kept_with(library, key: str, make):

@@ -4,16 +4,18 @@ import hashlib
 import io
 import random
 import re
+import time
 import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from haulage.llm import packing, pieces, pii, quality, rules
 from haulage.llm.queries import QUERIES
-from haulage.llm.words import UnitIds, marked_encode
+from haulage.llm.words import LETTERS, MARKS, TextIds, UnitIds, marked_encode
 from haulage.session import run_folder
 
 
@@ -360,3 +362,65 @@ def test_marked_encoding_is_the_plain_one():
     tk = tokenizers.Tokenizer.from_file(packing.word_tokenizer())
     units = ["a", "", "bc", "<|endoftext|>x", "İstanbul", "́x", "don't", "x" * 500, "日本", "\t", "a\x0bb"] * 30
     assert [list(map(int, x)) for x in marked_encode(tk)(units)] == [tk.encode(u, add_special_tokens=False).ids for u in units]
+
+
+def ids_of(texts, cut):
+    counts, ids = texts.encode(pa.array(cut, pa.string()), 1)
+    assert counts.sum() == len(ids)
+    return [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])]
+
+
+@pytest.mark.parametrize("special", [None, "THE!", "<x>"])
+def test_ids_of_texts_are_the_plain_ones(special):
+    import tokenizers
+
+    rng = random.Random(3)
+    tk = tokenizers.Tokenizer.from_file(packing.word_tokenizer())
+    if special:
+        tk.add_special_tokens([special])
+    # a special token that looks like a word or a mark rules the short way out
+    texts = TextIds(tk, "<u2", kept=500)
+    assert (texts.straight is None) == (special == "THE!")
+    signs = "abZÀÿßéµªºĳKÅİſΣς\u0301'<>|.,!*&%\t\r\x0b\x0c\x85\xa0 \n0129١日\U0001f600\x00½¹×÷…—"
+    odd = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 25))) for _ in range(3000)]
+    odd += [f"{c}{c.upper()}a{m}{m}{n} {m}{c}" for c in LETTERS for m, n in zip(MARKS, MARKS[5:] + MARKS[:5])]
+    odd += ["", " ", "\n", "\n\n a", "THE! the! xTHE!x <x>the<x>", "a<|endoftext|>b <|ENDOFTEXT|>", "don't DON'T it's.", "the'll"]
+    assert ids_of(texts, odd) == [e.ids + [1] for e in tk.encode_batch(odd, add_special_tokens=False)]
+    assert ids_of(texts, ["", ""]) == [[1], [1]] and len(texts.encode(pa.array([], pa.string()), 1)[0]) == 0
+
+
+def test_units_are_encoded_once_without_case_and_marks():
+    import tokenizers
+
+    texts = TextIds(tokenizers.Tokenizer.from_file(packing.word_tokenizer()), "<u2")
+    asked, plain = [], texts.straight
+    texts.straight = lambda units: asked.extend(units) or plain(units)
+    for _ in range(2):
+        ids_of(texts, ["Word word WORD, word!! | word||", "|\nwOrd***\tx", "é É, é|"])
+    assert sorted(asked) == sorted(["", "word", ",", "!!", "|", "||", "é"])
+
+
+def test_texts_of_known_words_cost_no_python_per_word():
+    """Cutting, looking up and joining costs about as much as cutting alone does in Python; word by word it cost several times that."""
+    import tokenizers
+
+    rng = random.Random(8)
+    known = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) + rng.choice(["", "", "", ",", ".", "***"]) for _ in range(20_000)]
+    cut = pa.array([" ".join(rng.choices(known, k=500)) for _ in range(2000)])
+    texts = TextIds(tokenizers.Tokenizer.from_file(packing.word_tokenizer()), "<u2")
+
+    def seconds(work):
+        start = time.process_time()
+        work()
+        return time.process_time() - start
+
+    texts.encode(cut, 1)
+    ours = min(seconds(lambda: texts.encode(cut, 1)) for _ in range(5))
+    split = min(seconds(lambda: [t.replace("\n", " ").split(" ") for t in cut.to_pylist()]) for _ in range(5))
+    assert ours < 2.5 * split
+
+
+def test_batches_by_bytes():
+    rows = pa.RecordBatch.from_pydict({"doc_id": list(range(7)), "text": ["", "aaa", "é", "b" * 50, "", "cc", ""]})
+    for size, sizes in [(5, [3, 1, 3]), (1, [1] * 7), (1000, [7])]:
+        assert [b.num_rows for b in packing.by_bytes(iter([rows, rows.slice(0, 0), rows]), "text", size)] == 2 * sizes
